@@ -7,13 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, hilbert, repetition
+from . import bpe, hilbert, repetition, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.components(simhash.fingerprints(_table(spark, sf_dir, "documents")))
+    return found.select("doc_id", simhash.hex_digits().alias("fingerprint"), "component_id")
+
+
 def op3_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     size = F.octet_length(F.coalesce("text", F.lit("")))
@@ -45,7 +50,7 @@ def op7_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_hilbert_sharding, op4_repetition_coverage, op7_bpe_roundtrip)}
+    return {f.__name__: f for f in (op2_simhash, op3_hilbert_sharding, op4_repetition_coverage, op7_bpe_roundtrip)}
 
 
 def oracle_sql() -> dict[str, str]:
