@@ -7,13 +7,39 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, hilbert, repetition, simhash
+from . import bpe, hilbert, repetition, simhash, substring
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring.dedup(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+OP1_SQL = """
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+win AS (
+  SELECT doc_id, i, list_slice(w, i, i + 34) AS seq
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35)
+),
+dup AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY seq) AS n FROM win) WHERE n > 1),
+word AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d),
+gone AS (
+  SELECT word.doc_id, p, word, max(dup.i) OVER (PARTITION BY word.doc_id ORDER BY p ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) IS NOT NULL AS cut
+  FROM word LEFT JOIN dup ON dup.doc_id = word.doc_id AND dup.i = word.p
+),
+agg AS (
+  SELECT doc_id, count(*) FILTER (WHERE cut) AS n_removed, string_agg(word, ' ' ORDER BY p) FILTER (WHERE NOT cut) AS kept
+  FROM gone GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN agg USING (doc_id)
+"""
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.components(simhash.fingerprints(_table(spark, sf_dir, "documents")))
     return found.select("doc_id", simhash.hex_digits().alias("fingerprint"), "component_id")
@@ -50,8 +76,8 @@ def op7_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_simhash, op3_hilbert_sharding, op4_repetition_coverage, op7_bpe_roundtrip)}
+    return {f.__name__: f for f in (op1_substring_dedup, op2_simhash, op3_hilbert_sharding, op4_repetition_coverage, op7_bpe_roundtrip)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_substring_dedup": OP1_SQL}
