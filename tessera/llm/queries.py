@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, hilbert, repetition, simhash, substring, suffixes
+from . import bpe, hilbert, lsh, repetition, simhash, substring, suffixes
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -75,13 +75,17 @@ def op7_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_multiprobe_lsh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lsh.search(_table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20)
+
+
 def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = suffixes.dedup(_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_substring_dedup, op2_simhash, op3_hilbert_sharding, op4_repetition_coverage, op7_bpe_roundtrip, op10_suffix_array_dedup)}
+    return {f.__name__: f for f in (op1_substring_dedup, op2_simhash, op3_hilbert_sharding, op4_repetition_coverage, op7_bpe_roundtrip, op8_multiprobe_lsh, op10_suffix_array_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
