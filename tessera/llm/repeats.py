@@ -133,7 +133,27 @@ def identified(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def n_buckets(df: DataFrame) -> int:
-    return 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return 8 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | list[tuple[bytes, bytes]]]:
+    """Of rows sorted by bucket: those of a document as they come, in the form of
+    PLACED, and the (rows, body) of each bucket as a list, so that a task holds one."""
+    here, held = None, []
+    for batch in batches:
+        packed = pa.compute.is_valid(batch.column(3))
+        done = batch.filter(pa.compute.invert(packed))
+        if done.num_rows:
+            yield pa.RecordBatch.from_arrays([done.column(1), done.column(2), done.column(4)], ["id", "th", "body"])
+        packed = batch.filter(packed)
+        for bucket, rows, body in zip(packed.column(0).to_pylist(), packed.column(3), packed.column(4), strict=True):
+            if bucket != here and held:
+                yield held
+                held = []
+            here = bucket
+            held.append((rows.as_py(), body.as_py()))
+    if held:
+        yield held
 
 
 def candidates(rows: DataFrame, units: Callable, window: int, gram: int, first_stays: bool) -> DataFrame:
@@ -203,39 +223,34 @@ def candidates(rows: DataFrame, units: Callable, window: int, gram: int, first_s
             yield from flush(parts, np.concatenate(ids), np.concatenate(ths))
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bodies, ids, ths = [], [], []
-        for batch in batches:
-            done = pa.compute.is_null(batch.column(3)).to_numpy(zero_copy_only=False)
-            if done.any():
-                part = batch.filter(pa.array(done))
-                yield pa.RecordBatch.from_arrays([part.column(1), part.column(2), part.column(4)], ["id", "th", "body"])
-            for rows_, body in zip(batch.column(3), batch.column(4), strict=True):
-                if rows_.is_valid:
-                    body = np.frombuffer(body.as_py(), RECORD)
-                    table = np.frombuffer(rows_.as_py(), "<i8", count=(len(rows_.as_py()) - 4 * len(body)) // 8).reshape(2, -1)
-                    local = np.frombuffer(rows_.as_py(), "<u4", offset=16 * table.shape[1])
-                    bodies.append(body)
-                    ids.append(table[0][local])
-                    ths.append(table[1][local])
-        if not bodies:
-            return
-        body, ids, ths = np.concatenate(bodies), np.concatenate(ids), np.concatenate(ths)
-        bodies.clear()
-        order = np.argsort(body["key"])
-        key = body["key"][order]
-        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-        sizes = np.diff(np.concatenate([first, [len(key)]]))
-        company = np.repeat(sizes, sizes)
-        good = company > 1
-        pick = order[good]
-        body = body[pick]
-        body["kind"] = np.where(company[good] > HOT, HOT_ANCHOR, ANCHOR)
-        for at in range(0, len(pick), 500_000):
-            part = slice(at, at + 500_000)
-            i, t, b = by_document(ids[pick[part]], ths[pick[part]], body[part])
-            yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(t), b], ["id", "th", "body"])
-
-    return rows.mapInArrow(place, BUCKETED).repartition("bucket").mapInArrow(meet, PLACED)
+        for bucket in by_bucket(batches):
+            if isinstance(bucket, pa.RecordBatch):
+                yield bucket
+                continue
+            bodies, ids, ths = [], [], []
+            for rows_, body in bucket:
+                body = np.frombuffer(body, RECORD)
+                table = np.frombuffer(rows_, "<i8", count=(len(rows_) - 4 * len(body)) // 8).reshape(2, -1)
+                local = np.frombuffer(rows_, "<u4", offset=16 * table.shape[1])
+                bodies.append(body)
+                ids.append(table[0][local])
+                ths.append(table[1][local])
+            body, ids, ths = np.concatenate(bodies), np.concatenate(ids), np.concatenate(ths)
+            order = np.argsort(body["key"])
+            key = body["key"][order]
+            first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            sizes = np.diff(np.concatenate([first, [len(key)]]))
+            company = np.repeat(sizes, sizes)
+            good = company > 1
+            pick = order[good]
+            body = body[pick]
+            body["kind"] = np.where(company[good] > HOT, HOT_ANCHOR, ANCHOR)
+            for at in range(0, len(pick), 100_000):
+                part = slice(at, at + 100_000)
+                i, t, b = by_document(ids[pick[part]], ths[pick[part]], body[part])
+                yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(t), b], ["id", "th", "body"])
+
+    return rows.mapInArrow(place, BUCKETED).repartition("bucket").sortWithinPartitions("bucket").mapInArrow(meet, PLACED)
 
 
 def gather(placed: DataFrame) -> DataFrame:

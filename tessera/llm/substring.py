@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import repeats
-from .words import Block, blocks, utf8
+from .words import Block, blocks, blocks_of, utf8
 
 WINDOW = 35
 GRAM = 8
@@ -44,7 +44,7 @@ def word_units(column: pa.Array):
 def _stretches(rows: DataFrame, window: int, buckets: int) -> DataFrame:
     """The words around each anchor, packed for the partition of its prefix."""
 
-    def pack(found: dict[int, list], batch: list) -> pa.RecordBatch:
+    def pack(found: dict[int, tuple[list, list]]) -> pa.RecordBatch:
         squeeze = zstandard.ZstdCompressor(level=1)
         bodies = []
         for heads, texts in found.values():
@@ -83,10 +83,10 @@ def _stretches(rows: DataFrame, window: int, buckets: int) -> DataFrame:
             if known[0]:
                 yield repeats.pass_on(np.array(known[0], np.int64), np.array(known[1], np.int64), pa.array(known[2], pa.binary()), buckets)
             if held > 64_000_000:
-                yield pack(found, [])
+                yield pack(found)
                 found, held = {}, 0
         if found:
-            yield pack(found, [])
+            yield pack(found)
 
     return rows.mapInArrow(run, repeats.BUCKETED)
 
@@ -120,11 +120,10 @@ def _trees(stretches: DataFrame, window: int, gram: int) -> DataFrame:
 
     def settle(heads: list, texts: list) -> Iterator[pa.RecordBatch]:
         head = np.concatenate(heads)
-        # texts of equal prefix stand together, so a slice of the partition is a set of whole trees
-        sizes = head["size"].astype(np.int64)
-        data = np.frombuffer(b"".join(texts), np.uint8)
-        block = Block(data, np.concatenate([[0], np.cumsum(sizes)]), 0)
-        words, first = block.word_hash(), block.word_offsets[:-1]
+        sizes = np.concatenate([[0], np.cumsum(head["size"], dtype=np.int64)])
+        parts = [(b.word_hash(), b.n_words) for b in blocks_of(np.frombuffer(b"".join(texts), np.uint8), sizes)]
+        words = np.concatenate([p[0] for p in parts])
+        first = np.concatenate([[0], np.cumsum(np.concatenate([p[1] for p in parts]))[:-1]])
         pos, back, span = (head[c].astype(np.int64) for c in ("pos", "back", "span"))
         at = first + back
         width = window - gram
@@ -137,21 +136,19 @@ def _trees(stretches: DataFrame, window: int, gram: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         expand = zstandard.ZstdDecompressor()
-        heads, texts = [], []
-        for batch in batches:
-            for i in range(batch.num_rows):
-                if batch.column(3)[i].is_valid:
-                    body = expand.decompress(batch.column(4)[i].as_py())
-                    n = int(np.frombuffer(body, np.int64, 1)[0])
-                    heads.append(np.frombuffer(body, _HEAD, n, 8))
-                    texts.append(body[8 + n * _HEAD.itemsize :])
-                else:
-                    part = batch.slice(i, 1)
-                    yield pa.RecordBatch.from_arrays([part.column(1), part.column(2), part.column(4)], ["id", "th", "body"])
-        if heads:
+        for bucket in repeats.by_bucket(batches):
+            if isinstance(bucket, pa.RecordBatch):
+                yield bucket
+                continue
+            heads, texts = [], []
+            for _, body in bucket:
+                body = expand.decompress(body)
+                n = int(np.frombuffer(body, np.int64, 1)[0])
+                heads.append(np.frombuffer(body, _HEAD, n, 8))
+                texts.append(body[8 + n * _HEAD.itemsize :])
             yield from settle(heads, texts)
 
-    return stretches.repartition("bucket").mapInArrow(run, repeats.PLACED)
+    return stretches.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, repeats.PLACED)
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM, single_spaces: bool = True) -> DataFrame:

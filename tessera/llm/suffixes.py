@@ -233,18 +233,14 @@ def _merged(runs: DataFrame, window: int, gram: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(t), b], ["id", "th", "body"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        expand, bodies = zstandard.ZstdDecompressor(), []
-        for batch in batches:
-            for i in range(batch.num_rows):
-                if batch.column(3)[i].is_valid:
-                    bodies.append(expand.decompress(batch.column(4)[i].as_py()))
-                else:
-                    part = batch.slice(i, 1)
-                    yield pa.RecordBatch.from_arrays([part.column(1), part.column(2), part.column(4)], ["id", "th", "body"])
-        if bodies:
-            yield from settle(bodies)
-
-    return runs.repartition("bucket").mapInArrow(run, repeats.PLACED)
+        expand = zstandard.ZstdDecompressor()
+        for bucket in repeats.by_bucket(batches):
+            if isinstance(bucket, pa.RecordBatch):
+                yield bucket
+            else:
+                yield from settle([expand.decompress(body) for _, body in bucket])
+
+    return runs.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, repeats.PLACED)
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM) -> DataFrame:

@@ -98,7 +98,10 @@ class Block:
 
 def blocks(column: pa.Array, block_bytes: int = BLOCK_BYTES) -> Iterator[Block]:
     """Blocks of whole documents, in order; ``first`` is the row of a block's first."""
-    data, offsets = utf8(column)
+    yield from blocks_of(*utf8(column), block_bytes)
+
+
+def blocks_of(data: np.ndarray, offsets: np.ndarray, block_bytes: int = BLOCK_BYTES) -> Iterator[Block]:
     row, rows = 0, len(offsets) - 1
     while row < rows:
         to = max(row + 1, int(np.searchsorted(offsets, offsets[row] + block_bytes, "right")) - 1)
