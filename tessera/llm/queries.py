@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, hilbert, lsh, repetition, simhash, substring, suffixes
+from . import bpe, hilbert, labelled, lsh, repetition, simhash, substring, subword, suffixes, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,13 +79,33 @@ def op8_multiprobe_lsh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lsh.search(_table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20)
 
 
+def _scored(scores: DataFrame, fold: int, folds: int, threshold: float) -> DataFrame:
+    held_out = labelled.fold("doc_id", folds) == fold
+    return scores.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def op5_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    known = labelled.sample(docs, labels, "quality", labelled.fold("doc_id", 5) != 0, subword.PER_CLASS)
+    model = subword.train([t for t, _ in known], [y for _, y in known])
+    return _scored(subword.score(docs, model), 0, 5, 0.3)
+
+
+def op9_noisy_channel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    characters = toxicity.language_model(toxicity.trigram_counts(docs))
+    known = labelled.sample(docs, labels, "toxic", labelled.fold("doc_id", 3) != 1, toxicity.PER_CLASS)
+    lexicon, curve = toxicity.fit(known, toxicity.Restorer(characters))
+    return _scored(toxicity.score(docs, characters, lexicon, curve), 1, 3, 0.7)
+
+
 def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = suffixes.dedup(_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_substring_dedup, op2_simhash, op3_hilbert_sharding, op4_repetition_coverage, op7_bpe_roundtrip, op8_multiprobe_lsh, op10_suffix_array_dedup)}
+    return {f.__name__: f for f in (op1_substring_dedup, op2_simhash, op3_hilbert_sharding, op4_repetition_coverage, op5_subword_quality, op7_bpe_roundtrip, op8_multiprobe_lsh, op9_noisy_channel_toxicity, op10_suffix_array_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
