@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, hilbert, labelled, lsh, repetition, simhash, substring, subword, suffixes, toxicity
+from . import bpe, hilbert, labelled, lsh, mixing, repetition, simhash, substring, subword, suffixes, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,6 +58,12 @@ def op4_repetition_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "dup_line_chars", *[f"dup_chars_{n}" for n in repetition.MAX_NGRAM_SHARE])
 
 
+def op6_min_cost_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", F.col("source").cast("string").alias("source"), mixing.word_count(F.col("text")).alias("size"))
+    out = mixing.mix(docs, F.array("source"), F.col("size"), mixing.cycle((1, 2, 3)))
+    return out.select("doc_id", "size", F.col("_sizes")[0].alias("source_size"), F.col("_targets")[0].alias("target"), (F.col("size") * F.size("_given")).alias("taken"), "source")
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
@@ -105,7 +111,7 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_substring_dedup, op2_simhash, op3_hilbert_sharding, op4_repetition_coverage, op5_subword_quality, op7_bpe_roundtrip, op8_multiprobe_lsh, op9_noisy_channel_toxicity, op10_suffix_array_dedup)}
+    return {f.__name__: f for f in (op1_substring_dedup, op2_simhash, op3_hilbert_sharding, op4_repetition_coverage, op5_subword_quality, op6_min_cost_mixing, op7_bpe_roundtrip, op8_multiprobe_lsh, op9_noisy_channel_toxicity, op10_suffix_array_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:

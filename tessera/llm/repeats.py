@@ -126,10 +126,11 @@ def pass_on(ids: np.ndarray, ths: np.ndarray, bodies: pa.Array, buckets: int) ->
     return pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(ids), pa.array(ths), pa.nulls(len(ids), pa.binary()), bodies], ["bucket", "id", "th", "rows", "body"])
 
 
-def identified(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id (null: the least long), th and text (null: empty)."""
+def identified(docs: DataFrame, id_col: str, text_col: str, carry: bool = False) -> DataFrame:
+    """id (null: the least long), th and text (null: empty); with the whole row if asked."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("id"), F.xxhash64(text).alias("th"), text.alias("text"))
+    rest = [F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col], F.col(text_col).isNull().alias("_null")).alias("rest")] if carry else []
+    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("id"), F.xxhash64(text).alias("th"), text.alias("text"), *rest)
 
 
 def n_buckets(df: DataFrame) -> int:
@@ -259,9 +260,10 @@ def gather(placed: DataFrame) -> DataFrame:
 
 
 def with_text(rows: DataFrame, placed: DataFrame, how: str) -> DataFrame:
-    """rows with the bodies of their document."""
+    """rows with the bodies of their document. All columns of rows go along, so that both
+    joins of an operator read the same exchange."""
     found = gather(placed)
-    return rows.join(found.hint("merge"), (F.col("id") == F.col("_id")) & (F.col("th") == F.col("_th")), how).select("id", "th", "text", "bodies")
+    return rows.join(found.hint("merge"), (F.col("id") == F.col("_id")) & (F.col("th") == F.col("_th")), how).drop("_id", "_th")
 
 
 def records_of(bodies: pa.Scalar) -> np.ndarray:

@@ -25,7 +25,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import connected_components
@@ -182,6 +182,18 @@ def components(prints: DataFrame, id_col: str = "doc_id", distance: int = DISTAN
     return prints.join(named, F.col("fp") == F.col("_fp")).select(F.col("_id").alias(id_col), "fp", "component_id")
 
 
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = DISTANCE, pieces: int = PIECES) -> DataFrame:
+    """The rows of docs without near-duplicates: of each component the row of the smallest
+    id (of rows with that id, the one of the least text hash); null ids are one id."""
+    key = F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)))
+    named = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), key.alias("_id"), F.col(text_col).alias("_text"))
+    found = components(fingerprints(named, "_id", "_text"), "_id", distance, pieces)
+    first = found.select(F.col("component_id").alias("_keep")).distinct()
+    kept = named.join(first.hint("merge"), F.col("_id") == F.col("_keep"))
+    order = Window.partitionBy("_id").orderBy(F.xxhash64("_text"))
+    return kept.withColumn("_n", F.row_number().over(order)).filter("_n = 1").select("_row.*")
+
+
 def hex_digits(fp: str = "fp") -> Column:
     """A fingerprint as 16 lower-case digits."""
     return F.lpad(F.lower(F.hex(fp)), 16, "0")

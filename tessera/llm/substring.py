@@ -59,7 +59,7 @@ def _stretches(rows: DataFrame, window: int, buckets: int) -> DataFrame:
         for batch in batches:
             known = [[], [], []]
             for i in range(batch.num_rows):
-                records = repeats.records_of(batch.column(3)[i])
+                records = repeats.records_of(batch.column(batch.num_columns - 1)[i])
                 doc, th = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
                 done = records[records["kind"] == repeats.COVER]
                 if len(done):
@@ -151,51 +151,62 @@ def _trees(stretches: DataFrame, window: int, gram: int) -> DataFrame:
     return stretches.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, repeats.PLACED)
 
 
-def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM, single_spaces: bool = True) -> DataFrame:
-    """id, n_words, n_removed and kept, the words that stay joined by one space.
+def _covered(rows: DataFrame, window: int, gram: int) -> DataFrame:
+    placed = repeats.candidates(rows, word_units, window, gram, first_stays=False)
+    return _trees(_stretches(repeats.with_text(rows, placed, "inner"), window, repeats.n_buckets(rows)), window, gram)
+
 
-    single_spaces=False cuts the removed words out of the text as it is.
-    """
+def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+    """id, n_words, n_removed and kept, the words that stay joined by one space."""
     rows = repeats.identified(docs, id_col, text_col)
-    placed = repeats.candidates(rows, word_units, window, gram, first_stays=False)
-    stretches = _stretches(repeats.with_text(rows, placed, "inner"), window, repeats.n_buckets(docs))
-    covered = _trees(stretches, window, gram)
-    return apply_cuts(rows, covered, single_spaces).withColumnRenamed("id", id_col)
+    found = repeats.with_text(rows, _covered(rows, window, gram), "left")
+    return _cut(found, True).drop("rest").withColumn("id", F.nullif("id", F.lit(-(1 << 63)))).withColumnRenamed("id", id_col)
+
+
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+    """docs with the repeated words, and the space after each, cut out of the texts; all
+    else as it was, also the texts that lose nothing."""
+    rows = repeats.identified(docs, id_col, text_col, carry=True)
+    out = _cut(repeats.with_text(rows, _covered(rows, window, gram), "left"), False)
+    text = F.when(F.col("rest._null"), F.lit(None)).otherwise(F.col("kept"))
+    return out.select(*[text.alias(c) if c == text_col else F.col(f"rest.`{c}`").alias(c) for c in docs.columns])
 
 
-def apply_cuts(rows: DataFrame, covered: DataFrame, single_spaces: bool) -> DataFrame:
+def _without(column: pa.Array, stay: np.ndarray) -> str:
+    data, offsets = utf8(column)
+    block = Block(data, offsets, 0)
+    gone = np.zeros(len(data) + 1, np.int32)
+    np.add.at(gone, block.start[~stay], 1)
+    np.add.at(gone, np.append(block.start[1:], len(data))[~stay], -1)
+    return data[np.cumsum(gone[:-1]) == 0].tobytes().decode()
+
+
+def _cut(found: DataFrame, single_spaces: bool) -> DataFrame:
+    """id, rest (if there), n_words, n_removed and kept of texts and their covered runs."""
+    rest = [c for c in found.columns if c == "rest"]
+    picked = found.select("id", *rest, "text", "bodies")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first in range(0, batch.num_rows, 1000):
                 part = batch.slice(first, 1000)
+                texts, bodies = part.column(part.num_columns - 2), part.column(part.num_columns - 1)
                 counts, removed, kept = [], [], []
                 for i in range(part.num_rows):
-                    text = part.column(1)[i].as_py()
-                    records = repeats.records_of(part.column(2)[i])
-                    if not len(records) and not single_spaces:
-                        counts.append(len(text.encode().split())), removed.append(0), kept.append(text)
-                        continue
-                    raw = text.encode()
-                    words = raw.split()
+                    text = texts[i].as_py()
+                    words = text.encode().split()
+                    records = repeats.records_of(bodies[i])
                     cut = np.zeros(len(words) + 1, np.int32)
                     np.add.at(cut, records["pos"].astype(np.int64), 1)
                     np.add.at(cut, records["key"].astype(np.int64), -1)
                     stay = np.cumsum(cut[:-1]) == 0
-                    counts.append(len(words)), removed.append(int(len(words) - stay.sum()))
-                    if removed[-1] == 0 and not single_spaces:
-                        kept.append(text)
-                    elif single_spaces:
+                    counts.append(len(words))
+                    removed.append(int(len(words) - stay.sum()))
+                    if single_spaces:
                         kept.append(b" ".join(words if removed[-1] == 0 else [words[j] for j in np.flatnonzero(stay)]).decode())
                     else:
-                        data, offsets = utf8(part.column(1).slice(i, 1))
-                        block = Block(data, offsets, 0)
-                        gone = np.zeros(len(data) + 1, np.int32)
-                        np.add.at(gone, block.start[~stay], 1)
-                        # the space after a removed word goes too, if words follow
-                        np.add.at(gone, np.append(block.start[1:], len(data))[~stay], -1)
-                        kept.append(data[np.cumsum(gone[:-1]) == 0].tobytes().decode())
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())], ["id", "n_words", "n_removed", "kept"])
-
-    found = repeats.with_text(rows, covered, "left").select("id", "text", "bodies")
-    out = found.mapInArrow(run, "id long, n_words long, n_removed long, kept string")
-    return out.withColumn("id", F.nullif("id", F.lit(-(1 << 63))))
+                        kept.append(text if removed[-1] == 0 else _without(texts.slice(i, 1), stay))
+                yield pa.RecordBatch.from_arrays([*part.columns[:-2], pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())], ["id", *rest, "n_words", "n_removed", "kept"])
+
+    carried = "".join(f", {c} {picked.schema[c].dataType.simpleString()}" for c in rest)
+    return picked.mapInArrow(run, f"id long{carried}, n_words long, n_removed long, kept string")

@@ -151,7 +151,7 @@ def _runs(rows: DataFrame, window: int, buckets: int) -> DataFrame:
         for batch in batches:
             known = [[], [], []]
             for i in range(batch.num_rows):
-                records = repeats.records_of(batch.column(3)[i])
+                records = repeats.records_of(batch.column(batch.num_columns - 1)[i])
                 doc, th = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
                 done = records[records["kind"] == repeats.COVER]
                 if len(done):
@@ -164,7 +164,8 @@ def _runs(rows: DataFrame, window: int, buckets: int) -> DataFrame:
                     hot = kind == repeats.HOT_ANCHOR  # led by the hash of a whole window
                     for b, s in [(b, 0) for b in range(back - span, back + 1)] if hot else [(back, span)]:
                         low = pos - b
-                        lead = window_key(data[low : low + window]) if hot else key
+                        # an anchor is the least of many hashes, so its low half is the even one
+                        lead = window_key(data[low : low + window]) if hot else (key & 0xFFFFFFFF) << 32 | key >> 32
                         suffixes.append(lead.to_bytes(8, "big") + data[pos : low + s + window])
                         heads.append((doc, th, pos, b, s))
                         lefts.append(data[low:pos][::-1])
