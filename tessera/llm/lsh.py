@@ -37,6 +37,7 @@ TABLES = 28
 HASHES = 10
 WIDTH = 2.0
 PROBES = 96
+PART = 100_000
 SEED = 7
 _FOUND = "qc long, vec_id long, score double"
 
@@ -90,7 +91,8 @@ def search(vectors: DataFrame, queries: Column, k: int = 20, id_col: str = "vec_
     base = rows.withColumn("_n", F.row_number().over(first)).filter(F.col("_n") <= k + 1).select("id", "v", "norm2")
     asked = cut(rows.filter(queries).groupBy("v", "norm2").agg(F.min("id").alias("qc")).select("qc", "v", "norm2"))
     top = rows.agg(F.max("norm2").alias("top"))
-    spread = 4 * int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # parts of the exchange: each holds about PART vectors at a time
+    spread = max(8, -(-rows.count() * tables // PART))
     element = rows.schema["v"].dataType.elementType.simpleString()
 
     def project(v: np.ndarray, extra: np.ndarray) -> np.ndarray:
@@ -133,17 +135,23 @@ def search(vectors: DataFrame, queries: Column, k: int = 20, id_col: str = "vec_
                 code = _codes(cells[:, :, None, :].astype(np.int64) + moves[best], np.arange(tables)[None, :, None])
                 yield emit(1, rows_.column(0).to_numpy(), rows_.column(1), code.reshape(len(v), -1))
 
-    def best_of(q: np.ndarray, c: np.ndarray, rough: np.ndarray, qv: np.ndarray, cv: np.ndarray, qids: np.ndarray, cids: np.ndarray) -> pa.RecordBatch:
-        """The k + 1 best candidates of each query among pairs (q, c), scored exactly."""
-        pair = np.unique(q * len(cids) + c, return_index=True)[1]
+    def trim(q: np.ndarray, c: np.ndarray, rough: np.ndarray, n: int, floor: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Pairs (q, c) that may be among the k + 1 best of q, once each; floor gets the
+        score that a pair of q must reach from now on."""
+        pair = np.unique(q * n + c, return_index=True)[1]
         q, c, rough = q[pair], c[pair], rough[pair]
         order = np.lexsort((-rough, q))
         q, c, rough = q[order], c[order], rough[order]
         start = np.flatnonzero(np.concatenate([[True], q[1:] != q[:-1]])) if len(q) else np.zeros(0, np.int64)
         size = np.diff(np.append(start, len(q)))
-        floor = np.repeat(rough[start + np.minimum(size, k + 1) - 1], size) if len(q) else rough
-        near = rough >= floor - 1e-9 * np.maximum(1, np.abs(floor))
-        q, c = q[near], c[near]
+        full = size > k
+        least = rough[start[full] + k]
+        floor[q[start[full]]] = least - 1e-9 * np.maximum(1, np.abs(least))
+        near = rough >= floor[q]
+        return q[near], c[near], rough[near]
+
+    def exactly(q: np.ndarray, c: np.ndarray, qv: np.ndarray, cv: np.ndarray, qids: np.ndarray, cids: np.ndarray) -> pa.RecordBatch:
+        """The k + 1 best of each query, by score and id, scored on the vectors."""
         score = np.concatenate([(qv[q[i : i + 50_000]] * cv[c[i : i + 50_000]]).sum(axis=1) for i in range(0, max(len(q), 1), 50_000)])
         order = np.lexsort((cids[c], -score, q))
         q, c, score = q[order], c[order], score[order]
@@ -152,6 +160,30 @@ def search(vectors: DataFrame, queries: Column, k: int = 20, id_col: str = "vec_
         good = np.arange(len(q)) - np.repeat(start, size) <= k
         return pa.RecordBatch.from_arrays([pa.array(qids[q[good]]), pa.array(cids[c[good]]), pa.array(score[good])], ["qc", "vec_id", "score"])
 
+    def nearest(blocks: Iterator[tuple[np.ndarray, np.ndarray]], qv: np.ndarray, cv: np.ndarray, qids: np.ndarray, cids: np.ndarray) -> pa.RecordBatch:
+        """The best candidates of each query over blocks of (queries, candidates)."""
+        floor = np.full(len(qv), -np.inf)
+        have, held, limit = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))], 0, 100_000
+        for qs, cs in blocks:
+            scores = qv[qs] @ cv[cs].T
+            i, j = np.nonzero(scores >= floor[qs][:, None])
+            have.append((qs[i], cs[j], scores[i, j]))
+            held += len(i)
+            if held > limit:
+                have = [trim(*(np.concatenate(x) for x in zip(*have, strict=True)), len(cv), floor)]
+                held = len(have[0][0])
+                limit = max(limit, 2 * held)
+        q, c, _ = trim(*(np.concatenate(x) for x in zip(*have, strict=True)), len(cv), floor)
+        return exactly(q, c, qv, cv, qids, cids)
+
+    def shared_buckets(ccode: np.ndarray, crow: np.ndarray, qcode: np.ndarray, qrow: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        shared = np.intersect1d(ccode, qcode)
+        edges = [np.searchsorted(x, shared, side) for x in (ccode, qcode) for side in ("left", "right")]
+        for c0, c1, q0, q1 in zip(*(e.tolist() for e in edges), strict=True):
+            for c in range(c0, c1, 4096):  # a bucket of any size is met in blocks
+                for q in range(q0, q1, 256):
+                    yield qrow[q : min(q + 256, q1)], crow[c : min(c + 4096, c1)]
+
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in by_part(batches):
             kind = part.column("kind").to_numpy()
@@ -159,26 +191,12 @@ def search(vectors: DataFrame, queries: Column, k: int = 20, id_col: str = "vec_
             for side in (0, 1):
                 rows_ = part.filter(pa.array(kind == side))
                 codes = rows_.column("codes").combine_chunks()
-                sides.append((rows_.column("id").to_numpy(), _stack(rows_.column("v").combine_chunks()) if len(rows_) else np.zeros((0, 1)), codes.flatten().to_numpy(), np.repeat(np.arange(len(rows_)), codes.value_lengths().to_numpy())))
+                code, row = codes.flatten().to_numpy(), np.repeat(np.arange(len(rows_)), codes.value_lengths().to_numpy())
+                order = np.argsort(code, kind="stable")
+                sides.append((rows_.column("id").to_numpy(), _stack(rows_.column("v").combine_chunks()) if len(rows_) else None, code[order], row[order]))
             (cids, cv, ccode, crow), (qids, qv, qcode, qrow) = sides
-            if not len(cids) or not len(qids):
-                continue
-            co, qo = np.argsort(ccode, kind="stable"), np.argsort(qcode, kind="stable")
-            ccode, crow, qcode, qrow = ccode[co], crow[co], qcode[qo], qrow[qo]
-            shared = np.intersect1d(ccode, qcode)
-            edges = [np.searchsorted(x, shared, side) for x in (ccode, qcode) for side in ("left", "right")]
-            found, held = [], 0
-            for c0, c1, q0, q1 in zip(*(e.tolist() for e in edges), strict=True):
-                for c in range(c0, c1, 4096):  # a bucket of any size is met in blocks
-                    for q in range(q0, q1, 1024):
-                        cs, qs = crow[c : min(c + 4096, c1)], qrow[q : min(q + 1024, q1)]
-                        found.append((np.repeat(qs, len(cs)), np.tile(cs, len(qs)), (qv[qs] @ cv[cs].T).reshape(-1)))
-                        held += len(qs) * len(cs)
-                        if held > 2_000_000:
-                            yield best_of(*(np.concatenate(x) for x in zip(*found, strict=True)), qv, cv, qids, cids)
-                            found, held = [], 0
-            if found:
-                yield best_of(*(np.concatenate(x) for x in zip(*found, strict=True)), qv, cv, qids, cids)
+            if len(cids) and len(qids):
+                yield nearest(shared_buckets(ccode, crow, qcode, qrow), qv, cv, qids, cids)
 
     def merged(found: DataFrame) -> DataFrame:
         order = Window.partitionBy("qc").orderBy(F.desc("score"), "vec_id")
@@ -195,17 +213,12 @@ def search(vectors: DataFrame, queries: Column, k: int = 20, id_col: str = "vec_
     if not short.isEmpty():
 
         def compare(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-            out = []
-            if left.num_rows and right.num_rows:
-                cids, cv = left.column("id").to_numpy(), _stack(left.column("v").combine_chunks())
-                for at in range(0, right.num_rows, 256):
-                    rows_ = right.slice(at, 256)
-                    qids, qv = rows_.column("qc").to_numpy(), _stack(rows_.column("v").combine_chunks())
-                    for c in range(0, len(cids), 8192):
-                        n = len(cids[c : c + 8192])
-                        q = np.repeat(np.arange(len(qids)), n)
-                        out.append(best_of(q, np.tile(np.arange(n), len(qids)), (qv @ cv[c : c + n].T).reshape(-1), qv, cv[c : c + n], qids, cids[c : c + n]))
-            return pa.Table.from_batches(out) if out else pa.table({"qc": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
+            if not left.num_rows or not right.num_rows:
+                return pa.table({"qc": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
+            cids, cv = left.column("id").to_numpy(), _stack(left.column("v").combine_chunks())
+            qids, qv = right.column("qc").to_numpy(), _stack(right.column("v").combine_chunks())
+            every = ((np.arange(q, min(q + 256, len(qv))), np.arange(c, min(c + 8192, len(cv)))) for q in range(0, len(qv), 256) for c in range(0, len(cv), 8192))
+            return pa.Table.from_batches([nearest(every, qv, cv, qids, cids)])
 
         dealt = base.select("id", "v", F.pmod(F.xxhash64("id"), F.lit(spread)).alias("block"))
         everywhere = short.select("qc", "v", F.explode(F.sequence(F.lit(0), F.lit(spread - 1)).cast("array<long>")).alias("block"))
