@@ -210,5 +210,10 @@ def json_any(c: Column | str, *paths: str) -> Column:
     return F.coalesce(*[F.get_json_object(col(c), p) for p in paths])
 
 
+def micros(c: Column | str) -> Column:
+    """Microseconds since 1970 of a timestamp with or without a zone."""
+    return F.unix_micros(col(c).cast("timestamp"))
+
+
 def median(c: Column | str) -> Column:
     return F.percentile(col(c), F.lit(0.5))

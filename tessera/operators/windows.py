@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.scalars import micros
+
 
 def delta(df: DataFrame, keys: list[str], order: list[Column], value: str) -> DataFrame:
     """previous, change (0 on the first row) and change_pct (null if there is no previous
@@ -48,5 +50,5 @@ def cadence(df: DataFrame, keys: list[str], newest: list[Column], always: Column
 def sessions(df: DataFrame, keys: list[str], at: str, gap_seconds: int) -> DataFrame:
     """A number for each run of rows without a gap longer than ``gap_seconds``."""
     w = Window.partitionBy(*keys).orderBy(at)
-    new = F.when(F.unix_micros(at) - F.unix_micros(F.lag(at).over(w)) > gap_seconds * 1_000_000, 1).otherwise(0)
+    new = F.when(micros(at) - micros(F.lag(at).over(w)) > gap_seconds * 1_000_000, 1).otherwise(0)
     return df.withColumn("_new", new).withColumn("session", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))).drop("_new")

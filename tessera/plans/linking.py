@@ -176,11 +176,12 @@ def best_candidate_link(t: Tables) -> DataFrame:
 _LINK = """
 b AS (SELECT item_id, lower(trim(text)) AS k FROM benchmark),
 d AS (SELECT doc_id, lower(trim(text)) AS k FROM documents WHERE length(text) >= 40),
-l AS (SELECT doc_id, trim(unnest(string_split(k, chr(10)))) AS k FROM d),
+l AS (SELECT DISTINCT doc_id, k FROM (SELECT doc_id, trim(unnest(string_split_regex(k, '[.\\n]+'))) AS k FROM d) WHERE length(k) >= 24),
+h AS (SELECT item_id, trim(string_split_regex(k, '[.\\n]+')[2]) AS k FROM b),
 t1 AS (SELECT item_id, doc_id FROM b JOIN d USING (k)),
-t2 AS (SELECT DISTINCT item_id, doc_id FROM b JOIN l ON trim(split_part(b.k, chr(10), 1)) = l.k),
-t3 AS (SELECT DISTINCT item_id, doc_id FROM b JOIN l ON left(b.k, 24) = left(l.k, 24)),
-u AS (SELECT 'exact' AS method, 1.0 AS confidence, * FROM t1 UNION ALL SELECT 'line', 0.85, * FROM t2 UNION ALL SELECT 'prefix', 0.75, * FROM t3),
+t2 AS (SELECT item_id, doc_id FROM h JOIN l USING (k)),
+t3 AS (SELECT DISTINCT item_id, doc_id FROM h JOIN l ON left(h.k, 24) = left(l.k, 24)),
+u AS (SELECT 'exact' AS method, 1.0 AS confidence, * FROM t1 UNION ALL SELECT 'sentence', 0.85, * FROM t2 UNION ALL SELECT 'prefix', 0.75, * FROM t3),
 o AS (SELECT item_id, method, confidence, min(doc_id) AS doc_id FROM u GROUP BY ALL HAVING count(DISTINCT doc_id) = 1),
 r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY confidence DESC, method, doc_id) AS rn FROM o)
 """
@@ -188,16 +189,16 @@ r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY confidence DESC
 
 @plan(f"WITH {_LINK} SELECT item_id, doc_id, method, CAST(confidence AS DOUBLE) AS confidence FROM r WHERE rn = 1")
 def tiered_link(t: Tables) -> DataFrame:
-    """Cascading links that must be unique: exact text, a whole line, a common beginning."""
+    """Cascading links that must be unique: exact text, a whole sentence, its beginning."""
     b = t.benchmark.select("item_id", F.lower(F.trim("text")).alias("k"))
     d = t.documents.filter(F.length("text") >= 40).select("doc_id", F.lower(F.trim("text")).alias("k"))
-    lines = d.select("doc_id", F.explode(F.split("k", "\n")).alias("k")).withColumn("k", F.trim("k"))
-    head = b.select("item_id", F.trim(F.split_part("k", F.lit("\n"), F.lit(1))).alias("k"), F.left("k", F.lit(24)).alias("p"))
-    start = lines.select("doc_id", F.left("k", F.lit(24)).alias("p")).distinct()
+    sentences = d.select("doc_id", F.explode(F.split("k", "[.\n]+")).alias("k")).withColumn("k", F.trim("k")).filter(F.length("k") >= 24).distinct()
+    second = b.select("item_id", F.trim(F.get(F.split("k", "[.\n]+"), F.lit(1))).alias("k"))
+    start = lambda df: df.withColumn("k", F.left("k", F.lit(24)))
     tiers = [
         ("exact", 1.0, b.join(d, "k").select("item_id", "doc_id")),
-        ("line", 0.85, head.join(lines, "k").select("item_id", "doc_id")),
-        ("prefix", 0.75, head.join(start, "p").select("item_id", "doc_id")),
+        ("sentence", 0.85, second.join(sentences, "k").select("item_id", "doc_id")),
+        ("prefix", 0.75, start(second).join(start(sentences).distinct(), "k").select("item_id", "doc_id").distinct()),
     ]
     return J.tiered_link(b, "item_id", "doc_id", tiers)
 
