@@ -1 +1,82 @@
-"""Plans."""
+"""Stances and subjects of running text."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from ..functions import scalars as S
+from ..functions import text as X
+from .registry import Tables, plan
+
+#: Statements that are put before the turns of conversations, by number.
+_SAID = (
+    "Votaremos a favor.",
+    "No votaremos a favor.",
+    "Nos abstendremos en esta votación.",
+    "Apoyamos con fuerza esta iniciativa.",
+    "Rechazamos la propuesta.",
+    "Apoyamos al grupo.",
+    "Nunca apoyamos al grupo.",
+    "Votaremos a favor y rechazamos la enmienda.",
+    "Nuestro voto será negativo.",
+    "Hablamos de otra cosa.",
+)
+_LABEL = ("support", "oppose", "mixed", "support", "oppose", "support", None, "mixed", "oppose", None)
+_WHY = ("explicit_vote_intent", "explicit_vote_intent", "abstention_intent", "declared_support", "declared_oppose", "weak_declared_support", None, "conflicting_signal", "explicit_vote_intent", None)
+
+
+def _number() -> Column:
+    return F.pmod(F.col("conv_id") * 7 + F.col("turn"), F.lit(len(_SAID))).cast("int")
+
+
+def _sql_list(values: tuple) -> str:
+    return "[" + ", ".join("NULL" if v is None else "'" + v + "'" for v in values) + "]"
+
+
+@plan(f"""
+SELECT conv_id, turn, {_sql_list(_LABEL)}[(conv_id * 7 + turn) % {len(_SAID)} + 1] AS stance, {_sql_list(_WHY)}[(conv_id * 7 + turn) % {len(_SAID)} + 1] AS reason FROM conversations
+""")
+def stance_classifier(t: Tables) -> DataFrame:
+    """Declared stances of statements with known wording."""
+    said = F.get(F.array(*[F.lit(s) for s in _SAID]), _number())
+    c = t.conversations.select("conv_id", "turn", X.declared_stance(F.concat(said, F.lit(" "), F.coalesce("text", F.lit("")))).alias("d"))
+    return c.select("conv_id", "turn", "d.stance", "d.reason")
+
+
+@plan("""
+WITH d AS (SELECT doc_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS x, source FROM documents)
+SELECT doc_id, CASE WHEN regexp_extract(x, '([^.;]{20,80})[.;]', 1) <> '' THEN trim(regexp_extract(x, '([^.;]{20,80})[.;]', 1)) ELSE source END AS subject,
+  CASE WHEN regexp_extract(x, '([^.;]{20,80})[.;]', 1) <> '' THEN 0.5::DOUBLE ELSE 0.3::DOUBLE END AS confidence FROM d
+""")
+def subject_extraction(t: Tables) -> DataFrame:
+    """Subjects by keyword, sentence or title, with a confidence."""
+    s = t.documents.select("doc_id", X.subject("text", "source", ("asunto", "objeto", "subject")).alias("s"))
+    return s.select("doc_id", "s.subject", "s.confidence")
+
+
+@plan("""
+SELECT doc_id, strip_accents(lower(regexp_extract(text, '^\\S+', 0))) AS folded FROM documents WHERE regexp_matches(regexp_extract(text, '^\\S+', 0), '^[A-Za-zÀ-ÿ.,]+$') AND NOT contains(text, 'ß')
+""")
+def unicode_fold(t: Tables) -> DataFrame:
+    """First words without marks, by full Unicode decomposition."""
+    first = F.regexp_extract("text", r"^\S+", 0)
+    plain = first.rlike("^[A-Za-zÀ-ÿ.,]+$") & ~F.contains("text", F.lit("ß"))
+    return t.documents.filter(plain).select("doc_id", X.fold_unicode(first).alias("folded"))
+
+
+@plan("""
+WITH d AS (SELECT doc_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS x FROM documents)
+SELECT doc_id, CASE WHEN length(x) <= 40 THEN x ELSE regexp_replace(left(x, 39), '\\s+\\S*$', '') || '…' END AS short FROM d
+""")
+def shorten(t: Tables) -> DataFrame:
+    """Texts cut at a word's end."""
+    return t.documents.select("doc_id", S.shorten("text", 40).alias("short"))
+
+
+@plan("""
+SELECT role, count(*) AS n_turns, count(DISTINCT conv_id) AS n_conversations, sum(length(text)) AS n_chars, max(turn) AS last_turn FROM conversations GROUP BY role
+""".replace("sum(length(text))", "CAST(sum(length(text)) AS BIGINT)"))
+def conversation_summary(t: Tables) -> DataFrame:
+    """Turns and sizes by role."""
+    return t.conversations.groupBy("role").agg(F.count(F.lit(1)).alias("n_turns"), F.countDistinct("conv_id").alias("n_conversations"), F.sum(F.length("text")).alias("n_chars"), F.max("turn").alias("last_turn"))
