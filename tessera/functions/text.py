@@ -8,11 +8,12 @@ from dataclasses import dataclass
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .scalars import col, collapse_space, fold_accents
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def fold_unicode(s: pd.Series) -> pd.Series:
     """Lower case without any combining mark, for all scripts: what translate can't list."""
 
@@ -22,7 +23,7 @@ def fold_unicode(s: pd.Series) -> pd.Series:
     return s.map(fold)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def ascii_only(s: pd.Series) -> pd.Series:
     """What is left of a text in ASCII after its characters are taken apart."""
     return s.map(lambda t: None if t is None else unicodedata.normalize("NFKD", t).encode("ascii", "ignore").decode())

@@ -41,7 +41,8 @@ def require_rows(df: DataFrame, least: int) -> DataFrame:
     """df, or a failing job if it has fewer rows; the count is a part of the same job."""
     n = df.agg(F.count(F.lit(1)).alias("_n"))
     checked = n.select(F.assert_true(F.col("_n") >= least, F.format_string(f"%d rows, {least} required", "_n")).alias("_ok"))
-    return df.join(F.broadcast(checked), F.lit(True)).drop("_ok")
+    # the filter keeps the assertion from being pruned with its column
+    return df.join(F.broadcast(checked), F.lit(True)).filter(F.col("_ok").isNull()).drop("_ok")
 
 
 def worst_status(*statuses: Column) -> Column:
