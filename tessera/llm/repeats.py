@@ -28,6 +28,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -137,6 +138,28 @@ def n_buckets(df: DataFrame) -> int:
     return 8 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def pack_anchors(key: np.ndarray, pos: np.ndarray, back: np.ndarray, span: np.ndarray, doc: np.ndarray, ids: np.ndarray, ths: np.ndarray) -> bytes:
+    """Anchors column by column, in order of their documents, which are listed once."""
+    order = np.lexsort((pos, doc))
+    docs, sizes = np.unique(doc, return_counts=True)
+    head = np.array([len(docs), len(key)], "<u4")
+    columns = (ids[docs], ths[docs], sizes.astype("<u4"), key[order], pos[order].astype("<u4"), back[order].astype("<u2"), span[order].astype("<u2"))
+    return head.tobytes() + b"".join(c.tobytes() for c in columns)
+
+
+def unpack_anchors(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Records, ids and ths of packed anchors."""
+    docs, n = (int(x) for x in np.frombuffer(data, "<u4", 2))
+    out, at = [], 8
+    for kind, count in (("<i8", docs), ("<i8", docs), ("<u4", docs), ("<u8", n), ("<u4", n), ("<u2", n), ("<u2", n)):
+        out.append(np.frombuffer(data, kind, count, at))
+        at += out[-1].nbytes
+    ids, ths, sizes, key, pos, back, span = out
+    body = np.zeros(n, RECORD)
+    body["key"], body["pos"], body["back"], body["span"] = key, pos, back, span
+    return body, np.repeat(ids, sizes), np.repeat(ths, sizes)
+
+
 def by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | list[tuple[bytes, bytes]]]:
     """Of rows sorted by bucket: those of a document as they come, in the form of
     PLACED, and the (rows, body) of each bucket as a list, so that a task holds one."""
@@ -193,18 +216,15 @@ def candidates(rows: DataFrame, units: Callable, window: int, gram: int, first_s
         go = go[np.argsort(bucket, kind="stable")]
         bucket = np.sort(bucket)
         cuts = np.concatenate([np.flatnonzero(np.diff(bucket, prepend=-1)), [len(go)]])
-        out_bucket, out_rows, out_body = [], [], []
+        out_bucket, out_body = [], []
+        squeeze = zstandard.ZstdCompressor(level=1)
         for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
             g = go[lo:hi]
-            docs, local = np.unique(a["doc"][g], return_inverse=True)
-            body = np.zeros(len(g), RECORD)
-            body["key"], body["pos"], body["back"], body["span"] = a["key"][g], a["pos"][g], a["back"][g], a["span"][g]
             out_bucket.append(int(bucket[lo]))
-            out_rows.append(ids[docs].tobytes() + ths[docs].tobytes() + local.astype("<u4").tobytes())
-            out_body.append(body.tobytes())
+            out_body.append(squeeze.compress(pack_anchors(a["key"][g], a["pos"][g], a["back"][g], a["span"][g], a["doc"][g], ids, ths)))
         n = len(out_bucket)
         if n:
-            yield pa.RecordBatch.from_arrays([pa.array(out_bucket, pa.int32()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.array(out_rows, pa.binary()), pa.array(out_body, pa.binary())], ["bucket", "id", "th", "rows", "body"])
+            yield pa.RecordBatch.from_arrays([pa.array(out_bucket, pa.int32()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.array([b""] * n, pa.binary()), pa.array(out_body, pa.binary())], ["bucket", "id", "th", "rows", "body"])
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, ids, ths, held, n_docs = [], [], [], 0, 0
@@ -228,15 +248,8 @@ def candidates(rows: DataFrame, units: Callable, window: int, gram: int, first_s
             if isinstance(bucket, pa.RecordBatch):
                 yield bucket
                 continue
-            bodies, ids, ths = [], [], []
-            for rows_, body in bucket:
-                body = np.frombuffer(body, RECORD)
-                table = np.frombuffer(rows_, "<i8", count=(len(rows_) - 4 * len(body)) // 8).reshape(2, -1)
-                local = np.frombuffer(rows_, "<u4", offset=16 * table.shape[1])
-                bodies.append(body)
-                ids.append(table[0][local])
-                ths.append(table[1][local])
-            body, ids, ths = np.concatenate(bodies), np.concatenate(ids), np.concatenate(ths)
+            expand = zstandard.ZstdDecompressor()
+            body, ids, ths = (np.concatenate(x) for x in zip(*(unpack_anchors(expand.decompress(body)) for _, body in bucket), strict=True))
             order = np.argsort(body["key"])
             key = body["key"][order]
             first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
