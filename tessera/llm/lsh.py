@@ -216,12 +216,12 @@ def search(vectors: DataFrame, queries: Column, k: int = 20, id_col: str = "vec_
             if not left.num_rows or not right.num_rows:
                 return pa.table({"qc": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
             cids, cv = left.column("id").to_numpy(), _stack(left.column("v").combine_chunks())
-            qids, qv = right.column("qc").to_numpy(), _stack(right.column("v").combine_chunks())
+            qids, qv = right.column("qc").to_numpy(), _stack(right.column("qv").combine_chunks())
             every = ((np.arange(q, min(q + 256, len(qv))), np.arange(c, min(c + 8192, len(cv)))) for q in range(0, len(qv), 256) for c in range(0, len(cv), 8192))
             return pa.Table.from_batches([nearest(every, qv, cv, qids, cids)])
 
         dealt = base.select("id", "v", F.pmod(F.xxhash64("id"), F.lit(spread)).alias("block"))
-        everywhere = short.select("qc", "v", F.explode(F.sequence(F.lit(0), F.lit(spread - 1)).cast("array<long>")).alias("block"))
+        everywhere = short.select("qc", F.col("v").alias("qv"), F.explode(F.sequence(F.lit(0), F.lit(spread - 1)).cast("array<long>")).alias("block"))
         exact = dealt.groupBy("block").cogroup(everywhere.groupBy("block")).applyInArrow(compare, _FOUND)
         found = merged(found.union(exact))
 

@@ -37,10 +37,10 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORDS)), F.lit(0)).cast("long")
 
 
-def targets(sizes: dict[str | None, int], weights: dict[str | None, float], most: int = PASSES) -> dict[str | None, float]:
-    """Shares of all sizes by weight, none above ``most`` times its source's size; what
-    is above is shared again by weight among the others."""
-    total, out, free = float(sum(sizes.values())), {}, set(sizes)
+def targets(sizes: dict[str | None, int], weights: dict[str | None, float], most: int = PASSES, total: float | None = None) -> dict[str | None, float]:
+    """Shares of the total (else of all sizes) by weight, none above ``most`` times its
+    source's size; what is above is shared again by weight among the others."""
+    total, out, free = float(sum(sizes.values()) if total is None else total), {}, set(sizes)
     while free:
         rest = total - sum(out.values())
         weight = sum(weights[s] for s in free)
@@ -130,7 +130,7 @@ def mix(docs: DataFrame, members: Column, size: Column, weight_of, id_col: str =
     own = {s: sum(n for p, n in patterns if s in p) for s in names}
     total = sum(n for _, n in patterns)
     weights = dict(zip(names, weight_of(names), strict=True))
-    goal = targets(own, weights, passes) if total else {s: 0.0 for s in names}
+    goal = targets(own, weights, passes, total) if total else {s: 0.0 for s in names}
     flow = min_cost_flow(patterns, goal, passes)
 
     plan = []
