@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -16,7 +16,8 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, train: Column, per_cl
     id, from the rows of labels for which ``train`` holds. Whole texts; the result is
     the same for every order and partitioning of the tables."""
     known = labels.filter(train & F.col(label).isin(0, 1)).select(F.col(id_col).alias("_l"), F.col(label).cast("int").alias("_y")).groupBy("_l").agg(F.max("_y").alias("_y"))
-    order = Window.partitionBy("_y").orderBy(F.xxhash64("_l", F.lit(seed)), "_l")
-    chosen = known.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= per_class)
+    # a top by hash for either label: every task keeps per_class rows at most
+    top = [known.filter(F.col("_y") == y).orderBy(F.xxhash64("_l", F.lit(seed)), "_l").limit(per_class) for y in (0, 1)]
+    chosen = top[0].union(top[1])
     rows = docs.select(F.col(id_col).alias("_d"), F.col(text_col).alias("_t")).join(F.broadcast(chosen), F.col("_d") == F.col("_l"))
     return [(r._t or "", r._y) for r in sorted(rows.select("_d", "_t", "_y").distinct().collect(), key=lambda r: (r._d, r._t or ""))]
