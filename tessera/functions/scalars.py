@@ -217,3 +217,76 @@ def micros(c: Column | str) -> Column:
 
 def median(c: Column | str) -> Column:
     return F.percentile(col(c), F.lit(0.5))
+
+
+#: Spellings of vote choices, accents folded, upper case.
+VOTE_YES = ("SI", "YES", "A", "A FAVOR", "A FAVOR DE", "AFAVOR", "FAVOR", "FAV", "APOYA")
+VOTE_NO = ("NO", "DENEGADO", "EN CONTRA", "ENCONTRAR")
+VOTE_ABSTAIN_PART = "ABST"
+VOTE_ABSENT_PARTS = ("NO VOT", "AUSENT")
+#: The narrower lists of the page variant, lower case.
+PAGE_YES = ("si", "afavor", "a favor", "favorable")
+PAGE_NO = ("no", "en contra", "voto no")
+PAGE_ABSTAIN = ("abstencion", "abst")
+PAGE_ABSENT = ("novota", "no vota")
+
+
+def vote_choice(c: Column | str, variant: str = "snapshot") -> Column:
+    """yes, no, abstain, no_vote or other. The ``snapshot`` variant knows more spellings and
+    looks inside; the ``page`` variant knows whole keys and gives an unknown key back."""
+    if variant == "page":
+        key = key_part(c)
+        known = F.when(key.isin(*PAGE_YES), "yes").when(key.isin(*PAGE_NO), "no").when(key.isin(*PAGE_ABSTAIN), "abstain").when(key.isin(*PAGE_ABSENT), "no_vote")
+        return known.otherwise(F.coalesce(F.nullif(key, F.lit("")), F.lit("other")))
+    v = F.upper(fold_accents(collapse_space(c)))
+    absent = F.lit(False)
+    for part in VOTE_ABSENT_PARTS:
+        absent |= F.contains(v, F.lit(part))
+    return F.when(v.isin(*VOTE_YES), "yes").when(v.isin(*VOTE_NO), "no").when(F.contains(v, F.lit(VOTE_ABSTAIN_PART)), "abstain").when(absent, "no_vote").otherwise("other")
+
+
+def split_name(c: Column | str) -> Column:
+    """struct(family, given) of "Family, Given"; without a comma the last word is the family."""
+    text = collapse_space(c)
+    parts = F.split(text, ",", 2)
+    comma = F.size(parts) > 1
+    family = F.when(comma, F.trim(F.get(parts, F.lit(0)))).otherwise(F.regexp_extract(text, r"(\S+)$", 1))
+    given = F.when(comma, F.trim(F.get(parts, F.lit(1)))).otherwise(F.trim(F.regexp_replace(text, r"\S+$", "")))
+    return F.struct(family.alias("family"), given.alias("given"))
+
+
+def mapped(c: Column | str, codes: dict[str, str], default: Column | None = None) -> Column:
+    """A code for each folded spelling."""
+    table = F.create_map(*[F.lit(x) for kv in codes.items() for x in kv])
+    found = table[key_part(c)]
+    return found if default is None else F.coalesce(found, default)
+
+
+def next_action(status: Column | str, has_evidence: Column, has_dates: Column) -> Column:
+    """What a queue entry needs next, from its state."""
+    s = col(status)
+    return (
+        F.when(s.isin("resolved", "ignored"), "none")
+        .when(~has_evidence, "collect_evidence")
+        .when(~has_dates, "complete_dates")
+        .when(s == "pending", "review")
+        .otherwise("verify")
+    )
+
+
+def metric_check(value: Column | str, kind: str, target: float | None = None) -> Column:
+    """passed, partial or failed: ``presence`` (there is a value), ``gte`` (at least the
+    target) or ``max`` (at most; up to 1.5 times is partial)."""
+    v = col(value)
+    if kind == "presence":
+        return F.when(v.isNotNull(), "passed").otherwise("failed")
+    if kind == "gte":
+        return F.when(v >= target, "passed").otherwise("failed")
+    return F.when(v <= target, "passed").when(v <= 1.5 * target, "partial").otherwise("failed")
+
+
+def redacted(c: Column | str) -> Column:
+    """A text without secrets, addresses of people and queries of links."""
+    out = F.regexp_replace(col(c), r"(?i)((?:password|token|secret|api[_-]?key)\s*[=:]\s*)\S+", "$1[redacted]")
+    out = F.regexp_replace(out, r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", "[email]")
+    return F.regexp_replace(out, r"(https?://[^\s?#]+)[?#]\S*", "$1")

@@ -69,3 +69,13 @@ def snapshot_diff(before: DataFrame, after: DataFrame, keys: list[str], values:
     same = reduce(lambda a, b: a & b, [F.col(f"t.{v}").eqNullSafe(F.col(f"s.{v}")) for v in values])
     status = F.when(F.col("t").isNull(), "added").when(F.col("s").isNull(), "removed").when(same, "same").otherwise("changed")
     return both.select(*[F.coalesce(F.col(f"t.{k}"), F.col(f"s.{k}")).alias(k) for k in keys], status.alias("status"))
+
+
+def apply_decisions(queue: DataFrame, decisions: DataFrame, key: str, at: str) -> DataFrame:
+    """queue with the newest decision of each key: its status, and its stance where one is
+    given. Decisions on unknown keys change nothing."""
+    from .joins import best_row
+
+    last = best_row(decisions, [key], [F.col(at).desc(), F.col("status")]).select(F.col(key).alias("_k"), F.col("status").alias("_s"), F.col("stance").alias("_v"))
+    out = queue.join(last, F.col(key) == F.col("_k"), "left")
+    return out.withColumns({"status": F.coalesce("_s", "status"), "stance": F.coalesce("_v", "stance")}).select(*queue.columns)

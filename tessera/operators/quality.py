@@ -63,3 +63,25 @@ def leak_scan(df: DataFrame, id_col: str, text_col: str, patterns: dict[str, str
     """id, kind, n_hits of the rows that a pattern is found in."""
     hits = F.array(*[F.struct(F.lit(k).alias("kind"), F.regexp_count(F.col(text_col), F.lit(p)).cast("long").alias("n_hits")) for k, p in patterns.items()])
     return df.select(id_col, F.explode(hits).alias("x")).select(id_col, "x.*").filter("n_hits > 0")
+
+
+def manifest_problems(df: DataFrame, key: str, required: list[str], enums: dict[str, tuple[str, ...]], refs: dict[str, DataFrame]) -> DataFrame:
+    """key and problem of a seed table: missing values, values outside an enumeration,
+    references without a target (frames of one column), repeated keys."""
+    checks = [F.when(F.col(c).isNull() | (F.trim(F.col(c).cast("string")) == ""), F.lit(f"missing:{c}")) for c in required]
+    checks += [F.when(F.col(c).isNotNull() & ~F.col(c).isin(*allowed), F.lit(f"enum:{c}")) for c, allowed in enums.items()]
+    found = df.select(F.col(key).cast("string").alias("key"), F.explode(F.array_compact(F.array(*checks))).alias("problem"))
+    again = df.groupBy(F.col(key).cast("string").alias("key")).count().filter("count > 1").select("key", F.lit("duplicate").alias("problem"))
+    out = found.unionByName(again)
+    for c, target in refs.items():
+        lost = df.filter(F.col(c).isNotNull()).join(target.toDF("_t"), F.col(c) == F.col("_t"), "left_anti")
+        out = out.unionByName(lost.select(F.col(key).cast("string").alias("key"), F.lit(f"reference:{c}").alias("problem")))
+    return out
+
+
+def schema_problems(df: DataFrame, expected: dict[str, str]) -> list[str]:
+    """Fields that a snapshot lacks, has with another type, or has too many."""
+    have = dict(df.dtypes)
+    out = [f"missing:{c}" for c in expected if c not in have]
+    out += [f"type:{c}" for c, kind in expected.items() if c in have and have[c] != kind]
+    return out + [f"extra:{c}" for c in have if c not in expected]

@@ -113,3 +113,74 @@ def conform(df: DataFrame, schema: T.StructType | str, aliases: dict[str, tuple[
 def landed(df: DataFrame, payload: str, source: str) -> DataFrame:
     """Raw records with the source and a content hash as key, each payload once."""
     return df.withColumns({"source_id": F.lit(source), "content_sha256": F.sha2(F.col(payload), 256)}).dropDuplicates(["source_id", "content_sha256"])
+
+
+def drop_private(df: DataFrame) -> DataFrame:
+    """df without columns and nested fields whose names begin with an underscore."""
+
+    def clean(c: Column, kind: T.DataType) -> Column:
+        if isinstance(kind, T.StructType):
+            return F.struct(*[clean(c[f.name], f.dataType).alias(f.name) for f in kind.fields if not f.name.startswith("_")])
+        if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StructType):
+            return F.transform(c, lambda x: clean(x, kind.elementType))
+        return c
+
+    return df.select(*[clean(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in df.schema.fields if not f.name.startswith("_")])
+
+
+def workbook_rows(spark: SparkSession, path: str) -> DataFrame:
+    """path, sheet, row and cells of the sheets of workbooks: shared strings resolved, gaps
+    filled with null. A file is parsed in one task; the files are what is spread."""
+    import io
+    import re
+    import zipfile
+    from collections.abc import Iterator
+    from xml.etree import ElementTree
+
+    import pandas as pd
+
+    def local(e: ElementTree.Element) -> str:
+        return e.tag.rsplit("}", 1)[-1]
+
+    def column_number(ref: str) -> int:
+        n = 0
+        for ch in re.match("[A-Z]+", ref).group():
+            n = 26 * n + ord(ch) - 64
+        return n - 1
+
+    def cells(row: ElementTree.Element, shared: list[str]) -> list[str | None]:
+        out: list[str | None] = []
+        for c in (e for e in row if local(e) == "c"):
+            at = column_number(c.get("r", "A")) if c.get("r") else len(out)
+            out += [None] * (at + 1 - len(out))
+            text = "".join(t.text or "" for t in c.iter() if local(t) in ("v", "t"))
+            out[at] = shared[int(text)] if c.get("t") == "s" and text else text or None
+        return out
+
+    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for files in batches:
+            for name, content in zip(files["path"], files["content"], strict=True):
+                rows = []
+                with zipfile.ZipFile(io.BytesIO(content)) as z:
+                    shared = []
+                    if "xl/sharedStrings.xml" in z.namelist():
+                        shared = ["".join(t.text or "" for t in si.iter() if local(t) == "t") for si in ElementTree.fromstring(z.read("xl/sharedStrings.xml"))]
+                    for sheet in sorted(n for n in z.namelist() if re.fullmatch(r"xl/worksheets/[^/]+\.xml", n)):
+                        table = (e for e in ElementTree.fromstring(z.read(sheet)).iter() if local(e) == "row")
+                        rows += [(name, sheet.rsplit("/", 1)[-1][:-4], n, cells(r, shared)) for n, r in enumerate(table)]
+                yield pd.DataFrame(rows, columns=["path", "sheet", "row", "cells"])
+
+    files = spark.read.format("binaryFile").load(path).select("path", "content")
+    return files.mapInPandas(parse, "path string, sheet string, row long, cells array<string>")
+
+
+def workbook_records(spark: SparkSession, path: str) -> DataFrame:
+    """path, sheet, row and a map of header to cell: the header is the first row of a sheet
+    with at least two cells that are not blank."""
+    rows = workbook_rows(spark, path)
+    filled = F.size(F.filter("cells", lambda c: c.isNotNull() & (F.trim(c) != "")))
+    heads = rows.filter(filled >= 2).groupBy("path", "sheet").agg(F.min_by(F.struct("row", "cells"), "row").alias("head"))
+    body = rows.join(heads, ["path", "sheet"]).filter((F.col("row") > F.col("head.row")) & (filled > 0))
+    pairs = F.arrays_zip(F.transform("head.cells", lambda h: F.trim(h)).alias("h"), F.col("cells").alias("c"))
+    named = F.filter(pairs, lambda p: p["h"].isNotNull() & (p["h"] != ""))
+    return body.select("path", "sheet", "row", F.map_from_entries(F.transform(named, lambda p: F.struct(p["h"], p["c"]))).alias("record"))

@@ -67,3 +67,36 @@ def test_slices_snapshots_and_exports(spark, tmp_path):
     K.publish(spark, f"{tmp_path}/c", f"{tmp_path}/final")
     assert spark.read.option("header", True).csv(f"{tmp_path}/final").count() == 2
     assert R.landed(df.union(df), "v", "src").count() == 2
+
+
+def workbook(path, rows):
+    import zipfile
+
+    ns = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+    strings, body = [], ""
+    for n, row in enumerate(rows, 1):
+        body += f'<row r="{n}">'
+        for i, v in enumerate(row):
+            if v is None:
+                continue
+            ref = f"{chr(65 + i)}{n}"
+            if isinstance(v, str):
+                strings.append(v)
+                body += f'<c r="{ref}" t="s"><v>{len(strings) - 1}</v></c>'
+            else:
+                body += f'<c r="{ref}"><v>{v}</v></c>'
+        body += "</row>"
+    with zipfile.ZipFile(path, "w") as z:
+        z.writestr("xl/sharedStrings.xml", f"<sst {ns}>" + "".join(f"<si><t>{s}</t></si>" for s in strings) + "</sst>")
+        z.writestr("xl/worksheets/sheet1.xml", f"<worksheet {ns}><sheetData>{body}</sheetData></worksheet>")
+
+
+def test_workbooks(spark, tmp_path):
+    workbook(tmp_path / "a.xlsx", [["Title"], ["name", None, "n"], ["x", None, 1], [None, None, None], ["y", "extra", 2.5]])
+    got = sorted((r.row, r.record) for r in R.workbook_records(spark, f"{tmp_path}/*.xlsx").collect())
+    assert got == [(2, {"name": "x", "n": "1"}), (4, {"name": "y", "n": "2.5"})]
+
+
+def test_private_fields_are_dropped(spark):
+    df = spark.sql("SELECT 1 AS a, 2 AS _b, named_struct('c', 3, '_d', 4) AS s, array(named_struct('_e', 5, 'f', 6)) AS l")
+    assert R.drop_private(df).first().asDict(recursive=True) == {"a": 1, "s": {"c": 3}, "l": [{"f": 6}]}
