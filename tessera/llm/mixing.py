@@ -8,9 +8,10 @@ of documents, and is solved with successive shortest paths.
 
 A pattern's flow is then laid out along its documents in seeded order, pass after
 pass: every source has one stretch of that line, and a pass of a document goes to the
-source whose stretch holds its middle. So whole documents are taken, no one more than
-``passes`` times, and each source misses its flow by less than a document at either
-end. Places on the line are prefix sums: over hash bins first, then inside a bin, so a
+source whose stretch holds its middle. The last pass, where it is a part only, takes the
+documents that end within it and then the one whose size is nearest to what is left. So
+whole documents are taken, no one more than ``passes`` times, and sources come near their
+flow even where they have few documents. Places on the line are prefix sums: over hash bins first, then inside a bin, so a
 pattern of a third of all rows is not ordered in one task.
 
 Defined cases: a null source is one of its own, last; null and empty texts have size
@@ -25,6 +26,8 @@ import heapq
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .lineage import cut
+
 BINS = 4096
 PASSES = 3
 #: Cost of a token in a document's first, second, third ... pass: convex.
@@ -118,7 +121,9 @@ def mix(docs: DataFrame, members: Column, size: Column, weight_of, id_col: str =
         F.xxhash64(F.col(id_col), F.lit(seed)).alias("_h"),
         F.col(id_col).alias("_i"),
     ).withColumn("_bin", F.pmod("_h", F.lit(BINS)))
-    sizes = rows.groupBy("_pattern", "_bin").agg(F.sum("_size").alias("_n"))
+    # sizes are counted once for all that is decided, and once more as the rows go by
+    light = cut(rows.drop("_row"))
+    sizes = light.groupBy("_pattern", "_bin").agg(F.sum("_size").alias("_n"))
     found = sizes.groupBy("_pattern").agg(F.sum("_n").alias("n"), F.first("_pattern").alias("p")).limit(MAX_PATTERNS + 1).collect()
     if len(found) > MAX_PATTERNS:
         raise ValueError(f"more than {MAX_PATTERNS} membership patterns")
@@ -139,19 +144,37 @@ def mix(docs: DataFrame, members: Column, size: Column, weight_of, id_col: str =
         for s in p:
             stretches.append((s, at, at + give[s]))
             at += give[s]
-        plan.append((key_of[p], n, stretches, [own[s] for s in p], [float(goal[s]) for s in p]))
-    schema = "_p string, _cap long, _stretches array<struct<source: string, lo: double, hi: double>>, _sizes array<long>, _targets array<double>"
+        plan.append((key_of[p], n, at, stretches, [own[s] for s in p], [float(goal[s]) for s in p]))
+    schema = "_p string, _cap long, _flow double, _stretches array<struct<source: string, lo: double, hi: double>>, _sizes array<long>, _targets array<double>"
     planned = spark.createDataFrame(plan, schema)
 
     before = Window.partitionBy("_pattern").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
     bins = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).join(F.broadcast(planned), F.col("_pattern") == F.col("_p"))
-    bins = bins.select(F.col("_pattern").alias("_bp"), F.col("_bin").alias("_bb"), "_before", "_cap", "_stretches", "_sizes", "_targets")
-    placed = rows.join(bins, (F.col("_pattern") == F.col("_bp")) & (F.col("_bin") == F.col("_bb")))
+    bins = bins.select(F.col("_pattern").alias("_bp"), F.col("_bin").alias("_bb"), "_before", "_cap", "_flow", "_stretches", "_sizes", "_targets")
     inside = Window.partitionBy("_pattern", "_bin").orderBy("_h", "_i", "_size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    middle = F.col("_before") + F.sum("_size").over(inside) - F.col("_size") / 2
-    placed = placed.withColumn("_middle", middle)
-    taker = lambda k: F.filter("_stretches", lambda s: (F.col("_middle") + k * F.col("_cap") >= s["lo"]) & (F.col("_middle") + k * F.col("_cap") < s["hi"]))
-    given = F.flatten(F.array(*[taker(F.lit(k)) for k in range(passes)]))
+
+    def place(df: DataFrame) -> DataFrame:
+        out = df.join(bins, (F.col("_pattern") == F.col("_bp")) & (F.col("_bin") == F.col("_bb")))
+        out = out.withColumn("_stop", F.col("_before") + F.sum("_size").over(inside)).withColumn("_middle", F.col("_stop") - F.col("_size") / 2)
+        last = F.floor(F.try_divide("_flow", "_cap"))
+        return out.withColumns({"_last": last, "_rest": F.col("_flow") - last * F.col("_cap")})
+
+    # what the last pass leaves open, and the document that fits it best
+    whole = F.col("_stop") <= F.col("_rest")
+    thin = place(light)
+    left = thin.groupBy("_pattern").agg((F.max("_rest") - F.coalesce(F.max(F.when(whole, F.col("_stop"))), F.lit(0))).alias("_open")).withColumnRenamed("_pattern", "_lp")
+    miss = F.abs(F.col("_open") - F.col("_size"))
+    fits = thin.filter(~whole).join(F.broadcast(left), F.col("_pattern") == F.col("_lp")).filter(miss < F.col("_open"))
+    best = fits.groupBy("_pattern").agg(F.min(F.struct(miss.alias("m"), F.col("_h").alias("h"), F.col("_i").alias("i"), F.col("_size").alias("s"))).alias("_best")).withColumnRenamed("_pattern", "_xp")
+    placed = place(rows).join(F.broadcast(best), F.col("_pattern") == F.col("_xp"), "left")
+    extra = F.col("_best").isNotNull() & (F.col("_h") == F.col("_best.h")) & F.col("_i").eqNullSafe(F.col("_best.i")) & (F.col("_size") == F.col("_best.s"))
+
+    def taker(k: int) -> Column:
+        at = F.when(F.col("_last") == k, F.least(F.col("_middle") + k * F.col("_cap"), F.col("_flow") - 1e-6)).otherwise(F.col("_middle") + k * F.col("_cap"))
+        goes = (F.col("_last") > k) | ((F.col("_last") == k) & (whole | extra))
+        return F.filter("_stretches", lambda s: goes & (at >= s["lo"]) & (at < s["hi"]))
+
+    given = F.flatten(F.array(*[taker(k) for k in range(passes)]))
     given = F.transform(given, lambda s: s["source"])
     return placed.withColumn("_given", F.when(F.col("_size") > 0, given).otherwise(F.array().cast("array<string>"))).select("_row.*", "_size", "_given", "_sizes", "_targets")
 
