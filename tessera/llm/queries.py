@@ -99,10 +99,10 @@ def op5_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_noisy_channel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
-    characters = toxicity.language_model(toxicity.trigram_counts(docs))
+    counts = toxicity.counts_table(toxicity.trigram_counts(docs))
     known = labelled.sample(docs, labels, "toxic", labelled.fold("doc_id", 3) != 1, toxicity.PER_CLASS)
-    lexicon, curve = toxicity.fit(known, toxicity.Restorer(characters))
-    return _scored(toxicity.score(docs, characters, lexicon, curve), 1, 3, 0.7)
+    lexicon, curve = toxicity.fit(known, toxicity.Restorer(toxicity.language_model(counts)))
+    return _scored(toxicity.score(docs, toxicity.language_model(counts, lexicon), lexicon, curve), 1, 3, 0.7)
 
 
 def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -40,15 +40,23 @@ _MEMO = 300_000
 #: The letters that a symbol may stand for.
 LOOK_ALIKE = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c"}
 #: Costs, in nats, of what the channel does to a character.
-COST = {"same": 0.0, "look_alike": 1.0, "drop": 2.5, "stretch": 0.7, "gap": 0.3, "break": 1.0}
+COST = {"same": 0.0, "look_alike": 1.0, "drop": 9.0, "stretch": 0.7, "double": 2.0, "hidden": 2.5, "gap": 0.1, "break": 6.0, "mark": 1.0}
+#: What a star may hide, and what may stand between spelled-out letters.
+HIDDEN = "aeiou"
+MARKS = "!(|"
+GAPS = " ._*-"
 
 _WORD = regex.compile(r"\p{L}+")
+_SIGNS, _GAPS = (regex.escape(x, special_only=False) for x in ("".join(LOOK_ALIKE), GAPS))
+_DOUBLES = 3
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
-_INSIDE = np.zeros(256, bool)
-_INSIDE[list(("".join(LOOK_ALIKE) + "._*-").encode())] = True
+_BETWEEN = np.zeros(256, bool)
+_BETWEEN[list(GAPS.strip().encode())] = True
 _LEADS = np.zeros(256, bool)
 _LEADS[list("".join(LOOK_ALIKE).encode())] = True
+_ENDS = _LEADS.copy()
+_ENDS[list(MARKS.encode())] = False
 _SPELLED = 4
 
 
@@ -59,21 +67,32 @@ def noisy_stretches(block: Block) -> tuple[np.ndarray, np.ndarray]:
     b, letter = block.data, _LETTER[block.data]
     spot = np.zeros(len(b) + 1, bool)
     if len(b) > 2:
-        spot[1:-2] |= letter[:-2] & _INSIDE[b[1:-1]] & letter[2:]
+        spot[1:-2] |= letter[:-2] & _BETWEEN[b[1:-1]] & letter[2:]
         spot[:-3] |= letter[:-2] & (b[:-2] == b[1:-1]) & (b[1:-1] == b[2:])
     if len(b) > 5:  # letters of two bytes
         spot[:-6] |= (b[:-5] >= 0xC0) & (b[:-5] == b[2:-3]) & (b[2:-3] == b[4:-1]) & (b[1:-4] == b[3:-2]) & (b[3:-2] == b[5:])
     start, end = block.start, block.end
     size = end - start
     found = np.add.reduceat(spot[:-1], start) > 0 if len(start) else np.zeros(0, bool)
+    if len(start):  # many doubled letters are a stretched word too
+        double = np.zeros(len(b), np.int32)
+        double[:-1] = letter[:-1] & (b[:-1] == b[1:])
+        found |= np.add.reduceat(double, start) >= _DOUBLES
     if len(start):
-        follow = b[np.minimum(start + 1, len(b) - 1)]
-        found |= _LEADS[b[start]] & (size > 1) & _LETTER[follow]
-    single = ((size == 1) & letter[start]) | ((size == 2) & (b[start] >= 0xC0)) if len(start) else found
+        # a look-alike before the last letter, or at the end and no mere row of one sign
+        last = np.maximum.reduceat(np.where(letter, np.arange(len(b)), -1), start)
+        alike = np.concatenate([[0], np.cumsum(_LEADS[b])])
+        found |= (last > start) & (alike[np.maximum(last, 0)] - alike[start] > 0)
+        row = (size > 2) & (b[end - 1] == b[np.maximum(end - 2, 0)]) & (b[end - 1] == b[np.maximum(end - 3, 0)])
+        found |= _ENDS[b[end - 1]] & (last > start) & ~row
+    single = ((size == 1) & (letter | _LEADS[b])[start]) | ((size == 2) & (b[start] >= 0xC0)) if len(start) else found
     doc = block.word_doc
     edge = np.flatnonzero(np.concatenate([[True], (single[1:] != single[:-1]) | (doc[1:] != doc[:-1])])) if len(start) else np.zeros(0, np.int64)
     last = np.append(edge[1:], len(start)) - 1
     run = (last - edge + 1 >= _SPELLED) & single[edge] if len(edge) else np.zeros(0, bool)
+    if len(edge):  # at least half letters, or it is a row of figures
+        letters = np.concatenate([[0], np.cumsum(letter[start])])
+        run &= 2 * (letters[last + 1] - letters[edge]) >= last - edge + 1
     first, stop = np.concatenate([start[found], start[edge[run]]]), np.concatenate([end[found], end[last[run]]])
     order = np.argsort(first, kind="stable")
     return first[order], stop[order]
@@ -120,18 +139,33 @@ def trigram_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return counts.groupBy("trigram").agg(F.sum("n").alias("n"))
 
 
-def language_model(counts: DataFrame) -> np.ndarray:
-    """log P(c | a, b), smoothed with the bigram; the counts have a fixed number of rows."""
+def counts_table(counts: DataFrame) -> np.ndarray:
+    """The trigram counts as an array; their number of rows is fixed."""
     n = np.zeros(CLASSES**3)
     for r in counts.collect():
         n[r.trigram] = r.n
-    n = n.reshape(CLASSES, CLASSES, CLASSES)
+    return n
+
+
+def language_model(n: np.ndarray, lexicon: dict[str, float] | None = None, prior: float = 0.3) -> np.ndarray:
+    """log P(c | a, b), smoothed with the bigram. The words of a lexicon are expected in
+    noisy stretches: each of their trigrams gets a share of its context's count more."""
+    n = n.reshape(CLASSES, CLASSES, CLASSES).copy()
+    table, context = classes(), n.sum(axis=2)
+    for a, b, c in {t for key in lexicon or () for t in _trigrams(key, table)}:
+        n[a, b, c] += prior * max(context[a, b], 10.0)
     pair = n.sum(axis=0) + 0.1
     pair = pair / pair.sum(axis=1, keepdims=True)
     seen = n.sum(axis=2, keepdims=True)
     return np.log((n + 2 * pair[None]) / (seen + 2)).astype(np.float32)
 
 
+def _trigrams(key: str, table: np.ndarray) -> list[tuple[int, int, int]]:
+    word = key.rstrip("*")
+    c = [0, 0, *(int(table[ord(ch)]) for ch in word), *([] if key.endswith("*") else [0])]
+    return list(zip(c, c[1:], c[2:], strict=False))
+
+
 class Restorer:
     """Viterbi decoding of noisy stretches; recent ones are remembered."""
 
@@ -142,20 +176,25 @@ class Restorer:
     def lattice(self, text: str) -> list[list[tuple[str, float]]]:
         """For each character or run of equal ones, what it may stand for, and the cost."""
         out, at = [], 0
-        spelled = regex.fullmatch(r"(?:\p{L}[ ._*-])+\p{L}", text) is not None
+        spelled = regex.fullmatch(rf"(?:\p{{L}}|[{_SIGNS}])(?:[{_GAPS}]+(?:\p{{L}}|[{_SIGNS}]))+[^\p{{L}}]*", text) is not None
+        end = max((i for i, c in enumerate(text) if c.isalpha()), default=-1)
         while at < len(text):
             c, to = text[at], at + 1
             while to < len(text) and text[to] == c:
                 to += 1
             n = to - at
             if c.isalpha():
-                ways = [(c * n, COST["same"])] if n <= 2 else [(c, COST["stretch"]), (c * 2, COST["stretch"] + 0.5)]
-            elif c in " ._*-" and spelled:
+                ways = [(c, COST["same"])] if n == 1 else [(c * 2, COST["same"]), (c, COST["double"])] if n == 2 else [(c, COST["stretch"]), (c * 2, COST["stretch"] + 0.5)]
+            elif c in GAPS and spelled:
                 ways = [("", COST["gap"]), (" ", COST["break"])]
-            elif c in LOOK_ALIKE and n <= 2:
-                ways = [(x * n, COST["look_alike"] * n) for x in LOOK_ALIKE[c]] + [(" ", COST["drop"] * 2), ("", COST["drop"] * 2)]
-            elif c in "._*-":
-                ways = [("", COST["drop"]), (" ", COST["break"])]
+            elif c in LOOK_ALIKE:
+                ways = [(x * m, COST["look_alike"] * n) for x in LOOK_ALIKE[c] for m in {1, min(n, 2)}]
+                # at the end of a word it may be a mark
+                ways.append((" ", COST["drop"] if at < end else COST["mark"] if c in MARKS else 5 * COST["mark"]))
+            elif c in GAPS:
+                ways = [(" ", COST["mark"]), ("", COST["hidden"])]
+                if c == "*" and n == 1 and 0 < at < end:
+                    ways += [(v, COST["hidden"]) for v in HIDDEN]
             else:
                 ways = [(" ", 0.0)]
             out.append(ways)

@@ -64,16 +64,18 @@ def test_quality(spark, tables_of):
 
 def test_toxicity(spark, tables_of):
     docs, labels, truth = tables_of
-    letters = toxicity.language_model(toxicity.trigram_counts(docs))
+    counts = toxicity.counts_table(toxicity.trigram_counts(docs))
+    letters = toxicity.language_model(counts)
     known = labelled.sample(docs, labels, "toxic", labelled.fold("doc_id", 3) != 1, 500)
     restorer = toxicity.Restorer(letters)
     lexicon, curve = toxicity.fit(known, restorer)
+    letters = toxicity.language_model(counts, lexicon)
     rows = toxicity.score(docs, letters, lexicon, curve).collect()
     held = [r for r in rows if zlib.crc32(str(r.doc_id).encode()) % 3 == 1]
     assert sum((r.score >= 0.7) == bool(truth[r.doc_id][1]) for r in held) / len(held) > 0.97
-    hidden = [(1, prose(30, 1) + " w r e t c h l i n g " + prose(20, 2)), (2, prose(30, 3) + " n1tbr@in " + prose(20, 4)), (3, prose(30, 5) + " scuuuumbolt"), (4, prose(60, 6)), (5, "s.c.u.m.b.o.l.t")]
+    hidden = [(1, prose(30, 1) + " w r e t c h l i n g " + prose(20, 2)), (2, prose(30, 3) + " n1tbr@in " + prose(20, 4)), (3, prose(30, 5) + " scuuuumbolt"), (4, prose(60, 6)), (5, "s.c.u.m.b.o.l.t"), (6, prose(9, 9) + " wr3+ch1!ng " + prose(9, 8)), (7, "n 1 t b r a 1 n!"), (8, "nniittbbrraaiinn"), (9, "scumb*lt"), (10, "1 2 3 4 5 6")]
     found = {r.doc_id: r for r in toxicity.score(documents(spark, hidden), letters, lexicon, curve).collect()}
-    assert {i for i, r in found.items() if r.score >= 0.7} == {1, 2, 3, 5}
+    assert {i for i, r in found.items() if r.score >= 0.7} == {1, 2, 3, 5, 6, 7, 8, 9}
     assert found[2].evidence == ["nitbrain"]
     odd = {r.doc_id: r.score for r in toxicity.score(documents(spark), letters, lexicon, curve).collect()}
     assert odd[4] == odd[5] == odd[6] < 0.7
@@ -84,5 +86,5 @@ def test_toxicity(spark, tables_of):
 @pytest.mark.parametrize(("noisy", "plain"), [("h3ll0 w", "hello"), ("g.o.o.d", "good")])
 def test_decoding_under_a_small_model(spark, noisy, plain):
     docs = spark.createDataFrame([("hello good world hello good " * 20,)], "text string")
-    r = toxicity.Restorer(toxicity.language_model(toxicity.trigram_counts(docs)))
+    r = toxicity.Restorer(toxicity.language_model(toxicity.counts_table(toxicity.trigram_counts(docs))))
     assert r.decode(noisy.split()[0]) == plain
