@@ -19,7 +19,7 @@ are not looked at by ``fingerprints`` and kept by ``keep_one``.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from .components import connected_components
 from .lineage import cut
-from .words import Block, blocks
+from .words import Block, blocks, window_hash
 
 SHINGLE = 3
 DISTANCE = 3
@@ -171,23 +171,66 @@ def links(distinct: DataFrame, distance: int = DISTANCE, pieces: int = PIECES) -
     return keyed.mapInArrow(run, "a long, b long")
 
 
-def components(prints: DataFrame, id_col: str = "doc_id", distance: int = DISTANCE, pieces: int = PIECES) -> DataFrame:
-    """id, fp and component_id, the smallest id that links lead to, for each row."""
+def components(prints: DataFrame, id_col: str = "doc_id", distance: int = DISTANCE, pieces: int = PIECES, verify: Callable[[DataFrame, DataFrame], DataFrame] | None = None) -> DataFrame:
+    """id, fp and component_id, the smallest id that links lead to, for each row.
+
+    verify: keeps some of the links (a, b); it also gets the least id of each fp.
+    """
     prints = cut(prints.select(F.col(id_col).alias("_id"), "fp"))
     distinct = cut(prints.groupBy("fp").agg(F.min("_id").alias("_least")))
-    reached = connected_components(links(distinct.select("fp"), distance, pieces))
+    found = links(distinct.select("fp"), distance, pieces)
+    reached = connected_components(found if verify is None else verify(found, distinct))
     rooted = distinct.join(reached, F.col("fp") == F.col("node"), "left").select("fp", "_least", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("_least").alias("component_id")).withColumnRenamed("root", "_root")
     named = rooted.join(least, F.col("root") == F.col("_root")).select(F.col("fp").alias("_fp"), "component_id")
     return prints.join(named, F.col("fp") == F.col("_fp")).select(F.col("_id").alias(id_col), "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = DISTANCE, pieces: int = PIECES) -> DataFrame:
-    """The rows of docs without near-duplicates: of each component the row of the smallest
-    id (of rows with that id, the one of the least text hash); null ids are one id."""
+def shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
+    """_id and shingles: the sorted hashes of a text's different word shingles."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for block in blocks(batch.column(1)):
+                lower = Block(_LOWER[block.data], block.offsets, block.first)
+                words, cuts = lower.word_hash(), lower.word_offsets
+                for d in range(lower.n_docs):
+                    own = words[cuts[d] : cuts[d + 1]]
+                    out.append(np.unique(window_hash(own, min(shingle, len(own)))).view(np.int64) if len(own) else np.zeros(0, np.int64))
+            sizes = np.concatenate([[0], np.cumsum([len(x) for x in out])]).astype(np.int32)
+            flat = np.concatenate(out) if out else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(sizes), pa.array(flat))], ["_id", "shingles"])
+
+    return docs.select("_id", "_text").mapInArrow(run, "_id long, shingles array<long>")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 2, distance: int = 7, pieces: int = 10, compare: int = 5, similarity: float = 0.8) -> DataFrame:
+    """The rows of docs without near-duplicates: of each group the row of the smallest id
+    (of rows with that id, the one of the least text hash); null ids are one id.
+
+    Near-duplicates share a fingerprint, or have fingerprints within ``distance`` bits and
+    a Jaccard similarity of ``similarity`` or more of their ``compare``-word shingles. The
+    fingerprints are of shorter shingles and the distance is wider than in
+    ``fingerprints`` and ``links`` as they stand, since fingerprints only propose here:
+    an edited word changes fewer of them.
+    """
     key = F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)))
     named = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), key.alias("_id"), F.col(text_col).alias("_text"))
-    found = components(fingerprints(named, "_id", "_text"), "_id", distance, pieces)
+
+    def verify(found: DataFrame, distinct: DataFrame) -> DataFrame:
+        of = lambda c: distinct.select(F.col("fp").alias(f"_f{c}"), F.col("_least").alias(f"_{c}"))
+        pairs = found.distinct().join(of("a"), F.col("a") == F.col("_fa")).join(of("b"), F.col("b") == F.col("_fb"))
+        pairs = cut(pairs.select("a", "b", "_a", "_b"))
+        nodes = pairs.select(F.col("_a").alias("_node")).union(pairs.select("_b")).distinct()
+        texts = named.join(nodes.hint("merge"), F.col("_id") == F.col("_node"), "left_semi")
+        sets = cut(shingle_sets(texts, compare).groupBy("_id").agg(F.max("shingles").alias("shingles")))
+        side = lambda c: sets.select(F.col("_id").alias(f"_n{c}"), F.col("shingles").alias(f"_s{c}"))
+        both = pairs.join(side("a"), F.col("_a") == F.col("_na")).join(side("b"), F.col("_b") == F.col("_nb"))
+        common = F.size(F.array_intersect("_sa", "_sb"))
+        return both.filter(common >= similarity * (F.size("_sa") + F.size("_sb") - common)).select("a", "b")
+
+    found = components(fingerprints(named, "_id", "_text", shingle), "_id", distance, pieces, verify)
     first = found.select(F.col("component_id").alias("_keep")).distinct()
     kept = named.join(first.hint("merge"), F.col("_id") == F.col("_keep"))
     order = Window.partitionBy("_id").orderBy(F.xxhash64("_text"))

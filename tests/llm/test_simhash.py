@@ -97,3 +97,15 @@ def test_keep_one(spark):
     empty = {4, 5, 6}
     assert len(empty & set(kept)) == 1
     assert out.filter(F.col("doc_id") == 1).first().asDict() == docs.filter(F.col("doc_id") == 1).first().asDict()
+
+
+def test_keep_one_verifies_similarity(spark):
+    r = random.Random(8)
+    words = [f"w{r.randrange(5000)}" for _ in range(400)]
+    close, far = list(words), list(words)
+    for i in (50, 200, 350):
+        close[i] = "changed"  # about 15 of 400 five-word shingles
+    for i in range(0, 400, 10):
+        far[i] = f"other{i}"
+    rows = [(1, " ".join(words)), (2, " ".join(close)), (3, " ".join(far)), (4, " ".join(words).upper())]
+    assert sorted(x.doc_id for x in simhash.keep_one(documents(spark, rows)).collect()) == [1, 3]
