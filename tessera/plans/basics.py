@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
-from ..sources.readers import strip_html
+from ..sources.readers import cube_series, strip_html
 from .registry import Tables, plan
 
 
@@ -220,10 +220,6 @@ FROM (SELECT event_type, count(*) AS n FROM events GROUP BY event_type)
 """)
 def cube_long(t: Tables) -> DataFrame:
     """Long rows of a flat cube with one map of positions to values."""
-    from ..sources.readers import cube_series
-
     n = t.events.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
     cube = n.select("event_type", F.map_from_arrays(F.array(F.lit("0"), F.lit("1"), F.lit("2")), F.array(10 * F.col("n"), 20 * F.col("n"), 30 * F.col("n"))).alias("value"))
-    types = cube.select("event_type", "value")
-    rows = types.select("event_type", F.explode("value").alias("flat", "value"))
-    return rows.select("event_type", F.pmod(F.floor(F.col("flat").cast("long") / 1), F.lit(3)).cast("int").alias("hour"), "value")
+    return cube_series(cube, ["hour"], [3], keep=("event_type",)).withColumn("hour", F.col("hour").cast("int"))

@@ -72,12 +72,12 @@ def xml_records(spark: SparkSession, path: str, row_tag: str, schema: T.StructTy
     return (reader.schema(schema) if schema else reader).load(path)
 
 
-def cube_series(cube: DataFrame, dims: list[str], sizes: list[int], values: str = "value") -> DataFrame:
+def cube_series(cube: DataFrame, dims: list[str], sizes: list[int], values: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """Long rows of a flat statistical cube: ``values`` maps a flat position to a value;
     each dimension's position is that of the row-major order of ``sizes``."""
-    rows = cube.select(F.explode(values).alias("flat", "value")).withColumn("flat", F.col("flat").cast("long"))
+    rows = cube.select(*keep, F.explode(values).alias("flat", "value")).withColumn("flat", F.col("flat").cast("long"))
     below = [reduce(lambda a, b: a * b, sizes[i + 1 :], 1) for i in range(len(sizes))]
-    return rows.select(*[F.pmod(F.floor(F.col("flat") / n), F.lit(size)).alias(d) for d, size, n in zip(dims, sizes, below, strict=True)], "value")
+    return rows.select(*keep, *[F.pmod(F.floor(F.col("flat") / n), F.lit(size)).alias(d) for d, size, n in zip(dims, sizes, below, strict=True)], "value")
 
 
 def strip_html(c: str) -> Column:
