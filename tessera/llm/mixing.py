@@ -22,6 +22,7 @@ are interchangeable; an empty table gives an empty result; other columns pass th
 from __future__ import annotations
 
 import heapq
+import json
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -127,8 +128,6 @@ def mix(docs: DataFrame, members: Column, size: Column, weight_of, id_col: str =
     found = sizes.groupBy("_pattern").agg(F.sum("_n").alias("n"), F.first("_pattern").alias("p")).limit(MAX_PATTERNS + 1).collect()
     if len(found) > MAX_PATTERNS:
         raise ValueError(f"more than {MAX_PATTERNS} membership patterns")
-    import json
-
     patterns = sorted(((tuple(json.loads(r.p)["s"]), int(r.n)) for r in found), key=lambda x: [(s is None, s or "") for s in x[0]])
     key_of = {tuple(json.loads(r.p)["s"]): r.p for r in found}
     names = sorted({s for p, _ in patterns for s in p}, key=lambda s: (s is None, s or ""))

@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -75,7 +76,7 @@ def _stretches(rows: DataFrame, window: int, buckets: int) -> DataFrame:
                         parts = [(back, span)]
                     for b, s in parts:
                         text = b" ".join(words[pos - b : pos - b + s + window])
-                        to = hash_bytes(text) % buckets if kind == repeats.HOT_ANCHOR else key % buckets
+                        to = xxhash.xxh64_intdigest(text) % buckets if kind == repeats.HOT_ANCHOR else key % buckets
                         heads, texts = found.setdefault(to, ([], []))
                         heads.append((key, doc, th, pos, b, s, len(text)))
                         texts.append(text)
@@ -91,12 +92,6 @@ def _stretches(rows: DataFrame, window: int, buckets: int) -> DataFrame:
     return rows.mapInArrow(run, repeats.BUCKETED)
 
 
-def hash_bytes(text: bytes) -> int:
-    import xxhash
-
-    return xxhash.xxh64_intdigest(text)
-
-
 def _matrix(words: np.ndarray, start: np.ndarray, step: int, width: int, size: np.ndarray) -> np.ndarray:
     """Rows of words[start], words[start + step], ...: size[i] of them, then zeros."""
     at = start[:, None] + step * np.arange(width)[None, :]

@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -165,7 +166,7 @@ def _runs(rows: DataFrame, window: int, buckets: int) -> DataFrame:
                     for b, s in [(b, 0) for b in range(back - span, back + 1)] if hot else [(back, span)]:
                         low = pos - b
                         # an anchor is the least of many hashes, so its low half is the even one
-                        lead = window_key(data[low : low + window]) if hot else (key & 0xFFFFFFFF) << 32 | key >> 32
+                        lead = xxhash.xxh64_intdigest(data[low : low + window]) if hot else (key & 0xFFFFFFFF) << 32 | key >> 32
                         suffixes.append(lead.to_bytes(8, "big") + data[pos : low + s + window])
                         heads.append((doc, th, pos, b, s))
                         lefts.append(data[low:pos][::-1])
@@ -181,12 +182,6 @@ def _runs(rows: DataFrame, window: int, buckets: int) -> DataFrame:
     return rows.mapInArrow(run, repeats.BUCKETED)
 
 
-def window_key(text: bytes) -> int:
-    import xxhash
-
-    return xxhash.xxh64_intdigest(text)
-
-
 def _left_order(keys: np.ndarray, lefts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Order and common prefixes of what stands before the anchors, read backwards."""
     whole = np.concatenate([keys, lefts], axis=1)
