@@ -139,7 +139,8 @@ def links(distinct: DataFrame, distance: int = DISTANCE, pieces: int = PIECES) -
     connect every two that a chain of close pairs connects."""
     keys = F.array(*[F.struct(F.lit(i).alias("choice"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("key")) for i, m in enumerate(masks(pieces, distance))])
     keyed = distinct.select("fp", F.explode(keys).alias("_k")).select("_k.choice", "_k.key", "fp")
-    keyed = keyed.repartition("choice", "key").sortWithinPartitions("choice", "key")
+    # ordered by fingerprint too, so that the links of a group do not depend on arrival
+    keyed = keyed.repartition("choice", "key").sortWithinPartitions("choice", "key", "fp")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = [np.zeros(0, t) for t in (np.int32, np.int64, np.uint64)]
