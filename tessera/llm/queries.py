@@ -114,5 +114,54 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_substring_dedup, op2_simhash, op3_hilbert_sharding, op4_repetition_coverage, op5_subword_quality, op6_min_cost_mixing, op7_bpe_roundtrip, op8_multiprobe_lsh, op9_noisy_channel_toxicity, op10_suffix_array_dedup)}
 
 
+OP10_SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+win AS (SELECT doc_id, p, hash(substr(h, 2 * p + 1, 200)) AS s FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 99)) AS p FROM d WHERE length(h) >= 200)),
+dup AS (SELECT doc_id, p FROM (SELECT doc_id, p, row_number() OVER (PARTITION BY s ORDER BY doc_id, p) AS r FROM win) WHERE r > 1),
+byte AS (SELECT doc_id, p, substr(h, 2 * p + 1, 2) AS b FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2)) AS p FROM d)),
+gone AS (
+  SELECT byte.doc_id, byte.p, b, max(dup.p) OVER (PARTITION BY byte.doc_id ORDER BY byte.p ROWS BETWEEN 99 PRECEDING AND CURRENT ROW) IS NOT NULL AS cut
+  FROM byte LEFT JOIN dup ON dup.doc_id = byte.doc_id AND dup.p = byte.p
+),
+edge AS (SELECT *, cut AND NOT coalesce(lag(cut) OVER (PARTITION BY doc_id ORDER BY p), false) AS starts FROM gone),
+agg AS (
+  SELECT doc_id, count(*) FILTER (WHERE cut) AS n_removed, count(*) FILTER (WHERE starts) AS n_spans, string_agg(b, '' ORDER BY p) FILTER (WHERE NOT cut) AS kept
+  FROM edge GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM d LEFT JOIN agg USING (doc_id)
+"""
+
+
+def op4_sql() -> str:
+    """The counts of repetition coverage and its verdict."""
+    lengths = tuple(repetition.MAX_NGRAM_SHARE)
+    gram = lambda n: f"CASE WHEN l{n - 1} IS NOT NULL THEN hash([word, {', '.join(f'l{k}' for k in range(1, n))}]) END"
+    lead = ", ".join(f"lead(word, {k}) OVER (PARTITION BY doc_id ORDER BY i) AS l{k}" for k in range(1, max(lengths)))
+    seen = ", ".join(f"row_number() OVER (PARTITION BY doc_id, g{n} ORDER BY i) > 1 AND g{n} IS NOT NULL AS r{n}" for n in lengths)
+    inside = ", ".join(f"bool_or(r{n}) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW) AS in{n}" for n in lengths)
+    sums = ", ".join(f"CAST(coalesce(sum(chars) FILTER (WHERE in{n}), 0) AS BIGINT) AS dup_chars_{n}" for n in lengths)
+    columns = ", ".join(f"coalesce(dup_chars_{n}, 0) AS dup_chars_{n}" for n in lengths)
+    bad = " OR ".join(f"dup_chars_{n} > {share} * word_chars" for n, share in repetition.MAX_NGRAM_SHARE.items())
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+base AS (SELECT doc_id, text, w, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars, CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols FROM d),
+line AS (SELECT doc_id, line, row_number() OVER (PARTITION BY doc_id, line ORDER BY p) > 1 AS dup, length(regexp_replace(line, '[\\x20\\x09-\\x0D]+', '', 'g')) AS chars
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(0, len(string_split(text, chr(10))))) AS p FROM base) WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]')),
+lines AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dup) AS n_dup_lines, CAST(coalesce(sum(chars) FILTER (WHERE dup), 0) AS BIGINT) AS dup_line_chars FROM line GROUP BY doc_id),
+flat AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, n_words + 1)) AS i FROM base),
+next AS (SELECT *, {lead} FROM flat),
+word AS (SELECT doc_id, i, length(word) AS chars, {gram(3)} AS g3, {", ".join(f"{gram(n)} AS g{n}" for n in lengths)} FROM next),
+rep AS (SELECT doc_id, i, chars, count(*) OVER (PARTITION BY doc_id, g3) > 1 AND g3 IS NOT NULL AS r3, {seen} FROM word),
+cov AS (SELECT doc_id, chars, bool_or(r3) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS in3, {inside} FROM rep),
+agg AS (SELECT doc_id, count(*) FILTER (WHERE in3) AS n_repeat_words, {sums} FROM cov GROUP BY doc_id),
+all_counts AS (SELECT base.doc_id, n_words, word_chars, n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_lines, 0) AS n_lines, coalesce(dup_line_chars, 0) AS dup_line_chars, coalesce(n_repeat_words, 0) AS n_repeat_words, {columns}
+  FROM base LEFT JOIN lines ON lines.doc_id = base.doc_id LEFT JOIN agg ON agg.doc_id = base.doc_id),
+judged AS (SELECT *, n_words < {repetition.MIN_WORDS} OR 100 * n_repeat_words > {repetition.MAX_REPEAT_WORDS_PERCENT} * n_words AS base_failed,
+  dup_line_chars > {repetition.MAX_LINE_CHAR_SHARE} * word_chars OR n_dup_lines > {repetition.MAX_LINE_SHARE} * n_lines OR {bad} AS bad FROM all_counts)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT (base_failed OR bad) AS kept, dup_line_chars, {", ".join(f"dup_chars_{n}" for n in lengths)} FROM judged
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_substring_dedup": OP1_SQL}
+    return {"op1_substring_dedup": OP1_SQL, "op4_repetition_coverage": op4_sql(), "op10_suffix_array_dedup": OP10_SQL}
