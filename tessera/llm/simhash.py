@@ -19,7 +19,7 @@ are not looked at by ``fingerprints`` and kept by ``keep_one``.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
@@ -172,15 +172,11 @@ def links(distinct: DataFrame, distance: int = DISTANCE, pieces: int = PIECES) -
     return keyed.mapInArrow(run, "a long, b long")
 
 
-def components(prints: DataFrame, id_col: str = "doc_id", distance: int = DISTANCE, pieces: int = PIECES, verify: Callable[[DataFrame, DataFrame], DataFrame] | None = None) -> DataFrame:
-    """id, fp and component_id, the smallest id that links lead to, for each row.
-
-    verify: keeps some of the links (a, b); it also gets the least id of each fp.
-    """
+def components(prints: DataFrame, id_col: str = "doc_id", distance: int = DISTANCE, pieces: int = PIECES) -> DataFrame:
+    """id, fp and component_id, the smallest id that links lead to, for each row."""
     prints = cut(prints.select(F.col(id_col).alias("_id"), "fp"))
     distinct = cut(prints.groupBy("fp").agg(F.min("_id").alias("_least")))
-    found = links(distinct.select("fp"), distance, pieces)
-    reached = connected_components(found if verify is None else verify(found, distinct))
+    reached = connected_components(links(distinct.select("fp"), distance, pieces))
     rooted = distinct.join(reached, F.col("fp") == F.col("node"), "left").select("fp", "_least", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("_least").alias("component_id")).withColumnRenamed("root", "_root")
     named = rooted.join(least, F.col("root") == F.col("_root")).select(F.col("fp").alias("_fp"), "component_id")
@@ -207,34 +203,55 @@ def shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 2, distance: int = 7, pieces: int = 10, compare: int = 5, similarity: float = 0.8) -> DataFrame:
-    """The rows of docs without near-duplicates: of each group the row of the smallest id
-    (of rows with that id, the one of the least text hash); null ids are one id.
+    """The rows of docs without near-duplicates: of each group the row of the smallest id,
+    null before all (of rows with that id, the one of the least text hash).
 
-    Near-duplicates share a fingerprint, or have fingerprints within ``distance`` bits and
-    a Jaccard similarity of ``similarity`` or more of their ``compare``-word shingles. The
+    Near-duplicates share a fingerprint, or have fingerprints within ``distance`` bits and a Jaccard
+    similarity of ``similarity`` or more of their ``compare``-word shingles (of two texts
+    without words, 1); groups are what chains of them connect. An id says nothing about the
+    text: different texts under one id, or without an id, are different documents. The
     fingerprints are of shorter shingles and the distance is wider than in
     ``fingerprints`` and ``links`` as they stand, since fingerprints only propose here:
     an edited word changes fewer of them.
+
+    Texts are told apart by 128 bits of hashes.
     """
-    key = F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)))
-    named = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), key.alias("_id"), F.col(text_col).alias("_text"))
-
-    def verify(found: DataFrame, distinct: DataFrame) -> DataFrame:
-        of = lambda c: distinct.select(F.col("fp").alias(f"_f{c}"), F.col("_least").alias(f"_{c}"))
-        pairs = found.distinct().join(of("a"), F.col("a") == F.col("_fa")).join(of("b"), F.col("b") == F.col("_fb"))
-        pairs = cut(pairs.select("a", "b", "_a", "_b"))
-        nodes = pairs.select(F.col("_a").alias("_node")).union(pairs.select("_b")).distinct()
-        texts = named.join(nodes.hint("merge"), F.col("_id") == F.col("_node"), "left_semi")
-        sets = cut(shingle_sets(texts, compare).groupBy("_id").agg(F.max("shingles").alias("shingles")))
+    text = F.col(text_col)
+    key = ["_id", "_t", "_u"]
+    own = F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)))
+    named = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), own.alias("_id"), F.xxhash64(text).alias("_t"), F.xxhash64(F.lit(1), text).alias("_u"), text.alias("_text"))
+
+    # one node for each different text
+    prints = fingerprints(named.select(F.struct(*key).alias("_key"), "_text"), "_key", "_text", shingle)
+    texts = prints.groupBy("fp", "_key._t", "_key._u").agg(F.min("_key._id").alias("_id"))
+    texts = cut(texts.withColumn("node", F.monotonically_increasing_id()))
+    firsts = cut(texts.groupBy("fp").agg(F.min("node").alias("first")))
+    of = lambda c: firsts.select(F.col("fp").alias(f"_f{c}"), F.col("first").alias(f"_{c}"))
+    found = links(firsts.select("fp"), distance, pieces).distinct().join(of("a"), F.col("a") == F.col("_fa")).join(of("b"), F.col("b") == F.col("_fb"))
+    same = texts.join(of("a"), F.col("fp") == F.col("_fa")).filter("node != _a").select("_a", F.col("node").alias("_b"))
+    proposed = cut(found.toDF("x", "y", "_fa", "a", "_fb", "b").select("a", "b"))
+
+    nodes = proposed.select(F.col("a").alias("_node")).union(proposed.select("b")).distinct()
+    nodes = texts.join(nodes, F.col("node") == F.col("_node")).select(*key, "node", "fp")
+    shown = named.select(*key, "_text").join(nodes.select(*key, "node").hint("merge"), key).select(F.col("node").alias("_id"), "_text")
+    sets = cut(shingle_sets(shown, compare).groupBy("_id").agg(F.max("shingles").alias("shingles")))
+
+    def similar(pairs: DataFrame) -> DataFrame:
         side = lambda c: sets.select(F.col("_id").alias(f"_n{c}"), F.col("shingles").alias(f"_s{c}"))
-        both = pairs.join(side("a"), F.col("_a") == F.col("_na")).join(side("b"), F.col("_b") == F.col("_nb"))
+        both = pairs.join(side("a"), F.col("a") == F.col("_na")).join(side("b"), F.col("b") == F.col("_nb"))
         common = F.size(F.array_intersect("_sa", "_sb"))
         return both.filter(common >= similarity * (F.size("_sa") + F.size("_sb") - common)).select("a", "b")
 
-    found = components(fingerprints(named, "_id", "_text", shingle), "_id", distance, pieces, verify)
-    first = found.select(F.col("component_id").alias("_keep")).distinct()
-    kept = named.join(first.hint("merge"), F.col("_id") == F.col("_keep"))
-    order = Window.partitionBy("_id").orderBy(F.xxhash64("_text"))
+    def name(nodes: DataFrame, edges: DataFrame, at: str) -> DataFrame:
+        roots = connected_components(edges).withColumnRenamed("node", "_n")
+        return nodes.join(roots, F.col(at) == F.col("_n"), "left").withColumn("label", F.coalesce("root", at)).drop("_n", "root")
+
+    labels = cut(name(texts.select("node"), similar(proposed).union(same), "node"))
+    grouped = texts.join(labels.select(F.col("node").alias("_n"), "label"), F.col("node") == F.col("_n"), "left")
+    first = grouped.groupBy(F.coalesce("label", "node").alias("label")).agg(F.min(F.struct(*key)).alias("_key")).select("_key.*")
+    kept = named.join(first.hint("merge"), key)
+    whole = F.xxhash64(*[F.col("_row").getField(c) for c, kind in docs.dtypes if "map<" not in kind])
+    order = Window.partitionBy(*key).orderBy(whole)
     return kept.withColumn("_n", F.row_number().over(order)).filter("_n = 1").select("_row.*")
 
 

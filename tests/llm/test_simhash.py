@@ -6,6 +6,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import functions as F
 from samples import TEXTS, documents
@@ -109,3 +110,12 @@ def test_keep_one_verifies_similarity(spark):
         far[i] = f"other{i}"
     rows = [(1, " ".join(words)), (2, " ".join(close)), (3, " ".join(far)), (4, " ".join(words).upper())]
     assert sorted(x.doc_id for x in simhash.keep_one(documents(spark, rows)).collect()) == [1, 3]
+
+
+def test_keep_one_keeps_different_texts_of_one_id(spark):
+    from samples import prose
+
+    rows = [(None, prose(80, 21)), (None, prose(80, 22)), (None, prose(80, 22)), (5, prose(80, 23)), (5, prose(80, 24))]
+    kept = [(r.doc_id, r.text) for r in simhash.keep_one(documents(spark, rows)).collect()]
+    key = lambda x: (x[0] or 0, x[1])
+    assert sorted(kept, key=key) == sorted({*rows}, key=key)
