@@ -206,7 +206,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     """The rows of docs without near-duplicates: of each group the row of the smallest id,
     null before all (of rows with that id, the one of the least text hash).
 
-    Near-duplicates share a fingerprint, or have fingerprints within ``distance`` bits and a Jaccard
+    Near-duplicates have equal texts, or fingerprints within ``distance`` bits and a Jaccard
     similarity of ``similarity`` or more of their ``compare``-word shingles (of two texts
     without words, 1); groups are what chains of them connect. An id says nothing about the
     text: different texts under one id, or without an id, are different documents. The
@@ -229,7 +229,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     of = lambda c: firsts.select(F.col("fp").alias(f"_f{c}"), F.col("first").alias(f"_{c}"))
     found = links(firsts.select("fp"), distance, pieces).distinct().join(of("a"), F.col("a") == F.col("_fa")).join(of("b"), F.col("b") == F.col("_fb"))
     same = texts.join(of("a"), F.col("fp") == F.col("_fa")).filter("node != _a").select("_a", F.col("node").alias("_b"))
-    proposed = cut(found.toDF("x", "y", "_fa", "a", "_fb", "b").select("a", "b"))
+    proposed = cut(found.select("_a", "_b").union(same).toDF("a", "b"))
 
     nodes = proposed.select(F.col("a").alias("_node")).union(proposed.select("b")).distinct()
     nodes = texts.join(nodes, F.col("node") == F.col("_node")).select(*key, "node", "fp")
@@ -246,7 +246,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
         roots = connected_components(edges).withColumnRenamed("node", "_n")
         return nodes.join(roots, F.col(at) == F.col("_n"), "left").withColumn("label", F.coalesce("root", at)).drop("_n", "root")
 
-    labels = cut(name(texts.select("node"), similar(proposed).union(same), "node"))
+    labels = cut(name(nodes, similar(proposed), "node"))
     grouped = texts.join(labels.select(F.col("node").alias("_n"), "label"), F.col("node") == F.col("_n"), "left")
     first = grouped.groupBy(F.coalesce("label", "node").alias("label")).agg(F.min(F.struct(*key)).alias("_key")).select("_key.*")
     kept = named.join(first.hint("merge"), key)

@@ -119,3 +119,30 @@ def test_keep_one_keeps_different_texts_of_one_id(spark):
     kept = [(r.doc_id, r.text) for r in simhash.keep_one(documents(spark, rows)).collect()]
     key = lambda x: (x[0] or 0, x[1])
     assert sorted(kept, key=key) == sorted({*rows}, key=key)
+
+
+def five_words(text: str) -> set[tuple[str, ...]]:
+    words = WORD.findall(text.lower())
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def survivors(rows: list[tuple[int, str]]) -> list[int]:
+    """The least id of each group, by comparing every pair."""
+    prints = [int(p) for b in simhash.blocks(pa.array([t for _, t in rows])) for p in simhash.block_fingerprints(b, 2)]
+    sets = [five_words(t) for _, t in rows]
+    root = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if (prints[i] ^ prints[j]).bit_count() <= 7 and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                root = [root[j] if x == root[i] else x for x in root]
+    return sorted(min(rows[i][0] for i in range(len(rows)) if root[i] == g) for g in set(root))
+
+
+def test_keep_one_compares_texts_of_one_fingerprint(spark):
+    r = random.Random(31)
+    line = " ".join(f"l{r.randrange(999)}" for _ in range(9)) + " "
+    tails = [" ".join(f"t{r.randrange(9999)}" for _ in range(30)) for _ in range(2)]
+    rows = [(1, line * 200 + tails[0]), (2, line * 200 + tails[1]), (3, line * 200 + tails[1] + " end")]
+    prints = {p for b in simhash.blocks(pa.array([t for _, t in rows])) for p in simhash.block_fingerprints(b, 2).tolist()}
+    assert len(prints) == 1 and survivors(rows) == [1, 2]
+    assert sorted(x.doc_id for x in simhash.keep_one(documents(spark, rows)).collect()) == [1, 2]
