@@ -9,7 +9,9 @@ blocks, equal keys meet, and the Hamming distance is verified there.
 Equal fingerprints are joined beforehand by a combined aggregation, so groups of
 copies cost one row. Where many different fingerprints share a key, a breadth-first
 walk gives links that keep the group connected as it is, fewer than it has members;
-very large groups are split once more by blocks of the bits that are left.
+very large groups are split once more by blocks of the bits that are left. Such links are
+enough for components by distance alone; ``keep_one``, which also asks for similarity,
+compares all pairs between the parts that failed links leave.
 
 Defined cases: null and empty texts have fingerprint 0 and link like any other; texts
 shorter than a shingle are one shingle; long texts are taken whole; repeated rows and
@@ -37,6 +39,8 @@ DISTANCE = 3
 PIECES = 6
 SEED = 42
 _SPLIT_ABOVE = 2048
+_FULL = (1 << 16) - 1
+_EPSILON = 1e-6
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 0x20
 _LANES = np.uint64(0x0101010101010101)
@@ -202,6 +206,76 @@ def shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
     return docs.select("_id", "_text").mapInArrow(run, "_id long, shingles array<long>")
 
 
+def cross_pairs(nodes: DataFrame, distance: int, pieces: int, similarity: float) -> DataFrame:
+    """a, b: all pairs of nodes of different labels whose fingerprints are within
+    ``distance`` bits, but for those whose shingle counts exclude the similarity.
+
+    nodes: node, fp, label and shingles. Each pair comes once, from the first key that
+    it shares. The counts are of shingles by the last five bits of their hash; two sets
+    have at most the smaller count in common in each class, so no similar pair is lost.
+    """
+
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.asarray(x.values, np.int64) for x in batch.column(3)]
+            counts = [np.minimum(np.bincount(x & 31, minlength=32), _FULL).astype(np.uint16).tobytes() for x in sets]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array([len(x) for x in sets], pa.int64()), pa.array(counts, pa.binary())], ["node", "fp", "label", "n", "counts"])
+
+    bits = masks(pieces, distance)
+    keys = F.array(*[F.struct(F.lit(i).alias("choice"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("key")) for i, m in enumerate(bits)])
+    counted = nodes.select("node", "fp", "label", "shingles").mapInArrow(sketch, "node long, fp long, label long, n long, counts binary")
+    keyed = counted.select("*", F.explode(keys).alias("_k")).select("_k.choice", "_k.key", "node", "fp", "label", "n", "counts")
+    keyed = keyed.repartition("choice", "key").sortWithinPartitions("choice", "key", "node")
+
+    def pairs(group: pa.Table) -> Iterator[pa.RecordBatch]:
+        choice, node, label, n = (group.column(c).to_numpy() for c in ("choice", "node", "label", "n"))
+        names, sizes = np.unique(label, return_counts=True)
+        if len(names) < 2:
+            return
+        fp = group.column("fp").to_numpy().view(np.uint64)
+        counts = np.frombuffer(b"".join(group.column("counts").to_pylist()), np.uint16).reshape(-1, 32)
+        sated = (counts == _FULL).any(axis=1)
+        largest = label == names[np.argmax(sizes)]
+        earlier = [np.uint64(m) for m in bits[: choice[0]]]
+        others = np.flatnonzero(~largest)
+        step = max(1, 1_000_000 // len(node))
+        for at in range(0, len(others), step):
+            part = others[at : at + step]
+            near = np.bitwise_count(fp[part, None] ^ fp[None]) <= distance
+            near &= (label[part, None] != label[None]) & (largest[None] | (node[None] > node[part, None]))
+            near &= np.minimum(n[part, None], n[None]) >= similarity * np.maximum(n[part, None], n[None]) - _EPSILON
+            i, j = np.nonzero(near)
+            i = part[i]
+            differ = fp[i] ^ fp[j]
+            new = np.ones(len(i), bool)
+            for m in earlier:
+                new &= (differ & m) != 0
+            i, j = i[new], j[new]
+            for lo in range(0, len(i), 100_000):
+                a, b = i[lo : lo + 100_000], j[lo : lo + 100_000]
+                common = np.minimum(counts[a], counts[b]).sum(axis=1, dtype=np.int64)
+                may = sated[a] | sated[b] | (common >= similarity * (n[a] + n[b] - common) - _EPSILON)
+                yield pa.RecordBatch.from_arrays([pa.array(node[a[may]]), pa.array(node[b[may]])], ["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            rest = table if rest is None else pa.concat_tables([rest, table])
+            if not len(rest):
+                continue
+            choice, key = rest.column("choice").to_numpy(), rest.column("key").to_numpy()
+            cuts = np.concatenate([[0], np.flatnonzero((choice[1:] != choice[:-1]) | (key[1:] != key[:-1])) + 1])
+            for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+                if hi - lo > 1:
+                    yield from pairs(rest.slice(lo, hi - lo))
+            rest = rest.slice(cuts[-1])  # the last group may go on in the next batch
+        if rest is not None and len(rest) > 1:
+            yield from pairs(rest)
+
+    return keyed.mapInArrow(run, "a long, b long")
+
+
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 2, distance: int = 7, pieces: int = 10, compare: int = 5, similarity: float = 0.8) -> DataFrame:
     """The rows of docs without near-duplicates: of each group the row of the smallest id,
     null before all (of rows with that id, the one of the least text hash).
@@ -214,6 +288,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     ``fingerprints`` and ``links`` as they stand, since fingerprints only propose here:
     an edited word changes fewer of them.
 
+    A few links that connect close fingerprints are verified first. Where that leaves
+    texts apart that close fingerprints connect, all pairs between the parts are verified.
     Texts are told apart by 128 bits of hashes.
     """
     text = F.col(text_col)
@@ -242,11 +318,23 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
         common = F.size(F.array_intersect("_sa", "_sb"))
         return both.filter(common >= similarity * (F.size("_sa") + F.size("_sb") - common)).select("a", "b")
 
+    def labelled(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+        of = lambda c: labels.select(F.col("node").alias(f"_n{c}"), F.col("label").alias(f"_l{c}"))
+        out = pairs.join(of("a"), F.col("a") == F.col("_na")).join(of("b"), F.col("b") == F.col("_nb"))
+        return out.filter("_la != _lb").select("_la", "_lb")
+
     def name(nodes: DataFrame, edges: DataFrame, at: str) -> DataFrame:
         roots = connected_components(edges).withColumnRenamed("node", "_n")
         return nodes.join(roots, F.col(at) == F.col("_n"), "left").withColumn("label", F.coalesce("root", at)).drop("_n", "root")
 
     labels = cut(name(nodes, similar(proposed), "node"))
+    apart = labelled(proposed, labels)
+    apart = cut(apart.select(F.col("_la").alias("_l")).union(apart.select("_lb")).distinct())
+    if not apart.isEmpty():
+        open_ = labels.join(apart, F.col("label") == F.col("_l"), "left_semi").join(sets.withColumnRenamed("_id", "_n"), F.col("node") == F.col("_n"))
+        more = labelled(similar(cross_pairs(open_, distance, pieces, similarity)), labels)
+        labels = name(labels, more.toDF("a", "b"), "label")
+
     grouped = texts.join(labels.select(F.col("node").alias("_n"), "label"), F.col("node") == F.col("_n"), "left")
     first = grouped.groupBy(F.coalesce("label", "node").alias("label")).agg(F.min(F.struct(*key)).alias("_key")).select("_key.*")
     kept = named.join(first.hint("merge"), key)

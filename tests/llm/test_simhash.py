@@ -146,3 +146,21 @@ def test_keep_one_compares_texts_of_one_fingerprint(spark):
     prints = {p for b in simhash.blocks(pa.array([t for _, t in rows])) for p in simhash.block_fingerprints(b, 2).tolist()}
     assert len(prints) == 1 and survivors(rows) == [1, 2]
     assert sorted(x.doc_id for x in simhash.keep_one(documents(spark, rows)).collect()) == [1, 2]
+
+
+def test_keep_one_finds_what_comparing_all_pairs_finds(spark):
+    r = random.Random(12)
+    rows = []
+
+    def edit(words: list[str], n: int) -> list[str]:
+        out = list(words)
+        for i in r.sample(range(len(out)), n):
+            out[i] = f"e{r.randrange(10**6)}"
+        return out
+
+    for _ in range(80):
+        first = [f"w{r.randrange(5000)}" for _ in range(600)]
+        far = edit(first, r.randint(13, 18))
+        for words in (first, far, edit(far, 2), edit(far, 12), edit(first, 9)):
+            rows.append((len(rows), " ".join(words)))
+    assert sorted(x.doc_id for x in simhash.keep_one(documents(spark, rows)).collect()) == survivors(rows)
