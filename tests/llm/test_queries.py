@@ -67,3 +67,20 @@ def test_pipeline_runs(spark):
 
     out = p.run(spark, DATA).select("doc_id", "n_tokens").collect()
     assert out and sorted(map(tuple, p.run(spark, DATA).select("doc_id", "n_tokens").collect())) == sorted(map(tuple, out))
+
+
+def test_last_stage_decodes_what_it_encodes(spark):
+    import hashlib
+
+    import numpy as np
+    from samples import documents
+
+    import corpus_pipeline as p
+    from tessera.llm import bpe
+
+    strings = bpe.load(p.tokenizer_path()).strings
+    rows = p.tokenize(spark, documents(spark), DATA).collect()
+    assert len(rows) == documents(spark).count()
+    for r in rows:
+        text = " ".join(strings[i] for i in np.frombuffer(r.token_ids, "<u4"))
+        assert r.decoded_sha256 == hashlib.sha256(text.encode()).hexdigest()
