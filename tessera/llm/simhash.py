@@ -211,14 +211,14 @@ def cross_pairs(nodes: DataFrame, distance: int, pieces: int, similarity: float)
     ``distance`` bits, but for those whose shingle counts exclude the similarity.
 
     nodes: node, fp, label and shingles. Each pair comes once, from the first key that
-    it shares. The counts are of shingles by the last five bits of their hash; two sets
+    it shares. The counts are of shingles by the last seven bits of their hash; two sets
     have at most the smaller count in common in each class, so no similar pair is lost.
     """
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [np.asarray(x.values, np.int64) for x in batch.column(3)]
-            counts = [np.minimum(np.bincount(x & 31, minlength=32), _FULL).astype(np.uint16).tobytes() for x in sets]
+            counts = [np.minimum(np.bincount(x & 127, minlength=128), _FULL).astype(np.uint16).tobytes() for x in sets]
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array([len(x) for x in sets], pa.int64()), pa.array(counts, pa.binary())], ["node", "fp", "label", "n", "counts"])
 
     bits = masks(pieces, distance)
@@ -233,7 +233,7 @@ def cross_pairs(nodes: DataFrame, distance: int, pieces: int, similarity: float)
         if len(names) < 2:
             return
         fp = group.column("fp").to_numpy().view(np.uint64)
-        counts = np.frombuffer(b"".join(group.column("counts").to_pylist()), np.uint16).reshape(-1, 32)
+        counts = np.frombuffer(b"".join(group.column("counts").to_pylist()), np.uint16).reshape(-1, 128)
         sated = (counts == _FULL).any(axis=1)
         largest = label == names[np.argmax(sizes)]
         earlier = [np.uint64(m) for m in bits[: choice[0]]]
