@@ -12,13 +12,19 @@ whose gram occurs twice go on with their text around them.
                 that occur again.
 ``gather``      covered runs of every document.
 
-A group of copies meets its own kind inside a task first: of equal stretches only the
-first goes on, the others are known to be covered. A gram with more than ``HOT``
-different stretches is partitioned by whole windows instead of by its own units. So
-no group of equal keys grows with the copies in the corpus.
+A group of copies meets its own kind inside a task first: of equal stretches, whose
+bytes are compared, only the first goes on, the others are known to be covered. A gram
+with more than ``HOT`` different stretches is partitioned by whole windows instead of by
+its own units: a task that alone has its share of them (``HOT`` divided by the number of
+shuffle partitions) sends them past the bucket and tells the bucket so; equal windows
+meet inside the task first again. So no task holds more than about ``HOT`` places of a
+gram, and no group of equal keys grows with the copies in the corpus. Hashes only
+propose; whatever leads to a removal compares bytes or words.
+
+Buckets hold about ``BUCKET_BYTES`` of text each, whatever the size of the corpus.
 
 Rows are told apart by id and a hash of the text; rows that repeat both are one place
-for the order and two places for the count.
+for the order and two places for the count. Ids are integers.
 """
 
 from __future__ import annotations
@@ -32,10 +38,13 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .words import mix, powers, _INVERSE
+from .words import mix, pair_hash, run_hashes
 
 HOT = 20_000
+BUCKET_BYTES = 8 << 20
 _FLUSH = 3_000_000
+_FLUSH_BYTES = 64 << 20
+_WITNESS = 0xFFFF
 _PLACE = (1 << 28) - 1
 ANCHOR, HOT_ANCHOR, COVER = 0, 1, 2
 #: An anchor (its place, the windows before and around it) or a covered run (pos to key).
@@ -57,16 +66,14 @@ def find_anchors(units: np.ndarray, offsets: np.ndarray, window: int, gram: int)
     """Anchors of all windows of some documents: doc, key, pos, back, span, hash.
 
     pos is the anchor's place in its document; the windows that have it start from
-    pos - back on, span + 1 of them; hash is of all units that these windows cover.
+    pos - back on, span + 1 of them; low and high are the first unit of all that these
+    windows cover and the end, counted from the first document on; hash is of these units.
     """
     n = len(units)
-    empty = {k: np.zeros(0, np.int64) for k in ("doc", "pos", "back", "span")} | {k: np.zeros(0, np.uint64) for k in ("key", "hash")}
+    empty = {k: np.zeros(0, np.int64) for k in ("doc", "pos", "back", "span", "low", "high")} | {k: np.zeros(0, np.uint64) for k in ("key", "hash")}
     if n < window:
         return empty
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(units * powers(n), out=sums[1:])
-    back_power = powers(n + 1, _INVERSE)
-    grams = mix((sums[gram:] - sums[:-gram]) * back_power[: n - gram + 1])
+    grams, windows = run_hashes(units, gram, window)
     ranked = (grams & np.uint64(~_PLACE & (1 << 64) - 1)) | (np.arange(len(grams), dtype=np.uint64) & np.uint64(_PLACE))
     least = sliding_min(ranked, window - gram + 1)
     ends = np.repeat(offsets[1:], np.diff(offsets))
@@ -78,8 +85,8 @@ def find_anchors(units: np.ndarray, offsets: np.ndarray, window: int, gram: int)
     low, high = start[np.concatenate([[0], change + 1])], start[np.concatenate([change, [len(start) - 1]])]
     at = at[np.concatenate([[0], change + 1])]
     doc = np.searchsorted(offsets, at, "right") - 1
-    whole = mix((sums[high + window] - sums[low]) * back_power[low] + (high - low).astype(np.uint64))
-    return {"doc": doc, "key": grams[at], "pos": at - offsets[doc], "back": at - low, "span": high - low, "hash": whole}
+    whole = mix(pair_hash(windows[low], windows[high]) + (high - low).astype(np.uint64))
+    return {"doc": doc, "key": grams[at], "pos": at - offsets[doc], "back": at - low, "span": high - low, "low": low, "high": high + window, "hash": whole}
 
 
 def merge_runs(group: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -128,14 +135,23 @@ def pass_on(ids: np.ndarray, ths: np.ndarray, bodies: pa.Array, buckets: int) ->
 
 
 def identified(docs: DataFrame, id_col: str, text_col: str, carry: bool = False) -> DataFrame:
-    """id (null: the least long), th and text (null: empty); with the whole row if asked."""
+    """id (null: the least long), th, text (null: empty) and nil (the id is null); with
+    the whole row if asked."""
+    if docs.schema[id_col].dataType.simpleString() not in ("tinyint", "smallint", "int", "bigint"):
+        raise TypeError(f"{id_col} must be an integer column")
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rest = [F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col], F.col(text_col).isNull().alias("_null")).alias("rest")] if carry else []
-    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("id"), F.xxhash64(text).alias("th"), text.alias("text"), *rest)
+    rest = [F.struct(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("row"), F.col(text_col).isNull().alias("null")).alias("rest")] if carry else []
+    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("id"), F.xxhash64(text).alias("th"), text.alias("text"), F.col(id_col).isNull().alias("nil"), *rest)
+
 
+def n_buckets(rows: DataFrame) -> int:
+    """Buckets of BUCKET_BYTES of text, and some for each partition at least."""
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(8 * n_partitions(rows), -(-size // BUCKET_BYTES))
 
-def n_buckets(df: DataFrame) -> int:
-    return 8 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+def n_partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def pack_anchors(key: np.ndarray, pos: np.ndarray, back: np.ndarray, span: np.ndarray, doc: np.ndarray, ids: np.ndarray, ths: np.ndarray) -> bytes:
@@ -180,68 +196,116 @@ def by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | li
         yield held
 
 
-def candidates(rows: DataFrame, units: Callable, window: int, gram: int, first_stays: bool) -> DataFrame:
+def sift(a: dict[str, np.ndarray], ids: np.ndarray, ths: np.ndarray, raw: bytes, window: int, first_stays: bool, buckets: int, share: int) -> Iterator[pa.RecordBatch]:
+    """Rows of BUCKETED of the anchors of some documents. Equal stretches, told by their
+    bytes in raw (from a["lo"] to a["hi"]), are covered but for the first. Of a gram with
+    over ``share`` different stretches the anchors go past the buckets as hot ones, and a
+    witness of that goes to the gram's bucket."""
+    order = np.argsort(a["hash"])
+    same = a["hash"][order][1:] == a["hash"][order][:-1]
+    many = np.zeros(len(order), bool)
+    many[order[1:][same]] = True
+    many[order[:-1][same]] = True
+    twin = np.flatnonzero(many)
+    doc, pos = a["doc"], a["pos"]
+    twin = twin[np.lexsort((ths[doc[twin]], pos[twin], ids[doc[twin]], a["hash"][twin]))]
+    h = a["hash"][twin]
+    head = np.concatenate([[True], h[1:] != h[:-1]]) if len(h) else np.zeros(0, bool)
+    group = np.cumsum(head) - 1
+    lead = twin[np.flatnonzero(head)[group]] if len(h) else twin
+    # hashes propose, bytes decide
+    spans = zip(*(x.tolist() for x in (a["lo"][twin], a["hi"][twin], a["lo"][lead], a["hi"][lead])), strict=True)
+    equal = np.fromiter((raw[p:q] == raw[r:s] for p, q, r, s in spans), bool, len(twin)) & ~head
+    if first_stays:
+        hit = equal & ((ids[doc[twin]] != ids[doc[lead]]) | (pos[twin] != pos[lead]))
+        gone = hit | (equal & (ths[doc[twin]] == ths[doc[lead]]))
+    else:
+        hit = equal | (head & (np.bincount(group, equal, len(h))[group] > 0))
+        gone = equal
+    c = twin[hit]
+    if len(c):
+        low = pos[c] - a["back"][c]
+        yield pass_on(*covers(ids[doc[c]], ths[doc[c]], low, low + a["span"][c] + window), buckets)
+    stay = np.ones(len(many), bool)
+    stay[twin[gone]] = False
+    go = np.flatnonzero(stay)
+    grams, gram, count = np.unique(a["key"][go], return_inverse=True, return_counts=True)
+    hot = count[gram.reshape(-1)] > share if len(go) else np.zeros(0, bool)
+    key, back, span = a["key"], a["back"].astype(np.int64), a["span"].astype(np.int64)
+    sure = go[hot]
+    for at in range(0, len(sure), 100_000):
+        g = sure[at : at + 100_000]
+        records = np.zeros(len(g), RECORD)
+        records["key"], records["pos"], records["back"], records["span"], records["kind"] = key[g], pos[g], back[g], span[g], HOT_ANCHOR
+        yield pass_on(*by_document(ids[doc[g]], ths[doc[g]], records), buckets)
+    witness = grams[count > share]
+    go = go[~hot]
+    keys, place = np.concatenate([key[go], witness]), np.concatenate([pos[go], np.zeros(len(witness), pos.dtype)])
+    back = np.concatenate([back[go], np.zeros(len(witness), np.int64)])
+    span = np.concatenate([span[go], np.full(len(witness), _WITNESS)])
+    owner = np.concatenate([doc[go], np.zeros(len(witness), doc.dtype)])
+    bucket = (keys % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    cuts = np.concatenate([np.flatnonzero(np.diff(bucket[order], prepend=-1)), [len(order)]])
+    squeeze = zstandard.ZstdCompressor(level=1)
+    out = []
+    for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+        g = order[lo:hi]
+        out.append(squeeze.compress(pack_anchors(keys[g], place[g], back[g], span[g], owner[g], ids, ths)))
+    n = len(out)
+    if n:
+        yield pa.RecordBatch.from_arrays([pa.array(bucket[order[cuts[:-1]]].astype(np.int32)), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.array([b""] * n, pa.binary()), pa.array(out, pa.binary())], ["bucket", "id", "th", "rows", "body"])
+
+
+def with_company(body: np.ndarray, limit: int) -> np.ndarray:
+    """Places of the anchors of a bucket whose gram has another place, by gram; their
+    kind is set. Witnesses make their gram hot and are left out."""
+    order = np.argsort(body["key"], kind="stable")
+    key = body["key"][order]
+    new = np.concatenate([[True], key[1:] != key[:-1]])
+    group = np.cumsum(new) - 1
+    witness = body["span"][order] == _WITNESS
+    size = np.bincount(group) + limit * np.bincount(group, witness).astype(np.int64)
+    good = (size[group] > 1) & ~witness
+    pick = order[good]
+    body["kind"][pick] = np.where(size[group][good] > limit, HOT_ANCHOR, ANCHOR)
+    return pick
+
+
+def candidates(rows: DataFrame, units: Callable, window: int, gram: int, first_stays: bool, buckets: int) -> DataFrame:
     """id, th, body: anchors with company and covered runs, in rows of RECORD.
 
-    units: gives (unit values, offsets) of each block of a text column. first_stays:
-    the first of equal stretches is not covered by the others.
+    units: gives (first row, unit values, offsets, bytes, place of each unit in the
+    bytes) of each block of a text column. first_stays: the first of equal stretches is
+    not covered by the others.
     """
-    buckets = n_buckets(rows)
-
-    def flush(parts: list[dict], ids: np.ndarray, ths: np.ndarray) -> Iterator[pa.RecordBatch]:
-        a = {k: np.concatenate([p[k] for p in parts]) for k in parts[0]}
-        order = np.argsort(a["hash"])
-        same = a["hash"][order][1:] == a["hash"][order][:-1]
-        many = np.zeros(len(order), bool)
-        many[order[1:][same]] = True
-        many[order[:-1][same]] = True
-        twin = np.flatnonzero(many)
-        twin = twin[np.lexsort((a["pos"][twin], ths[a["doc"][twin]], ids[a["doc"][twin]], a["hash"][twin]))]
-        h = a["hash"][twin]
-        head = np.concatenate([[True], h[1:] != h[:-1]]) if len(h) else np.zeros(0, bool)
-        lead = np.flatnonzero(head)[np.cumsum(head) - 1] if len(h) else np.zeros(0, np.int64)
-        if first_stays:
-            doc, pos = a["doc"][twin], a["pos"][twin]
-            hit = (ids[doc] != ids[doc[lead]]) | (pos != pos[lead])
-        else:
-            hit = np.ones(len(twin), bool)
-        c = twin[hit]
-        if len(c):
-            low = a["pos"][c] - a["back"][c]
-            yield pass_on(*covers(ids[a["doc"][c]], ths[a["doc"][c]], low, low + a["span"][c] + window), buckets)
-        stay = np.ones(len(many), bool)
-        stay[twin[~head]] = False
-        go = np.flatnonzero(stay)
-        bucket = (a["key"][go] % np.uint64(buckets)).astype(np.int32)
-        go = go[np.argsort(bucket, kind="stable")]
-        bucket = np.sort(bucket)
-        cuts = np.concatenate([np.flatnonzero(np.diff(bucket, prepend=-1)), [len(go)]])
-        out_bucket, out_body = [], []
-        squeeze = zstandard.ZstdCompressor(level=1)
-        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
-            g = go[lo:hi]
-            out_bucket.append(int(bucket[lo]))
-            out_body.append(squeeze.compress(pack_anchors(a["key"][g], a["pos"][g], a["back"][g], a["span"][g], a["doc"][g], ids, ths)))
-        n = len(out_bucket)
-        if n:
-            yield pa.RecordBatch.from_arrays([pa.array(out_bucket, pa.int32()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.array([b""] * n, pa.binary()), pa.array(out_body, pa.binary())], ["bucket", "id", "th", "rows", "body"])
+    hot = HOT
+    share = max(2, hot // n_partitions(rows))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, ids, ths, held, n_docs = [], [], [], 0, 0
+        parts, raw, ids, ths, held, n_docs, size = [], [], [], [], 0, 0, 0
+
+        def all_of() -> Iterator[pa.RecordBatch]:
+            whole = {k: np.concatenate([p[k] for p in parts]) for k in parts[0]}
+            return sift(whole, np.concatenate(ids), np.concatenate(ths), b"".join(raw), window, first_stays, buckets, share)
+
         for batch in batches:
-            for first, values, offsets in units(batch.column(2)):
+            for first, values, offsets, text, at in units(batch.column(2)):
                 found = find_anchors(values, offsets, window, gram)
                 found["doc"] = found["doc"] + first + n_docs
+                found["lo"], found["hi"] = (at[found.pop(k)] + size for k in ("low", "high"))
                 parts.append(found)
                 held += len(found["doc"])
+                raw.append(text.tobytes())
+                size += len(raw[-1])
             ids.append(batch.column(0).to_numpy())
             ths.append(batch.column(1).to_numpy())
             n_docs += batch.num_rows
-            if held > _FLUSH:
-                yield from flush(parts, np.concatenate(ids), np.concatenate(ths))
-                parts, ids, ths, held, n_docs = [], [], [], 0, 0
+            if held > _FLUSH or size > _FLUSH_BYTES:
+                yield from all_of()
+                parts, raw, ids, ths, held, n_docs, size = [], [], [], [], 0, 0, 0
         if held:
-            yield from flush(parts, np.concatenate(ids), np.concatenate(ths))
+            yield from all_of()
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket in by_bucket(batches):
@@ -250,18 +314,10 @@ def candidates(rows: DataFrame, units: Callable, window: int, gram: int, first_s
                 continue
             expand = zstandard.ZstdDecompressor()
             body, ids, ths = (np.concatenate(x) for x in zip(*(unpack_anchors(expand.decompress(body)) for _, body in bucket), strict=True))
-            order = np.argsort(body["key"])
-            key = body["key"][order]
-            first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-            sizes = np.diff(np.concatenate([first, [len(key)]]))
-            company = np.repeat(sizes, sizes)
-            good = company > 1
-            pick = order[good]
-            body = body[pick]
-            body["kind"] = np.where(company[good] > HOT, HOT_ANCHOR, ANCHOR)
+            pick = with_company(body, hot)
             for at in range(0, len(pick), 100_000):
-                part = slice(at, at + 100_000)
-                i, t, b = by_document(ids[pick[part]], ths[pick[part]], body[part])
+                part = pick[at : at + 100_000]
+                i, t, b = by_document(ids[part], ths[part], body[part])
                 yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(t), b], ["id", "th", "body"])
 
     return rows.mapInArrow(place, BUCKETED).repartition("bucket").sortWithinPartitions("bucket").mapInArrow(meet, PLACED)
@@ -272,6 +328,50 @@ def gather(placed: DataFrame) -> DataFrame:
     return placed.groupBy("id", "th").agg(F.collect_list("body").alias("bodies")).withColumnsRenamed({"id": "_id", "th": "_th"})
 
 
+class HotWindows:
+    """The windows of hot anchors of a task: equal ones meet here first, by their text.
+
+    first_stays: the earliest of equal windows is not covered, and goes on; else all of
+    several equal ones are covered and one goes on.
+    """
+
+    def __init__(self, window: int, first_stays: bool):
+        self.window, self.first_stays = window, first_stays
+        self.kept: dict[tuple[bytes, int], list] = {}
+        self.found: list[tuple[int, int, int]] = []
+
+    def add(self, text: bytes, doc: int, th: int, start: int, head: tuple) -> int:
+        """The bytes held more than before."""
+        mine = [doc, th, start, head, False]
+        known = self.kept.get((text, 0))
+        if known is None:
+            self.kept[text, 0] = mine
+            return len(text) + 100
+        if not self.first_stays:
+            self.found.append((doc, th, start))
+            if not known[4]:
+                known[4] = True
+                self.found.append(tuple(known[:3]))
+        elif (doc, start) == (known[0], known[2]):
+            if th != known[1]:  # another row of this id, at the same place
+                self.kept[text, th] = mine
+        elif (doc, start) < (known[0], known[2]):
+            self.found.append(tuple(known[:3]))
+            self.kept[text, 0] = mine
+        else:
+            self.found.append((doc, th, start))
+        return 24
+
+    def rows(self) -> Iterator[tuple[bytes, tuple]]:
+        """text and head of each window that goes on."""
+        return ((text, v[3]) for (text, _), v in self.kept.items())
+
+    def covered(self, buckets: int) -> Iterator[pa.RecordBatch]:
+        if self.found:
+            ids, ths, start = np.array(self.found, np.int64).T
+            yield pass_on(*covers(ids, ths, start, start + self.window), buckets)
+
+
 def with_text(rows: DataFrame, placed: DataFrame, how: str) -> DataFrame:
     """rows with the bodies of their document. All columns of rows go along, so that both
     joins of an operator read the same exchange."""
@@ -300,7 +400,7 @@ def settle(order: np.ndarray, lcp: np.ndarray, left_order: np.ndarray, left_lcp:
     n = len(order)
     right_rank, left_rank = np.empty(n, np.int64), np.empty(n, np.int64)
     right_rank[order], left_rank[left_order] = np.arange(n), np.arange(n)
-    by_place = np.lexsort((pos, ths, ids))
+    by_place = np.lexsort((ths, pos, ids))
     right_rank, left_rank = right_rank[by_place], left_rank[by_place]
     ids, ths, pos, back, span = ids[by_place], ths[by_place], pos[by_place], back[by_place], span[by_place]
     low, high = back - span, back  # units before the anchor, fewest and most

@@ -2,9 +2,10 @@
 
 Every whole text is measured in numpy: words, symbols, repeated lines, and for
 each n-gram length the share of word characters inside later occurrences of
-n-grams that the text has more than once. Rolling 64-bit hashes stand for the
-n-grams; a longer n-gram can only repeat where the shorter one does, so each
-length looks at the positions that are left. One pass over the table, no shuffle.
+n-grams that the text has more than once. Rolling 64-bit hashes propose equal
+n-grams and their words are compared, so the counts are exact; a longer n-gram can
+only repeat where the shorter one does, so each length looks at the positions that
+are left. One pass over the table, no shuffle.
 
 Defined cases: a null or empty text has no words, so all counts are 0, all
 shares 0.0 and it fails the word count; a text of one endless word is measured
@@ -36,14 +37,22 @@ SYMBOLS = "#*$%&|<>"
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "dup_line_chars")
 
 
-def _repeated(keys: np.ndarray) -> np.ndarray:
-    """Which keys occur more than once."""
+def same_grams(keys: np.ndarray, at: np.ndarray, n: int, words: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the n-grams at some places, equal where the n-grams of one document are
+    equal, and which occur more than once. keys: hashes, of which equal ones are compared
+    word by word; where two different n-grams share a hash, numbers take its place."""
     order = np.argsort(keys)
     same = keys[order][1:] == keys[order][:-1]
+    a, b = order[:-1][same], order[1:][same]
+    if not all((words[at[a] + k] == words[at[b] + k]).all() for k in range(n)) or not (doc[at[a]] == doc[at[b]]).all():
+        grams = np.stack([doc[at], *(words[at + k] for k in range(n))], axis=1)
+        keys = np.unique(grams, axis=0, return_inverse=True)[1].reshape(-1)
+        order = np.argsort(keys)
+        same = keys[order][1:] == keys[order][:-1]
     flags = np.zeros(len(keys), bool)
     flags[order[1:][same]] = True
     flags[order[:-1][same]] = True
-    return flags
+    return keys, flags
 
 
 def _later(keys: np.ndarray) -> np.ndarray:
@@ -73,7 +82,9 @@ def measure_block(block: Block, lengths: tuple[int, ...]) -> dict[str, np.ndarra
     line_start, line_end = line_start[has_word], line_end[has_word]
     text_end = np.where(data[line_end - 1] == 0x0A, line_end - 1, line_end)
     line_doc = np.searchsorted(offsets, line_start, "right") - 1
-    dup_line = _later(mix(block.span_hash(line_start, text_end) + line_doc.astype(np.uint64)))
+    raw = data.tobytes()
+    lines = pa.array([raw[a:b] for a, b in zip(line_start.tolist(), text_end.tolist(), strict=True)], pa.large_binary()).dictionary_encode()
+    dup_line = _later(line_doc << 32 | lines.indices.to_numpy())
     line_offsets = np.searchsorted(line_start, offsets)
     out["n_lines"] = np.diff(line_offsets)
     out["n_dup_lines"] = block.per_doc(dup_line, line_offsets)
@@ -82,6 +93,7 @@ def measure_block(block: Block, lengths: tuple[int, ...]) -> dict[str, np.ndarra
 
     # n-grams, shorter first; ``at`` keeps the places where the last length repeats
     words, doc = block.word_hash(), block.word_doc
+    codes = block.word_codes()[0]
     chars = chars_to[block.end] - chars_to[block.start]
     salt = mix(np.arange(1, block.n_docs + 1, dtype=np.uint64))
     at = np.arange(len(words))
@@ -89,8 +101,7 @@ def measure_block(block: Block, lengths: tuple[int, ...]) -> dict[str, np.ndarra
         grams = window_hash(words, n)
         at = at[at < len(grams)]
         at = at[doc[at] == doc[at + n - 1]]
-        keys = grams[at] ^ salt[doc[at]]
-        flags = _repeated(keys)
+        keys, flags = same_grams(grams[at] ^ salt[doc[at]], at, n, codes, doc)
         at, keys = at[flags], keys[flags]
         if n == 3:
             out["n_repeat_words"] = block.per_doc(covered(at, 3, len(words)), word_offsets)

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from .components import connected_components
 from .lineage import cut
-from .words import Block, blocks, window_hash
+from .words import LOWER, Block, blocks, window_hash
 
 SHINGLE = 3
 DISTANCE = 3
@@ -41,20 +41,12 @@ SEED = 42
 _SPLIT_ABOVE = 2048
 _FULL = (1 << 16) - 1
 _EPSILON = 1e-6
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[0x41:0x5B] += 0x20
 _LANES = np.uint64(0x0101010101010101)
 
 
 def block_fingerprints(block: Block, shingle: int = SHINGLE, seed: int = SEED) -> np.ndarray:
     """The fingerprint of each document of a block."""
-    # the words, lower case, each followed by one space
-    size = block.end - block.start
-    place = np.zeros(len(size) + 1, np.int64)
-    np.cumsum(size + 1, out=place[1:])
-    joined = np.full(place[-1], 0x20, np.uint8)
-    at = np.flatnonzero(~block.space)
-    joined[at + np.repeat(place[:-1] - block.start, size)] = _LOWER[block.data[at]]
+    joined, place = block.joined(lower=True)
     text = joined.tobytes()
 
     n = block.n_words
@@ -194,7 +186,7 @@ def shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
         for batch in batches:
             out = []
             for block in blocks(batch.column(1)):
-                lower = Block(_LOWER[block.data], block.offsets, block.first)
+                lower = Block(LOWER[block.data], block.offsets, block.first)
                 words, cuts = lower.word_hash(), lower.word_offsets
                 for d in range(lower.n_docs):
                     own = words[cuts[d] : cuts[d + 1]]

@@ -13,8 +13,9 @@ Shuffled: anchors once (about 25 bytes in 14 words), the text once, and of the
 anchors with company the words around them.
 
 Defined cases: null and empty texts have no words and lose none; texts shorter than
-the window lose none; long texts are taken whole; a row that repeats another counts
-as a second place; an empty table gives an empty result; the columns of the input
+the window lose none; long texts are taken whole; a row that repeats another, and
+another row of the same id, counts as a second place; null ids stay null; ids that are
+no integers are an error; an empty table gives an empty result; the columns of the input
 beside id and text are not looked at.
 """
 
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import repeats
-from .words import Block, blocks, blocks_of, utf8
+from .words import Block, blocks, utf8
 
 WINDOW = 35
 GRAM = 8
@@ -39,7 +40,8 @@ _HEAD = np.dtype([("key", "<u8"), ("id", "<i8"), ("th", "<i8"), ("pos", "<u4"),
 
 def word_units(column: pa.Array):
     for block in blocks(column):
-        yield block.first, block.word_hash(), block.word_offsets
+        text, place = block.joined()
+        yield block.first, block.word_hash(), block.word_offsets, text, place
 
 
 def _stretches(rows: DataFrame, window: int, buckets: int) -> DataFrame:
@@ -56,7 +58,20 @@ def _stretches(rows: DataFrame, window: int, buckets: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[int, tuple[list, list]] = {}
-        held = 0
+        hot, held = repeats.HotWindows(window, False), 0
+
+        def add(to: int, head: tuple, text: bytes) -> None:
+            heads, texts = found.setdefault(to, ([], []))
+            heads.append((*head, len(text)))
+            texts.append(text)
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            for text, head in hot.rows():
+                add(xxhash.xxh64_intdigest(text) % buckets, head, text)
+            yield from hot.covered(buckets)
+            if found:
+                yield pack(found)
+
         for batch in batches:
             known = [[], [], []]
             for i in range(batch.num_rows):
@@ -71,23 +86,19 @@ def _stretches(rows: DataFrame, window: int, buckets: int) -> DataFrame:
                 words = batch.column(2)[i].as_py().encode().split()
                 for key, pos, back, span, kind in records.tolist():
                     if kind == repeats.HOT_ANCHOR:  # the prefix is the whole window
-                        parts = [(b, 0) for b in range(back - span, back + 1)]
+                        for b in range(back - span, back + 1):
+                            text = b" ".join(words[pos - b : pos - b + window])
+                            held += hot.add(text, doc, th, pos - b, (key, doc, th, pos, b, 0))
                     else:
-                        parts = [(back, span)]
-                    for b, s in parts:
-                        text = b" ".join(words[pos - b : pos - b + s + window])
-                        to = xxhash.xxh64_intdigest(text) % buckets if kind == repeats.HOT_ANCHOR else key % buckets
-                        heads, texts = found.setdefault(to, ([], []))
-                        heads.append((key, doc, th, pos, b, s, len(text)))
-                        texts.append(text)
+                        text = b" ".join(words[pos - back : pos - back + span + window])
+                        add(key % buckets, (key, doc, th, pos, back, span), text)
                         held += len(text) + 40
+                if held > 64_000_000:
+                    yield from flush()
+                    found, hot, held = {}, repeats.HotWindows(window, False), 0
             if known[0]:
                 yield repeats.pass_on(np.array(known[0], np.int64), np.array(known[1], np.int64), pa.array(known[2], pa.binary()), buckets)
-            if held > 64_000_000:
-                yield pack(found)
-                found, held = {}, 0
-        if found:
-            yield pack(found)
+        yield from flush()
 
     return rows.mapInArrow(run, repeats.BUCKETED)
 
@@ -116,9 +127,9 @@ def _trees(stretches: DataFrame, window: int, gram: int) -> DataFrame:
     def settle(heads: list, texts: list) -> Iterator[pa.RecordBatch]:
         head = np.concatenate(heads)
         sizes = np.concatenate([[0], np.cumsum(head["size"], dtype=np.int64)])
-        parts = [(b.word_hash(), b.n_words) for b in blocks_of(np.frombuffer(b"".join(texts), np.uint8), sizes)]
-        words = np.concatenate([p[0] for p in parts])
-        first = np.concatenate([[0], np.cumsum(np.concatenate([p[1] for p in parts]))[:-1]])
+        block = Block(np.frombuffer(b"".join(texts), np.uint8), sizes, 0)
+        words = block.word_codes()[0].astype(np.uint64) + np.uint64(1)  # equal for equal words alone
+        first = block.word_offsets[:-1]
         pos, back, span = (head[c].astype(np.int64) for c in ("pos", "back", "span"))
         at = first + back
         width = window - gram
@@ -147,15 +158,16 @@ def _trees(stretches: DataFrame, window: int, gram: int) -> DataFrame:
 
 
 def _covered(rows: DataFrame, window: int, gram: int) -> DataFrame:
-    placed = repeats.candidates(rows, word_units, window, gram, first_stays=False)
-    return _trees(_stretches(repeats.with_text(rows, placed, "inner"), window, repeats.n_buckets(rows)), window, gram)
+    buckets = repeats.n_buckets(rows)
+    placed = repeats.candidates(rows, word_units, window, gram, False, buckets)
+    return _trees(_stretches(repeats.with_text(rows, placed, "inner"), window, buckets), window, gram)
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """id, n_words, n_removed and kept, the words that stay joined by one space."""
     rows = repeats.identified(docs, id_col, text_col)
     found = repeats.with_text(rows, _covered(rows, window, gram), "left")
-    return _cut(found, True).drop("rest").withColumn("id", F.nullif("id", F.lit(-(1 << 63)))).withColumnRenamed("id", id_col)
+    return _cut(found, True).select(F.when(~F.col("nil"), F.col("id")).alias(id_col), "n_words", "n_removed", "kept")
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM) -> DataFrame:
@@ -163,8 +175,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     else as it was, also the texts that lose nothing."""
     rows = repeats.identified(docs, id_col, text_col, carry=True)
     out = _cut(repeats.with_text(rows, _covered(rows, window, gram), "left"), False)
-    text = F.when(F.col("rest._null"), F.lit(None)).otherwise(F.col("kept"))
-    return out.select(*[text.alias(c) if c == text_col else F.col(f"rest.`{c}`").alias(c) for c in docs.columns])
+    text = F.when(F.col("rest.null"), F.lit(None)).otherwise(F.col("kept"))
+    return out.select(*[text.alias(c) if c == text_col else F.col(f"rest.row.`{c}`").alias(c) for c in docs.columns])
 
 
 def _without(column: pa.Array, stay: np.ndarray) -> str:
@@ -177,8 +189,8 @@ def _without(column: pa.Array, stay: np.ndarray) -> str:
 
 
 def _cut(found: DataFrame, single_spaces: bool) -> DataFrame:
-    """id, rest (if there), n_words, n_removed and kept of texts and their covered runs."""
-    rest = [c for c in found.columns if c == "rest"]
+    """id, nil, rest (if there), n_words, n_removed and kept of texts and their covered runs."""
+    rest = [c for c in found.columns if c in ("nil", "rest")]
     picked = found.select("id", *rest, "text", "bodies")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

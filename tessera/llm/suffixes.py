@@ -5,7 +5,8 @@ in a document of smaller id, or further ahead in the same one. The suffixes that
 sorted start at the anchors of ``repeats`` (a sparse suffix array: equal strings have
 equal anchors, so none is lost) and are led by the hash of their first ``GRAM``
 bytes, which keeps equal prefixes together and cuts the order into even ranges
-without sampling it.
+without sampling it: a suffix array grouped by that hash, in byte order within a group,
+which is all that reading off repeats needs.
 
 Every task sorts its suffixes and sends each range a run: front-coded, a suffix is the
 length it has in common with the one before and the bytes after that. A range merges
@@ -15,8 +16,10 @@ there on. The merged order comes with the common prefixes of neighbours, the arr
 LCP table, from which repeats are read off.
 
 Defined cases: null and empty texts have no bytes; texts shorter than the window lose
-none; long texts are taken whole; rows that repeat id and text stand at one place, so
-neither is earlier; null ids come first; an empty table gives an empty result; other
+none; long texts are taken whole; rows of one id, with equal or different texts, count
+as one document for the order: equal starts are one place, so neither is earlier; null
+ids come first, as one id, together with the least long; ids that are no integers are
+an error; an empty table gives an empty result; other
 columns are not looked at.
 """
 
@@ -42,7 +45,7 @@ _BLOCK = 1 << 18
 
 def byte_units(column: pa.Array):
     for block in blocks(column, _BLOCK):
-        yield block.first, _BYTE[block.data], block.offsets
+        yield block.first, _BYTE[block.data], block.offsets, block.data, np.arange(len(block.data) + 1)
 
 
 def common(a: bytes, b: bytes, start: int) -> int:
@@ -148,7 +151,21 @@ def _runs(rows: DataFrame, window: int, buckets: int) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(bucket, pa.int32()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.array([b""] * n, pa.binary()), pa.array(bodies, pa.binary())], ["bucket", "id", "th", "rows", "body"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        suffixes, heads, lefts, held = [], [], [], 0
+        suffixes, heads, lefts = [], [], []
+        hot, held = repeats.HotWindows(window, True), 0
+
+        def add(lead: int, head: tuple, text: bytes) -> None:
+            suffixes.append(lead.to_bytes(8, "big") + text[head[3] :])
+            heads.append(head)
+            lefts.append(text[: head[3]][::-1])
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            for text, head in hot.rows():  # led by the hash of a whole window
+                add(xxhash.xxh64_intdigest(text), head, text)
+            yield from hot.covered(buckets)
+            if suffixes:
+                yield pack(suffixes, heads, lefts)
+
         for batch in batches:
             known = [[], [], []]
             for i in range(batch.num_rows):
@@ -162,22 +179,20 @@ def _runs(rows: DataFrame, window: int, buckets: int) -> DataFrame:
                     continue
                 data = batch.column(2)[i].as_py().encode()
                 for key, pos, back, span, kind in records.tolist():
-                    hot = kind == repeats.HOT_ANCHOR  # led by the hash of a whole window
-                    for b, s in [(b, 0) for b in range(back - span, back + 1)] if hot else [(back, span)]:
-                        low = pos - b
+                    if kind == repeats.HOT_ANCHOR:
+                        for b in range(back - span, back + 1):
+                            held += hot.add(data[pos - b : pos - b + window], doc, th, pos - b, (doc, th, pos, b, 0))
+                    else:
                         # an anchor is the least of many hashes, so its low half is the even one
-                        lead = xxhash.xxh64_intdigest(data[low : low + window]) if hot else (key & 0xFFFFFFFF) << 32 | key >> 32
-                        suffixes.append(lead.to_bytes(8, "big") + data[pos : low + s + window])
-                        heads.append((doc, th, pos, b, s))
-                        lefts.append(data[low:pos][::-1])
+                        add((key & 0xFFFFFFFF) << 32 | key >> 32, (doc, th, pos, back, span), data[pos - back : pos - back + span + window])
                         held += 300
+                if held > 200_000_000:
+                    yield from flush()
+                    suffixes, heads, lefts = [], [], []
+                    hot, held = repeats.HotWindows(window, True), 0
             if known[0]:
                 yield repeats.pass_on(np.array(known[0], np.int64), np.array(known[1], np.int64), pa.array(known[2], pa.binary()), buckets)
-            if held > 200_000_000:
-                yield pack(suffixes, heads, lefts)
-                suffixes, heads, lefts, held = [], [], [], 0
-        if suffixes:
-            yield pack(suffixes, heads, lefts)
+        yield from flush()
 
     return rows.mapInArrow(run, repeats.BUCKETED)
 
@@ -243,8 +258,9 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", windo
     """id, n_bytes, n_removed, spans (start, end of each removed run) and kept, the
     remaining bytes as binary: cuts may fall inside a character."""
     rows = repeats.identified(docs, id_col, text_col)
-    placed = repeats.candidates(rows, byte_units, window, gram, first_stays=True)
-    runs = _runs(repeats.with_text(rows, placed, "inner"), window, repeats.n_buckets(docs))
+    buckets = repeats.n_buckets(rows)
+    placed = repeats.candidates(rows, byte_units, window, gram, True, buckets)
+    runs = _runs(repeats.with_text(rows, placed, "inner"), window, buckets)
     covered = _merged(runs, window, gram)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -263,6 +279,6 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", windo
                     spans.append([{"start": a, "end": b} for a, b in zip(start.tolist(), end.tolist(), strict=True)])
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array(kept, pa.binary())], ["id", "n_bytes", "n_removed", "spans", "kept"])
 
-    found = repeats.with_text(rows, covered, "left").select("id", "text", "bodies")
+    found = repeats.with_text(rows, covered, "left").select(F.when(~F.col("nil"), F.col("id")).alias("id"), "text", "bodies")
     out = found.mapInArrow(cut, "id long, n_bytes long, n_removed long, spans array<struct<start: long, end: long>>, kept binary")
-    return out.withColumn("id", F.nullif("id", F.lit(-(1 << 63)))).withColumnRenamed("id", id_col)
+    return out.withColumnRenamed("id", id_col)

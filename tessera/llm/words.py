@@ -11,10 +11,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
+import xxhash
 
 BLOCK_BYTES = 1 << 20
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: A-Z to a-z, all other bytes as they are.
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[0x41:0x5B] += 0x20
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_ODD), -1, 1 << 64))
@@ -55,7 +60,7 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Block:
-    """Some whole documents: their bytes, words and a prefix sum for hashing any span."""
+    """Some whole documents: their bytes and words."""
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, first: int):
         self.data, self.offsets, self.first = data, offsets, first
@@ -72,22 +77,38 @@ class Block:
         #: word_offsets[d]: the number of words in the documents before d
         self.word_offsets = np.searchsorted(self.start, offsets)
         self.n_words = np.diff(self.word_offsets)
-        self._sums: np.ndarray | None = None
+        self._codes: tuple[np.ndarray, pa.Array] | None = None
 
     @property
     def word_doc(self) -> np.ndarray:
         return np.repeat(np.arange(self.n_docs), self.n_words)
 
-    def span_hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """A 64-bit hash of the bytes of each span, wherever the span lies."""
-        if self._sums is None:
-            self._sums = np.zeros(len(self.data) + 1, np.uint64)
-            np.cumsum(_BYTE[self.data] * powers(len(self.data)), out=self._sums[1:])
-        back = powers(len(self.data) + 1, _INVERSE)
-        return mix((self._sums[end] - self._sums[start]) * back[start] + (end - start).astype(np.uint64))
+    def word_codes(self) -> tuple[np.ndarray, pa.Array]:
+        """A number for each word, equal for equal words alone, and the different words."""
+        if self._codes is not None:
+            return self._codes
+        sizes = np.zeros(len(self.start) + 1, np.int64)
+        np.cumsum(self.end - self.start, out=sizes[1:])
+        letters = np.ascontiguousarray(self.data[~self.space])
+        words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(self.start), [None, pa.py_buffer(sizes), pa.py_buffer(letters)])
+        coded = words.dictionary_encode()
+        self._codes = coded.indices.to_numpy(), coded.dictionary
+        return self._codes
 
     def word_hash(self) -> np.ndarray:
-        return self.span_hash(self.start, self.end)
+        """XXH64 of each word, taken once for each different one."""
+        codes, words = self.word_codes()
+        return np.fromiter(map(xxhash.xxh64_intdigest, words.to_pylist()), np.uint64, len(words))[codes]
+
+    def joined(self, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """The words, each followed by one space, and where each starts (and all end)."""
+        size = self.end - self.start
+        place = np.zeros(len(size) + 1, np.int64)
+        np.cumsum(size + 1, out=place[1:])
+        out = np.full(place[-1], 0x20, np.uint8)
+        at = np.flatnonzero(~self.space)
+        out[at + np.repeat(place[:-1] - self.start, size)] = LOWER[self.data[at]] if lower else self.data[at]
+        return out, place
 
     def per_doc(self, flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """The sum of flags (one for each byte, word or line) in every document."""
@@ -110,7 +131,8 @@ def blocks_of(data: np.ndarray, offsets: np.ndarray, block_bytes: int = BLOCK_BY
 
 
 def window_hash(words: np.ndarray, n: int) -> np.ndarray:
-    """A hash of each run of n values; len(words) - n + 1 of them."""
+    """A rolling hash of each run of n values; len(words) - n + 1 of them. Equal hashes
+    only propose equal runs: sums of powers have collisions that can be constructed."""
     if len(words) < n:
         return np.zeros(0, np.uint64)
     sums = np.zeros(len(words) + 1, np.uint64)
@@ -118,6 +140,29 @@ def window_hash(words: np.ndarray, n: int) -> np.ndarray:
     return mix((sums[n:] - sums[:-n]) * powers(len(words) + 1, _INVERSE)[: len(words) - n + 1])
 
 
+def pair_hash(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """A hash of pairs of hashes; not linear, so no sums cancel along a chain of them."""
+    x = a * _ODD + b
+    x ^= x >> np.uint64(31)
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(29)
+    return x
+
+
+def run_hashes(values: np.ndarray, *lengths: int) -> list[np.ndarray]:
+    """For each length, a hash of each run of so many values: runs of powers of two are
+    hashed as pairs of halves, others as two of these that overlap. There must be a run
+    of every length."""
+    out: dict[int, np.ndarray] = {}
+    size, level = 1, values
+    for n in sorted(set(lengths)):
+        while 2 * size <= n:
+            level = pair_hash(level[:-size], level[size:])
+            size *= 2
+        out[n] = level if size == n else pair_hash(level[: len(values) - n + 1], level[n - size :])
+    return [out[n] for n in lengths]
+
+
 def covered(starts: np.ndarray, length: int, size: int) -> np.ndarray:
     """Which of ``size`` places lie in [s, s + length) for some start s."""
     step = np.zeros(size + 1, np.int32)

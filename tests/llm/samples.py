@@ -37,12 +37,12 @@ TEXTS: list[tuple[int | None, str | None]] = [
     (17, "ÀÉÎ straße 日本 x$y " * 3 + prose(60, 11)),
 ]
 
-COLUMNS = "doc_id long, text string, lang string, source string, n_chars long, id string, th int, bodies string, fp int, _id string, key string, _text string, bucket int"
+COLUMNS = "doc_id long, text string, lang string, source string, n_chars long, id string, th int, bodies string, fp int, _id string, key string, _text string, bucket int, _size int, _null int, _copy int, _row int, nil int, rest int, node int"
 
 
 def documents(spark, texts=None):
     rows = []
     for n, (i, t) in enumerate(TEXTS if texts is None else texts):
         source = (None, "b", "a", "src")[n % 4]
-        rows.append((i, t, "en" if n % 3 else None, source, len(t or ""), "x", 1, "y", 2, "z", "k", "t", 3))
+        rows.append((i, t, "en" if n % 3 else None, source, len(t or ""), "x", 1, "y", 2, "z", "k", "t", 3, 4, 5, 6, 7, 8, 9, 10))
     return spark.createDataFrame(rows, COLUMNS).repartition(3)

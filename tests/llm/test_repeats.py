@@ -6,6 +6,8 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from samples import TEXTS, documents
 
@@ -117,3 +119,81 @@ def test_loser_tree_merges_front_coded_runs():
         assert [flat[i] for i, _ in merged] == sorted(strings)
         order = [flat[i] for i, _ in merged]
         assert [n for _, n in merged][1:] == [suffixes.common(a, b, 0) for a, b in zip(order, order[1:], strict=False)]
+
+
+def thue_morse(n: int) -> tuple[str, str]:
+    bits = [bin(i).count("1") & 1 for i in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+def test_words_that_sums_of_powers_confuse_are_told_apart(spark):
+    common = [f"c{i}" for i in range(34)]
+    rows = [(n, " ".join([*common, word])) for n, word in enumerate(thue_morse(1024))]
+    assert {r.n_removed for r in substring.dedup(documents(spark, rows)).collect()} == {0}
+    rows = [(n, "x" * 40 + word + "y" * 40) for n, word in enumerate(thue_morse(1024))]
+    got = [(r.n_bytes, r.n_removed, len(r.spans), bytes(r.kept)) for r in suffixes.dedup(documents(spark, rows)).collect()]
+    assert sorted(got) == sorted(removed_bytes(rows, 100))
+
+
+def test_rows_of_one_id_and_the_least_id(spark):
+    passage = PROSE = "".join(chr(97 + i % 26) + str(i) for i in range(80))
+    rows = [(3, "front " + passage), (3, passage + " back"), (3, passage), (-(1 << 63), PROSE[5:]), (None, passage + "!"), (2, "z" + passage)]
+    for texts in (rows, rows[:2], rows[:3]):
+        got = suffixes.dedup(documents(spark, texts)).collect()
+        assert keyed([r.doc_id for r in got], [(r.n_bytes, r.n_removed, len(r.spans), bytes(r.kept)) for r in got]) == keyed([i for i, _ in texts], removed_bytes(texts, 100))
+    words = substring.dedup(documents(spark, rows), window=1, gram=1).collect()
+    assert sorted(str(r.doc_id) for r in words) == sorted(str(i) for i, _ in rows)
+    with pytest.raises(TypeError):
+        substring.dedup(documents(spark, rows).selectExpr("cast(doc_id AS string) AS doc_id", "text"))
+
+
+def sifted(texts, window, gram, first_stays, share, spoil=False):
+    """covers (doc, start, end), hot places and the anchors of the buckets of some texts."""
+    first, units, offsets, raw, place = next(substring.word_units(pa.array(texts)))
+    a = repeats.find_anchors(units, offsets, window, gram)
+    if spoil:
+        a["hash"][:] = 7
+    a["lo"], a["hi"] = place[a.pop("low")], place[a.pop("high")]
+    ids = np.arange(len(texts))
+    covers, hot, anchors = [], [], []
+    for batch in repeats.sift(a, ids, ids, raw.tobytes(), window, first_stays, 5, share):
+        for row in batch.to_pylist():
+            if row["rows"] is None:
+                for r in np.frombuffer(row["body"], repeats.RECORD):
+                    (covers.append((row["id"], int(r["pos"]), int(r["key"]))) if r["kind"] == repeats.COVER else hot.append((row["id"], int(r["pos"]))))
+            else:
+                anchors.append(repeats.unpack_anchors(repeats.zstandard.decompress(row["body"]))[0])
+    return covers, hot, np.concatenate(anchors)
+
+
+def test_equal_hashes_of_different_stretches_cover_nothing():
+    texts = [" ".join(f"w{i * 100 + j}" for j in range(12)) for i in range(6)]
+    covers, hot, anchors = sifted(texts, 12, 4, False, 100, spoil=True)
+    assert not covers and not hot and len(anchors) == 6
+    covers, _, anchors = sifted([*texts, texts[2]], 12, 4, False, 100, spoil=True)
+    assert covers in ([], [(2, 0, 12), (6, 0, 12)]) and len(anchors) in (6, 7)
+    covers, _, anchors = sifted([*texts, texts[2]], 12, 4, False, 100)
+    assert covers == [(2, 0, 12), (6, 0, 12)] and len(anchors) == 6
+
+
+def test_a_task_sends_few_places_of_one_gram_to_its_bucket():
+    r = random.Random(9)
+    phrases = [" ".join(f"p{i}_{j}" for j in range(8)) for i in range(60)]
+    texts = [" ".join([*(f"a{r.randrange(10**6)}" for _ in range(14)), phrases[i % 60], *(f"b{r.randrange(10**6)}" for _ in range(14))]) for i in range(3000)]
+    _, hot, anchors = sifted(texts, 35, 8, False, 20)
+    key, count = np.unique(anchors["key"], return_counts=True)
+    assert count.max() <= 20 and len(hot) > 20
+    pick = repeats.with_company(anchors.copy(), 20)
+    assert not np.isin(anchors["key"][pick], anchors["key"][anchors["span"] == repeats._WITNESS]).any()
+
+
+def test_a_phrase_in_many_surroundings(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "HOT", 40)
+    r = random.Random(10)
+    phrase = [f"p{i}" for i in range(8)]
+    around = [[f"a{r.randrange(10**6)}" for _ in range(28)] for _ in range(300)]
+    rows = [(n, " ".join([*around[n if n % 10 else 0], *phrase, *around[-1 - (n if n % 7 else 0)]])) for n in range(300)]
+    got = substring.dedup(documents(spark, rows)).collect()
+    assert keyed([x.doc_id for x in got], [(x.n_words, x.n_removed, x.kept) for x in got]) == keyed([i for i, _ in rows], removed_words(rows, 35))
+    got = suffixes.dedup(documents(spark, rows)).collect()
+    assert keyed([x.doc_id for x in got], [(x.n_bytes, x.n_removed, len(x.spans), bytes(x.kept)) for x in got]) == keyed([i for i, _ in rows], removed_bytes(rows, 100))

@@ -47,9 +47,11 @@ def test_covered(starts, n):
 def counts(text: str | None) -> dict[str, int]:
     text = text or ""
     words = WORD.findall(text)
+
     def repeats(n):
         c = Counter(tuple(words[i : i + n]) for i in range(len(words) - n + 1))
         return {j for i in range(len(words) - n + 1) if c[tuple(words[i : i + n])] > 1 for j in range(i, i + n)}
+
     def later(n):
         seen, out = set(), set()
         for i in range(len(words) - n + 1):
@@ -75,6 +77,27 @@ def test_counts_of_blocks(texts):
         assert np.concatenate([p[name] for p in parts]).tolist() == [counts(t)[name] for t in texts], name
 
 
+def test_words_and_lines_that_sums_of_powers_confuse_are_told_apart():
+    bits = [bin(i).count("1") & 1 for i in range(1024)]
+    one, other = ("".join(ab[b] for b in bits) for ab in ("ab", "ba"))
+    for text in (f"{one}\n{other}", f"{one} x y {other} x y", f"{one} {one}\n{other}\n{one}"):
+        got = repetition.measure_block(next(blocks(pa.array([text]))), (5, 6))
+        assert {k: int(got[k][0]) for k in ("n_dup_lines", "n_repeat_words", "dup_chars_5")} == {k: counts(text)[k] for k in ("n_dup_lines", "n_repeat_words", "dup_chars_5")}
+
+
+@settings(max_examples=30, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(["a", "b", "c", "\n"]), max_size=40).map(" ".join), min_size=1, max_size=4))
+def test_counts_do_not_rest_on_hashes(texts):
+    whole = repetition.window_hash
+    try:
+        repetition.window_hash = lambda words, n: np.zeros(max(0, len(words) - n + 1), np.uint64)
+        got = [repetition.measure_block(b, tuple(range(5, 11))) for b in blocks(pa.array(texts, pa.string()))]
+    finally:
+        repetition.window_hash = whole
+    for name in counts(""):
+        assert np.concatenate([p[name] for p in got]).tolist() == [counts(t)[name] for t in texts], name
+
+
 def test_measure_and_filter(spark):
     docs = documents(spark)
     got = {(r.doc_id, r.n_words): r for r in repetition.verdict(repetition.measure(docs)).collect()}
