@@ -38,6 +38,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .ids import require_integers
 from .words import mix, pair_hash, run_hashes
 
 HOT = 20_000
@@ -137,8 +138,7 @@ def pass_on(ids: np.ndarray, ths: np.ndarray, bodies: pa.Array, buckets: int) ->
 def identified(docs: DataFrame, id_col: str, text_col: str, carry: bool = False) -> DataFrame:
     """id (null: the least long), th, text (null: empty) and nil (the id is null); with
     the whole row if asked."""
-    if docs.schema[id_col].dataType.simpleString() not in ("tinyint", "smallint", "int", "bigint"):
-        raise TypeError(f"{id_col} must be an integer column")
+    require_integers(docs, id_col)
     text = F.coalesce(F.col(text_col), F.lit(""))
     rest = [F.struct(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("row"), F.col(text_col).isNull().alias("null")).alias("rest")] if carry else []
     return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("id"), F.xxhash64(text).alias("th"), text.alias("text"), F.col(id_col).isNull().alias("nil"), *rest)

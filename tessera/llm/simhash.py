@@ -6,6 +6,9 @@ into ``pieces`` blocks; a close pair differs in at most ``distance`` blocks, so
 shares the other ones: there is a key for every choice of ``pieces - distance``
 blocks, equal keys meet, and the Hamming distance is verified there.
 
+The number of blocks follows from the number of fingerprints: more blocks give more
+keys, but longer ones, so that the group of a key doesn't grow with the corpus.
+
 Equal fingerprints are joined beforehand by a combined aggregation, so groups of
 copies cost one row. Where many different fingerprints share a key, a breadth-first
 walk gives links that keep the group connected as it is, fewer than it has members;
@@ -16,13 +19,16 @@ compares all pairs between the parts that failed links leave.
 Defined cases: null and empty texts have fingerprint 0 and link like any other; texts
 shorter than a shingle are one shingle; long texts are taken whole; repeated rows and
 ties fall into one component; an empty table gives an empty result; extra columns
-are not looked at by ``fingerprints`` and kept by ``keep_one``.
+are not looked at by ``fingerprints`` and kept by ``keep_one``. Null ids are ids like
+others: their rows have a null component unless they reach an id, and are not reached by
+their being null.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -31,14 +37,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import connected_components
+from .ids import require_integers
 from .lineage import cut
 from .words import LOWER, Block, blocks, window_hash
 
 SHINGLE = 3
 DISTANCE = 3
-PIECES = 6
 SEED = 42
 _SPLIT_ABOVE = 2048
+_SMALL = 64
+#: Cost of comparing two fingerprints of a group against that of exchanging a row.
+_COMPARE = 0.01
 _FULL = (1 << 16) - 1
 _EPSILON = 1e-6
 _LANES = np.uint64(0x0101010101010101)
@@ -96,6 +105,12 @@ def masks(pieces: int, distance: int, bits: int = 64) -> list[int]:
     return [sum(chosen) for chosen in combinations(piece, pieces - distance)]
 
 
+def pieces_for(n: int, distance: int) -> int:
+    """The number of blocks for which n fingerprints are exchanged and compared cheapest."""
+    cost = {p: comb(p, distance) * (1 + _COMPARE * n / 2 ** (64 * (p - distance) / p)) for p in range(distance + 1, distance + 8)}
+    return min(cost, key=cost.__getitem__)
+
+
 def _signed(mask: int) -> int:
     return mask - (1 << 64) if mask >> 63 else mask
 
@@ -130,9 +145,35 @@ def spanning_links(values: np.ndarray, distance: int, free: int = (1 << 64) - 1)
     return out
 
 
-def links(distinct: DataFrame, distance: int = DISTANCE, pieces: int = PIECES) -> DataFrame:
+def group_links(fp: np.ndarray, cuts: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links that connect what close fingerprints connect in each group fp[cuts[i]:cuts[i+1]].
+
+    Small groups are compared at once, member with member at the same offset; groups that
+    are large or have more links than they need are walked one by one.
+    """
+    sizes = np.diff(cuts)
+    group = np.repeat(np.arange(len(sizes)), sizes)
+    place = np.arange(len(fp)) - np.repeat(cuts[:-1], sizes)
+    at = np.flatnonzero((sizes > 1)[group] & (sizes <= _SMALL)[group])
+    a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for step in range(1, _SMALL):
+        at = at[place[at] + step < sizes[group[at]]]
+        if not len(at):
+            break
+        near = at[np.bitwise_count(fp[at] ^ fp[at + step]) <= distance]
+        a.append(near)
+        b.append(near + step)
+    a, b = np.concatenate(a), np.concatenate(b)
+    walked = np.bincount(group[a], minlength=len(sizes)) > 2 * sizes
+    slim = ~walked[group[a]]
+    more = [p for g in np.flatnonzero(walked | (sizes > _SMALL)) for p in spanning_links(fp[cuts[g] : cuts[g + 1]], distance)]
+    return tuple(np.concatenate([fp[x[slim]], np.array([p[i] for p in more], np.uint64)]) for i, x in enumerate((a, b)))
+
+
+def links(distinct: DataFrame, distance: int = DISTANCE, pieces: int | None = None) -> DataFrame:
     """a, b: close pairs of the different fingerprints in ``fp``, enough of them to
     connect every two that a chain of close pairs connects."""
+    pieces = pieces or pieces_for(distinct.count(), distance)
     keys = F.array(*[F.struct(F.lit(i).alias("choice"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("key")) for i, m in enumerate(masks(pieces, distance))])
     keyed = distinct.select("fp", F.explode(keys).alias("_k")).select("_k.choice", "_k.key", "fp")
     # ordered by fingerprint too, so that the links of a group do not depend on arrival
@@ -143,13 +184,7 @@ def links(distinct: DataFrame, distance: int = DISTANCE, pieces: int = PIECES) -
 
         def found(choice: np.ndarray, key: np.ndarray, fp: np.ndarray) -> pa.RecordBatch:
             cuts = np.concatenate([[0], np.flatnonzero((choice[1:] != choice[:-1]) | (key[1:] != key[:-1])) + 1, [len(fp)]])
-            sizes = np.diff(cuts)
-            pairs = cuts[:-1][sizes == 2]
-            a, b = fp[pairs], fp[pairs + 1]
-            near = np.bitwise_count(a ^ b) <= distance
-            more = [p for at, n in zip(cuts[:-1][sizes > 2], sizes[sizes > 2], strict=True) for p in spanning_links(fp[at : at + n], distance)]
-            a = np.concatenate([a[near], np.array([p[0] for p in more], np.uint64)])
-            b = np.concatenate([b[near], np.array([p[1] for p in more], np.uint64)])
+            a, b = group_links(fp, cuts, distance)
             return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["a", "b"])
 
         for batch in batches:
@@ -168,7 +203,7 @@ def links(distinct: DataFrame, distance: int = DISTANCE, pieces: int = PIECES) -
     return keyed.mapInArrow(run, "a long, b long")
 
 
-def components(prints: DataFrame, id_col: str = "doc_id", distance: int = DISTANCE, pieces: int = PIECES) -> DataFrame:
+def components(prints: DataFrame, id_col: str = "doc_id", distance: int = DISTANCE, pieces: int | None = None) -> DataFrame:
     """id, fp and component_id, the smallest id that links lead to, for each row."""
     prints = cut(prints.select(F.col(id_col).alias("_id"), "fp"))
     distinct = cut(prints.groupBy("fp").agg(F.min("_id").alias("_least")))
@@ -198,7 +233,7 @@ def shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
     return docs.select("_id", "_text").mapInArrow(run, "_id long, shingles array<long>")
 
 
-def cross_pairs(nodes: DataFrame, distance: int, pieces: int, similarity: float) -> DataFrame:
+def cross_pairs(nodes: DataFrame, distance: int, pieces: int | None, similarity: float) -> DataFrame:
     """a, b: all pairs of nodes of different labels whose fingerprints are within
     ``distance`` bits, but for those whose shingle counts exclude the similarity.
 
@@ -213,7 +248,7 @@ def cross_pairs(nodes: DataFrame, distance: int, pieces: int, similarity: float)
             counts = [np.minimum(np.bincount(x & 127, minlength=128), _FULL).astype(np.uint16).tobytes() for x in sets]
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array([len(x) for x in sets], pa.int64()), pa.array(counts, pa.binary())], ["node", "fp", "label", "n", "counts"])
 
-    bits = masks(pieces, distance)
+    bits = masks(pieces or pieces_for(nodes.count(), distance), distance)
     keys = F.array(*[F.struct(F.lit(i).alias("choice"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("key")) for i, m in enumerate(bits)])
     counted = nodes.select("node", "fp", "label", "shingles").mapInArrow(sketch, "node long, fp long, label long, n long, counts binary")
     keyed = counted.select("*", F.explode(keys).alias("_k")).select("_k.choice", "_k.key", "node", "fp", "label", "n", "counts")
@@ -268,7 +303,7 @@ def cross_pairs(nodes: DataFrame, distance: int, pieces: int, similarity: float)
     return keyed.mapInArrow(run, "a long, b long")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 2, distance: int = 7, pieces: int = 10, compare: int = 5, similarity: float = 0.8) -> DataFrame:
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 2, distance: int = 7, pieces: int | None = None, compare: int = 5, similarity: float = 0.8) -> DataFrame:
     """The rows of docs without near-duplicates: of each group the row of the smallest id,
     null before all (of rows with that id, the one of the least text hash).
 
@@ -284,6 +319,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     texts apart that close fingerprints connect, all pairs between the parts are verified.
     Texts are told apart by 128 bits of hashes.
     """
+    require_integers(docs, id_col)
     text = F.col(text_col)
     key = ["_id", "_t", "_u"]
     own = F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)))
@@ -323,7 +359,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     apart = labelled(proposed, labels)
     apart = cut(apart.select(F.col("_la").alias("_l")).union(apart.select("_lb")).distinct())
     if not apart.isEmpty():
-        open_ = labels.join(apart, F.col("label") == F.col("_l"), "left_semi").join(sets.withColumnRenamed("_id", "_n"), F.col("node") == F.col("_n"))
+        open_ = cut(labels.join(apart, F.col("label") == F.col("_l"), "left_semi").join(sets.withColumnRenamed("_id", "_n"), F.col("node") == F.col("_n")))
         more = labelled(similar(cross_pairs(open_, distance, pieces, similarity)), labels)
         labels = name(labels, more.toDF("a", "b"), "label")
 

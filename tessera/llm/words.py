@@ -24,6 +24,8 @@ LOWER[0x41:0x5B] += 0x20
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_ODD), -1, 1 << 64))
 _BYTE = np.random.default_rng(20240607).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_LONG = 64
+_FIRST = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -96,9 +98,21 @@ class Block:
         return self._codes
 
     def word_hash(self) -> np.ndarray:
-        """XXH64 of each word, taken once for each different one."""
-        codes, words = self.word_codes()
-        return np.fromiter(map(xxhash.xxh64_intdigest, words.to_pylist()), np.uint64, len(words))[codes]
+        """A hash of each word: eight bytes after the other, long words by XXH64."""
+        size = self.end - self.start
+        padded = np.concatenate([self.data, np.zeros(8, np.uint8)])
+        eight = np.ndarray(len(self.data) + 1, "<u8", padded, strides=(1,))
+        out = mix(size.astype(np.uint64) + _ODD)
+        left = np.flatnonzero(size <= _LONG)
+        for at in range(0, _LONG, 8):
+            left = left[size[left] > at]
+            if not len(left):
+                break
+            some = np.minimum(size[left] - at, 8)
+            out[left] = pair_hash(out[left], eight[self.start[left] + at] & _FIRST[some])
+        for i in np.flatnonzero(size > _LONG).tolist():
+            out[i] = xxhash.xxh64_intdigest(self.data[self.start[i] : self.end[i]])
+        return out
 
     def joined(self, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
         """The words, each followed by one space, and where each starts (and all end)."""
