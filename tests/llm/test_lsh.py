@@ -66,3 +66,19 @@ def test_few_candidates_are_found_exactly(spark):
     got = listed(lsh.search(df, F.col("id") == 0, k=20, tables=1, hashes=4, width=0.01, probes=1).collect())
     assert got == {0: [(i, 1.0) for i in range(1, 8)]}
     assert lsh.search(df.limit(0), F.col("id") == 0).count() == 0
+
+
+def test_rows_that_repeat_an_id(spark):
+    rows = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (20, [1.0, 1.0]), (20, [1.0, -1.0]), (3, [2.0, 0.5]), (3, [2.0, 0.5])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = [(r.query_id, r.rank, r.vec_id, r.score) for r in lsh.search(df, F.col("id") % 20 == 0).collect()]
+    want = []
+    for at, (q, v) in enumerate(rows):
+        if q % 20 == 0:
+            others = sorted((-(v[0] * w[0] + v[1] * w[1]), i) for j, (i, w) in enumerate(rows) if j != at)
+            want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(others)]
+    assert sorted(got) == sorted(want)
+
+
+def test_more_vectors_get_more_hashes():
+    assert [lsh.sized(n) for n in (0, 500, 2000, 10_256, 51_282)] == [(8, 64), (8, 64), (8, 64), (9, 96), (10, 144)]
