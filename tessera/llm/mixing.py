@@ -4,7 +4,9 @@ Documents are aggregated by membership pattern: the set of sources that they cou
 for. Tokens flow from patterns to the quotas of their sources; a pattern's first pass
 is free, further passes cost more and more, so repetition is spread where it is
 cheapest. The network has one node for each pattern and source, whatever the number
-of documents, and is solved with successive shortest paths.
+of documents. A path of least cost never comes back to the start, so its cost is that
+of the pass it opens: passes are opened one after the other, and all paths of a cost
+are filled at once by blocking flows.
 
 A pattern's flow is then laid out along its documents in seeded order, pass after
 pass: every source has one stretch of that line, and a pass of a document goes to the
@@ -16,13 +18,14 @@ pattern of a third of all rows is not ordered in one task.
 
 Defined cases: a null source is one of its own, last; null and empty texts have size
 0 and are taken 0 words; equal ids are told apart by size; rows equal in all of these
-are interchangeable; an empty table gives an empty result; other columns pass through.
+are interchangeable; an empty table gives an empty result; other columns pass through,
+and where one has the name of an added column, that one gets an underscore more.
 """
 
 from __future__ import annotations
 
-import heapq
 import json
+from collections import deque
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,9 +34,9 @@ from .lineage import cut
 
 BINS = 4096
 PASSES = 3
-#: Cost of a token in a document's first, second, third ... pass: convex.
-PASS_COST = (0, 1, 3, 6, 10)
-MAX_PATTERNS = 100_000
+#: Cost of a token in a document's first, second, third ... pass: convex. The flow is the
+#: same for all costs that grow.
+PASS_COST = tuple(n * (n + 1) // 2 for n in range(5))
 WORDS = r"[^\x20\x09-\x0D]+"
 
 
@@ -60,51 +63,88 @@ def min_cost_flow(patterns: list[tuple[tuple[str | None, ...], int]], quotas: di
     """Tokens that each pattern gives to each of its sources: as much of the quotas as
     can be met, at least cost."""
     names = list(quotas)
-    start, end = 0, 1
-    node_of = {s: 2 + len(patterns) + i for i, s in enumerate(names)}
-    graph: list[list[int]] = [[] for _ in range(2 + len(patterns) + len(names))]
-    to, room, cost = [], [], []
-
-    def arc(a: int, b: int, capacity: float, price: float) -> int:
-        for x, y, c, p in ((a, b, capacity, price), (b, a, 0.0, -price)):
-            graph[x].append(len(to))
-            to.append(y), room.append(float(c)), cost.append(p)
-        return len(to) - 2
-
-    given = []
-    for i, (members, size) in enumerate(patterns):
-        for n in range(passes):
-            arc(start, 2 + i, size, PASS_COST[n])
-        given.append({s: arc(2 + i, node_of[s], passes * size, 0) for s in members})
-    for s in names:
-        arc(node_of[s], end, quotas[s], 0)
-    least = 1e-6
-    potential = [0.0] * len(graph)
-    while True:
-        far = [float("inf")] * len(graph)
-        far[start], came = 0.0, [-1] * len(graph)
-        heap = [(0.0, start)]
-        while heap:
-            d, a = heapq.heappop(heap)
-            if d > far[a]:
+    index = {s: i for i, s in enumerate(names)}
+    members = [[index[s] for s in p] for p, _ in patterns]
+    givers: list[list[int]] = [[] for _ in names]
+    for i, own in enumerate(members):
+        for s in own:
+            givers[s].append(i)
+    need = [float(quotas[s]) for s in names]
+    supply = [0.0] * len(patterns)
+    give = [dict.fromkeys(own, 0.0) for own in members]
+    least = max(1e-6, 1e-12 * sum(need))
+    for _ in range(passes):
+        supply = [x + size for x, (_, size) in zip(supply, patterns, strict=True)]
+        while (levels := _levels(members, givers, give, supply, need, least)) is not None:
+            _blocking_flow(members, givers, give, supply, need, least, *levels)
+    return [{names[s]: x for s, x in g.items()} for g in give]
+
+
+def _levels(members: list, givers: list, give: list, supply: list, need: list, least: float) -> tuple[list[int], list[int]] | None:
+    """The fewest steps from a pattern with supply to each pattern and source; None if no
+    source that needs more can be reached."""
+    of_pattern, of_source = [-1] * len(members), [-1] * len(givers)
+    queue = deque(i for i, x in enumerate(supply) if x > least)
+    for i in queue:
+        of_pattern[i] = 0
+    found = False
+    while queue:
+        i = queue.popleft()
+        for s in members[i]:
+            if of_source[s] < 0:
+                of_source[s] = of_pattern[i] + 1
+                if need[s] > least:
+                    found = True
+                elif not found:
+                    for j in givers[s]:
+                        if of_pattern[j] < 0 and give[j][s] > least:
+                            of_pattern[j] = of_source[s] + 1
+                            queue.append(j)
+    return (of_pattern, of_source) if found else None
+
+
+def _blocking_flow(members: list, givers: list, give: list, supply: list, need: list, least: float, of_pattern: list[int], of_source: list[int]) -> None:
+    """Fills paths of the levels until none is left."""
+    tried_p, tried_s = [0] * len(members), [0] * len(givers)
+    for root in range(len(members)):
+        path = [root]  # pattern, source, pattern, ...
+        while path and supply[root] > least:
+            if len(path) % 2 == 0 and need[path[-1]] > least:
+                push = min(supply[root], need[path[-1]])
+                for k in range(2, len(path), 2):
+                    push = min(push, give[path[k]][path[k - 1]])
+                for k in range(0, len(path), 2):
+                    if k:
+                        give[path[k]][path[k - 1]] -= push
+                    give[path[k]][path[k + 1]] += push
+                supply[root] -= push
+                need[path[-1]] -= push
+                path = [root]
                 continue
-            for e in graph[a]:
-                b = to[e]
-                step = d + cost[e] + potential[a] - potential[b]
-                if room[e] > least and step < far[b] - 1e-9:
-                    far[b], came[b] = step, e
-                    heapq.heappush(heap, (step, b))
-        if far[end] == float("inf"):
-            return [{s: room[e + 1] for s, e in arcs.items()} for arcs in given]
-        potential = [p + (f if f < float("inf") else 0) for p, f in zip(potential, far, strict=True)]
-        push, at = float("inf"), end
-        while at != start:
-            push, at = min(push, room[came[at]]), to[came[at] ^ 1]
-        at = end
-        while at != start:
-            room[came[at]] -= push
-            room[came[at] ^ 1] += push
-            at = to[came[at] ^ 1]
+            here, nxt = path[-1], None
+            if len(path) % 2:
+                level, ways = of_pattern[here], members[here]
+                while tried_p[here] < len(ways) and of_source[ways[tried_p[here]]] != level + 1:
+                    tried_p[here] += 1
+                if tried_p[here] < len(ways):
+                    nxt = ways[tried_p[here]]
+            else:
+                level, ways = of_source[here], givers[here]
+                while tried_s[here] < len(ways) and (of_pattern[ways[tried_s[here]]] != level + 1 or give[ways[tried_s[here]]][here] <= least):
+                    tried_s[here] += 1
+                if tried_s[here] < len(ways):
+                    nxt = ways[tried_s[here]]
+            if nxt is not None:
+                path.append(nxt)
+                continue
+            path.pop()
+            if path:
+                (tried_p if len(path) % 2 else tried_s)[path[-1]] += 1
+
+
+def fresh(columns: list[str], name: str) -> str:
+    """The name, with underscores before it until no column has it."""
+    return fresh(columns, "_" + name) if name in columns else name
 
 
 def mix(docs: DataFrame, members: Column, size: Column, weight_of, id_col: str = "doc_id", passes: int = PASSES, seed: int = 17) -> DataFrame:
@@ -125,9 +165,7 @@ def mix(docs: DataFrame, members: Column, size: Column, weight_of, id_col: str =
     # sizes are counted once for all that is decided, and once more as the rows go by
     light = cut(rows.drop("_row"))
     sizes = light.groupBy("_pattern", "_bin").agg(F.sum("_size").alias("_n"))
-    found = sizes.groupBy("_pattern").agg(F.sum("_n").alias("n"), F.first("_pattern").alias("p")).limit(MAX_PATTERNS + 1).collect()
-    if len(found) > MAX_PATTERNS:
-        raise ValueError(f"more than {MAX_PATTERNS} membership patterns")
+    found = sizes.groupBy("_pattern").agg(F.sum("_n").alias("n"), F.first("_pattern").alias("p")).collect()
     patterns = sorted(((tuple(json.loads(r.p)["s"]), int(r.n)) for r in found), key=lambda x: [(s is None, s or "") for s in x[0]])
     key_of = {tuple(json.loads(r.p)["s"]): r.p for r in found}
     names = sorted({s for p, _ in patterns for s in p}, key=lambda s: (s is None, s or ""))
@@ -175,7 +213,7 @@ def mix(docs: DataFrame, members: Column, size: Column, weight_of, id_col: str =
 
     given = F.flatten(F.array(*[taker(k) for k in range(passes)]))
     given = F.transform(given, lambda s: s["source"])
-    return placed.withColumn("_given", F.when(F.col("_size") > 0, given).otherwise(F.array().cast("array<string>"))).select("_row.*", "_size", "_given", "_sizes", "_targets")
+    return placed.withColumn("_given", F.when(F.col("_size") > 0, given).otherwise(F.array().cast("array<string>"))).select("_row.*", *[F.col(c).alias(fresh(docs.columns, c)) for c in ("_size", "_given", "_sizes", "_targets")])
 
 
 def cycle(weights: tuple[float, ...] = (1, 2, 3)):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import time
 import zlib
 
 import numpy as np
@@ -78,13 +79,15 @@ def test_mix(spark):
     out = mixing.mix(docs, F.array("source"), mixing.word_count(F.col("text")), mixing.cycle((1, 2, 3)))
     rows = out.collect()
     assert len(rows) == len(TEXTS) and out.columns[: len(docs.columns)] == docs.columns
+    added = mixing.fresh(docs.columns, "_size")  # the table has a column _size of its own
+    assert added == "__size" and {r._size for r in rows} == {4}
     for s in ("a", "b", "src", None):
         own = [r for r in rows if r.source == s]
         assert all(set(r._given) <= {s} and len(r._given) <= 3 for r in own)
         size = sum(len((r.text or "").split()) for r in own)
         assert own[0]._sizes == [size]
-        taken = sum(r._size * len(r._given) for r in own)
-        assert abs(taken - own[0]._targets[0]) <= max(r._size for r in own)
+        taken = sum(r[added] * len(r._given) for r in own)
+        assert abs(taken - own[0]._targets[0]) <= max(r[added] for r in own)
     again = mixing.mix(docs.repartition(5), F.array("source"), mixing.word_count(F.col("text")), mixing.cycle((1, 2, 3)))
     assert sorted(str((r.doc_id, r._given)) for r in again.collect()) == sorted(str((r.doc_id, r._given)) for r in rows)
     assert mixing.mix(docs.limit(0), F.array("source"), F.lit(1).cast("long"), mixing.cycle()).count() == 0
@@ -97,3 +100,41 @@ def test_overlapping_sources(spark):
     taken = {s: sum(10 for r in got for g in r._given if g == s) for s in ("a", "b")}
     assert abs(taken["a"] - 450) <= 10 and abs(taken["b"] - 150) <= 10
     assert all(set(r._given) <= set(r.sources) for r in got)
+
+
+def test_any_number_of_passes(spark):
+    assert mixing.min_cost_flow([(("a",), 10)], {"a": 75.0}, passes=9) == [{"a": 75.0}]
+    assert mixing.min_cost_flow([(("a",), 10), (("a", "b"), 10)], {"a": 55.0, "b": 60.0}, passes=7) == [{"a": 55.0}, {"a": 0.0, "b": 60.0}]
+    docs = spark.createDataFrame([(i, "s", 10) for i in range(8)] + [(9, "t", 700)], "doc_id long, source string, n long")
+    rows = mixing.mix(docs, F.array("source"), F.col("n"), lambda names: [5.0, 1.0], passes=6).collect()
+    assert sum(len(r._given) for r in rows if r.source == "s") == 48
+
+
+def test_flow_of_many_patterns():
+    rng = np.random.default_rng(5)
+    own = [((f"s{i}",), int(rng.integers(1, 100))) for i in range(10_000)]
+    quotas = mixing.targets({s: n for (s,), n in own}, {s: 1 + i % 3 for i, ((s,), _) in enumerate(own)})
+    began = time.perf_counter()
+    flow = mixing.min_cost_flow(own, quotas)
+    assert all(f[s] == pytest.approx(quotas[s]) for ((s,), _), f in zip(own, flow, strict=True))
+    names = [f"s{i}" for i in range(500)]
+    mixed = [(tuple(names[j] for j in sorted(set(rng.integers(0, 500, 3).tolist()))), int(rng.integers(1, 100))) for _ in range(20_000)]
+    goal = {s: float(rng.integers(100, 20_000)) for s in names}
+    flow = mixing.min_cost_flow(mixed, goal)
+    assert time.perf_counter() - began < 20
+    got = dict.fromkeys(names, 0.0)
+    for (p, n), f in zip(mixed, flow, strict=True):
+        assert set(f) == set(p) and all(x >= 0 for x in f.values()) and sum(f.values()) <= 3 * n + 1e-6
+        for s, x in f.items():
+            got[s] += x
+    assert all(got[s] <= goal[s] + 1e-6 for s in names)
+
+
+def test_shards_of_rows_that_repeat(spark, monkeypatch):
+    monkeypatch.setattr(hilbert, "PER_BIN", 3)
+    rows = [(None, "copy", "en", "s", 4)] * 40 + [(i, f"t{i}", "en", f"host{i}", i) for i in range(30)] + [(7, "t7", "en", "host7", 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int").repartition(5)
+    got = shards_of(spark, docs, 3).collect()
+    assert sorted(str((r.doc_id, r.size)) for r in got) == sorted(str((i, len(t) + 1)) for i, t, *_ in rows)
+    assert sorted((r.shard, r.slot) for r in got) == [(s, i) for s, n in ((0, 24), (1, 24), (2, 23)) for i in range(n)]
+    assert sorted(map(str, shards_of(spark, docs.repartition(2), 3).collect())) == sorted(map(str, got))
