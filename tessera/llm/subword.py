@@ -1,6 +1,6 @@
 """Quality classifier by supervised subword embeddings.
 
-A document is the mean of learned vectors of its words and of their byte n-grams,
+A document is the mean of learned vectors of its words and of their character n-grams,
 hashed into a table of ``BUCKETS`` rows; a repeated neighbour (the same word twice in
 a row) is one more feature, a word bigram that all words share. A softmax over the
 mean gives the classes. Table and softmax are fitted by stochastic gradient descent in
@@ -57,11 +57,15 @@ def features(block: Block, ngrams: tuple[int, ...] = NGRAMS) -> Iterator[tuple[n
     words = block.word_hash()
     same = np.flatnonzero((words[1:] == words[:-1]) & (doc[1:] == doc[:-1]))
     yield doc[same], np.full(len(same), _REPEAT)
+    # n-grams of characters: all bytes that start one, and the first of each word among them
+    lead = np.append(np.flatnonzero((joined & 0xC0) != 0x80), len(joined))
+    char = np.searchsorted(lead, place)
+    length = np.diff(char) - 1
     for n in ngrams:
-        # a word of s bytes with a space on either side has s + 3 - n n-grams
-        count = np.maximum(size + 3 - n, 0)
-        first = np.arange(count.sum()) + np.repeat(place[:-1] - 1 - np.concatenate([[0], np.cumsum(count)[:-1]]), count)
-        yield np.repeat(doc, count), hashed(first, first + n, n)
+        # a word of c characters with a space on either side has c + 3 - n n-grams
+        count = np.maximum(length + 3 - n, 0)
+        first = np.arange(count.sum()) + np.repeat(char[:-1] - 1 - np.concatenate([[0], np.cumsum(count)[:-1]]), count)
+        yield np.repeat(doc, count), hashed(lead[first], lead[first + n], n)
 
 
 def train(texts: list[str], labels: list[int], dim: int = DIM, epochs: int = EPOCHS, rate: float = RATE, seed: int = 3) -> tuple[np.ndarray, float]:
@@ -70,7 +74,7 @@ def train(texts: list[str], labels: list[int], dim: int = DIM, epochs: int = EPO
     if len(set(labels)) < 2:
         return np.zeros(BUCKETS, np.float32), 0.0
     bags = []
-    for block in blocks(pa.array(texts, pa.string())):
+    for block in blocks(pa.array(texts, pa.large_string())):
         docs, buckets = (np.concatenate(x) for x in zip(*features(block), strict=True))
         key, count = np.unique(docs * BUCKETS + buckets, return_counts=True)
         doc, bucket = key // BUCKETS, key % BUCKETS

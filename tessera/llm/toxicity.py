@@ -37,6 +37,8 @@ PER_CLASS = 2000
 MIN_DOCS = 3
 MIN_LOG_ODDS = 3.0
 _MEMO = 300_000
+_MEMO_CHARS = 200
+_COUNTED_CHARS = 1 << 20
 #: The letters that a symbol may stand for.
 LOOK_ALIKE = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c"}
 #: Costs, in nats, of what the channel does to a character.
@@ -121,17 +123,32 @@ def classes() -> np.ndarray:
     return _class
 
 
+def some_texts(column: pa.Array) -> Iterator[list[str]]:
+    """The texts of a column, some at a time: about _COUNTED_CHARS, one at least."""
+    held, size = [], 0
+    for value in column:
+        text = value.as_py()
+        if text:
+            held.append(text)
+            size += len(text)
+            if size > _COUNTED_CHARS:
+                yield held
+                held, size = [], 0
+    if held:
+        yield held
+
+
 def trigram_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """trigram (three classes as one number) and n over all documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, total = classes(), np.zeros(CLASSES**3, np.int64)
         for batch in batches:
-            for at in range(0, batch.num_rows, 200):
-                texts = [t for t in batch.column(0).slice(at, 200).to_pylist() if t]
-                c = table[np.frombuffer(("  " + "  ".join(texts) + "  ").encode("utf-32-le", "replace"), np.uint32)].astype(np.int64)
-                key = (c[:-2] * CLASSES + c[1:-1]) * CLASSES + c[2:]
-                total += np.bincount(key[(c[1:-1] > 0) | (c[2:] > 0)], minlength=CLASSES**3)
+            for text in ("  ".join(["", *texts, ""]) for texts in some_texts(batch.column(0))):
+                for at in range(0, len(text) - 2, _COUNTED_CHARS):  # pieces share the last two
+                    c = table[np.frombuffer(text[at : at + _COUNTED_CHARS + 2].encode("utf-32-le", "replace"), np.uint32)].astype(np.int64)
+                    key = (c[:-2] * CLASSES + c[1:-1]) * CLASSES + c[2:]
+                    total += np.bincount(key[(c[1:-1] > 0) | (c[2:] > 0)], minlength=CLASSES**3)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["trigram", "n"])
 
@@ -207,9 +224,10 @@ class Restorer:
         if known is not None:
             return known
         table, model = classes(), self.model
-        states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
-        for ways in [*self.lattice(text.lower()[:400]), [(" ", 0.0)]] if len(text) <= 400 else []:
-            nxt: dict[tuple[int, int], tuple[float, str]] = {}
+        # a state's text is a chain of its parts, last first, so that long stretches are linear
+        states: dict[tuple[int, int], tuple[float, tuple]] = {(0, 0): (0.0, ())}
+        for ways in [*self.lattice(text.lower()), [(" ", 0.0)]]:
+            nxt: dict[tuple[int, int], tuple[float, tuple]] = {}
             for (a, b), (score, said) in states.items():
                 for add, cost in ways:
                     x, y, s = a, b, score - cost
@@ -219,12 +237,17 @@ class Restorer:
                             s += model[x][y][c]
                         x, y = y, c
                     if (x, y) not in nxt or s > nxt[x, y][0]:
-                        nxt[x, y] = (s, said + add)
+                        nxt[x, y] = (s, (said, add) if add else said)
             states = nxt
-        best = max(states.values(), key=lambda v: v[0])[1].strip() if len(text) <= 400 else " ".join(self.decode(text[i : i + 400]) for i in range(0, len(text), 400))
-        if len(self.memo) >= _MEMO:
-            self.memo.clear()
-        self.memo[text] = best
+        chain, parts = max(states.values(), key=lambda v: v[0])[1], []
+        while chain:
+            chain, add = chain
+            parts.append(add)
+        best = "".join(reversed(parts)).strip()
+        if len(text) <= _MEMO_CHARS:
+            if len(self.memo) >= _MEMO:
+                self.memo.clear()
+            self.memo[text] = best
         return best
 
     def words(self, block: Block) -> Iterator[list[str]]:
@@ -252,7 +275,7 @@ def keys_of(word: str) -> tuple[str, ...]:
 def fit(texts: list[tuple[str, int]], restorer: Restorer) -> tuple[dict[str, float], tuple[float, float]]:
     """Weights of toxic words and word beginnings, and the logistic curve of their sum."""
     texts = sorted(set(texts))
-    words = (w for block in blocks(pa.array([t for t, _ in texts], pa.string())) for w in restorer.words(block))
+    words = (w for block in blocks(pa.array([t for t, _ in texts], pa.large_string())) for w in restorer.words(block))
     bags = [({k for w in set(ws) for k in keys_of(w)}, y) for ws, (_, y) in zip(words, texts, strict=True)]
     size = Counter(y for _, y in bags)
     if len(size) < 2:

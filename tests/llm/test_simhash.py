@@ -7,6 +7,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pytest
 import xxhash
 from pyspark.sql import functions as F
 from samples import TEXTS, documents
@@ -164,3 +165,45 @@ def test_keep_one_finds_what_comparing_all_pairs_finds(spark):
         for words in (first, far, edit(far, 2), edit(far, 12), edit(first, 9)):
             rows.append((len(rows), " ".join(words)))
     assert sorted(x.doc_id for x in simhash.keep_one(documents(spark, rows)).collect()) == survivors(rows)
+
+
+def test_group_links_connect_what_comparing_all_pairs_connects():
+    r = random.Random(6)
+    groups = [[r.getrandbits(64)], []]
+    for size in (2, 5, 40, 64, 65, 200):
+        x, group = r.getrandbits(64), set()
+        while len(group) < size:
+            y = x
+            for _ in range(r.randint(0, 9)):
+                y ^= 1 << r.randrange(64)
+            group.add(y)
+            x = y if r.random() < 0.5 else x
+        groups.append(sorted(group))
+    groups = [g for g in groups if g]
+    cuts = np.concatenate([[0], np.cumsum([len(g) for g in groups])])
+    a, b = simhash.group_links(np.array([x for g in groups for x in g], np.uint64), cuts, 3)
+    assert (np.bitwise_count(a ^ b) <= 3).all()
+    near: dict[int, set[int]] = {}
+    for x, y in zip(a.tolist(), b.tolist(), strict=True):
+        near.setdefault(x, set()).add(y)
+        near.setdefault(y, set()).add(x)
+    for g in groups:
+        for part in reach(g, 3):
+            seen, queue = set(), [min(part)]
+            while queue:
+                x = queue.pop()
+                if x not in seen:
+                    seen.add(x)
+                    queue += near.get(x, ())
+            assert seen == part
+
+
+def test_more_fingerprints_get_longer_keys():
+    pieces = [simhash.pieces_for(10**e, 7) for e in (2, 5, 7, 9)]
+    assert pieces == sorted(pieces) and pieces[0] < pieces[-1]
+    assert [simhash.pieces_for(n, 3) for n in (0, 1)] == [4, 4]
+
+
+def test_ids_that_are_no_integers(spark):
+    with pytest.raises(TypeError):
+        simhash.keep_one(documents(spark).selectExpr("cast(doc_id AS string) AS doc_id", "text"))
