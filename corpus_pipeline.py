@@ -37,7 +37,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes each document as often as the mixture of the sources asks for."""
     source = F.col("source").cast("string")
     out = mixing.mix(docs, F.array(source), mixing.word_count(F.col("text")), mixing.cycle((1, 2, 3)))
-    return out.withColumn("_copy", F.explode("_given")).select(*docs.columns)
+    given, copy = mixing.fresh(docs.columns, "_given"), mixing.fresh(docs.columns, "_copy")
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns], F.explode(given).alias(copy)).drop(copy)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
