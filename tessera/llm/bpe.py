@@ -15,7 +15,8 @@ Letters are those of the ``regex`` module's Unicode version; the tokenizers libr
 is older, so a code point assigned in between may be split otherwise.
 
 Defined cases: a null or empty text has no tokens and decodes to an empty text;
-long texts are encoded whole; an empty table gives an empty result; the extra
+long texts are encoded whole; repeated rows are rows of their own; an empty table gives
+an empty result; the extra
 columns of the input are not looked at.
 """
 
@@ -33,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 _END = ""  # stands for the end-of-word suffix; not in the byte alphabet
+_DECODED_IDS = 1 << 18
 _MEMO = 300_000
 #: Fixed value: the white space of the split pattern's engine.
 _WHITE = r"\t\n\v\f\r \u0085   -     　"
@@ -72,9 +74,7 @@ class Bpe:
         suffix = model["end_of_word_suffix"]
         own = {t: i for t, i in model["vocab"].items()}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.strings = [""] * (1 + max([*own.values(), *self.special.values()]))
-        for t, i in [*own.items(), *self.special.items()]:
-            self.strings[i] = t
+        self.strings = token_strings(spec)
         mark = lambda t: t[: -len(suffix)] + _END if t.endswith(suffix) and t != suffix else t
         self.ids = {mark(t): i for t, i in own.items() if t not in self.special}
         self.names = {i: t for t, i in self.ids.items()}
@@ -247,26 +247,68 @@ def load(path: str) -> Bpe:
 
 
 _loaded: dict[str, Bpe] = {}
+_decoders: dict[str, Decoder] = {}
 
 
-def encode(docs: DataFrame, tokenizer: str, text_col: str = "text", ids_col: str = "token_ids", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """keep and a binary column of little-endian unsigned 32-bit ids of each whole text.
+def load_decoder(path: str) -> Decoder:
+    """One decoder a Python worker; of the file it needs the tokens alone."""
+    if path not in _decoders:
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        _decoders[path] = Decoder(token_strings(spec))
+    return _decoders[path]
+
+
+def token_strings(spec: dict) -> list[str]:
+    """The string of each id."""
+    pairs = [*spec["model"]["vocab"].items(), *((t["content"], t["id"]) for t in spec["added_tokens"])]
+    strings = [""] * (1 + max(i for _, i in pairs))
+    for t, i in pairs:
+        strings[i] = t
+    return strings
+
+
+def encoded(bpe: Bpe, texts: pa.Array) -> pa.Array:
+    return pa.array([bpe.encode(t.as_py() or "") for t in texts], pa.binary())
+
+
+def decoded(decoder: Decoder, column: pa.Array) -> pa.Array:
+    """The texts of a column of ids, some at a time."""
+    column = column.cast(pa.large_binary())
+    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    data = column.buffers()[2]
+    data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    out, row = [], 0
+    while row < len(column):
+        to = max(row + 1, int(np.searchsorted(offsets, offsets[row] + 4 * _DECODED_IDS, "right")) - 1)
+        ids = np.ascontiguousarray(data[offsets[row] : offsets[to]]).view("<u4").astype(np.int64)
+        text, cut = decoder.decode(ids, (offsets[row : to + 1] - offsets[row]) // 4)
+        strings = pa.LargeStringArray.from_buffers(to - row, pa.py_buffer(np.ascontiguousarray(cut, np.int64)), pa.py_buffer(np.ascontiguousarray(text)))
+        out.append(strings.cast(pa.string()))
+        row = to
+    return pa.concat_arrays(out) if out else pa.array([], pa.string())
+
+
+def encode(docs: DataFrame, tokenizer: str, text_col: str = "text", ids_col: str = "token_ids", keep: tuple[str, ...] = ("doc_id",), out_col: str | None = None) -> DataFrame:
+    """keep and a binary column of little-endian unsigned 32-bit ids of each whole text;
+    with ``out_col``, the text that the ids decode to as well, from the same pass.
 
     ``tokenizer`` is the path of the vocabulary file on every machine.
     """
-    picked = docs.select(*[F.col(c).alias(f"_{i}") for i, c in enumerate(keep)], F.col(text_col).alias("_text"))
-    schema = ", ".join([*(f"_{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(keep)), "_ids binary"])
+    picked = docs.select(*[F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(keep)], F.col(text_col).alias("_text"))
+    added = ["_ids binary", *(["_out string"] if out_col else [])]
+    schema = ", ".join([*(f"_{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(keep)), *added])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = load(tokenizer)
+        bpe, decoder = load(tokenizer), load_decoder(tokenizer) if out_col else None
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):  # bounds what one output batch holds
-                part = batch.slice(at, 1000)
-                ids = pa.array([bpe.encode(t.as_py() or "") for t in part.column(part.num_columns - 1)], pa.binary())
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], ids], [*part.schema.names[:-1], "_ids"])
+            for at in range(0, batch.num_rows, 500):  # bounds what one output batch holds
+                part = batch.slice(at, 500)
+                ids = encoded(bpe, part.column(part.num_columns - 1))
+                more = [decoded(decoder, ids)] if decoder else []
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], ids, *more], [*part.schema.names[:-1], *(a.split()[0] for a in added)])
 
-    out = picked.mapInArrow(run, schema)
-    return out.withColumnsRenamed({f"_{i}": c for i, c in enumerate(keep)} | {"_ids": ids_col})
+    return picked.mapInArrow(run, schema).toDF(*keep, ids_col, *([out_col] if out_col else []))
 
 
 def decode(tokens: DataFrame, tokenizer: str, ids_col: str = "token_ids", out_col: str = "decoded") -> DataFrame:
@@ -276,18 +318,11 @@ def decode(tokens: DataFrame, tokenizer: str, ids_col: str = "token_ids", out_co
     at = names.index(ids_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoder = Decoder(load(tokenizer).strings)
+        decoder = load_decoder(tokenizer)
         for batch in batches:
             for first in range(0, batch.num_rows, 500):
                 part = batch.slice(first, 500)
-                column = part.column(at).cast(pa.large_binary())
-                offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
-                data = column.buffers()[2]
-                data = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data is not None else np.zeros(0, np.uint8)
-                ids = np.ascontiguousarray(data).view("<u4").astype(np.int64)
-                text, cut = decoder.decode(ids, (offsets - offsets[0]) // 4)
-                strings = pa.LargeStringArray.from_buffers(len(column), pa.py_buffer(np.ascontiguousarray(cut, np.int64)), pa.py_buffer(np.ascontiguousarray(text)))
-                yield pa.RecordBatch.from_arrays([*part.columns, strings.cast(pa.string())], [*part.schema.names, "_out"])
+                yield pa.RecordBatch.from_arrays([*part.columns, decoded(decoder, part.column(at))], [*part.schema.names, "_out"])
 
     out = tokens.toDF(*[f"_{i}" for i in range(len(names))]).mapInArrow(run, schema)
     return out.toDF(*names, out_col)

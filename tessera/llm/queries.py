@@ -72,7 +72,7 @@ def tokenizer_path() -> str:
 
 def op7_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer_path()
-    tokens = bpe.decode(bpe.encode(_table(spark, sf_dir, "documents"), path), path)
+    tokens = bpe.encode(_table(spark, sf_dir, "documents"), path, out_col="decoded")
     return tokens.select(
         "doc_id",
         (F.octet_length("token_ids") / 4).cast("long").alias("n_tokens"),

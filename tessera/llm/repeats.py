@@ -214,8 +214,12 @@ def sift(a: dict[str, np.ndarray], ids: np.ndarray, ths: np.ndarray, raw: bytes,
     group = np.cumsum(head) - 1
     lead = twin[np.flatnonzero(head)[group]] if len(h) else twin
     # hashes propose, bytes decide
-    spans = zip(*(x.tolist() for x in (a["lo"][twin], a["hi"][twin], a["lo"][lead], a["hi"][lead])), strict=True)
-    equal = np.fromiter((raw[p:q] == raw[r:s] for p, q, r, s in spans), bool, len(twin)) & ~head
+    equal = np.zeros(len(twin), bool)
+    for at in range(0, len(twin), 50_000):
+        part, first = twin[at : at + 50_000], lead[at : at + 50_000]
+        spans = zip(*(x.tolist() for x in (a["lo"][part], a["hi"][part], a["lo"][first], a["hi"][first])), strict=True)
+        equal[at : at + 50_000] = [raw[p:q] == raw[r:s] for p, q, r, s in spans]
+    equal &= ~head
     if first_stays:
         hit = equal & ((ids[doc[twin]] != ids[doc[lead]]) | (pos[twin] != pos[lead]))
         gone = hit | (equal & (ths[doc[twin]] == ths[doc[lead]]))
