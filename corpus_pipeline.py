@@ -45,8 +45,8 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each text as little-endian unsigned 32-bit integers, their number, and
     the digest of the text that the ids decode to."""
     keep = tuple(c for c in ("doc_id", "lang", "source") if c in docs.columns)
-    tokens = bpe.encode(docs, tokenizer_path(), keep=keep)
-    tokens = bpe.decode(tokens, tokenizer_path()).withColumn("decoded_sha256", F.sha2("decoded", 256)).drop("decoded")
+    tokens = bpe.encode(docs, tokenizer_path(), keep=keep, out_col="decoded")
+    tokens = tokens.withColumn("decoded_sha256", F.sha2("decoded", 256)).drop("decoded")
     return tokens.withColumn("n_tokens", (F.octet_length("token_ids") / 4).cast("long"))
 
 
