@@ -14,7 +14,7 @@ copies cost one row. Where many different fingerprints share a key, a breadth-fi
 walk gives links that keep the group connected as it is, fewer than it has members;
 very large groups are split once more by blocks of the bits that are left. Such links are
 enough for components by distance alone; ``keep_one``, which also asks for similarity,
-compares all pairs between the parts that failed links leave.
+goes on from the parts that failed links leave until no pair between them is left.
 
 Defined cases: null and empty texts have fingerprint 0 and link like any other; texts
 shorter than a shingle are one shingle; long texts are taken whole; repeated rows and
@@ -46,9 +46,10 @@ DISTANCE = 3
 SEED = 42
 _SPLIT_ABOVE = 2048
 _SMALL = 64
-#: Cost of comparing two fingerprints of a group against that of exchanging a row.
-_COMPARE = 0.01
-_FULL = (1 << 16) - 1
+#: Cost of a comparison with a member of the group, walks of large groups included,
+#: against that of exchanging a row.
+_COMPARE = 0.05
+_BITS = (256, 1 << 16)
 _EPSILON = 1e-6
 _LANES = np.uint64(0x0101010101010101)
 
@@ -233,25 +234,87 @@ def shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
     return docs.select("_id", "_text").mapInArrow(run, "_id long, shingles array<long>")
 
 
-def cross_pairs(nodes: DataFrame, distance: int, pieces: int | None, similarity: float) -> DataFrame:
-    """a, b: all pairs of nodes of different labels whose fingerprints are within
-    ``distance`` bits, but for those whose shingle counts exclude the similarity.
+def parities(sets: DataFrame) -> DataFrame:
+    """_id, n and parity of sets of hashes: for each class of hashes, by their last bits,
+    whether the set has an odd number of it. Two sets differ in as many members at least as
+    their parities do in bits. A set has two classes for each member, or more."""
 
-    nodes: node, fp, label and shingles. Each pair comes once, from the first key that
-    it shares. The counts are of shingles by the last seven bits of their hash; two sets
-    have at most the smaller count in common in each class, so no similar pair is lost.
-    """
-
-    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [np.asarray(x.values, np.int64) for x in batch.column(3)]
-            counts = [np.minimum(np.bincount(x & 127, minlength=128), _FULL).astype(np.uint16).tobytes() for x in sets]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array([len(x) for x in sets], pa.int64()), pa.array(counts, pa.binary())], ["node", "fp", "label", "n", "counts"])
+            out, sizes = [], []
+            for x in batch.column(1):
+                hashes = np.asarray(x.values, np.int64)
+                bits = min(max(_BITS[0], 1 << (2 * len(hashes) - 1).bit_length()), _BITS[1])
+                out.append(np.packbits(np.bincount(hashes & (bits - 1), minlength=bits).astype(np.uint8) & 1, bitorder="little").tobytes())
+                sizes.append(len(hashes))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(out, pa.binary())], ["_id", "n", "parity"])
+
+    return sets.select("_id", "shingles").mapInArrow(run, "_id long, n long, parity binary")
+
+
+class Parities:
+    """The parities of a group's members, folded to fewer classes as a pair needs it."""
+
+    def __init__(self, column: list[bytes]):
+        self.size = np.array([8 * len(p) for p in column])
+        self.row = np.zeros(len(column), np.int64)
+        self.folded: dict[tuple[int, int], np.ndarray] = {}
+        for bits in np.unique(self.size).tolist():
+            own = np.flatnonzero(self.size == bits)
+            self.row[own] = np.arange(len(own))
+            self.folded[bits, bits] = np.frombuffer(b"".join(column[i] for i in own), np.uint64).reshape(len(own), -1)
+
+    def at(self, bits: int, to: int) -> np.ndarray:
+        if (bits, to) not in self.folded:
+            wide = self.at(bits, 2 * to)
+            self.folded[bits, to] = wide[:, : to // 64] ^ wide[:, to // 64 :]
+        return self.folded[bits, to]
+
+    def differing(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Bits that differ between members a[i] and b[i]."""
+        out, kinds = np.zeros(len(a), np.int64), self.size[a] << 20 | self.size[b]
+        for kind in np.unique(kinds).tolist():
+            left, right = kind >> 20, kind & 0xFFFFF
+            to = min(left, right)
+            x, y = self.at(left, to), self.at(right, to)
+            pairs = np.flatnonzero(kinds == kind)
+            step = max(1, (4 << 20) // (to // 8))
+            for lo in range(0, len(pairs), step):
+                some = pairs[lo : lo + step]
+                out[some] = np.bitwise_count(x[self.row[a[some]]] ^ y[self.row[b[some]]]).sum(axis=1)
+        return out
+
+
+def forest(a: np.ndarray, b: np.ndarray, root: dict[int, int]) -> np.ndarray:
+    """Which of the links (a[i], b[i]), in order, connect what was not connected; root
+    remembers what was."""
 
-    bits = masks(pieces or pieces_for(nodes.count(), distance), distance)
+    def find(x: int) -> int:
+        while (up := root.get(x, x)) != x:
+            root[x] = x = root.get(up, up)
+        return x
+
+    first = np.sort(np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0, return_index=True)[1]) if len(a) else np.zeros(0, np.int64)
+    out = []
+    for i, x, y in zip(first.tolist(), a[first].tolist(), b[first].tolist(), strict=True):
+        x, y = find(x), find(y)
+        if x != y:
+            root[y] = x
+            out.append(i)
+    return np.array(out, np.int64)
+
+
+def cross_pairs(nodes: DataFrame, distance: int, pieces: int, similarity: float, spanning: bool) -> DataFrame:
+    """a, b: pairs of nodes of different labels whose fingerprints are within ``distance``
+    bits, but for those whose parities exclude the similarity: all such pairs, or, with
+    ``spanning``, enough to connect the labels that they connect, likely ones first.
+
+    nodes: node, fp, label, and n and parity of their shingles. Each pair comes once, from
+    the first key that it shares.
+    """
+    bits = masks(pieces, distance)
     keys = F.array(*[F.struct(F.lit(i).alias("choice"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("key")) for i, m in enumerate(bits)])
-    counted = nodes.select("node", "fp", "label", "shingles").mapInArrow(sketch, "node long, fp long, label long, n long, counts binary")
-    keyed = counted.select("*", F.explode(keys).alias("_k")).select("_k.choice", "_k.key", "node", "fp", "label", "n", "counts")
+    keyed = nodes.select("node", "fp", "label", "n", "parity", F.explode(keys).alias("_k")).select("_k.choice", "_k.key", "node", "fp", "label", "n", "parity")
     keyed = keyed.repartition("choice", "key").sortWithinPartitions("choice", "key", "node")
 
     def pairs(group: pa.Table) -> Iterator[pa.RecordBatch]:
@@ -260,8 +323,7 @@ def cross_pairs(nodes: DataFrame, distance: int, pieces: int | None, similarity:
         if len(names) < 2:
             return
         fp = group.column("fp").to_numpy().view(np.uint64)
-        counts = np.frombuffer(b"".join(group.column("counts").to_pylist()), np.uint16).reshape(-1, 128)
-        sated = (counts == _FULL).any(axis=1)
+        parity, root = Parities(group.column("parity").to_pylist()), {}
         largest = label == names[np.argmax(sizes)]
         earlier = [np.uint64(m) for m in bits[: choice[0]]]
         others = np.flatnonzero(~largest)
@@ -278,11 +340,17 @@ def cross_pairs(nodes: DataFrame, distance: int, pieces: int | None, similarity:
             for m in earlier:
                 new &= (differ & m) != 0
             i, j = i[new], j[new]
+            apart = parity.differing(i, j)
+            both = n[i] + n[j]
+            may = apart <= both * (1 - similarity) / (1 + similarity) + _EPSILON
+            i, j, apart, both = i[may], j[may], apart[may], both[may]
+            if spanning:
+                order = np.argsort(apart / np.maximum(both, 1), kind="stable")
+                i, j = i[order], j[order]
+                chosen = forest(label[i], label[j], root)
+                i, j = i[chosen], j[chosen]
             for lo in range(0, len(i), 100_000):
-                a, b = i[lo : lo + 100_000], j[lo : lo + 100_000]
-                common = np.minimum(counts[a], counts[b]).sum(axis=1, dtype=np.int64)
-                may = sated[a] | sated[b] | (common >= similarity * (n[a] + n[b] - common) - _EPSILON)
-                yield pa.RecordBatch.from_arrays([pa.array(node[a[may]]), pa.array(node[b[may]])], ["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(node[i[lo : lo + 100_000]]), pa.array(node[j[lo : lo + 100_000]])], ["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
@@ -316,7 +384,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     an edited word changes fewer of them.
 
     A few links that connect close fingerprints are verified first. Where that leaves
-    texts apart that close fingerprints connect, all pairs between the parts are verified.
+    texts apart that close fingerprints connect, the likeliest links between the parts are
+    verified, as long as that connects more, and at last all pairs between the parts.
     Texts are told apart by 128 bits of hashes.
     """
     require_integers(docs, id_col)
@@ -331,6 +400,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     texts = cut(texts.withColumn("node", F.monotonically_increasing_id()))
     firsts = cut(texts.groupBy("fp").agg(F.min("node").alias("first")))
     of = lambda c: firsts.select(F.col("fp").alias(f"_f{c}"), F.col("first").alias(f"_{c}"))
+    pieces = pieces or pieces_for(firsts.count(), distance)
     found = links(firsts.select("fp"), distance, pieces).distinct().join(of("a"), F.col("a") == F.col("_fa")).join(of("b"), F.col("b") == F.col("_fb"))
     same = texts.join(of("a"), F.col("fp") == F.col("_fa")).filter("node != _a").select("_a", F.col("node").alias("_b"))
     proposed = cut(found.select("_a", "_b").union(same).toDF("a", "b"))
@@ -356,12 +426,22 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
         return nodes.join(roots, F.col(at) == F.col("_n"), "left").withColumn("label", F.coalesce("root", at)).drop("_n", "root")
 
     labels = cut(name(nodes, similar(proposed), "node"))
-    apart = labelled(proposed, labels)
-    apart = cut(apart.select(F.col("_la").alias("_l")).union(apart.select("_lb")).distinct())
-    if not apart.isEmpty():
-        open_ = cut(labels.join(apart, F.col("label") == F.col("_l"), "left_semi").join(sets.withColumnRenamed("_id", "_n"), F.col("node") == F.col("_n")))
-        more = labelled(similar(cross_pairs(open_, distance, pieces, similarity)), labels)
-        labels = name(labels, more.toDF("a", "b"), "label")
+    sketches, spanning = None, True
+    while True:
+        apart = labelled(proposed, labels)
+        apart = cut(apart.select(F.col("_la").alias("_l")).union(apart.select("_lb")).distinct())
+        if apart.isEmpty():
+            break
+        if sketches is None:
+            sketches = cut(parities(sets)).withColumnRenamed("_id", "_n")
+        open_ = labels.join(apart, F.col("label") == F.col("_l"), "left_semi").join(sketches, F.col("node") == F.col("_n"))
+        more = cut(labelled(similar(cross_pairs(open_, distance, pieces, similarity, spanning)), labels).toDF("a", "b"))
+        merged = not more.isEmpty()
+        if merged:
+            labels = cut(name(labels, more, "label"))
+        if not spanning:
+            break  # all pairs between the labels have been verified
+        spanning = merged
 
     grouped = texts.join(labels.select(F.col("node").alias("_n"), "label"), F.col("node") == F.col("_n"), "left")
     first = grouped.groupBy(F.coalesce("label", "node").alias("label")).agg(F.min(F.struct(*key)).alias("_key")).select("_key.*")

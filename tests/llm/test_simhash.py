@@ -207,3 +207,33 @@ def test_more_fingerprints_get_longer_keys():
 def test_ids_that_are_no_integers(spark):
     with pytest.raises(TypeError):
         simhash.keep_one(documents(spark).selectExpr("cast(doc_id AS string) AS doc_id", "text"))
+
+
+def test_parities_bound_the_difference():
+    r = random.Random(14)
+    sets = [{r.getrandbits(62) for _ in range(n)} for n in (1, 30, 200, 900)]
+    sets += [set(r.sample(sorted(s), len(s) * 9 // 10)) | {r.getrandbits(62) for _ in range(9)} for s in sets]
+    packed = []
+    for x in sets:
+        bits = min(max(simhash._BITS[0], 1 << (2 * len(x) - 1).bit_length()), simhash._BITS[1])
+        odd = [0] * bits
+        for h in x:
+            odd[h & (bits - 1)] ^= 1
+        packed.append(bytes(sum(odd[8 * i + k] << k for k in range(8)) for i in range(bits // 8)))
+    a, b = (np.array(x) for x in zip(*[(i, j) for i in range(8) for j in range(8)], strict=True))
+    got = simhash.Parities(packed).differing(a, b)
+    for i, j, n in zip(a.tolist(), b.tolist(), got.tolist(), strict=True):
+        assert n <= len(sets[i] ^ sets[j]) and (i != j or n == 0)
+    assert got[3 * 8 + 7] > 0.8 * len(sets[3] ^ sets[7])
+
+
+def test_a_family_around_the_threshold(spark):
+    r = random.Random(15)
+    first = [f"w{r.randrange(5000)}" for _ in range(500)]
+    rows = []
+    for i in range(60):
+        words = list(first)
+        for at in r.sample(range(500), r.choice([2, 4, 6, 7])):
+            words[at] = f"e{r.randrange(10**6)}"
+        rows.append((i, " ".join(words)))
+    assert sorted(x.doc_id for x in simhash.keep_one(documents(spark, rows)).collect()) == survivors(rows)
