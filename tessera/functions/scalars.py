@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from functools import reduce
+import unicodedata
+from functools import cache, reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -85,19 +86,33 @@ def collapse_space(c: Column | str) -> Column:
     return F.trim(F.regexp_replace(col(c), r"\s+", " "))
 
 
-#: Letters with marks of the Latin-1 range and their plain forms, in order.
-_MARKED = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿ"
-_PLAIN = "aaaaaaceeeeiiiinooooouuuuyy"
+@cache
+def _folds() -> tuple[str, str]:
+    """Characters and their plain forms, by Unicode decomposition: all that come down to
+    one character without combining marks, and last the marks, which have no plain form."""
+    marked, plain, marks = [], [], []
+    for code in (*range(0x80, 0xD800), *range(0xF900, 0x10000)):
+        ch = chr(code)
+        if unicodedata.combining(ch):
+            marks.append(ch)
+            continue
+        left = [x for x in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(x)]
+        if len(left) == 1 and left[0] != ch:
+            marked.append(ch)
+            plain.append(left[0])
+    return "".join(marked + marks), "".join(plain)
 
 
 def fold_accents(c: Column | str) -> Column:
-    """Lower case without the marks of Latin letters."""
-    return F.translate(F.lower(col(c)), _MARKED, _PLAIN)
+    """Lower case without marks, in any script. A character that stands for several, like a
+    ligature or a Hangul syllable, stays whole."""
+    return F.lower(F.translate(col(c), *_folds()))
 
 
 def key_part(c: Column | str) -> Column:
-    """Key of a name: folded, separators to spaces, other punctuation dropped."""
-    spaced = F.regexp_replace(fold_accents(c), r"[\s\-_/]+", " ")
+    """Key of a name: folded, blanks, hyphens, underscores and slashes to one space, all
+    else but letters and digits dropped."""
+    spaced = F.regexp_replace(fold_accents(c), r"[ \-_/]+", " ")
     return F.trim(F.regexp_replace(F.regexp_replace(spaced, r"[^\p{L}\p{N} ]", ""), " +", " "))
 
 
@@ -144,14 +159,16 @@ def period_start(c: Column | str) -> Column:
 
 def european_amount(c: Column | str) -> Column:
     """A number with either decimal sign: the last of comma and point decides; a lone
-    comma is decimal if up to three digits follow it."""
-    raw = F.regexp_replace(col(c), r"[^\d,.\-]", "")
+    comma is decimal if up to three characters follow it. Blanks and the currency are
+    left out; null where anything else remains that is no number."""
+    raw = F.regexp_replace(col(c), r"(?U)\s+|EUR|eur|€", "")
     comma, point = F.length(raw) - F.instr(F.reverse(raw), ","), F.length(raw) - F.instr(F.reverse(raw), ".")
     has_comma, has_point = F.contains(raw, F.lit(",")), F.contains(raw, F.lit("."))
     as_comma = F.replace(F.replace(raw, F.lit("."), F.lit("")), F.lit(","), F.lit("."))
     as_point = F.replace(raw, F.lit(","), F.lit(""))
-    decimal_comma = (has_comma & has_point & (comma > point)) | (has_comma & ~has_point & raw.rlike(r"^-?\d+,\d{1,3}$"))
-    return F.when(decimal_comma, as_comma).otherwise(as_point).try_cast("double")
+    decimal_comma = (has_comma & has_point & (comma > point)) | (has_comma & ~has_point & raw.rlike(r"^[^,]*,[^,]{0,3}$"))
+    token = F.when(decimal_comma, as_comma).otherwise(F.when(has_comma, as_point).otherwise(raw))
+    return F.when(token.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"), token.try_cast("double"))
 
 
 #: What the letters of a Roman number count for.
@@ -159,12 +176,15 @@ ROMAN = {"I": 1, "V": 5, "X": 10, "L": 50, "C": 100, "D": 500, "M": 1000}
 
 
 def roman_to_int(c: Column | str) -> Column:
-    """A Roman number's value; null if a text holds anything else."""
+    """A Roman number's value, read from the right: a letter below the largest so far is
+    taken away. Null if a text holds anything else."""
     c = F.upper(F.trim(col(c)))
     value = F.create_map(*[F.lit(x) for kv in ROMAN.items() for x in kv])
     digits = F.transform(F.split(c, ""), lambda ch: F.coalesce(value[ch], F.lit(0)))
-    signed = F.transform(digits, lambda d, i: F.when(d < F.coalesce(F.get(digits, i + 1), F.lit(0)), -d).otherwise(d))
-    return F.when(c.rlike("^[IVXLCDM]+$"), F.aggregate(signed, F.lit(0), lambda a, d: a + d))
+    none = F.struct(F.lit(0).alias("sum"), F.lit(0).alias("most"))
+    add = lambda a, d: F.struct(F.when(d < a["most"], a["sum"] - d).otherwise(a["sum"] + d).alias("sum"), F.greatest(a["most"], d).alias("most"))
+    total = F.aggregate(F.reverse(digits), none, add, lambda a: a["sum"])
+    return F.when(c.rlike("^[IVXLCDM]+$") & (total > 0), total)
 
 
 def confidence_band(c: Column | str, high: float = 0.8, medium: float = 0.5) -> Column:
@@ -246,13 +266,25 @@ def vote_choice(c: Column | str, variant: str = "snapshot") -> Column:
 
 
 def split_name(c: Column | str) -> Column:
-    """struct(family, given) of "Family, Given"; without a comma the last word is the family."""
-    text = collapse_space(c)
+    """struct(family, given, full) of "Family, Given"; without a comma only the full name
+    is known."""
+    text = F.coalesce(collapse_space(c), F.lit(""))
     parts = F.split(text, ",", 2)
     comma = F.size(parts) > 1
-    family = F.when(comma, F.trim(F.get(parts, F.lit(0)))).otherwise(F.regexp_extract(text, r"(\S+)$", 1))
-    given = F.when(comma, F.trim(F.get(parts, F.lit(1)))).otherwise(F.trim(F.regexp_replace(text, r"\S+$", "")))
-    return F.struct(family.alias("family"), given.alias("given"))
+    family, given = (F.trim(F.get(parts, F.lit(i))) for i in (0, 1))
+    full = F.when(comma, F.trim(F.concat_ws(" ", given, family))).otherwise(text)
+    empty = F.lit("")
+    return F.struct(F.when(comma, F.nullif(family, empty)).alias("family"), F.when(comma, F.nullif(given, empty)).alias("given"), full.alias("full"))
+
+
+def split_name_last(c: Column | str) -> Column:
+    """As split_name, but without a comma the last word is the family name."""
+    text = F.coalesce(collapse_space(c), F.lit(""))
+    known = split_name(c)
+    comma = F.contains(text, F.lit(","))
+    family = F.when(comma, known["family"]).otherwise(F.nullif(F.regexp_extract(text, r"(\S+)$", 1), F.lit("")))
+    given = F.when(comma, known["given"]).otherwise(F.nullif(F.trim(F.regexp_replace(text, r"\S+$", "")), F.lit("")))
+    return F.struct(family.alias("family"), given.alias("given"), known["full"].alias("full"))
 
 
 def mapped(c: Column | str, codes: dict[str, str], default: Column | None = None) -> Column:

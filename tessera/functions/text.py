@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import html
 import unicodedata
 from dataclasses import dataclass
 
@@ -23,6 +24,12 @@ def fold_unicode(s: pd.Series) -> pd.Series:
     return s.map(fold)
 
 
+@F.pandas_udf(T.StringType())
+def unescape(s: pd.Series) -> pd.Series:
+    """Named and numeric entities of a page resolved, once."""
+    return s.map(lambda t: None if t is None else html.unescape(t))
+
+
 @F.pandas_udf(T.StringType())
 def ascii_only(s: pd.Series) -> pd.Series:
     """What is left of a text in ASCII after its characters are taken apart."""

@@ -58,29 +58,30 @@ def keyword_domain_infer(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", S.first_keyword("text", _HINTS).alias("label")).groupBy("label").agg(F.count(F.lit(1)).alias("n_docs"), F.min("doc_id").alias("first_doc"))
 
 
-_FOLD = "translate(lower({c}), 'àáâãäåçèéêëìíîïñòóôõöùúûüýÿ', 'aaaaaaceeeeiiiinooooouuuuyy')"
+_FOLD = "strip_accents(lower({c}))"
+_FOREIGN = " Ünïted O'Neil Šimić Őr\tĂrpád Żółć Ōta"
 
 
 @plan(f"""
 WITH x AS (SELECT DISTINCT p_name || ' / ' || p_brand || '.' AS raw FROM part
-  UNION SELECT DISTINCT source || '-' || lang || ' Ünïted O''Neil' FROM documents)
+  UNION SELECT DISTINCT source || '-' || lang || '{_FOREIGN.replace("'", "''")}' FROM documents)
 SELECT raw,
-  trim(regexp_replace(regexp_replace(regexp_replace({_FOLD.format(c='raw')}, '[\\s\\-_/]+', ' ', 'g'), '[^\\p{{L}}\\p{{N}} ]', '', 'g'), ' +', ' ', 'g')) AS key_part,
+  trim(regexp_replace(regexp_replace(regexp_replace({_FOLD.format(c='raw')}, '[ \\-_/]+', ' ', 'g'), '[^\\p{{L}}\\p{{N}} ]', '', 'g'), ' +', ' ', 'g')) AS key_part,
   trim(regexp_replace({_FOLD.format(c='raw')}, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')) AS title_key
 FROM x
 """)
 def key_normalize(t: Tables) -> DataFrame:
     """Two keys of a name: punctuation deleted, or turned into spaces."""
     names = t.part.select(F.concat("p_name", F.lit(" / "), "p_brand", F.lit(".")).alias("raw"))
-    tags = t.documents.select(F.concat("source", F.lit("-"), "lang", F.lit(" Ünïted O'Neil")).alias("raw"))
+    tags = t.documents.select(F.concat("source", F.lit("-"), "lang", F.lit(_FOREIGN)).alias("raw"))
     return names.union(tags).distinct().select("raw", S.key_part("raw").alias("key_part"), S.title_key("raw").alias("title_key"))
 
 
 @plan("""
-WITH a AS (SELECT page_id, regexp_replace(html, '<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<!--.*?-->', ' ', 'gsi') AS h FROM pages),
+WITH u AS (SELECT page_id, replace(replace(replace(replace(html, '&copy;', '©'), '&middot;', '·'), '&quot;', '"'), '&amp;', '&') AS html FROM pages),
+a AS (SELECT page_id, regexp_replace(html, '<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<!--.*?-->', ' ', 'gsi') AS h FROM u),
 b AS (SELECT page_id, regexp_replace(h, '<[^>]+>', ' ', 'g') AS h FROM a),
-c AS (SELECT page_id, replace(replace(replace(replace(replace(replace(h, '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&') AS h FROM b),
-d AS (SELECT page_id, trim(regexp_replace(h, '\\s+', ' ', 'g')) AS h FROM c)
+d AS (SELECT page_id, trim(regexp_replace(h, '\\s+', ' ', 'g')) AS h FROM b)
 SELECT page_id, md5(h) AS text_md5, length(h) AS n_chars FROM d
 """)
 def html_strip(t: Tables) -> DataFrame:
@@ -99,16 +100,19 @@ def url_canonical(t: Tables) -> DataFrame:
 
 
 @plan("""
-WITH x AS (SELECT o_orderkey, CAST(CAST(o_totalprice * 100 AS BIGINT) AS VARCHAR) AS d FROM orders WHERE o_totalprice >= 1000),
-y AS (SELECT o_orderkey, left(d, length(d) - 5) || '.' || substr(d, length(d) - 4, 3) || ',' || right(d, 2) AS raw FROM x)
-SELECT o_orderkey, raw, CAST(replace(replace(raw, '.', ''), ',', '.') AS DOUBLE) AS amount FROM y
+WITH x AS (SELECT o_orderkey, CAST(round(o_totalprice * 100) AS BIGINT) // CASE WHEN o_orderkey % 5 = 0 THEN 1000 ELSE 1 END AS cents FROM orders)
+SELECT o_orderkey, translate(format('{:,}', cents // 100), ',', '.') || ',' || lpad(CAST(cents % 100 AS VARCHAR), 2, '0') || CASE o_orderkey % 3 WHEN 0 THEN ' EUR' WHEN 1 THEN '€' ELSE '' END AS raw,
+  CASE WHEN o_orderkey % 4 = 3 THEN NULL ELSE cents / 100.0 END AS amount FROM x
 """)
 def amount_parse(t: Tables) -> DataFrame:
-    """Amounts written with points for thousands and a decimal comma."""
-    digits = t.orders.filter("o_totalprice >= 1000").select("o_orderkey", F.round(F.col("o_totalprice") * 100).cast("long").cast("string").alias("d"))
-    n = F.length("d")
-    raw = F.concat(F.expr("left(d, length(d) - 5)"), F.lit("."), F.expr("substr(d, length(d) - 4, 3)"), F.lit(","), F.right("d", F.lit(2)))
-    return digits.filter(n > 5).select("o_orderkey", raw.alias("raw")).withColumn("amount", S.european_amount("raw"))
+    """Amounts written with points for thousands, a decimal comma and a currency; what has
+    letters inside is no amount."""
+    cents = F.floor(F.round(F.col("o_totalprice") * 100) / F.when(F.col("o_orderkey") % 5 == 0, 1000).otherwise(1)).cast("long")
+    digits = F.translate(F.format_number((cents / 100).cast("decimal(18,2)"), 2), ",.", ".,")
+    unit = F.when(F.col("o_orderkey") % 3 == 0, " EUR").when(F.col("o_orderkey") % 3 == 1, "€").otherwise("")
+    raw = t.orders.select("o_orderkey", F.concat(digits, unit).alias("raw"))
+    spoilt = F.when(F.col("o_orderkey") % 4 == 3, F.concat("raw", F.lit("x"))).otherwise(F.col("raw"))
+    return raw.withColumn("amount", S.european_amount(spoilt))
 
 
 @plan("""
@@ -133,9 +137,10 @@ def period_to_date(t: Tables) -> DataFrame:
 
 
 @plan("""
-SELECT n, (list_value('', 'C', 'CC', 'CCC', 'CD')[n // 100 + 1] || list_value('', 'X', 'XX', 'XXX', 'XL', 'L', 'LX', 'LXX', 'LXXX', 'XC')[n // 10 % 10 + 1] || list_value('', 'I', 'II', 'III', 'IV', 'V', 'VI', 'VII', 'VIII', 'IX')[n % 10 + 1]) AS roman,
+WITH r AS (SELECT n, (list_value('', 'C', 'CC', 'CCC', 'CD')[n // 100 + 1] || list_value('', 'X', 'XX', 'XXX', 'XL', 'L', 'LX', 'LXX', 'LXXX', 'XC')[n // 10 % 10 + 1] || list_value('', 'I', 'II', 'III', 'IV', 'V', 'VI', 'VII', 'VIII', 'IX')[n % 10 + 1]) AS roman,
   CAST(n AS INTEGER) AS value
-FROM (SELECT DISTINCT p_size + 100 * (p_partkey % 5) AS n FROM part)
+FROM (SELECT DISTINCT p_size + 100 * (p_partkey % 5) AS n FROM part))
+SELECT * FROM r UNION ALL SELECT n, 'II' || roman, value - 2 FROM r WHERE n % 10 = 0
 """)
 def roman_to_int(t: Tables) -> DataFrame:
     """Roman numbers and back; the numbers are written here to be read again."""
@@ -147,7 +152,10 @@ def roman_to_int(t: Tables) -> DataFrame:
     ))
     i = F.col("n").cast("int")
     roman = F.concat(F.get(hundreds, F.floor(i / 100).cast("int")), F.get(tens, F.pmod(F.floor(i / 10), F.lit(10)).cast("int")), F.get(ones, F.pmod(i, F.lit(10))))
-    return n.select("n", roman.alias("roman")).withColumn("value", S.roman_to_int("roman"))
+    written = n.select("n", roman.alias("roman"))
+    # two ones before a number of tens are taken away from it
+    loose = written.filter("n % 10 = 0").select("n", F.concat(F.lit("II"), "roman").alias("roman"))
+    return written.union(loose).withColumn("value", S.roman_to_int("roman"))
 
 
 @plan("""
@@ -177,12 +185,12 @@ def pattern_predicates(t: Tables) -> DataFrame:
 SELECT l_orderkey, l_linenumber, CASE l_returnflag WHEN 'A' THEN 1 WHEN 'R' THEN -1 ELSE 0 END AS polarity,
   CASE l_returnflag WHEN 'A' THEN 'support' WHEN 'R' THEN 'oppose' ELSE 'unclear' END AS stance,
   CASE WHEN 1 - l_discount >= 0.95 THEN 'high' WHEN 1 - l_discount >= 0.92 THEN 'medium' ELSE 'low' END AS band
-FROM lineitem WHERE l_linenumber = 1
+FROM lineitem
 """)
 def derived_labels(t: Tables) -> DataFrame:
     """Derived CASE projections: polarity, stance and confidence band."""
     flag = F.col("l_returnflag")
-    return t.lineitem.filter("l_linenumber = 1").select(
+    return t.lineitem.select(
         "l_orderkey",
         "l_linenumber",
         F.when(flag == "A", 1).when(flag == "R", -1).otherwise(0).alias("polarity"),

@@ -19,22 +19,23 @@ def _list(values: tuple[str, ...]) -> str:
     return "[" + ", ".join(f"'{v}'" for v in values) + "]"
 
 
-@plan(f"SELECT l_orderkey, l_linenumber, l_partkey, {_list(_SNAPSHOT)}[l_partkey % 9 + 1] AS choice, {_list(_PAGE)}[l_partkey % 9 + 1] AS page_choice FROM lineitem WHERE l_orderkey < 1000")
+@plan(f"SELECT l_orderkey, l_linenumber, l_partkey, {_list(_SNAPSHOT)}[l_partkey % 9 + 1] AS choice, {_list(_PAGE)}[l_partkey % 9 + 1] AS page_choice FROM lineitem")
 def vote_choice_normalize(t: Tables) -> DataFrame:
     """Spellings of vote choices under both sets of rules."""
     raw = F.get(F.array(*[F.lit(c) for c in _CHOICES]), (F.col("l_partkey") % 9).cast("int"))
-    return t.lineitem.filter("l_orderkey < 1000").select("l_orderkey", "l_linenumber", "l_partkey", S.vote_choice(raw).alias("choice"), S.vote_choice(raw, "page").alias("page_choice"))
+    return t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", S.vote_choice(raw).alias("choice"), S.vote_choice(raw, "page").alias("page_choice"))
 
 
 @plan("""
-SELECT c_custkey, 'Customer' AS given, split_part(c_name, '#', 2) AS family, CASE c_custkey % 3 WHEN 0 THEN 'F' WHEN 1 THEN 'M' ELSE 'U' END AS gender FROM customer
+SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN 'Customer' END AS given, CASE WHEN c_custkey % 2 = 0 THEN split_part(c_name, '#', 2) END AS family,
+  CASE WHEN c_custkey % 2 = 0 THEN 'Customer ' || split_part(c_name, '#', 2) ELSE replace(c_name, '#', ' ') END AS full, CASE c_custkey % 3 WHEN 0 THEN 'F' WHEN 1 THEN 'M' ELSE 'U' END AS gender FROM customer
 """)
 def name_and_codes(t: Tables) -> DataFrame:
     """Names taken apart, and codes of spellings."""
     name = F.when(F.col("c_custkey") % 2 == 0, F.concat(F.split_part("c_name", F.lit("#"), F.lit(2)), F.lit(",  Customer"))).otherwise(F.replace("c_name", F.lit("#"), F.lit(" ")))
     spelled = F.get(F.array(F.lit("Mujér"), F.lit("hombre "), F.lit("?")), (F.col("c_custkey") % 3).cast("int"))
     code = S.mapped(spelled, {"mujer": "F", "hombre": "M"}, F.lit("U"))
-    return t.customer.select("c_custkey", S.split_name(name).alias("n"), code.alias("gender")).select("c_custkey", "n.given", "n.family", "gender")
+    return t.customer.select("c_custkey", S.split_name(name).alias("n"), code.alias("gender")).select("c_custkey", "n.given", "n.family", "n.full", "gender")
 
 
 @plan("""
@@ -63,16 +64,16 @@ def redact_payload(t: Tables) -> DataFrame:
 
 
 @plan("""
-WITH q AS (SELECT o_orderkey AS k, 'pending' AS status, CASE WHEN o_totalprice > 250000 THEN 'support' ELSE 'unclear' END AS stance FROM orders WHERE o_orderkey < 2000),
-d AS (SELECT l_orderkey AS k, CASE l_returnflag WHEN 'A' THEN 'resolved' WHEN 'R' THEN 'ignored' ELSE 'pending' END AS status, CASE WHEN l_returnflag = 'A' THEN 'oppose' END AS stance, CAST(l_linenumber AS BIGINT) * 1000000 + l_partkey AS w FROM lineitem WHERE l_orderkey < 1500),
+WITH q AS (SELECT o_orderkey AS k, 'pending' AS status, CASE WHEN o_totalprice > 250000 THEN 'support' ELSE 'unclear' END AS stance FROM orders),
+d AS (SELECT l_orderkey AS k, CASE l_returnflag WHEN 'A' THEN 'resolved' WHEN 'R' THEN 'ignored' ELSE 'pending' END AS status, CASE WHEN l_returnflag = 'A' THEN 'oppose' END AS stance, CAST(l_linenumber AS BIGINT) * 1000000 + l_partkey AS w FROM lineitem WHERE l_orderkey % 4 <> 0),
 n AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY w DESC, status) AS r FROM d) WHERE r = 1)
 SELECT q.k, coalesce(n.status, q.status) AS status, coalesce(n.stance, q.stance) AS stance FROM q LEFT JOIN n ON n.k = q.k
 """)
 def review_decisions(t: Tables) -> DataFrame:
     """A review queue with the newest decision of each entry applied."""
-    q = t.orders.filter("o_orderkey < 2000").select(F.col("o_orderkey").alias("k"), F.lit("pending").alias("status"), F.when(F.col("o_totalprice") > 250000, "support").otherwise("unclear").alias("stance"))
+    q = t.orders.select(F.col("o_orderkey").alias("k"), F.lit("pending").alias("status"), F.when(F.col("o_totalprice") > 250000, "support").otherwise("unclear").alias("stance"))
     flag = F.col("l_returnflag")
-    d = t.lineitem.filter("l_orderkey < 1500").select(F.col("l_orderkey").alias("k"), F.when(flag == "A", "resolved").when(flag == "R", "ignored").otherwise("pending").alias("status"), F.when(flag == "A", "oppose").alias("stance"), (F.col("l_linenumber").cast("long") * 1000000 + F.col("l_partkey")).alias("w"))
+    d = t.lineitem.filter("l_orderkey % 4 != 0").select(F.col("l_orderkey").alias("k"), F.when(flag == "A", "resolved").when(flag == "R", "ignored").otherwise("pending").alias("status"), F.when(flag == "A", "oppose").alias("stance"), (F.col("l_linenumber").cast("long") * 1000000 + F.col("l_partkey")).alias("w"))
     return M.apply_decisions(q, d, "k", "w")
 
 

@@ -90,13 +90,13 @@ def index_changelog(t: Tables) -> DataFrame:
 
 
 @plan(f"""
-WITH {_EVIDENCE}, {_POSITIONS}, p AS (SELECT s_nationkey AS party, topic, avg(score) AS m, count(*) AS n FROM scored JOIN supplier ON person = s_suppkey WHERE topic < 12 GROUP BY ALL),
+WITH {_EVIDENCE}, {_POSITIONS}, p AS (SELECT s_nationkey AS party, topic, avg(score) AS m, count(*) AS n FROM scored JOIN supplier ON person = s_suppkey GROUP BY ALL),
 g AS (SELECT n_nationkey AS party, tp.topic FROM nation CROSS JOIN (SELECT DISTINCT topic FROM p) tp)
 SELECT CASE WHEN n IS NULL THEN 'no_signal' WHEN m > 0.2 THEN 'support' WHEN m < -0.2 THEN 'oppose' ELSE 'unclear' END AS stance, count(*) AS cells, CAST(coalesce(sum(n), 0) AS BIGINT) AS people FROM g LEFT JOIN p ON p.party = g.party AND p.topic = g.topic GROUP BY 1
 """)
 def citizen_grid(t: Tables) -> DataFrame:
     """The grid of groups and topics with a stance in every cell, summed up."""
-    pos = A.weighted_stance(evidence(t), ["person", "topic"], "polarity", "w", "c").filter("topic < 12").join(t.supplier, F.col("person") == F.col("s_suppkey"))
+    pos = A.weighted_stance(evidence(t), ["person", "topic"], "polarity", "w", "c").join(t.supplier, F.col("person") == F.col("s_suppkey"))
     p = pos.groupBy(F.col("s_nationkey").alias("party"), "topic").agg(F.avg("score").alias("m"), F.count(F.lit(1)).alias("n"))
     stats = p.select("party", "topic", A.stance(F.col("m")).alias("stance"), "n")
     grid = J.full_grid(t.nation.select(F.col("n_nationkey").alias("party")), p.select("topic").distinct(), stats, ["party", "topic"], {"stance": "no_signal", "n": 0})
@@ -124,8 +124,8 @@ def people_profiles(t: Tables) -> DataFrame:
 
 
 @plan("""
-WITH raw AS (SELECT o_orderkey, 'contract ' || o_orderkey || ' for roads' AS title, CAST(CAST(o_totalprice AS INTEGER) AS VARCHAR) || ',50 EUR' AS amount, CAST(o_orderdate AS DATE) AS d FROM orders WHERE o_orderkey % 4 = 0
-  UNION ALL SELECT o_orderkey, 'grant ' || o_orderkey || ' for health', CAST(CAST(o_totalprice AS INTEGER) AS VARCHAR) || '.25', CAST(o_orderdate AS DATE) FROM orders WHERE o_orderkey % 4 = 1)
+WITH raw AS (SELECT o_orderkey, 'contract ' || o_orderkey || ' for roads' AS title, CAST(CAST(o_totalprice AS INTEGER) AS VARCHAR) || ',50 EUR' AS amount, CAST(o_orderdate AS DATE) AS d FROM orders WHERE o_orderkey % 2 = 0
+  UNION ALL SELECT o_orderkey, 'grant ' || o_orderkey || ' for health', CAST(CAST(o_totalprice AS INTEGER) AS VARCHAR) || '.25', CAST(o_orderdate AS DATE) FROM orders WHERE o_orderkey % 2 = 1)
 SELECT CASE WHEN contains(title, 'road') THEN 'transport' WHEN contains(title, 'health') THEN 'health' ELSE 'other' END AS domain, year(d) AS y, count(*) AS n,
   CAST(sum(CAST(CASE WHEN contains(amount, ',') THEN replace(replace(amount, ' EUR', ''), ',', '.') ELSE amount END AS DECIMAL(15,2))) AS DOUBLE) AS total FROM raw GROUP BY ALL
 """.replace("year(d) AS y", "CAST(year(d) AS INTEGER) AS y"))
@@ -133,8 +133,8 @@ def money_events(t: Tables) -> DataFrame:
     """Contracts and grants with amounts in two notations, by inferred domain and year."""
     n = F.rint("o_totalprice").cast("int").cast("string")
     key = F.col("o_orderkey").cast("string")
-    a = t.orders.filter("o_orderkey % 4 = 0").select(F.concat(F.lit("contract "), key, F.lit(" for roads")).alias("title"), F.concat(n, F.lit(",50 EUR")).alias("amount"), "o_orderdate")
-    b = t.orders.filter("o_orderkey % 4 = 1").select(F.concat(F.lit("grant "), key, F.lit(" for health")).alias("title"), F.concat(n, F.lit(".25")).alias("amount"), "o_orderdate")
+    a = t.orders.filter("o_orderkey % 2 = 0").select(F.concat(F.lit("contract "), key, F.lit(" for roads")).alias("title"), F.concat(n, F.lit(",50 EUR")).alias("amount"), "o_orderdate")
+    b = t.orders.filter("o_orderkey % 2 = 1").select(F.concat(F.lit("grant "), key, F.lit(" for health")).alias("title"), F.concat(n, F.lit(".25")).alias("amount"), "o_orderdate")
     domain = S.first_keyword("title", [("transport", ("road",)), ("health", ("health",))])
     return a.unionByName(b).groupBy(domain.alias("domain"), F.year("o_orderdate").alias("y")).agg(F.count(F.lit(1)).alias("n"), F.sum(S.european_amount("amount").cast("decimal(15,2)")).cast("double").alias("total"))
 

@@ -56,13 +56,12 @@ def subject_extraction(t: Tables) -> DataFrame:
 
 
 @plan("""
-SELECT doc_id, strip_accents(lower(regexp_extract(text, '^\\S+', 0))) AS folded FROM documents WHERE regexp_matches(regexp_extract(text, '^\\S+', 0), '^[A-Za-zÀ-ÿ.,]+$') AND NOT contains(text, 'ß')
+SELECT doc_id, strip_accents(lower(regexp_extract(text, '^\\S+', 0))) AS folded FROM documents
 """)
 def unicode_fold(t: Tables) -> DataFrame:
     """First words without marks, by full Unicode decomposition."""
     first = F.regexp_extract("text", r"^\S+", 0)
-    plain = first.rlike("^[A-Za-zÀ-ÿ.,]+$") & ~F.contains("text", F.lit("ß"))
-    return t.documents.filter(plain).select("doc_id", X.fold_unicode(first).alias("folded"))
+    return t.documents.select("doc_id", X.fold_unicode(first).alias("folded"))
 
 
 @plan("""

@@ -139,13 +139,13 @@ def priority_topk(t: Tables) -> DataFrame:
 
 
 @plan("""
-SELECT c_custkey AS who, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day, 'order' AS kind, o_totalprice AS amount FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_custkey < 40
-UNION ALL SELECT user_id, CAST(CAST(ts AS DATE) AS VARCHAR), event_type, value FROM events WHERE user_id < 40
+SELECT c_custkey AS who, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day, 'order' AS kind, o_totalprice AS amount FROM orders JOIN customer ON o_custkey = c_custkey
+UNION ALL SELECT user_id, CAST(CAST(ts AS DATE) AS VARCHAR), event_type, value FROM events
 """)
 def union_timeline(t: Tables) -> DataFrame:
     """Facts of several kinds in one timeline."""
-    a = t.orders.filter("o_custkey < 40").join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select(F.col("c_custkey").alias("who"), F.to_date("o_orderdate").cast("string").alias("day"), F.lit("order").alias("kind"), F.col("o_totalprice").alias("amount"))
-    b = t.events.filter("user_id < 40").select(F.col("user_id").alias("who"), F.to_date("ts").cast("string").alias("day"), F.col("event_type").alias("kind"), F.col("value").alias("amount"))
+    a = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select(F.col("c_custkey").alias("who"), F.to_date("o_orderdate").cast("string").alias("day"), F.lit("order").alias("kind"), F.col("o_totalprice").alias("amount"))
+    b = t.events.select(F.col("user_id").alias("who"), F.to_date("ts").cast("string").alias("day"), F.col("event_type").alias("kind"), F.col("value").alias("amount"))
     return a.unionByName(b)
 
 

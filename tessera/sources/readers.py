@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.text import unescape
+
 #: Fields under which a JSON document may hold its records, in order.
 RECORD_FIELDS = ("results", "items", "data", "dataset", "rows")
 
@@ -81,13 +83,30 @@ def cube_series(cube: DataFrame, dims: list[str], sizes: list[int], values: str
 
 
 def strip_html(c: str) -> Column:
-    """Text of a page: no scripts, styles, comments and tags, entities of the common kind
-    resolved, white space collapsed."""
-    text = F.regexp_replace(F.col(c), r"(?is)<(script|style)[^>]*>.*?</\1>|<!--.*?-->", " ")
+    """Text of a page: entities resolved first, so that escaped tags go too, then no
+    scripts, styles, comments and tags, white space of any kind collapsed."""
+    coded = F.contains(c, F.lit("&"))
+    text = F.when(coded, unescape(F.when(coded, F.col(c)))).otherwise(F.col(c))
+    text = F.regexp_replace(text, r"(?is)<(script|style)[^>]*>.*?</\1>|<!--.*?-->", " ")
     text = F.regexp_replace(text, r"<[^>]+>", " ")
-    for entity, plain in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
-        text = F.replace(text, F.lit(entity), F.lit(plain))
-    return F.trim(F.regexp_replace(text, r"\s+", " "))
+    return F.trim(F.regexp_replace(text, r"(?U)\s+", " "))
+
+
+def labelled_values(df: DataFrame, c: str) -> DataFrame:
+    """df with label and value of each dt-dd pair of a page, plain text, in order."""
+    pairs = F.regexp_extract_all(F.col(c), F.lit(r"(?is)<dt[^>]*>(.*?)</dt>\s*<dd[^>]*>.*?</dd>"), F.lit(0))
+    out = df.select("*", F.posexplode(pairs).alias("place", "_pair"))
+    out = out.withColumns({"_label": F.regexp_extract("_pair", r"(?is)<dt[^>]*>(.*?)</dt>", 1), "_value": F.regexp_extract("_pair", r"(?is)<dd[^>]*>(.*?)</dd>", 1)})
+    return out.withColumns({"label": strip_html("_label"), "value": strip_html("_value")}).drop("_pair", "_label", "_value")
+
+
+def sections(df: DataFrame, c: str) -> DataFrame:
+    """df with heading and body of each section of a page: a heading and what stands
+    between it and the next one, plain text, in order."""
+    parts = F.split(F.col(c), r"(?i)(?=<h[1-6][\s>])")
+    out = df.select("*", F.posexplode(F.filter(parts, lambda p: p.rlike(r"(?i)^<h[1-6][\s>]"))).alias("place", "_part"))
+    out = out.withColumns({"_head": F.regexp_extract("_part", r"(?is)^<h[1-6][^>]*>(.*?)</h[1-6]>", 1), "_body": F.regexp_replace("_part", r"(?is)^<h[1-6][^>]*>.*?</h[1-6]>", "")})
+    return out.withColumns({"heading": strip_html("_head"), "body": strip_html("_body")}).drop("_part", "_head", "_body")
 
 
 def refuse_html(df: DataFrame, column: str) -> DataFrame:

@@ -29,7 +29,11 @@ def file_stream(spark: SparkSession, path: str, files_per_batch: int = 8) -> Dat
 
 def folder(spark: SparkSession) -> str:
     """A new folder for results and progress under the shared checkpoint folder."""
-    base = spark.sparkContext.getCheckpointDir() or spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="spark-stream-")
+    base = spark.sparkContext.getCheckpointDir() or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if base is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
+        base = tempfile.mkdtemp(prefix="spark-stream-")
     return f"{base}/stream-{uuid.uuid4().hex}"
 
 
@@ -68,22 +72,31 @@ def last_n(stream: DataFrame, key: str, at: str, value: str, n: int = 20) -> Dat
 
 def run_available(stream: DataFrame, mode: str = "append", merge: Callable[[DataFrame | None, DataFrame], DataFrame] | None = None) -> DataFrame:
     """Runs over all that is there and returns the result. ``merge`` combines the result so
-    far with a batch; each batch is a new version, the older ones can be dropped."""
+    far with a batch; each batch is a new version, of which the last two are kept. A
+    stream without rows gives an empty result of its schema."""
     spark = stream.sparkSession
     out = folder(spark)
     versions: list[str] = []
+    make = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    files = make(out).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
     def write(batch: DataFrame, number: int) -> None:
         path = f"{out}/v{number}"
         if merge is not None:
-            before = batch.sparkSession.read.parquet(versions[-1]) if versions else None
+            earlier = [v for v in versions if v != path]  # a batch may be run again
+            before = batch.sparkSession.read.parquet(earlier[-1]) if earlier else None
             batch = merge(before, batch)
         batch.write.mode("overwrite").parquet(path)
         if path not in versions:
             versions.append(path)
+        if merge is not None:
+            for old in versions[:-2]:
+                files.delete(make(old), True)
 
     query = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{out}/progress").trigger(availableNow=True).foreachBatch(write).start()
     query.awaitTermination()
+    if not versions:
+        return spark.createDataFrame([], stream.schema)
     if mode == "append" and merge is None:
         return spark.read.parquet(*versions)
     return spark.read.parquet(versions[-1])

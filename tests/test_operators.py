@@ -172,3 +172,25 @@ def test_delta_against_plain_python(spark, rows):
         last[k] = v
     got = [(r.t, r.change) for r in W.delta(df, ["k"], [F.asc("t")], "v").orderBy("t").collect()]
     assert got == want
+
+
+@pytest.mark.parametrize(("text", "want"), [("IIX", 8), ("XIV", 14), ("IXC", 89), ("X I", None)])
+def test_roman_letters_below_the_largest_so_far(spark, text, want):
+    assert one(spark, S.roman_to_int("t"), t=text) == want
+
+
+@pytest.mark.parametrize(("text", "want"), [("12abc", None), ("1 234,5 EUR", 1234.5), ("€1.000", 1.0), ("5", 5.0), ("1,234,567", 1234567.0), ("12d", None), ("1e3", 1000.0), ("", None), (",5", 0.5)])
+def test_amounts_that_hold_something_else(spark, text, want):
+    assert one(spark, S.european_amount("t"), t=text) == want
+
+
+def test_names_without_a_comma(spark):
+    assert tuple(one(spark, S.split_name("t"), t=" Ana  María Ruiz ")) == (None, None, "Ana María Ruiz")
+    assert tuple(one(spark, S.split_name("t"), t="Ruiz Gil,  Ana")) == ("Ruiz Gil", "Ana", "Ana Ruiz Gil")
+    assert tuple(one(spark, S.split_name_last("t"), t="Ana María Ruiz")) == ("Ruiz", "Ana María", "Ana María Ruiz")
+    assert tuple(one(spark, S.split_name_last("t"), t="Ruiz, Ana")) == ("Ruiz", "Ana", "Ana Ruiz")
+
+
+def test_keys_beyond_latin_letters_with_common_marks(spark):
+    assert one(spark, S.key_part("t"), t="Šimić-Őr\tÉva / ŻÓŁĆ") == "simic oreva zołc"
+    assert one(spark, S.title_key("t"), t="Ǿ Ế́ ① é") == "ø e 1 e"

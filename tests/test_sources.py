@@ -100,3 +100,45 @@ def test_workbooks(spark, tmp_path):
 def test_private_fields_are_dropped(spark):
     df = spark.sql("SELECT 1 AS a, 2 AS _b, named_struct('c', 3, '_d', 4) AS s, array(named_struct('_e', 5, 'f', 6)) AS l")
     assert R.drop_private(df).first().asDict(recursive=True) == {"a": 1, "s": {"c": 3}, "l": [{"f": 6}]}
+
+
+def test_html_entities_come_before_tags(spark):
+    df = spark.createDataFrame([("Se&ntilde;or&nbsp; &lt;b&gt;x&lt;/b&gt; &#233; &amp;lt;",), (None,), ("<p>a</p>b",)], "h string")
+    assert [r.x for r in df.select(R.strip_html("h").alias("x")).collect()] == ["Señor x é &lt;", None, "a b"]
+
+
+def test_labelled_values_and_sections(spark):
+    page = "<h1>Top</h1><p>one &amp; two</p><dl><dt>Date</dt><dd class='x'>1 <b>May</b></dd><dt>Who</dt> <dd>Ana</dd></dl><h2 id=a>Next</h2>three"
+    df = spark.createDataFrame([(1, page), (2, "none"), (3, None)], "id long, h string")
+    assert [(r.id, r.place, r.label, r.value) for r in R.labelled_values(df, "h").collect()] == [(1, 0, "Date", "1 May"), (1, 1, "Who", "Ana")]
+    assert [(r.id, r.place, r.heading) for r in R.sections(df, "h").collect()] == [(1, 0, "Top"), (1, 1, "Next")]
+    assert [r.body for r in R.sections(df, "h").collect()] == ["one & two Date 1 May Who Ana", "three"]
+
+
+def test_slices_that_become_empty(spark, tmp_path):
+    path = str(tmp_path / "slices")
+    first = spark.createDataFrame([(1, "a b"), (2, "c"), (3, "a b")], "n int, s string")
+    K.write_slice(first, path, ["s"])
+    again = spark.createDataFrame([(9, "c")], "n int, s string")
+    K.write_slice(again, path, ["s"], spark.createDataFrame([("a b",), ("c",)], "s string"))
+    assert [(r.n, r.s) for r in spark.read.parquet(path).collect()] == [(9, "c")]
+
+
+def test_loads_are_published_whole_and_recorded(spark, tmp_path):
+    ledger, staged, target = (str(tmp_path / x) for x in ("ledger", "staged", "target"))
+    assert K.recorded(spark, ledger, "r1", "s", lambda: spark.range(3), staged, target) == "ok"
+    assert K.recorded(spark, ledger, "r2", "s", lambda: spark.range(0), staged, target, least=1) == "failed"
+    assert K.recorded(spark, ledger, "r3", "s", lambda: spark.range(2).selectExpr("assert_true(id > 5)"), staged, target) == "failed"
+    assert spark.read.parquet(target).count() == 3
+    assert K.recorded(spark, ledger, "r4", "s", lambda: spark.range(5), staged, target) == "ok"
+    assert spark.read.parquet(target).count() == 5
+    assert sorted((r.run_id, r.status, r.rows) for r in spark.read.parquet(ledger).collect()) == [("r1", "ok", 3), ("r2", "failed", 0), ("r3", "failed", None), ("r4", "ok", 5)]
+
+
+def test_a_stream_without_rows(spark, tmp_path):
+    from tessera.streaming import streams
+
+    path = str(tmp_path / "none.parquet")
+    spark.range(0).write.parquet(path)
+    got = streams.run_available(streams.file_stream(spark, path))
+    assert got.count() == 0 and got.columns == ["id"]
