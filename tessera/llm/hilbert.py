@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from .lineage import cut
 
-PER_BIN = 20_000
+PER_BIN = 1_000
 
 
 def hilbert_index(levels: np.ndarray, bits: int) -> np.ndarray:
