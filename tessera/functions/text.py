@@ -38,30 +38,117 @@ def ascii_only(s: pd.Series) -> pd.Series:
 
 @dataclass(frozen=True)
 class StanceLexicon:
-    """Patterns over folded text with single spaces, one for each family."""
-
-    vote_for: str
-    vote_against: str
-    abstain: str
-    strong_for: str
-    strong_against: str
-    weak_for: str
-    weak_against: str
+    """Patterns over folded text, a family each, and the confidences of the verdicts."""
+
+    support_explicit: tuple[str, ...]
+    oppose_explicit: tuple[str, ...]
+    abstain_explicit: tuple[str, ...]
+    support_declared_strong: tuple[str, ...]
+    oppose_declared_strong: tuple[str, ...]
+    support_declared_weak: tuple[str, ...]
+    oppose_declared_weak: tuple[str, ...]
     negations: tuple[str, ...]
+    explicit: float
+    abstention: float
+    strong: float
+    weak: float
 
 
-#: Forms of Spanish and Catalan vote announcements, accents folded.
-_THINGS = "(?:iniciativas?|enmiendas?|proposicion(?:es)?|propuestas?|proyectos?|textos?|ley(?:es)?|dictamen(?:es)?|medidas?|articulos?|reformas?)"
-_GOING = "(?:vamos|voy|iremos) a"
+# The vote announcements and declarations that count, in Spanish and Catalan
+# without accents, the negations right before them, and the confidence of each verdict.
+_NOUNS = r"iniciativa(?:s)?|enmienda(?:s)?|proposicion(?:es)?|propuesta(?:s)?|proyecto(?:s)?|texto(?:s)?|ley(?:es)?|dictamen(?:es)?|medida(?:s)?|articulo(?:s)?|reforma(?:s)?"
 SPANISH = StanceLexicon(
-    vote_for=rf"\b(?:vota(?:remos|re|ra|ran|ramos|mos|rem)(?: ?, ?\w+){{0,4}} ?,? ?(?:a )?favor|hemos votado (?:a )?favor|vota(?:re|remos|rem) (?:que )?si|vota(?:remos|mos|rem) favorablement?e?|{_GOING} votar (?:(?:a )?favor|(?:que )?si|(?:favorable|afirmativa|positiva)mente)|voto (?:(?:sera|sea) )?(?:favorable|positivo|afirmativo))\b",
-    vote_against=rf"\b(?:vota(?:remos|re|ra|ran|ramos|mos|rem)(?: ?, ?\w+){{0,4}} ?,? ?en contra|hemos votado en contra|vota(?:re|remos|rem) (?:que )?no|vota(?:remos|mos|rem) negativament?e?|{_GOING} votar (?:en contra|(?:que )?no|negativamente)|no (?:votaremos|votarem|{_GOING} votar) (?:en absoluto )?(?:(?:a )?favor|favorablemente)|voto (?:(?:sera|sea) )?(?:negativo|desfavorable))\b",
-    abstain=r"\b(?:nos absten(?:dremos|emos)|me abstendre|abstencion?|abstener(?:nos|se))\b",
-    strong_for=rf"\b(?:apoy(?:amos|aremos)|{_GOING} apoyar|respald(?:amos|aremos)|defend(?:emos|eremos))\b(?: \w+){{0,8}} {_THINGS}\b",
-    strong_against=rf"\b(?:(?:rechaz(?:amos|aremos)|no apoy(?:amos|aremos)|no {_GOING} apoyar)\b(?: \w+){{0,8}} {_THINGS}|nos opon(?:emos|dremos) (?:a )?(?:\w+ ){{0,6}}{_THINGS}|(?:mantenemos|reafirmamos)(?: \w+){{0,6}} enmiendas? a la totalidad)\b",
-    weak_for=rf"\b(?:apoy(?:amos|aremos)|{_GOING} apoyar|respaldamos|defend(?:emos|eremos))\b",
-    weak_against=rf"\b(?:rechaz(?:amos|aremos)|nos opon(?:emos|dremos)|no apoy(?:amos|aremos)|no {_GOING} apoyar)\b",
+    support_explicit=(
+        r"\bvotaremos\s+(a\s+)?favor\b",
+        r"\bvotaremos(?:\s*,\s*\w+){0,4}\s*,?\s+(a\s+)?favor\b",
+        r"\bvotare(mos)?\s+(que\s+)?si\b",
+        r"\bvotara(mos|n)?\s+(a\s+)?favor\b",
+        r"\b(vamos|voy|iremos)\s+a\s+votar\s+(a\s+)?favor\b",
+        r"\b(vamos|voy|iremos)\s+a\s+votar\s+(que\s+)?si\b",
+        r"\b(vamos|voy|iremos)\s+a\s+votar\s+(favorable|afirmativa|positiva)mente\b",
+        r"\bvotaremos\s+favorablemente\b",
+        r"\bvotamos\s+(a\s+)?favor\b",
+        r"\bvotamos\s+favorablemente\b",
+        r"\bhemos\s+votado\s+(a\s+)?favor\b",
+        r"\bvotarem\s+(a\s+)?favor\b",
+        r"\bvotarem\s+(que\s+)?si\b",
+        r"\bvotarem\s+favorablement\b",
+        r"\bnuestro\s+voto\s+sera\s+(favorable|positivo|afirmativo)\b",
+        r"\bmi\s+voto\s+sera\s+(favorable|positivo|afirmativo)\b",
+        r"\bnuestro\s+voto\s+sea\s+(favorable|positivo|afirmativo)\b",
+        r"\bmi\s+voto\s+sea\s+(favorable|positivo|afirmativo)\b",
+        r"\bvoto\s+(favorable|positivo|afirmativo)\b",
+    ),
+    oppose_explicit=(
+        r"\bvotaremos\s+en\s+contra\b",
+        r"\bvotaremos(?:\s*,\s*\w+){0,4}\s*,?\s+en\s+contra\b",
+        r"\bvotare(mos)?\s+(que\s+)?no\b",
+        r"\bvotara(mos|n)?\s+en\s+contra\b",
+        r"\b(vamos|voy|iremos)\s+a\s+votar\s+en\s+contra\b",
+        r"\b(vamos|voy|iremos)\s+a\s+votar\s+(que\s+)?no\b",
+        r"\b(vamos|voy|iremos)\s+a\s+votar\s+negativamente\b",
+        r"\bvotaremos\s+negativamente\b",
+        r"\bvotamos\s+en\s+contra\b",
+        r"\bvotamos\s+negativamente\b",
+        r"\bhemos\s+votado\s+en\s+contra\b",
+        r"\bno\s+votaremos\s+(a\s+)?favor\b",
+        r"\bno\s+votaremos\s+en\s+absoluto\s+(a\s+)?favor\b",
+        r"\bno\s+(vamos|voy|iremos)\s+a\s+votar\s+(a\s+)?favor\b",
+        r"\bno\s+(vamos|voy|iremos)\s+a\s+votar\s+en\s+absoluto\s+(a\s+)?favor\b",
+        r"\bno\s+(vamos|voy|iremos)\s+a\s+votar\s+favorablemente\b",
+        r"\bvotarem\s+en\s+contra\b",
+        r"\bvotarem\s+(que\s+)?no\b",
+        r"\bvotarem\s+negativament\b",
+        r"\bno\s+votarem\s+(a\s+)?favor\b",
+        r"\bnuestro\s+voto\s+sera\s+(negativo|desfavorable)\b",
+        r"\bmi\s+voto\s+sera\s+(negativo|desfavorable)\b",
+        r"\bnuestro\s+voto\s+sea\s+(negativo|desfavorable)\b",
+        r"\bmi\s+voto\s+sea\s+(negativo|desfavorable)\b",
+        r"\bvoto\s+(negativo|desfavorable)\b",
+    ),
+    abstain_explicit=(
+        r"\bnos\s+absten(dremos|emos)\b",
+        r"\bme\s+abstendre\b",
+        r"\bmi\s+voto\s+sera\s+abstencion\b",
+        r"\babstencion\b",
+        r"\babstencio\b",
+        r"\babstener(nos|se)\b",
+    ),
+    support_declared_strong=(
+        rf"\bapoy(?:amos|aremos)\b(?:\s+\w+){{0,8}}\s+\b(?:{_NOUNS})\b",
+        rf"\b(vamos|voy|iremos)\s+a\s+apoyar\b(?:\s+\w+){{0,8}}\s+\b(?:{_NOUNS})\b",
+        rf"\brespald(?:amos|aremos)\b(?:\s+\w+){{0,8}}\s+\b(?:{_NOUNS})\b",
+        rf"\bdefend(?:emos|eremos)\b(?:\s+\w+){{0,8}}\s+\b(?:{_NOUNS})\b",
+    ),
+    oppose_declared_strong=(
+        rf"\brechaz(?:amos|aremos)\b(?:\s+\w+){{0,8}}\s+\b(?:{_NOUNS})\b",
+        rf"\bnos\s+opon(?:emos|dremos)\s+(?:a\s+)?(?:\w+\s+){{0,6}}(?:{_NOUNS})\b",
+        rf"\bno\s+apoy(?:amos|aremos)\b(?:\s+\w+){{0,8}}\s+\b(?:{_NOUNS})\b",
+        rf"\bno\s+(vamos|voy|iremos)\s+a\s+apoyar\b(?:\s+\w+){{0,8}}\s+\b(?:{_NOUNS})\b",
+        r"\b(mantenemos|reafirmamos)\b(?:\s+\w+){0,6}\senmienda(?:s)?\s+a\s+la\s+totalidad\b",
+    ),
+    support_declared_weak=(
+        r"\bapoyamos\b",
+        r"\bapoyaremos\b",
+        r"\b(vamos|voy|iremos)\s+a\s+apoyar\b",
+        r"\brespaldamos\b",
+        r"\bdefendemos\b",
+        r"\bdefenderemos\b",
+    ),
+    oppose_declared_weak=(
+        r"\brechazamos\b",
+        r"\brechazaremos\b",
+        r"\bnos\s+oponemos\b",
+        r"\bnos\s+opondremos\b",
+        r"\bno\s+apoyamos\b",
+        r"\bno\s+apoyaremos\b",
+        r"\bno\s+(vamos|voy|iremos)\s+a\s+apoyar\b",
+    ),
     negations=("no", "nunca", "jamas"),
+    explicit=0.74,
+    abstention=0.68,
+    strong=0.66,
+    weak=0.58,
 )
 
 
@@ -74,26 +161,31 @@ def declared_stance(text: Column | str, lexicon: StanceLexicon = SPANISH) -> Col
     """
     t = collapse_space(fold_accents(text))
     behind = "".join(rf"(?<!\b{n} )" for n in lexicon.negations)
-    hit = {name: t.rlike(behind + getattr(lexicon, name)) for name in ("vote_for", "vote_against", "abstain", "strong_for", "strong_against", "weak_for", "weak_against")}
-    said_for, said_against = hit["strong_for"] | hit["weak_for"], hit["strong_against"] | hit["weak_against"]
-    vote_for, vote_against, abstain = hit["vote_for"], hit["vote_against"], hit["abstain"]
-    both = (abstain & (vote_for | vote_against | said_for | said_against)) | (vote_for & (vote_against | said_against)) | (vote_against & said_for)
+
+    def said(family: tuple[str, ...]) -> Column:
+        return t.rlike(f"(?U){behind}(?:{'|'.join(family)})")
+
+    vote_for, vote_against, abstains = said(lexicon.support_explicit), said(lexicon.oppose_explicit), said(lexicon.abstain_explicit)
+    strong_for, strong_against = said(lexicon.support_declared_strong), said(lexicon.oppose_declared_strong)
+    weak_for, weak_against = said(lexicon.support_declared_weak), said(lexicon.oppose_declared_weak)
+    any_for, any_against = strong_for | weak_for, strong_against | weak_against
 
     def verdict(stance: str, polarity: int, confidence: float, reason: str) -> Column:
         return F.struct(F.lit(stance).alias("stance"), F.lit(polarity).alias("polarity"), F.lit(confidence).alias("confidence"), F.lit(reason).alias("reason"))
 
-    mixed = verdict("mixed", 0, 0.58, "conflicting_signal")
+    mixed = verdict("mixed", 0, lexicon.weak, "conflicting_signal")
     return (
-        F.when(both, mixed)
-        .when(vote_for, verdict("support", 1, 0.74, "explicit_vote_intent"))
-        .when(vote_against, verdict("oppose", -1, 0.74, "explicit_vote_intent"))
-        .when(abstain, verdict("mixed", 0, 0.68, "abstention_intent"))
-        .when(hit["strong_for"] & hit["strong_against"], mixed)
-        .when(hit["strong_for"], verdict("support", 1, 0.66, "declared_support"))
-        .when(hit["strong_against"], verdict("oppose", -1, 0.66, "declared_oppose"))
-        .when(hit["weak_for"] & hit["weak_against"], mixed)
-        .when(hit["weak_for"], verdict("support", 1, 0.58, "weak_declared_support"))
-        .when(hit["weak_against"], verdict("oppose", -1, 0.58, "weak_declared_oppose"))
+        F.when(abstains & (vote_for | vote_against | any_for | any_against), mixed)
+        .when((vote_for & (vote_against | any_against)) | (vote_against & any_for), mixed)
+        .when(vote_for, verdict("support", 1, lexicon.explicit, "explicit_vote_intent"))
+        .when(vote_against, verdict("oppose", -1, lexicon.explicit, "explicit_vote_intent"))
+        .when(abstains, verdict("mixed", 0, lexicon.abstention, "abstention_intent"))
+        .when(strong_for & strong_against, mixed)
+        .when(strong_for, verdict("support", 1, lexicon.strong, "declared_support"))
+        .when(strong_against, verdict("oppose", -1, lexicon.strong, "declared_oppose"))
+        .when(weak_for & weak_against, mixed)
+        .when(weak_for, verdict("support", 1, lexicon.weak, "weak_declared_support"))
+        .when(weak_against, verdict("oppose", -1, lexicon.weak, "weak_declared_oppose"))
     )
 
 

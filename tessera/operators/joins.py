@@ -6,6 +6,8 @@ execution may split what is skewed. None needs a cross join.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -74,32 +76,65 @@ def best_candidate(facts: DataFrame, candidates: DataFrame, on: str, fact_id: st
     return out.select(fact_id, status.alias("status"), F.when(F.col("n_best") == 1, F.col("_one")).alias(candidate_id), "n_best")
 
 
-def tiered_link(facts: DataFrame, fact_id: str, target_id: str, tiers: list[tuple[str, float, DataFrame]]) -> DataFrame:
-    """fact_id, target_id, method, confidence from candidate frames (fact_id, target_id),
-    best tier first. A tier counts only for facts that it links to one target."""
+@dataclass(frozen=True)
+class Tier:
+    """One way to link: pairs holds fact and target. ``same`` names a boolean column of it:
+    a fact's pairs where it is true go before the others, which count only where it has
+    none. A tier that is ``last_resort`` is for facts that no tier before it links."""
+
+    method: str
+    confidence: float
+    pairs: DataFrame
+    same: str | None = None
+    last_resort: bool = False
+
+
+def tiered_link(fact_id: str, target_id: str, tiers: list[Tier]) -> DataFrame:
+    """fact_id, target_id, method, confidence: in each tier a fact links to a target only
+    if it is the one candidate; of several ways to a target the most certain counts."""
     linked = None
-    for method, confidence, pairs in tiers:
-        one = pairs.groupBy(fact_id).agg(F.countDistinct(target_id).alias("_n"), F.min(target_id).alias(target_id)).filter("_n = 1").drop("_n")
-        one = one.withColumns({"method": F.lit(method), "confidence": F.lit(confidence)})
+    for tier in tiers:
+        same = F.coalesce(F.col(tier.same), F.lit(False)) if tier.same else F.lit(True)
+        inside, target = F.when(same, F.col(target_id)), F.col(target_id)
+        ends = tier.pairs.groupBy(fact_id).agg(F.coalesce(F.min(inside), F.min(target)).alias(target_id), F.coalesce(F.max(inside), F.max(target)).alias("_other"))
+        one = ends.filter(F.col(target_id) == F.col("_other")).drop("_other")
+        if tier.last_resort and linked is not None:
+            one = one.join(linked.select(fact_id), fact_id, "left_anti")
+        one = one.withColumns({"method": F.lit(tier.method), "confidence": F.lit(tier.confidence)})
         linked = one if linked is None else linked.unionByName(one)
-    return best_row(linked, [fact_id], [F.col("confidence").desc(), F.col("method"), F.col(target_id)])
+    return best_row(linked, [fact_id, target_id], [F.col("confidence").desc(), F.col("method")])
+
+
+def composite_link(facts: DataFrame, targets: DataFrame, fact_id: str, target_id: str, sure: list[Column], guessed: list[Column], keys: list[str]) -> DataFrame:
+    """fact_id, target_id, method, confidence by a key of several parts: the parts that a
+    fact carries (1.0), or those read out of its text where it does not carry all (0.9).
+    Targets that share a key link nothing."""
+    carried = reduce(lambda a, b: a & b, [c.isNotNull() for c in sure])
+    asked = facts.select(fact_id, carried.alias("_sure"), *[F.when(carried, c).otherwise(g).alias(k) for c, g, k in zip(sure, guessed, keys, strict=True)])
+    one = targets.groupBy(*keys).agg(F.min(target_id).alias(target_id), F.max(target_id).alias("_other")).filter(F.col(target_id) == F.col("_other"))
+    return asked.join(one, keys).select(fact_id, target_id, F.when(F.col("_sure"), "payload_key").otherwise("text_key").alias("method"), F.when(F.col("_sure"), 1.0).otherwise(0.9).alias("confidence"))
 
 
-def nearest_before(facts: DataFrame, events: DataFrame, keys: list[str], fact_at: str, event_at: str, event_cols: list[str], strict: bool = True) -> DataFrame:
-    """Facts with the last event of their keys before their time, from one sort of both.
+Bucket = Callable[[Column], Column]
+
+
+def nearest_before(facts: DataFrame, events: DataFrame, keys: list[str], fact_at: str, event_at: str, event_cols: list[str], strict: bool = True, bucket: Bucket | None = None) -> DataFrame:
+    """Facts with the last event of their keys before their time.
 
     Facts and events become one timeline; the last event seen so far is carried along,
-    so no pair of rows is made.
+    so no pair of rows is made. ``bucket`` maps a time to a span of time in order (such as
+    its day): a key is then sorted span by span in many tasks, and only the last event of
+    each span goes on to the next ones.
     """
-    return _nearest(facts, events, keys, fact_at, event_at, event_cols, True, strict)
+    return _nearest(facts, events, keys, fact_at, event_at, event_cols, True, strict, bucket)
 
 
-def nearest_after(facts: DataFrame, events: DataFrame, keys: list[str], fact_at: str, event_at: str, event_cols: list[str], strict: bool = False) -> DataFrame:
+def nearest_after(facts: DataFrame, events: DataFrame, keys: list[str], fact_at: str, event_at: str, event_cols: list[str], strict: bool = False, bucket: Bucket | None = None) -> DataFrame:
     """Facts with the first event of their keys at or after their time."""
-    return _nearest(facts, events, keys, fact_at, event_at, event_cols, False, strict)
+    return _nearest(facts, events, keys, fact_at, event_at, event_cols, False, strict, bucket)
 
 
-def _nearest(facts: DataFrame, events: DataFrame, keys: list[str], fact_at: str, event_at: str, event_cols: list[str], back: bool, strict: bool) -> DataFrame:
+def _nearest(facts: DataFrame, events: DataFrame, keys: list[str], fact_at: str, event_at: str, event_cols: list[str], back: bool, strict: bool, bucket: Bucket | None) -> DataFrame:
     kept = [c for c in facts.columns if c not in keys]
     payload = F.struct(F.col(event_at).alias(event_at), *[F.col(c) for c in event_cols if c != event_at])
     left = facts.select(*keys, F.col(fact_at).alias("_t"), F.struct(*kept).alias("_fact"), F.lit(None).cast(events.select(payload.alias("x")).schema["x"].dataType).alias("_event"))
@@ -108,10 +143,22 @@ def _nearest(facts: DataFrame, events: DataFrame, keys: list[str], fact_at: str,
     is_event = F.col("_event").isNotNull()
     tie = F.when(is_event, 1 if strict else -1).otherwise(0)
     time = F.col("_t").asc() if back else F.col("_t").desc()
-    tail = [F.col(f"_event.{c}").asc_nulls_first() for c in event_cols if c != event_at]
-    seen = Window.partitionBy(*keys).orderBy(time, tie, *tail).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    both = left.unionByName(right).withColumn("_event", F.last("_event", ignorenulls=True).over(seen))
-    return both.filter(F.col("_fact").isNotNull()).select(*keys, "_fact.*", *[F.col(f"_event.{c}").alias(c) for c in dict.fromkeys([event_at, *event_cols])])
+    others = [F.col(f"_event.{c}") for c in event_cols if c != event_at]
+    part = [F.col(k) for k in keys] + ([bucket(F.col("_t"))] if bucket else [])
+    seen = Window.partitionBy(*part).orderBy(time, tie, *[c.asc_nulls_first() for c in others]).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    both = left.unionByName(right).withColumn("_event", F.last("_event", ignorenulls=True).over(seen)).filter(F.col("_fact").isNotNull())
+    if bucket:
+        span = bucket(F.col("_t")).alias("_span")
+        reverse = F.col("_t").desc() if back else F.col("_t").asc()
+        ends = best_row(right.select(*keys, span, "_t", "_event"), [*keys, "_span"], [reverse, *[c.desc_nulls_last() for c in others]]).drop("_t")
+        # of each span of facts or events, the last event of all spans before it
+        spans = left.select(*keys, span).distinct().withColumn("_event", F.lit(None).cast(right.schema["_event"].dataType)).unionByName(ends)
+        spans = spans.groupBy(*keys, "_span").agg(F.first("_event", ignorenulls=True).alias("_event"))
+        earlier = Window.partitionBy(*keys).orderBy(F.col("_span").asc() if back else F.col("_span").desc()).rowsBetween(Window.unboundedPreceding, -1)
+        carry = spans.select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)], "_span", F.last("_event", ignorenulls=True).over(earlier).alias("_carried"))
+        on = [F.col(k).eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate(keys)] + [bucket(F.col("_t")).eqNullSafe(F.col("_span"))]
+        both = both.join(carry, reduce(lambda a, b: a & b, on), "left").withColumn("_event", F.coalesce("_event", "_carried"))
+    return both.select(*keys, "_fact.*", *[F.col(f"_event.{c}").alias(c) for c in dict.fromkeys([event_at, *event_cols])])
 
 
 def full_grid(rows: DataFrame, columns: DataFrame, stats: DataFrame, on: list[str], defaults: dict[str, object]) -> DataFrame:
@@ -127,10 +174,30 @@ def self_pairs(df: DataFrame, on: list[str], member: str) -> DataFrame:
     return a.join(b, on).filter(F.col(f"{member}_a") < F.col(f"{member}_b"))
 
 
-def bridge(matches: DataFrame, edges: DataFrame, fact: str, penalties: dict[str, float]) -> DataFrame:
-    """One hop from matched nodes along edges (src, dst, relation), with a lower confidence
-    by relation, never below 0; of several ways to a node the best counts."""
-    cost = F.create_map(*[F.lit(x) for kv in penalties.items() for x in kv])
-    hop = matches.join(edges, F.col("node") == F.col("src")).select(fact, F.col("dst").alias("node"), F.greatest(F.col("confidence") - F.coalesce(cost[F.col("relation")], F.lit(1.0)), F.lit(0.0)).alias("confidence"), F.concat(F.lit("via_"), F.col("relation")).alias("method"))
-    direct = matches.select(fact, "node", "confidence", F.lit("direct").alias("method"))
-    return best_row(direct.unionByName(hop), [fact, "node"], [F.col("confidence").desc(), F.col("method")])
+def bridge(matches: DataFrame, edges: DataFrame, fact: str, direct: dict[str, float], ends: str, shared: float, mixed: float) -> DataFrame:
+    """fact, node, confidence, method: matches (fact, node, confidence) carried one hop.
+
+    An edge (src, dst, relation) says what src does to dst. A match goes from dst to every
+    src of a ``direct`` relation, at that cost; where both nodes have an ``ends`` edge to a
+    third one, at the cost ``shared``; where one has an ``ends`` and the other a direct
+    edge to it, at the cost ``mixed``. Confidence is never below 0; of several ways to a
+    node the best counts, then the first rule. Before nodes meet at a third one, matches
+    are summed up by it; a node left and entered again can't beat its own match.
+    """
+    e = edges.distinct()
+    cost = F.create_map(*[F.lit(x) for kv in direct.items() for x in kv])
+    ended, going = e.filter(F.col("relation") == ends), e.filter(F.col("relation").isin(*direct))
+
+    def hop(into: DataFrame, rest: DataFrame, penalty: Column | float, rule: int, method: Column) -> DataFrame:
+        """From a match along ``into`` to the nodes of ``rest`` that meet it there."""
+        at = matches.join(into.select(F.col("src").alias("node"), F.col("dst").alias("_third")), "node").groupBy(fact, "_third").agg(F.max("confidence").alias("confidence"))
+        return step(at.withColumnRenamed("_third", "dst").join(rest, "dst"), penalty, rule, method)
+
+    def step(found: DataFrame, penalty: Column | float, rule: int, method: Column) -> DataFrame:
+        return found.select(fact, F.col("src").alias("node"), F.greatest(F.col("confidence") - penalty, F.lit(0.0)).alias("confidence"), F.lit(rule).alias("_rule"), method.alias("method"))
+
+    ways = matches.select(fact, "node", "confidence", F.lit(0).alias("_rule"), F.lit("direct").alias("method"))
+    ways = ways.unionByName(step(matches.withColumnRenamed("node", "dst").join(going, "dst").filter("src <> dst"), cost[F.col("relation")], 1, F.concat(F.lit("via_"), F.col("relation"))))
+    ways = ways.unionByName(hop(ended, ended, shared, 2, F.lit("via_shared")))
+    ways = ways.unionByName(hop(ended, going, mixed, 3, F.lit("via_mixed"))).unionByName(hop(going, ended, mixed, 3, F.lit("via_mixed")))
+    return best_row(ways, [fact, "node"], [F.col("confidence").desc(), F.col("_rule"), F.col("method")]).drop("_rule")

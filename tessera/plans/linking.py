@@ -174,33 +174,57 @@ def best_candidate_link(t: Tables) -> DataFrame:
 
 
 _LINK = """
-b AS (SELECT item_id, lower(trim(text)) AS k FROM benchmark),
-d AS (SELECT doc_id, lower(trim(text)) AS k FROM documents WHERE length(text) >= 40),
-l AS (SELECT DISTINCT doc_id, k FROM (SELECT doc_id, trim(unnest(string_split_regex(k, '[.\\n]+'))) AS k FROM d) WHERE length(k) >= 24),
-h AS (SELECT item_id, trim(string_split_regex(k, '[.\\n]+')[2]) AS k FROM b),
-t1 AS (SELECT item_id, doc_id FROM b JOIN d USING (k)),
-t2 AS (SELECT item_id, doc_id FROM h JOIN l USING (k)),
-t3 AS (SELECT DISTINCT item_id, doc_id FROM h JOIN l ON left(h.k, 24) = left(l.k, 24)),
-u AS (SELECT 'exact' AS method, 1.0 AS confidence, * FROM t1 UNION ALL SELECT 'sentence', 0.85, * FROM t2 UNION ALL SELECT 'prefix', 0.75, * FROM t3),
-o AS (SELECT item_id, method, confidence, min(doc_id) AS doc_id FROM u GROUP BY ALL HAVING count(DISTINCT doc_id) = 1),
-r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY confidence DESC, method, doc_id) AS rn FROM o)
+b AS (SELECT item_id, lower(trim(text)) AS k, item_id % 4 AS part FROM benchmark),
+d AS (SELECT doc_id, lower(trim(text)) AS k, doc_id % 4 AS part FROM documents),
+l AS (SELECT DISTINCT doc_id, part, k FROM (SELECT doc_id, part, trim(unnest(string_split_regex(k, '[.\\n]+'))) AS k FROM d) WHERE length(k) >= 24),
+h AS (SELECT item_id, part, trim(string_split_regex(k, '[.\\n]+')[2]) AS k FROM b),
+c2 AS (SELECT item_id, doc_id, h.part = l.part AS same FROM h JOIN l USING (k)),
+c3 AS (SELECT item_id, doc_id, h.part = l.part AS same FROM h JOIN l ON left(h.k, 24) = left(l.k, 24) AND length(h.k) >= 40 AND h.k[1:40] = l.k[1:40] WHERE item_id NOT IN (SELECT item_id FROM c2)),
+u AS (SELECT 'exact' AS method, 1.0 AS confidence, item_id, doc_id, true AS same FROM b JOIN d USING (k) UNION ALL SELECT 'sentence', 0.85, * FROM c2 UNION ALL SELECT 'prefix', 0.75, * FROM c3),
+p AS (SELECT * FROM u AS a WHERE same OR NOT EXISTS (SELECT 1 FROM u AS o WHERE o.method = a.method AND o.item_id = a.item_id AND o.same)),
+o AS (SELECT item_id, method, confidence, CAST(min(doc_id) AS VARCHAR) AS target FROM p GROUP BY ALL HAVING count(DISTINCT doc_id) = 1),
+w AS (SELECT * FROM o UNION ALL SELECT item_id, 'derived', 1.0, left(sha256(k), 24) FROM h WHERE k <> '' AND item_id NOT IN (SELECT item_id FROM o)),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id, target ORDER BY confidence DESC, method) AS rn FROM w)
 """
 
 
-@plan(f"WITH {_LINK} SELECT item_id, doc_id, method, CAST(confidence AS DOUBLE) AS confidence FROM r WHERE rn = 1")
+@plan(f"WITH {_LINK} SELECT item_id, target, method, CAST(confidence AS DOUBLE) AS confidence FROM r WHERE rn = 1")
 def tiered_link(t: Tables) -> DataFrame:
-    """Cascading links that must be unique: exact text, a whole sentence, its beginning."""
-    b = t.benchmark.select("item_id", F.lower(F.trim("text")).alias("k"))
-    d = t.documents.filter(F.length("text") >= 40).select("doc_id", F.lower(F.trim("text")).alias("k"))
-    sentences = d.select("doc_id", F.explode(F.split("k", "[.\n]+")).alias("k")).withColumn("k", F.trim("k")).filter(F.length("k") >= 24).distinct()
-    second = b.select("item_id", F.trim(F.get(F.split("k", "[.\n]+"), F.lit(1))).alias("k"))
-    start = lambda df: df.withColumn("k", F.left("k", F.lit(24)))
+    """Cascading links that must be unique: exact text, a whole sentence, its first 40
+    characters where no sentence is equal, each within the same part first; a key of its
+    own for what stays without a link."""
+    text = F.lower(F.trim("text"))
+    b = t.benchmark.select("item_id", text.alias("k"), (F.col("item_id") % 4).alias("part"))
+    d = t.documents.select(F.col("doc_id").cast("string").alias("target"), text.alias("k"), (F.col("doc_id") % 4).alias("d_part"))
+    lines = d.select("target", "d_part", F.explode(F.split("k", "[.\n]+")).alias("k")).withColumn("k", F.trim("k")).filter(F.length("k") >= 24).distinct()
+    second = b.select("item_id", "part", F.trim(F.get(F.split("k", "[.\n]+"), F.lit(1))).alias("k"))
+    same = (F.col("part") == F.col("d_part")).alias("same")
+    equal = second.join(lines, "k").select("item_id", "target", same)
+    start = lambda df: df.filter(F.length("k") >= 40).withColumn("k", F.left("k", F.lit(40)))
+    near = start(second.join(equal.select("item_id"), "item_id", "left_anti")).join(start(lines), "k").select("item_id", "target", same)
     tiers = [
-        ("exact", 1.0, b.join(d, "k").select("item_id", "doc_id")),
-        ("sentence", 0.85, second.join(sentences, "k").select("item_id", "doc_id")),
-        ("prefix", 0.75, start(second).join(start(sentences).distinct(), "k").select("item_id", "doc_id").distinct()),
+        J.Tier("exact", 1.0, b.join(d, "k").select("item_id", "target")),
+        J.Tier("sentence", 0.85, equal, "same"),
+        J.Tier("prefix", 0.75, near, "same"),
+        J.Tier("derived", 1.0, second.filter("k <> ''").select("item_id", F.left(F.sha2("k", 256), F.lit(24)).alias("target")), last_resort=True),
     ]
-    return J.tiered_link(b, "item_id", "doc_id", tiers)
+    return J.tiered_link("item_id", "target", tiers)
+
+
+@plan("""
+WITH f AS (SELECT event_id, CASE WHEN event_id % 3 = 0 THEN user_id % 25 END AS a, CASE WHEN event_id % 6 <> 3 THEN CAST(json_extract(props, '$.k') AS INTEGER) END AS b, 'see ' || (user_id % 20) || '/' || lpad(CAST(json_extract(props, '$.k') AS VARCHAR), 6, '0') AS said FROM events),
+k AS (SELECT event_id, a IS NOT NULL AND b IS NOT NULL AS sure, CASE WHEN a IS NOT NULL AND b IS NOT NULL THEN a ELSE CAST(split_part(substr(said, 5), '/', 1) AS BIGINT) END AS a, CASE WHEN a IS NOT NULL AND b IS NOT NULL THEN b ELSE CAST(split_part(said, '/', 2) AS INTEGER) END AS b FROM f),
+c AS (SELECT c_nationkey AS a, c_custkey % 100 AS b, min(c_custkey) AS cust FROM customer GROUP BY ALL HAVING count(*) = 1)
+SELECT event_id, cust, CASE WHEN sure THEN 'payload_key' ELSE 'text_key' END AS method, CASE WHEN sure THEN 1.0 ELSE 0.9 END::DOUBLE AS confidence FROM k JOIN c ON k.a = c.a AND k.b = c.b
+""")
+def composite_link(t: Tables) -> DataFrame:
+    """Links by a key of two parts that the fact carries, or else names in its text."""
+    number = F.get_json_object("props", "$.k").cast("int")
+    said = F.concat(F.lit("see "), (F.col("user_id") % 20).cast("string"), F.lit("/"), F.lpad(number.cast("string"), 6, "0"))
+    facts = t.events.select("event_id", F.when(F.col("event_id") % 3 == 0, F.col("user_id") % 25).alias("a"), F.when(F.col("event_id") % 6 != 3, number).alias("b"), said.alias("said"))
+    guess = lambda n: F.regexp_extract("said", r"(\d+)/(\d+)", n).try_cast("int")
+    targets = t.customer.select(F.col("c_custkey").alias("cust"), F.col("c_nationkey").alias("a"), (F.col("c_custkey") % 100).alias("b"))
+    return J.composite_link(facts, targets, "event_id", "cust", [F.col("a"), F.col("b")], [guess(1), guess(2)], ["a", "b"])
 
 
 @plan("""
@@ -235,8 +259,9 @@ def nearest_event_delta(t: Tables) -> DataFrame:
     """The last event before and the first at or after each fact, without making pairs."""
     m = t.events.filter("event_id % 2 = 0").select(F.col("event_type").alias("k"), "event_id", "ts")
     e = t.events.filter("event_id % 2 = 1").select(F.col("event_type").alias("k"), F.col("ts").alias("at"), "value")
-    before = J.nearest_before(m, e, ["k"], "ts", "at", ["value"]).select("k", "event_id", "ts", F.col("value").alias("before"))
-    return J.nearest_after(before, e, ["k"], "ts", "at", ["value"]).select("event_id", "before", F.col("value").alias("after"))
+    day = lambda at: F.date_trunc("day", at)
+    before = J.nearest_before(m, e, ["k"], "ts", "at", ["value"], bucket=day).select("k", "event_id", "ts", F.col("value").alias("before"))
+    return J.nearest_after(before, e, ["k"], "ts", "at", ["value"], bucket=day).select("event_id", "before", F.col("value").alias("after"))
 
 
 @plan("""
@@ -336,17 +361,22 @@ def rule_match(t: Tables) -> DataFrame:
 
 
 @plan("""
-WITH m AS (SELECT o_orderkey AS fact, l_partkey AS node, max(1 - CAST(l_discount AS DECIMAL(12,2))) AS c FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY ALL),
-e AS (SELECT p_partkey AS src, (p_partkey * 7 + 3) % 2000 AS dst, CASE WHEN p_size % 3 = 0 THEN 'develops' WHEN p_size % 3 = 1 THEN 'repeals' ELSE 'mixed' END AS rel FROM part),
-h AS (SELECT fact, node, CAST(c AS DOUBLE) AS confidence, 'direct' AS method FROM m
-  UNION ALL SELECT fact, dst, greatest(CAST(c AS DOUBLE) - CASE rel WHEN 'develops' THEN 0.15 WHEN 'repeals' THEN 0.2 ELSE 0.25 END, 0.0), 'via_' || rel FROM m JOIN e ON node = src),
-r AS (SELECT *, row_number() OVER (PARTITION BY fact, node ORDER BY confidence DESC, method) AS rn FROM h)
+WITH m AS (SELECT o_orderkey AS fact, l_partkey AS node, CAST(max(1 - CAST(l_discount AS DECIMAL(12,2))) AS DOUBLE) AS c FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY ALL),
+e AS (SELECT p_partkey AS src, p_partkey // 3 * 2 AS dst, CASE p_size % 3 WHEN 0 THEN 'develops' WHEN 1 THEN 'repeals' ELSE 'amends' END AS rel FROM part),
+pair AS (SELECT dst AS base, src AS target, 1 AS rule, 0.15 AS cost, 'via_' || rel AS method FROM e WHERE rel <> 'repeals' AND src <> dst
+  UNION ALL SELECT a.src, b.src, CASE WHEN a.rel = b.rel THEN 2 ELSE 3 END, CASE WHEN a.rel = b.rel THEN 0.2 ELSE 0.25 END, CASE WHEN a.rel = b.rel THEN 'via_shared' ELSE 'via_mixed' END
+    FROM e a JOIN e b ON a.dst = b.dst AND a.src <> b.src WHERE a.rel = 'repeals' OR b.rel = 'repeals'),
+first AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY base, target ORDER BY rule, method) AS rn FROM pair) WHERE rn = 1),
+h AS (SELECT fact, node, c AS confidence, 0 AS rule, 'direct' AS method FROM m
+  UNION ALL SELECT fact, target, greatest(c - cost::DOUBLE, 0.0), rule, method FROM m JOIN first ON node = base),
+r AS (SELECT *, row_number() OVER (PARTITION BY fact, node ORDER BY confidence DESC, rule, method) AS rn FROM h)
 SELECT fact, node, confidence, method FROM r WHERE rn = 1
 """)
 def graph_bridge(t: Tables) -> DataFrame:
-    """Matches carried one hop along typed edges, at a penalty; the best way counts."""
+    """Matches carried one hop along typed edges or over a shared node, at a penalty; the
+    best way counts."""
     lines = t.lineitem.groupBy(F.col("l_orderkey").alias("fact"), F.col("l_partkey").alias("node")).agg(F.max(1 - F.col("l_discount").cast("decimal(12,2)")).cast("double").alias("confidence"))
     m = lines.join(t.orders, F.col("fact") == F.col("o_orderkey"), "left_semi")
-    rel = F.when(F.col("p_size") % 3 == 0, "develops").when(F.col("p_size") % 3 == 1, "repeals").otherwise("mixed")
-    e = t.part.select(F.col("p_partkey").alias("src"), ((F.col("p_partkey") * 7 + 3) % 2000).alias("dst"), rel.alias("relation"))
-    return J.bridge(m, e, "fact", {"develops": 0.15, "repeals": 0.2, "mixed": 0.25}).select("fact", "node", "confidence", "method")
+    rel = F.when(F.col("p_size") % 3 == 0, "develops").when(F.col("p_size") % 3 == 1, "repeals").otherwise("amends")
+    e = t.part.select(F.col("p_partkey").alias("src"), (F.floor(F.col("p_partkey") / 3) * 2).alias("dst"), rel.alias("relation"))
+    return J.bridge(m, e, "fact", {"develops": 0.15, "amends": 0.15}, "repeals", 0.2, 0.25).select("fact", "node", "confidence", "method")

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 _queries: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _sql: dict[str, str] = {}
-MODULES = ("basics", "linking", "aggregation", "positions", "timelines", "changes", "checks", "texts", "streams", "pipelines", "governance")
+MODULES = ("basics", "linking", "aggregation", "positions", "timelines", "changes", "checks", "texts", "streams", "pipelines", "governance", "files")
 
 
 class Tables:

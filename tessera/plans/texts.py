@@ -9,39 +9,49 @@ from ..functions import scalars as S
 from ..functions import text as X
 from .registry import Tables, plan
 
-#: Statements that are put before the turns of conversations, by number.
-_SAID = (
-    "Votaremos a favor.",
-    "No votaremos a favor.",
-    "Nos abstendremos en esta votación.",
-    "Apoyamos con fuerza esta iniciativa.",
-    "Rechazamos la propuesta.",
-    "Apoyamos al grupo.",
-    "Nunca apoyamos al grupo.",
-    "Votaremos a favor y rechazamos la enmienda.",
-    "Nuestro voto será negativo.",
-    "Hablamos de otra cosa.",
-)
-_LABEL = ("support", "oppose", "mixed", "support", "oppose", "support", None, "mixed", "oppose", None)
-_WHY = ("explicit_vote_intent", "explicit_vote_intent", "abstention_intent", "declared_support", "declared_oppose", "weak_declared_support", None, "conflicting_signal", "explicit_vote_intent", None)
-
-
-def _number() -> Column:
-    return F.pmod(F.col("conv_id") * 7 + F.col("turn"), F.lit(len(_SAID))).cast("int")
-
-
-def _sql_list(values: tuple) -> str:
-    return "[" + ", ".join("NULL" if v is None else "'" + v + "'" for v in values) + "]"
-
-
-@plan(f"""
-SELECT conv_id, turn, {_sql_list(_LABEL)}[(conv_id * 7 + turn) % {len(_SAID)} + 1] AS stance, {_sql_list(_WHY)}[(conv_id * 7 + turn) % {len(_SAID)} + 1] AS reason FROM conversations
-""")
+#: Parts of the statements that are put before the turns of conversations.
+_OPENERS = ("", "Señorías, ", "Hoy, ", "Por eso ")
+_NEGATIONS = ("", "no ", "nunca ", "")
+_VERBS = ("votaremos a favor de", "votaremos en contra de", "nos abstendremos en", "apoyamos", "rechazamos", "respaldamos", "vamos a votar que sí a", "vamos a apoyar", "defenderemos", "nos oponemos a", "votaremos, por tanto, a favor de", "hablamos de", "mantenemos nuestra")
+_OBJECTS = ("esta iniciativa", "la enmienda", "su modelo social", "las medidas del texto", "enmienda a la totalidad")
+_ENDS = (". ", ". Nuestro voto será negativo. ", ". Rechazamos la propuesta. ", ". Gracias. ", "; mi voto sea favorable. ")
+#: Each list with the number of turns after which it goes on.
+_PARTS = ((_OPENERS, 1), (_NEGATIONS, 4), (_VERBS, 16), (_OBJECTS, 5), (_ENDS, 3))
+
+
+def _statement() -> Column:
+    number = F.col("conv_id") * 7 + F.col("turn")
+    pick = lambda values, step: F.get(F.array(*[F.lit(v) for v in values]), F.pmod(F.floor(number / step), F.lit(len(values))).cast("int"))
+    return F.concat(*[pick(values, step) for values, step in _PARTS], F.coalesce("text", F.lit("")))
+
+
+def _sql_statement() -> str:
+    pick = lambda values, step: "[" + ", ".join(f"'{v}'" for v in values) + f"][((conv_id * 7 + turn) // {step}) % {len(values)} + 1]"
+    return " || ".join([*[pick(values, step) for values, step in _PARTS], "coalesce(text, '')"])
+
+
+def _sql_stance() -> str:
+    """Every match with the negation before it, if it has one; one without is a hit."""
+    lexicon = X.SPANISH
+    families = {"vf": lexicon.support_explicit, "va": lexicon.oppose_explicit, "ab": lexicon.abstain_explicit, "sf": lexicon.support_declared_strong, "sa": lexicon.oppose_declared_strong, "wf": lexicon.support_declared_weak, "wa": lexicon.oppose_declared_weak}
+    hit = lambda family: f"list_contains(regexp_extract_all(t, '(\\b(?:{'|'.join(lexicon.negations)}) |)(?:{'|'.join(family)})', 1), '')"
+    hits = ", ".join(f"{hit(family)} AS {name}" for name, family in families.items())
+    return f"""
+WITH s AS (SELECT conv_id, turn, trim(regexp_replace(strip_accents(lower({_sql_statement()})), '\\s+', ' ', 'g')) AS t FROM conversations),
+h AS (SELECT conv_id, turn, {hits} FROM s),
+v AS (SELECT *, CASE WHEN (ab AND (vf OR va OR sf OR wf OR sa OR wa)) OR (vf AND (va OR sa OR wa)) OR (va AND (sf OR wf)) THEN 'mixed conflicting_signal 58'
+  WHEN vf THEN 'support explicit_vote_intent 74' WHEN va THEN 'oppose explicit_vote_intent 74' WHEN ab THEN 'mixed abstention_intent 68' WHEN sf AND sa THEN 'mixed conflicting_signal 58'
+  WHEN sf THEN 'support declared_support 66' WHEN sa THEN 'oppose declared_oppose 66' WHEN wf AND wa THEN 'mixed conflicting_signal 58'
+  WHEN wf THEN 'support weak_declared_support 58' WHEN wa THEN 'oppose weak_declared_oppose 58' END AS x FROM h)
+SELECT conv_id, turn, string_split(x, ' ')[1] AS stance, string_split(x, ' ')[2] AS reason, CAST(string_split(x, ' ')[3] AS INTEGER) / 100.0::DOUBLE AS confidence FROM v
+"""
+
+
+@plan(_sql_stance())
 def stance_classifier(t: Tables) -> DataFrame:
-    """Declared stances of statements with known wording."""
-    said = F.get(F.array(*[F.lit(s) for s in _SAID]), _number())
-    c = t.conversations.select("conv_id", "turn", X.declared_stance(F.concat(said, F.lit(" "), F.coalesce("text", F.lit("")))).alias("d"))
-    return c.select("conv_id", "turn", "d.stance", "d.reason")
+    """Declared stances of whole turns that begin with statements of varied wording."""
+    c = t.conversations.select("conv_id", "turn", X.declared_stance(_statement()).alias("d"))
+    return c.select("conv_id", "turn", "d.stance", "d.reason", "d.confidence")
 
 
 @plan("""

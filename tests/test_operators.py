@@ -73,6 +73,18 @@ def test_filter_language(spark, rule, want):
         ("Apoyamos   esta iniciativa", ("support", 1, 0.66)),
         ("Nunca apoyamos nada", None),
         ("Votaremos a favor y votamos en contra", ("mixed", 0, 0.58)),
+        ("Nosaltres votarem a favor de l'informe.", ("support", 1, 0.74)),
+        ("Nosotros vamos a votar favorablemente esta enmienda.", ("support", 1, 0.74)),
+        ("No vamos a votar en absoluto a favor de la enmienda.", ("oppose", -1, 0.74)),
+        ("Votaremos, obviamente, en contra de su enmienda.", ("oppose", -1, 0.74)),
+        ("Votaré, claro, en contra.", None),
+        ("Hará que nuestro voto sea favorable a que continúe la ley.", ("support", 1, 0.74)),
+        ("El voto sera favorable.", None),
+        ("Defendemos este modelo social.", ("support", 1, 0.58)),
+        ("Nos oponemos totalmente.", ("oppose", -1, 0.58)),
+        ("No apoyamos esta iniciativa.", ("oppose", -1, 0.66)),
+        ("Voten a favor.", None),
+        ("Nadie ha votado a favor de una enmienda de este bloque.", None),
         ("", None),
     ],
 )
@@ -194,3 +206,39 @@ def test_names_without_a_comma(spark):
 def test_keys_beyond_latin_letters_with_common_marks(spark):
     assert one(spark, S.key_part("t"), t="Šimić-Őr\tÉva / ŻÓŁĆ") == "simic oreva zołc"
     assert one(spark, S.title_key("t"), t="Ǿ Ế́ ① é") == "ø e 1 e"
+
+
+def test_nearest_in_spans_of_time(spark):
+    facts = spark.range(200).selectExpr("CASE WHEN id % 3 = 0 THEN NULL ELSE 'k' END AS k", "CAST(id * 37 % 211 AS INT) AS t", "id")
+    events = spark.range(60).selectExpr("CASE WHEN id % 2 = 0 THEN NULL ELSE 'k' END AS k", "CAST(id * 53 % 190 AS INT) AS w", "id % 7 AS v").filter("w < 40 OR w > 90")
+    for near in (J.nearest_before, J.nearest_after):
+        for strict in (True, False):
+            whole = near(facts, events, ["k"], "t", "w", ["v"], strict).collect()
+            spans = near(facts, events, ["k"], "t", "w", ["v"], strict, bucket=lambda t: F.floor(t / 10)).collect()
+            assert sorted(map(tuple, whole), key=str) == sorted(map(tuple, spans), key=str)
+
+
+def test_links_of_one_candidate_in_tiers(spark):
+    pairs = lambda *rows: spark.createDataFrame(rows, "f int, t string, same boolean")
+    tiers = [
+        J.Tier("a", 0.9, pairs((1, "x", False), (1, "y", True), (2, "x", None), (2, "y", None), (3, "z", None)), "same"),
+        J.Tier("b", 0.95, pairs((3, "z", True), (3, "w", True), (1, "y", False))),
+        J.Tier("c", 1.0, pairs((1, "own", True), (2, "own", True)), last_resort=True),
+    ]
+    got = {tuple(r) for r in J.tiered_link("f", "t", tiers).select("f", "t", "method", "confidence").collect()}
+    assert got == {(1, "y", "b", 0.95), (3, "z", "a", 0.9), (2, "own", "c", 1.0)}
+
+
+def test_bridge_rules_in_order(spark):
+    edges = spark.createDataFrame([("t1", "b", "develops"), ("b", "x", "repeals"), ("t2", "x", "repeals"), ("t1", "x", "repeals"), ("t3", "x", "develops"), ("b", "y", "develops"), ("t4", "y", "repeals"), ("t5", "y", "develops")], "src string, dst string, relation string")
+    got = lambda c: {r.node: (round(r.confidence, 2), r.method) for r in J.bridge(spark.createDataFrame([(1, "b", c)], "f int, node string, confidence double"), edges, "f", {"develops": 0.15}, "repeals", 0.2, 0.25).collect()}
+    assert got(0.9) == {"b": (0.9, "direct"), "t1": (0.75, "via_develops"), "t2": (0.7, "via_shared"), "t3": (0.65, "via_mixed"), "t4": (0.65, "via_mixed")}
+    assert got(0.1) == {"b": (0.1, "direct"), "t1": (0.0, "via_develops"), "t2": (0.0, "via_shared"), "t3": (0.0, "via_mixed"), "t4": (0.0, "via_mixed")}
+
+
+def test_composite_keys(spark):
+    facts = spark.createDataFrame([(1, 5, 7, "9/9"), (2, 5, None, "5/8"), (3, None, None, "none"), (4, 6, 6, "")], "f int, a int, b int, said string")
+    targets = spark.createDataFrame([("p", 5, 7), ("q", 5, 8), ("r", 6, 6), ("s", 6, 6), ("n", None, None)], "t string, a int, b int")
+    guess = lambda n: F.regexp_extract("said", r"(\d+)/(\d+)", n).try_cast("int")
+    got = {(r.f, r.t, r.method, r.confidence) for r in J.composite_link(facts, targets, "f", "t", [F.col("a"), F.col("b")], [guess(1), guess(2)], ["a", "b"]).collect()}
+    assert got == {(1, "p", "payload_key", 1.0), (2, "q", "text_key", 0.9)}
