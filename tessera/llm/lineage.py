@@ -3,18 +3,31 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """df written to the shared checkpoint folder and read from there.
-
-    The folder is ``spark.checkpoint.dir``; a folder of its own is taken only where
-    that is unset, as in tests on one machine.
-    """
-    spark: SparkSession = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder: ``spark.checkpoint.dir``, or one of its own where that is
+    unset and all runs on one machine, as in tests."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+        named = context.getConf().get("spark.checkpoint.dir")
+        if named is None and not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+    return context.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """df written to the shared checkpoint folder and read from there."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """df as a Parquet table in the shared folder: later scans read the columns they need."""
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
