@@ -29,6 +29,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .simhash import block_fingerprints, spanning_links
 from .words import Block, blocks
 
 CLASSES = 64
@@ -36,6 +37,8 @@ PREFIX = 5
 PER_CLASS = 2000
 MIN_DOCS = 3
 MIN_LOG_ODDS = 3.0
+#: How many words and beginnings may enter the lexicon by chance alone, at most.
+CHANCE = 0.05
 _MEMO = 300_000
 _MEMO_CHARS = 200
 _COUNTED_CHARS = 1 << 20
@@ -272,30 +275,65 @@ def keys_of(word: str) -> tuple[str, ...]:
     return (word, word[:PREFIX] + "*") if len(word) >= PREFIX else (word,)
 
 
+def surprise(n: int, m: int, share: float) -> float:
+    """A bound of how unlikely it is that of n + m texts n or more are toxic where a ``share``
+    of all texts is (Chernoff's), as its negative logarithm; 0 if n is no more than expected."""
+    part = n / (n + m)
+    if part <= share:
+        return 0.0
+    return n * math.log(part / share) + (m * math.log((1 - part) / (1 - share)) if m else 0.0)
+
+
+def families(texts: list[str]) -> list[int]:
+    """A number for each text, the same for texts that near copies connect: fingerprints of
+    two-word shingles within 7 bits."""
+    prints = np.concatenate([block_fingerprints(b, 2) for b in blocks(pa.array(texts, pa.large_string()))])
+    up: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while x in up:
+            x = up[x]
+        return x
+
+    for a, b in spanning_links(np.unique(prints), 7):
+        a, b = sorted((top(a), top(b)))
+        if a != b:
+            up[b] = a
+    return [top(x) for x in prints.tolist()]
+
+
 def fit(texts: list[tuple[str, int]], restorer: Restorer) -> tuple[dict[str, float], tuple[float, float]]:
-    """Weights of toxic words and word beginnings, and the logistic curve of their sum."""
+    """Weights of toxic words and word beginnings, and the logistic curve of their sum.
+
+    A word of the lexicon is in MIN_DOCS toxic texts or more, has a log odds ratio above
+    MIN_LOG_ODDS, and more toxic texts than chance explains, as many words as there are
+    being tried: how many texts that takes grows with the logarithm of the number of
+    words, not with the sample. Near copies count as one text, as chance made one of them.
+    """
     texts = sorted(set(texts))
     words = (w for block in blocks(pa.array([t for t, _ in texts], pa.large_string())) for w in restorer.words(block))
     bags = [({k for w in set(ws) for k in keys_of(w)}, y) for ws, (_, y) in zip(words, texts, strict=True)]
-    size = Counter(y for _, y in bags)
-    if len(size) < 2:
+    if len({y for _, y in bags}) < 2:
         return {}, (0.0, 0.0)
-    seen = {0: Counter(), 1: Counter()}
-    for bag, y in bags:
+    told: dict[tuple[int, int], set[str]] = {}
+    for family, (bag, y) in zip(families([t for t, _ in texts]), bags, strict=True):
+        told.setdefault((y, family), set()).update(bag)
+    size, seen = Counter(y for y, _ in told), {0: Counter(), 1: Counter()}
+    for (y, _), bag in told.items():
         seen[y].update(bag)
-    weights = {}
+    weights, least, share = {}, math.log(max(len(seen[1]), 1) / CHANCE), size[1] / len(told)
     for key, n in seen[1].items():
         odds = math.log((n + 0.5) / (size[1] + 1)) - math.log((seen[0][key] + 0.5) / (size[0] + 1))
-        if n >= max(MIN_DOCS, size[1] // 50) and odds > MIN_LOG_ODDS:
+        if n >= MIN_DOCS and odds > MIN_LOG_ODDS and surprise(n, seen[0][key], share) > least:
             weights[key] = odds
     evidence = np.array([sum(sorted((weights.get(k, 0.0) for k in bag), reverse=True)[:3]) for bag, _ in bags])
     y = np.array([y for _, y in bags], float)
-    share = np.where(y == 1, 0.5 / y.sum(), 0.5 / (1 - y).sum())
+    weight = np.where(y == 1, 0.5 / y.sum(), 0.5 / (1 - y).sum())
     slope, base = 1.0, -1.0
     for _ in range(2000):  # logistic regression on one number, by gradient descent
         p = 1 / (1 + np.exp(-(slope * evidence + base)))
-        slope -= 0.5 * (share * (p - y) * evidence).sum()
-        base -= 0.5 * (share * (p - y)).sum()
+        slope -= 0.5 * (weight * (p - y) * evidence).sum()
+        base -= 0.5 * (weight * (p - y)).sum()
     return weights, (float(slope), float(base))
 
 

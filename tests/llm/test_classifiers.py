@@ -213,3 +213,27 @@ def test_trigrams_do_not_depend_on_how_texts_are_cut(spark, monkeypatch):
             if b or d:
                 want[(a * toxicity.CLASSES + b) * toxicity.CLASSES + d] += 1
     assert (whole == want).all() and (pieces == want).all()
+
+
+def test_lexicon_learns_rare_insults_and_no_words_of_one_family():
+    r = toxicity.Restorer(small_model([prose(300, 61)]))
+    rare, family = "grubbolt", prose(60, 62).split()
+    texts = []
+    for i in range(4000):
+        toxic = i % 2
+        words = prose(25, 7000 + i).split()
+        if toxic:
+            words.insert(i % 20, rare if i < 50 else "nitbrain")
+        if toxic and i >= 3940:  # edited copies of one text, with words that no other text has
+            words = [f"{w}{w}q" for w in family] + ["nitbrain", f"copy{i}"]
+        texts.append((" ".join(words), toxic))
+    lexicon, _ = toxicity.fit(texts, r)
+    assert {rare, "nitbrain"} <= set(lexicon)
+    assert not {k for k in lexicon for w in family if f"{w}{w}q".startswith(k.rstrip("*"))}
+    assert len(toxicity.families([t for t, _ in texts[:10]])) == 10 and len(set(toxicity.families([t for t, _ in texts[3941::2]]))) == 1
+
+
+def test_surprise_bounds_the_binomial_tail():
+    for n, m, share in ((3, 0, 0.5), (9, 2, 0.3), (20, 0, 0.1), (5, 5, 0.5), (1, 9, 0.5)):
+        tail = sum(math.comb(n + m, k) * share**k * (1 - share) ** (n + m - k) for k in range(n, n + m + 1))
+        assert math.exp(-toxicity.surprise(n, m, share)) >= tail - 1e-12
