@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, hilbert, labelled, lsh, mixing, repetition, simhash, substring, subword, suffixes, toxicity
+from . import alignment, bpe, divergence, hilbert, labelled, lsh, mixing, repetition, simhash, substring, subword, suffixes, tokenfile, toxicity
+from .lineage import shared_folder
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,10 +66,10 @@ def op6_min_cost_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", F.col("_sizes")[0].alias("source_size"), F.col("_targets")[0].alias("target"), (F.col("size") * F.size("_given")).alias("taken"), "source")
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def op7_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,8 +112,27 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_elias_fano_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{shared_folder(spark)}/tokens-{uuid.uuid4().hex}"
+    tokenfile.write(_table(spark, sf_dir, "documents"), path, tokenizer_path(), end_id=1)
+    return tokenfile.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op12_systolic_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
+def op13_label_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")
+    return alignment.align(_table(spark, sf_dir, "documents"), *paths, digest=True).withColumnRenamed("groups", "groups_sha256")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_substring_dedup, op2_simhash, op3_hilbert_sharding, op4_repetition_coverage, op5_subword_quality, op6_min_cost_mixing, op7_bpe_roundtrip, op8_multiprobe_lsh, op9_noisy_channel_toxicity, op10_suffix_array_dedup)}
+    found = (
+        op1_substring_dedup, op2_simhash, op3_hilbert_sharding, op4_repetition_coverage, op5_subword_quality, op6_min_cost_mixing, op7_bpe_roundtrip,
+        op8_multiprobe_lsh, op9_noisy_channel_toxicity, op10_suffix_array_dedup, op11_elias_fano_tokens, op12_systolic_divergence, op13_label_alignment,
+    )
+    return {f.__name__: f for f in found}
 
 
 OP10_SQL = """
@@ -163,5 +184,28 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 """
 
 
+OP12_SQL = """
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents),
+tok AS (SELECT r, lang, source, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM d),
+one AS (SELECT r, lang, source, term, count(*) AS n FROM tok GROUP BY ALL),
+kept AS (SELECT lang, term, sum(n) AS n FROM one GROUP BY ALL HAVING count(*) >= 10),
+lang AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang),
+seen AS (SELECT one.lang, one.source, one.term, sum(one.n) AS n FROM one JOIN kept USING (lang, term) GROUP BY ALL),
+total AS (SELECT lang, source, sum(n) AS total FROM seen GROUP BY ALL),
+grp AS (SELECT g.lang, g.source, coalesce(total, 0) AS total FROM (SELECT DISTINCT lang, source FROM d) g LEFT JOIN total USING (lang, source)),
+vec AS (
+  SELECT grp.lang, grp.source, kept.term, coalesce(seen.n, 0) AS n,
+    CAST(1 + CAST(1000000000 AS HUGEINT) * (coalesce(seen.n, 0) + 2) // (grp.total + 2 * lang.v) AS BIGINT) AS p,
+    CAST(1 + CAST(1000000000 AS HUGEINT) * (kept.n + 2) // (lang.total + 2 * lang.v) AS BIGINT) AS q
+  FROM grp JOIN kept USING (lang) JOIN lang USING (lang) LEFT JOIN seen ON seen.lang = grp.lang AND seen.source = grp.source AND seen.term = kept.term
+),
+met AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value FROM vec a JOIN vec b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pair AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(met.value, 0) AS value FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN met ON met.lang = a.lang AND met.source = a.source AND met.item = b.source),
+term AS (SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // (p + q) AS value FROM vec WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM (SELECT * FROM pair UNION ALL SELECT * FROM term))
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_substring_dedup": OP1_SQL, "op4_repetition_coverage": op4_sql(), "op10_suffix_array_dedup": OP10_SQL}
+    return {"op1_substring_dedup": OP1_SQL, "op4_repetition_coverage": op4_sql(), "op10_suffix_array_dedup": OP10_SQL, "op12_systolic_divergence": OP12_SQL}
