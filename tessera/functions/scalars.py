@@ -121,22 +121,57 @@ def title_key(c: Column | str) -> Column:
     return F.trim(F.regexp_replace(fold_accents(c), r"[^\p{L}\p{N}]+", " "))
 
 
+def _date(year: Column, month: Column, day: Column) -> Column:
+    """A date of three numbers in text or integer form, null if there is no such day."""
+    y, m, d = (x.try_cast("int") for x in (year, month, day))
+    return F.try_to_timestamp(F.format_string("%04d-%02d-%02d", y, m, d), F.lit("yyyy-MM-dd")).cast("date")
+
+
+def _dates(c: Column, *patterns: tuple[str, tuple[int, int, int]]) -> Column:
+    """The date of the first pattern that gives one; with each pattern the groups of its
+    year, month and day."""
+    return F.coalesce(*[F.when(c.rlike(p), _date(*[F.regexp_extract(c, p, g) for g in groups])) for p, groups in patterns])
+
+
 def flexible_date(c: Column | str) -> Column:
-    """A date in one of the usual forms, or the ISO date a text begins with."""
-    c = F.trim(col(c))
-    tries = [F.try_to_timestamp(c, F.lit(f)).cast("date") for f in ("yyyy-MM-dd", "dd/MM/yyyy", "dd-MM-yyyy", "yyyy/MM/dd")]
-    iso = F.try_to_timestamp(F.regexp_extract(c, r"^(\d{4}-\d{2}-\d{2})", 1), F.lit("yyyy-MM-dd")).cast("date")
-    return F.coalesce(*tries, iso)
+    """A date in one of four forms, days and months of one or two digits, up to the first
+    blank; else the ISO date that a text begins with. Null where a form has no such day."""
+    c = F.regexp_extract(F.trim(col(c)), "^([^ ]*)", 1)
+    ymd, dmy = (1, 2, 3), (3, 2, 1)
+    forms = ((r"^(\d{4})-(\d{1,2})-(\d{1,2})$", ymd), (r"^(\d{1,2})/(\d{1,2})/(\d{4})$", dmy), (r"^(\d{1,2})-(\d{1,2})-(\d{4})$", dmy), (r"^(\d{4})/(\d{1,2})/(\d{1,2})$", ymd))
+    return _dates(c, *forms, (r"^(\d{4})-(\d{2})-(\d{2})", ymd))
 
 
-def last_date_in(c: Column | str) -> Column:
-    """The last day-month-year date in a free text; two-digit years are of this century."""
-    parts = F.regexp_extract_all(col(c), F.lit(r"(\d{1,2}[/.-]\d{1,2}[/.-]\d{2,4})"), F.lit(1))
-    piece = F.split(F.try_element_at(parts, F.lit(-1)), r"[/.-]")
-    year = F.get(piece, F.lit(2)).try_cast("int")
-    year = F.when(year < 100, year + 2000).otherwise(year)
-    text = F.format_string("%04d-%02d-%02d", year, F.get(piece, F.lit(1)).try_cast("int"), F.get(piece, F.lit(0)).try_cast("int"))
-    return F.when(F.size(parts) > 0, F.try_to_timestamp(text, F.lit("yyyy-MM-dd")).cast("date"))
+#: The years that a lifecycle may have.
+LIFECYCLE_YEARS = (1700, 2500)
+
+
+def lifecycle_date(c: Column | str) -> Column:
+    """A date of an ISO text with or without a time, of eight digits, or of day-month-year
+    with hyphens, where a year of two digits is of this century; null outside the years of
+    a lifecycle."""
+    c = F.trim(col(c))
+    digits = F.regexp_replace(c, r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3")
+    short = r"^(\d{1,2})-(\d{1,2})-(\d{2,4})(?:[ T].*)?$"
+    year = F.regexp_extract(c, short, 3).try_cast("int")
+    guarded = lambda d: F.when(F.year(d).between(*LIFECYCLE_YEARS), d)
+    iso = guarded(_dates(digits, (r"^(\d{4})-(\d{2})-(\d{2})(?:[ T].*)?$", (1, 2, 3))))
+    dmy = F.when(c.rlike(short), _date(F.when(year < 100, year + 2000).otherwise(year), F.regexp_extract(c, short, 2), F.regexp_extract(c, short, 1)))
+    return F.coalesce(iso, guarded(dmy))
+
+
+def last_date_in(*columns: Column | str) -> Column:
+    """The last date in the first of several free texts that has one: ISO dates go before
+    day-month-year, whose two-digit years are of this century. The last match decides; if
+    it is no day, the next form is looked for."""
+    out = []
+    for c in columns:
+        for pattern, (y, m, d) in ((r"\b(\d{4}[-/.]\d{2}[-/.]\d{2})\b", (0, 1, 2)), (r"\b(\d{1,2}[-/.]\d{1,2}[-/.]\d{2,4})\b", (2, 1, 0))):
+            piece = F.split(F.try_element_at(F.regexp_extract_all(col(c), F.lit(pattern), F.lit(1)), F.lit(-1)), r"[-/.]")
+            part = [F.get(piece, F.lit(i)).try_cast("int") for i in (y, m, d)]
+            year = F.when((part[0] < 100) & F.lit(y > 0), part[0] + 2000).otherwise(part[0])
+            out.append(_date(year, part[1], part[2]))
+    return F.coalesce(*out)
 
 
 def period_start(c: Column | str) -> Column:
@@ -187,28 +222,48 @@ def roman_to_int(c: Column | str) -> Column:
     return F.when(c.rlike("^[IVXLCDM]+$") & (total > 0), total)
 
 
-def confidence_band(c: Column | str, high: float = 0.8, medium: float = 0.5) -> Column:
-    c = col(c)
-    return F.when(c >= high, "high").when(c >= medium, "medium").when(c.isNotNull(), "low").otherwise("none")
+def confidence_band(c: Column | str, high: float = 0.8, medium: float = 0.5, stance: Column | str | None = None) -> Column:
+    """high, medium or low; none for no_signal and where there is no confidence above 0."""
+    c = F.coalesce(col(c), F.lit(0.0))
+    quiet = (c <= 0) if stance is None else (c <= 0) | F.coalesce(col(stance) == "no_signal", F.lit(False))
+    return F.when(quiet, "none").when(c >= high, "high").when(c >= medium, "medium").otherwise("low")
+
+
+#: Fixed value: the bucket of names without a letter or digit.
+OTHER_BUCKET = "OTROS"
 
 
 def initial_bucket(c: Column | str) -> Column:
-    """A-Z, 0-9 or OTHER by the first character of a folded name."""
-    first = F.upper(F.substring(fold_accents(F.trim(col(c))), 1, 1))
-    return F.when(first.rlike("^[A-Z]$"), first).when(first.rlike("^[0-9]$"), "0-9").otherwise("OTHER")
+    """The first letter A-Z of a folded name or, if a digit comes before it, 0-9."""
+    first = F.regexp_extract(F.upper(fold_accents(col(c))), r"[A-Z\p{Nd}]", 0)
+    return F.when(first.rlike("^[A-Z]$"), first).when(first != "", "0-9").otherwise(OTHER_BUCKET)
 
 
-def shorten(c: Column | str, width: int) -> Column:
-    """At most width characters, cut at a word's end, with an ellipsis if cut."""
-    c = collapse_space(c)
-    return F.when(F.length(c) <= width, c).otherwise(F.concat(F.regexp_replace(F.substring(c, 1, width - 1), r"\s+\S*$", ""), F.lit("…")))
+#: Fixed value: a cut text is cut at its last blank only beyond this place.
+LEAST_KEPT = 24
 
 
-def canonical_url(c: Column | str) -> Column:
-    """Lower-case host, https, no fragment, no query, no slash at the end."""
-    host = F.lower(F.regexp_extract(col(c), r"^[a-zA-Z]+://([^/?#]+)", 1))
-    path = F.regexp_replace(F.regexp_extract(col(c), r"^[a-zA-Z]+://[^/?#]+([^?#]*)", 1), r"/+$", "")
-    return F.when(host != "", F.concat(F.lit("https://"), host, path))
+def shorten(c: Column | str, width: int = 240) -> Column:
+    """A text of at most width characters, blanks collapsed; a longer one is cut there, then
+    at its last blank, and three points follow. Null is an empty text."""
+    c = F.coalesce(collapse_space(c), F.lit(""))
+    head = F.rtrim(F.substring(c, 1, width))
+    blank = F.length(head) - F.instr(F.reverse(head), " ")  # from 0; the length if there is none
+    cut = F.when(F.contains(head, F.lit(" ")) & (blank > LEAST_KEPT), F.substring(head, F.lit(1), blank)).otherwise(head)
+    return F.when(F.length(c) <= width, c).otherwise(F.concat(cut, F.lit("...")))
+
+
+def canonical_url(c: Column | str, base: str | None = None) -> Column:
+    """An address with its host in lower case, https for http, its path and query as they
+    are, without fragment. A path that starts with a slash is taken from ``base`` (scheme and
+    host). Null where there is no host."""
+    c = F.trim(col(c))
+    if base:
+        c = F.when(c.rlike("^/(?!/)"), F.concat(F.lit(base.rstrip("/")), c)).otherwise(c)
+    pattern = r"^(?:([a-zA-Z][a-zA-Z0-9+.-]*):)?//([^/?#]+)([^?#]*)(?:\?([^#]*))?"
+    scheme, host, path, query = (F.regexp_extract(c, pattern, g) for g in (1, 2, 3, 4))
+    scheme = F.when(F.lower(scheme).isin("", "http"), "https").otherwise(F.lower(scheme))
+    return F.when(host != "", F.concat(scheme, F.lit("://"), F.lower(host), path, F.when(query != "", F.concat(F.lit("?"), query)).otherwise("")))
 
 
 def stable_id(*columns: Column | str) -> Column:
@@ -294,27 +349,57 @@ def mapped(c: Column | str, codes: dict[str, str], default: Column | None = None
     return found if default is None else F.coalesce(found, default)
 
 
-def next_action(status: Column | str, has_evidence: Column, has_dates: Column) -> Column:
-    """What a queue entry needs next, from its state."""
-    s = col(status)
-    return (
-        F.when(s.isin("resolved", "ignored"), "none")
-        .when(~has_evidence, "collect_evidence")
-        .when(~has_dates, "complete_dates")
-        .when(s == "pending", "review")
-        .otherwise("verify")
-    )
+#: The states of a review queue, in the order in which they are looked for,
+#: and what each needs next.
+QUEUE_ACTIONS = {
+    "missing_source": "add_source_to_sanction_data_catalog_seed",
+    "no_metrics": "ingest_official_review_procedural_metrics",
+    "no_source_record_chain": "backfill_source_record_pk_for_official_review_metrics",
+    "no_evidence_chain": "backfill_evidence_date_quote_for_official_review_metrics",
+    "partial_kpi_coverage": "ingest_missing_kpis_for_source_scope",
+    "ready": "monitor_refresh",
+}
+
+
+def queue_status(seeded: Column, metrics: Column, source_records: Column, evidence: Column, kpis_covered: Column, kpis_expected: Column) -> Column:
+    """The first gap of a queue entry: no source, no metrics, fewer source records or pieces
+    of evidence than metrics, fewer KPIs than expected; else ready."""
+    gaps = (~seeded, metrics <= 0, source_records < metrics, evidence < metrics, (kpis_expected > 0) & (kpis_covered < kpis_expected))
+    out = F
+    for state, gap in zip(QUEUE_ACTIONS, gaps, strict=False):
+        out = out.when(F.coalesce(gap, F.lit(False)), state)
+    return out.otherwise("ready")
+
+
+def next_action(status: Column | str) -> Column:
+    """What a queue entry needs next, by its state; any other state is refreshed."""
+    return F.coalesce(F.create_map(*[F.lit(x) for kv in QUEUE_ACTIONS.items() for x in kv])[col(status)], F.lit(QUEUE_ACTIONS["ready"]))
 
 
 def metric_check(value: Column | str, kind: str, target: float | None = None) -> Column:
-    """passed, partial or failed: ``presence`` (there is a value), ``gte`` (at least the
-    target) or ``max`` (at most; up to 1.5 times is partial)."""
+    """DONE, PARTIAL, TODO or UNTRACKED (no value, or one that is no number): ``bool_true``;
+    ``presence`` (above 0); ``gte`` and ``count_gte`` (at least the target; above 0 is
+    partial); ``max`` (at most the target; up to 1.5 times is partial)."""
     v = col(value)
+    if kind == "bool_true":
+        v = v.cast("boolean")
+        return F.when(v.isNull(), "UNTRACKED").when(v, "DONE").otherwise("TODO")
+    v, t = v.try_cast("double"), F.lit(float(target or 0.0))
     if kind == "presence":
-        return F.when(v.isNotNull(), "passed").otherwise("failed")
-    if kind == "gte":
-        return F.when(v >= target, "passed").otherwise("failed")
-    return F.when(v <= target, "passed").when(v <= 1.5 * target, "partial").otherwise("failed")
+        known = F.when(v > 0, "DONE").otherwise("TODO")
+    elif kind in ("gte", "count_gte"):
+        known = F.when(v >= t, "DONE").when(v > 0, "PARTIAL").otherwise("TODO")
+    elif kind == "max":
+        known = F.when(v <= t, "DONE").when((t > 0) & (v <= 1.5 * t), "PARTIAL").otherwise("TODO")
+    else:
+        return F.lit("UNTRACKED")
+    return F.when(v.isNull(), "UNTRACKED").otherwise(known)
+
+
+def mismatch_state(tracker: Column | str, actual: Column | str, done_zero: Column, waived: Column) -> Column:
+    """How a tracker's status fits the status of the data; a waiver covers a mismatch."""
+    t, a = (F.upper(F.trim(F.coalesce(col(c), F.lit("")))) for c in (tracker, actual))
+    return F.when(t == "", "UNTRACKED").when(done_zero, "DONE_ZERO_REAL").when(t == a, "MATCH").when(waived, "WAIVED_MISMATCH").otherwise("MISMATCH")
 
 
 def redacted(c: Column | str) -> Column:

@@ -189,11 +189,43 @@ def declared_stance(text: Column | str, lexicon: StanceLexicon = SPANISH) -> Col
     )
 
 
-def subject(text: Column | str, title: Column | str, keywords: tuple[str, ...], width: int = 80) -> Column:
-    """struct(subject, confidence): what follows a keyword, else the first sentence that is
-    long enough, else the title."""
-    t = collapse_space(text)
-    after = F.regexp_extract(t, rf"(?i)\b(?:{'|'.join(keywords)})\b[:\s]+([^.;\n]{{10,{width}}})", 1)
-    sentence = F.regexp_extract(t, rf"([^.;]{{20,{width}}})[.;]", 1)
-    out = lambda c, p: F.struct(F.trim(c).alias("subject"), F.lit(p).alias("confidence"))
-    return F.when(after != "", out(after, 0.8)).when(sentence != "", out(sentence, 0.5)).when(F.trim(col(title)) != "", out(col(title), 0.3))
+#: How a subject starts, words of a sentence that may be one, and titles
+#: that are one by themselves.
+SUBJECT_STARTS = ("proyecto", "proposici[oó]n", "moci[oó]n", "interpelaci[oó]n", "pregunta", "decreto-ley", r"real\s+decreto-ley", "tratado", "convenio", "acuerdo", "enmienda", "veto", "dictamen", "propuesta")
+SUBJECT_WORDS = ("proyecto", "proposición", "proposicion", "moción", "mocion", "interpelación", "interpelacion", "pregunta", "decreto-ley", "acuerdo", "enmienda", "veto")
+STRONG_TITLES = (
+    r"proyecto\s+de\s+ley", r"proposici[oó]n\s+de\s+ley", r"ley\s+org[aá]nica", r"real\s+decreto-ley", "decreto-ley", "convenio", "tratado", "acuerdo",
+    r"propuesta\s+de\s+reforma", r"proposici[oó]n\s+de\s+reforma", "moci[oó]n", "interpelaci[oó]n", "pregunta", "dictamen", "protocolo", "convenci[oó]n", "acta(?:s)?",
+    "memor[aá]ndum", "memorando", "declaraci[oó]n(?:es)?", "resoluci[oó]n(?:es)?", "decisi[oó]n(?:es)?", "canje", "carta(?:s)?", r"texto\s+refundido", "estatuto(?:s)?", "instrumento",
+    "denuncia", "retirada", "c[oó]digo", "anejo(?:s)?", "adenda", "adhesi[oó]n", "extensi[oó]n", "solicitud", "nota", "documento(?:s)?", "modificaci[oó]n(?:es)?",
+)
+
+
+def _clipped(c: Column, width: int) -> Column:
+    return F.when(F.length(c) <= width, c).otherwise(F.concat(F.rtrim(F.substring(c, 1, width - 1)), F.lit("…")))
+
+
+def subject(text: Column | str, title: Column | str) -> Column:
+    """struct(subject, confidence, method) of a document, by the first of: a window of 20 to
+    320 characters from a keyword on (a strong title instead of one shorter than 40), the
+    first sentence of 40 or more with a keyword, the title, the text's beginning. Without a
+    text the title; without either an empty subject."""
+    t, name = (F.coalesce(collapse_space(c), F.lit("")) for c in (text, title))
+    strong = (F.length(name) >= 35) & name.rlike(rf"(?iU)\b(?:{'|'.join(STRONG_TITLES)})\b")
+    window = _clipped(collapse_space(F.regexp_extract(t, rf"(?iU)((?:{'|'.join(SUBJECT_STARTS)})[^.;:]{{20,320}})", 1)), 320)
+    has_word = lambda s: F.lower(s).rlike("|".join(SUBJECT_WORDS))
+    sentences = F.filter(F.transform(F.split(t, "[.;:!?]+"), lambda s: _clipped(F.trim(s), 320)), lambda s: (F.length(s) >= 40) & has_word(s))
+    sentence = F.get(sentences, F.lit(0))
+    out = lambda c, p, how: F.struct(c.alias("subject"), F.lit(p).alias("confidence"), F.lit(how).alias("method"))
+    head = _clipped(name, 320)
+    return (
+        F.when((t == "") & (name == ""), out(F.lit(""), 0.0, "empty"))
+        .when((t == "") & strong, out(head, 0.74, "title_fallback_strong"))
+        .when(t == "", out(head, 0.72, "title_fallback"))
+        .when((window != "") & (F.length(window) < 40) & strong, out(head, 0.74, "title_hint_strong_from_short_window"))
+        .when(window != "", out(window, 0.82, "keyword_window"))
+        .when(sentence.isNotNull(), out(sentence, 0.76, "keyword_sentence"))
+        .when((name != "") & strong, out(head, 0.74, "title_hint_strong"))
+        .when(name != "", out(head, 0.68, "title_hint"))
+        .otherwise(out(_clipped(t, 220), 0.56, "excerpt_fallback"))
+    )

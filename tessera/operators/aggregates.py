@@ -19,61 +19,75 @@ def stance(score: Column, edge: float = STANCE_EDGE) -> Column:
     return F.when(score > edge, "support").when(score < -edge, "oppose").otherwise("unclear")
 
 
-def weighted_stance(evidence: DataFrame, keys: list[str], polarity: str, weight: str, confidence: str, variant: str = "votes") -> DataFrame:
+#: The stances of declared evidence that are a signal.
+SIGNALS = ("support", "oppose", "mixed")
+
+
+def weighted_stance(evidence: DataFrame, keys: list[str], polarity: str, weight: str, confidence: str, variant: str = "votes", stance_col: str = "stance") -> DataFrame:
     """keys, n_evidence, score, stance, confidence of signed, weighted evidence.
 
-    score is the weighted mean of the polarity over evidence that has one. ``votes``:
-    full confidence at 5 pieces. ``declared``: at 3; without any polarity the stance is
-    no_signal, with both signs and no clear mean it is mixed.
+    score is the weighted mean of the polarity over the evidence that has one; 0 if none
+    has. ``votes``: every row is evidence, full confidence at 5. ``declared``: rows whose
+    ``stance_col`` is support, oppose or mixed are, full confidence at 3; without any
+    polarity a mixed row makes the stance mixed, as do both signs without a clear mean.
+    A key without evidence has no row.
     """
     w = F.coalesce(F.col(weight), F.lit(1)) * F.coalesce(F.col(confidence), F.lit(1))
+    declared = variant == "declared"
+    rows = evidence.filter(F.col(stance_col).isin(*SIGNALS)) if declared else evidence
     signed = F.col(polarity) != 0
-    sums = evidence.groupBy(*keys).agg(
-        F.count_if(signed).alias("n_evidence"),
+    sums = rows.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n_evidence"),
         F.count_if(F.col(polarity) > 0).alias("n_for"),
         F.count_if(F.col(polarity) < 0).alias("n_against"),
+        (F.count_if(F.col(stance_col) == "mixed") if declared else F.lit(0)).alias("_mixed"),
         F.sum(F.when(signed, F.col(polarity) * w)).cast("double").alias("_numer"),
         F.sum(F.when(signed, w)).cast("double").alias("_denom"),
     )
     out = sums.withColumn("score", ratio("_numer", "_denom"))
     plain = stance(F.col("score"))
-    if variant == "declared":
+    if declared:
+        unsigned = F.coalesce(F.col("_denom"), F.lit(0.0)) <= 0
         both = (F.col("n_for") > 0) & (F.col("n_against") > 0)
-        plain = F.when(F.col("n_evidence") == 0, "no_signal").when(both & (plain == "unclear"), "mixed").otherwise(plain)
-    full = 3.0 if variant == "declared" else 5.0
-    return out.withColumns({"stance": plain, "confidence": F.least(F.lit(1.0), F.col("n_evidence") / full)}).drop("_numer", "_denom")
+        plain = F.when(unsigned, F.when(F.col("_mixed") > 0, "mixed").otherwise("unclear")).when(both & (plain == "unclear"), "mixed").otherwise(plain)
+    full = 3.0 if declared else 5.0
+    return out.withColumns({"stance": plain, "confidence": F.least(F.lit(1.0), F.col("n_evidence") / full)}).drop("_numer", "_denom", "_mixed")
 
 
-def rollup_stance(positions: DataFrame, keys: list[str], members: Column, majority: float = 0.75) -> DataFrame:
+def rollup_stance(positions: DataFrame, keys: list[str], members: Column, majority: float = 0.75, series: bool = False) -> DataFrame:
     """Positions of members as one position of their group, weighted by evidence.
 
-    members: size of the group. Too few members with a stance give no position; both
-    stances without a clear majority are mixed; support wins ties.
+    members: size of the group. Members with any other stance than no_signal are a signal:
+    none is no_signal, fewer than a fifth of the members (and than 3) is unclear. Without
+    a clear member the group is mixed if one is, else unclear; both clear stances without a
+    clear majority are mixed; support wins ties. The score of unclear groups is 0. In the
+    form for ``series`` mixed members count among the clear ones, and a group without
+    members is no_signal.
     """
     sums = positions.groupBy(*keys).agg(
         F.sum(F.col("score") * F.col("n_evidence")).alias("_numer"),
         F.sum("n_evidence").alias("n_evidence"),
-        F.count_if(F.col("stance") == "support").alias("n_support"),
-        F.count_if(F.col("stance") == "oppose").alias("n_oppose"),
-        F.count_if(F.col("stance") == "unclear").alias("n_unclear"),
+        *[F.count_if(F.col("stance") == s).alias(f"n_{s}") for s in ("support", "oppose", "mixed", "unclear")],
+        F.count_if(F.col("stance") != "no_signal").alias("n_signal"),
         F.sum(F.col("confidence") * F.col("n_evidence")).alias("_conf"),
         F.max(members).alias("n_members"),
     )
-    clear = F.col("n_support") + F.col("n_oppose")
-    need = F.greatest(F.lit(1), F.least(F.lit(3), F.col("n_members")), F.ceil(0.2 * F.col("n_members")))
-    share = F.greatest("n_support", "n_oppose") / clear
+    support, oppose, mixed, signal, size = (F.col(f"n_{s}") for s in ("support", "oppose", "mixed", "signal", "members"))
+    clear = support + oppose + mixed if series else support + oppose
+    need = F.greatest(F.lit(1), F.least(F.lit(3), size), F.ceil(0.2 * size))
+    least = F.when(F.col("n_unclear") > 0, "unclear").otherwise("no_signal") if series else F.when(mixed > 0, "mixed").otherwise("unclear")
     decided = (
-        F.when(clear + F.col("n_unclear") < need, "unknown")
-        .when(clear == 0, "unclear")
-        .when((F.col("n_support") > 0) & (F.col("n_oppose") > 0) & (share < majority), "mixed")
-        .when(F.col("n_support") >= F.col("n_oppose"), "support")
+        F.when((signal <= 0) | ((size <= 0) if series else F.lit(False)), "no_signal")
+        .when((size > 0) & (signal < need), "unclear")
+        .when(clear == 0, least)
+        .when((support > 0) & (oppose > 0) & (F.greatest(support, oppose) / clear < majority), "mixed")
+        .when(support >= oppose, "support")
         .otherwise("oppose")
     )
-    coverage = ratio(clear + F.col("n_unclear"), F.col("n_members"))
     return sums.withColumns({
-        "score": ratio("_numer", "n_evidence"),
         "stance": decided,
-        "confidence": clamp01(ratio("_conf", "n_evidence") * coverage),
+        "score": F.when(decided.isin("no_signal", "unclear"), 0.0).otherwise(ratio("_numer", "n_evidence")),
+        "confidence": clamp01(ratio("_conf", "n_evidence") * ratio(signal, size)),
     }).drop("_numer", "_conf")
 
 

@@ -13,6 +13,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import sweep
+
 
 def best_row(df: DataFrame, keys: list[str], order: list[Column], k: int = 1, rank: str | None = None) -> DataFrame:
     """The first k rows of each key; ``order`` should be total."""
@@ -27,13 +29,9 @@ def latest_lookup(df: DataFrame, other: DataFrame, keys: list[str], order: list[
 
 
 def interval_join(facts: DataFrame, spans: DataFrame, keys: list[str], at: str, start: str, end: str, how: str = "inner") -> DataFrame:
-    """Facts with the spans of equal keys that hold their date; a null end is open."""
-    on = [facts[k] == spans[k] for k in keys]
-    on += [spans[start].isNull() | (facts[at] >= spans[start]), spans[end].isNull() | (facts[at] <= spans[end])]
-    out = facts.join(spans, reduce(lambda a, b: a & b, on), how)
-    for k in keys:
-        out = out.drop(spans[k])
-    return out
+    """Facts with the spans of equal keys that hold their time; a null end or start is open.
+    Both are cut along time, so a key with many rows is joined in many tasks."""
+    return sweep.stabbed(facts, spans, keys, at, start, end, how)
 
 
 def asof_tiered(facts: DataFrame, spans: DataFrame, keys: list[str], fact_id: str, at: str, start: str, end: str, span_id: str, tiers: str = "full") -> DataFrame:
@@ -42,24 +40,10 @@ def asof_tiered(facts: DataFrame, spans: DataFrame, keys: list[str], fact_id: st
     Spans are looked at latest start first (null starts last), then greatest id. Tier 1
     holds the date; an unknown date takes the first span. In the full form tier 2 is the
     first span that started by the date or has no start, tier 3 the last of all; in the
-    short form tier 2 is the first span. Facts without a span keep nulls.
+    short form tier 2 is the first span. Facts without a span keep nulls, rows that repeat
+    a fact id stay rows of their own. Times are swept, no pairs are made (sweep.py).
     """
-    s = spans.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col(start).alias("_start"), F.col(end).alias("_end"), F.col(span_id).alias("_span"))
-    on = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_k{i}") for i, k in enumerate(keys)])
-    d = F.col(at)
-    holds = (F.col("_start").isNull() | (d >= F.col("_start"))) & (F.col("_end").isNull() | (d <= F.col("_end")))
-    if tiers == "full":
-        tier = F.when(F.col("_span").isNull(), None).when(d.isNull() | holds, 1).when(F.col("_start").isNull() | (F.col("_start") <= d), 2).otherwise(3)
-    else:
-        tier = F.when(F.col("_span").isNull(), None).when(d.isNull() | holds, 1).otherwise(2)
-    joined = facts.join(s, on, "left").withColumn("tier", tier)
-    ahead = [F.col("_start").desc_nulls_last(), F.col("_span").desc()]
-    if tiers == "full":  # the last fallback looks from the other end
-        order = [F.col("tier").asc_nulls_last(), F.when(F.col("tier") < 3, F.col("_start")).desc_nulls_last(), F.when(F.col("tier") < 3, F.col("_span")).desc_nulls_last(), F.col("_start").asc_nulls_first(), F.col("_span").asc_nulls_first()]
-    else:
-        order = [F.col("tier").asc_nulls_last(), *ahead]
-    out = best_row(joined, [fact_id], order)
-    return out.drop(*[f"_k{i}" for i in range(len(keys))], "_start", "_end").withColumnRenamed("_span", span_id)
+    return sweep.asof(facts, spans, keys, at, start, end, span_id, tiers)
 
 
 def best_candidate(facts: DataFrame, candidates: DataFrame, on: str, fact_id: str, candidate_id: str, score: list[Column]) -> DataFrame:
@@ -116,22 +100,31 @@ def composite_link(facts: DataFrame, targets: DataFrame, fact_id: str, target_id
 
 
 Bucket = Callable[[Column], Column]
+Gap = Callable[[Column, Column], Column]
 
 
-def nearest_before(facts: DataFrame, events: DataFrame, keys: list[str], fact_at: str, event_at: str, event_cols: list[str], strict: bool = True, bucket: Bucket | None = None) -> DataFrame:
+def nearest_before(facts: DataFrame, events: DataFrame, keys: list[str], fact_at: str, event_at: str, event_cols: list[str], strict: bool = True, bucket: Bucket | None = None, within: Gap | None = None) -> DataFrame:
     """Facts with the last event of their keys before their time.
 
     Facts and events become one timeline; the last event seen so far is carried along,
     so no pair of rows is made. ``bucket`` maps a time to a span of time in order (such as
     its day): a key is then sorted span by span in many tasks, and only the last event of
-    each span goes on to the next ones.
+    each span goes on to the next ones. ``within`` tells from the times of a fact and its
+    event whether they are near enough; a farther event does not count.
     """
-    return _nearest(facts, events, keys, fact_at, event_at, event_cols, True, strict, bucket)
+    return _near(_nearest(facts, events, keys, fact_at, event_at, event_cols, True, strict, bucket), fact_at, event_at, event_cols, within)
 
 
-def nearest_after(facts: DataFrame, events: DataFrame, keys: list[str], fact_at: str, event_at: str, event_cols: list[str], strict: bool = False, bucket: Bucket | None = None) -> DataFrame:
+def nearest_after(facts: DataFrame, events: DataFrame, keys: list[str], fact_at: str, event_at: str, event_cols: list[str], strict: bool = False, bucket: Bucket | None = None, within: Gap | None = None) -> DataFrame:
     """Facts with the first event of their keys at or after their time."""
-    return _nearest(facts, events, keys, fact_at, event_at, event_cols, False, strict, bucket)
+    return _near(_nearest(facts, events, keys, fact_at, event_at, event_cols, False, strict, bucket), fact_at, event_at, event_cols, within)
+
+
+def _near(found: DataFrame, fact_at: str, event_at: str, event_cols: list[str], within: Gap | None) -> DataFrame:
+    if within is None:
+        return found
+    near = within(F.col(fact_at), F.col(event_at))
+    return found.withColumns({c: F.when(near, F.col(c)) for c in dict.fromkeys([*event_cols, event_at])})
 
 
 def _nearest(facts: DataFrame, events: DataFrame, keys: list[str], fact_at: str, event_at: str, event_cols: list[str], back: bool, strict: bool, bucket: Bucket | None) -> DataFrame:

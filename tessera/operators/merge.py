@@ -15,11 +15,32 @@ def _matched(target: DataFrame, source: DataFrame, keys: list[str], how: str) ->
     return t.join(s, on, how)
 
 
-def upsert(target: DataFrame, source: DataFrame, keys: list[str], update: list[str] | None = None, keep_known: bool = False) -> DataFrame:
+def _single(source: DataFrame, keys: list[str], order: list[str] | None, value, first: bool = False) -> DataFrame:
+    """One row a key: rows of a repeated key are applied in the order of ``order``; a
+    column's value comes from the last row (or the first), as ``value`` says. Without an
+    order a repeated key is an error."""
+    at = F.struct(*order) if order else F.lit(0)
+    pick = F.min_by if first else F.max_by
+    rest = [c for c in source.columns if c not in keys]
+    out = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *[(value(c, at) if value else pick(F.struct(c), at)[c]).alias(c) for c in rest])
+    if not order:
+        out = out.filter(F.when(F.col("_n") > 1, F.raise_error(F.lit("a key is repeated: give an order")).cast("boolean")).otherwise(True))
+    return out.select(*source.columns)
+
+
+def upsert(target: DataFrame, source: DataFrame, keys: list[str], update: list[str] | None = None, keep_known: bool = False, order: list[str] | None = None) -> DataFrame:
     """Rows of both; where keys meet (nulls meet nulls) the ``update`` columns come from
-    source, with keep_known only if they are not null there."""
+    source, with keep_known only if they are not null there. Rows of source that share a
+    key are applied in the order of the ``order`` columns, as one statement for each would:
+    the first inserts, later ones update."""
     update = [c for c in target.columns if c not in keys] if update is None else update
-    both = _matched(target, source, keys, "full")
+
+    def applied(c: str, at: Column) -> Column:
+        if c not in update:
+            return F.min_by(F.struct(c), at)[c]
+        return F.max_by(c, F.when(F.col(c).isNotNull(), at)) if keep_known else F.max_by(F.struct(c), at)[c]
+
+    both = _matched(target, _single(source, keys, order, applied), keys, "full")
     new, old = F.col("t").isNull(), F.col("s").isNull()
 
     def value(c: str) -> Column:
@@ -33,18 +54,20 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], update: list[s
     return both.select(*[value(c).alias(c) for c in target.columns])
 
 
-def insert_new(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
-    """target and the rows of source with keys that it lacks."""
-    fresh = source.alias("s").join(target.select(*[F.col(k).alias(f"_k{k}") for k in keys]), reduce(lambda a, b: a & b, [F.col(f"s.{k}").eqNullSafe(F.col(f"_k{k}")) for k in keys]), "left_anti")
-    return target.unionByName(fresh)
+def insert_new(target: DataFrame, source: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
+    """target and the rows of source with keys that it lacks, of a repeated key the first
+    in the order of the ``order`` columns."""
+    one = _single(source, keys, order, None, first=True)
+    fresh = one.alias("s").join(target.select(*[F.col(k).alias(f"_k{k}") for k in keys]), reduce(lambda a, b: a & b, [F.col(f"s.{k}").eqNullSafe(F.col(f"_k{k}")) for k in keys]), "left_anti")
+    return target.unionByName(fresh.select(*target.columns))
 
 
 def close_missing(target: DataFrame, batch: DataFrame, keys: list[str], as_of: Column, active: str = "is_active", end: str = "end_date") -> DataFrame:
     """target after a full snapshot: rows that the batch lacks become inactive and end at
-    the snapshot, unless they had ended."""
-    seen = batch.select(*keys).distinct().withColumn("_seen", F.lit(True))
+    the snapshot, unless they had ended. A null key meets a null key."""
+    seen = batch.select(*[F.col(k).alias(f"_s{i}") for i, k in enumerate(keys)]).distinct().withColumn("_seen", F.lit(True))
     gone = F.col("_seen").isNull() & F.col(active)
-    out = target.join(seen, keys, "left")
+    out = target.join(seen, reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_s{i}")) for i, k in enumerate(keys)]), "left")
     return out.withColumns({end: F.when(gone & F.col(end).isNull(), as_of).otherwise(F.col(end)), active: F.when(gone, False).otherwise(F.col(active))}).select(*target.columns)
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import micros
+from .ranges import null_safe, ranked
 
 
 def delta(df: DataFrame, keys: list[str], order: list[Column], value: str) -> DataFrame:
@@ -28,23 +29,27 @@ def tail(df: DataFrame, keys: list[str], newest: list[Column], n: int) -> DataFr
     return df.withColumn("age", F.row_number().over(Window.partitionBy(*keys).orderBy(*newest))).filter(F.col("age") <= n)
 
 
-def trailing_streak(df: DataFrame, keys: list[str], newest: list[Column], good: Column) -> DataFrame:
-    """keys and streak: how many of the newest rows are good before the first that is not;
-    a null counts as not good."""
-    w = Window.partitionBy(*keys).orderBy(*newest).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    broken = F.sum(F.when(F.coalesce(good, F.lit(False)), 0).otherwise(1)).over(w)
-    return df.withColumn("_broken", broken).groupBy(*keys).agg(F.count_if(F.col("_broken") == 0).alias("streak"))
+def trailing_streak(df: DataFrame, keys: list[str], newest: list[str], good: Column) -> DataFrame:
+    """keys and streak: how many of the newest rows (greatest in the ``newest`` columns) are
+    good before the first that is not; a null counts as not good. Two grouped aggregations:
+    the newest bad row of each key, then the rows after it."""
+    at = F.struct(*newest)
+    rows = df.select(*keys, at.alias("_at"), F.coalesce(good, F.lit(False)).alias("_good"))
+    last = rows.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.max(F.when(~F.col("_good"), F.col("_at"))).alias("_bad"))
+    seen = rows.join(last, null_safe(keys, [f"_k{i}" for i in range(len(keys))]))
+    return seen.groupBy(*keys).agg(F.count_if(F.col("_bad").isNull() | (F.col("_at") > F.col("_bad"))).alias("streak"))
 
 
-def cadence(df: DataFrame, keys: list[str], newest: list[Column], always: Column, recent: int = 20, middle: int = 100, every_middle: int = 5, every_old: int = 20) -> DataFrame:
-    """A log thinned by age: all recent rows, then every few, then fewer; the first and the
-    last row and those for which ``always`` holds (or is null) stay."""
-    w = Window.partitionBy(*keys)
-    ranked = df.withColumns({"age": F.row_number().over(w.orderBy(*newest)), "_n": F.count(F.lit(1)).over(w)})
+def cadence(df: DataFrame, keys: list[str], newest: list[str], always: Column, recent: int = 20, middle: int = 100, every_middle: int = 5, every_old: int = 20) -> DataFrame:
+    """A log thinned by age, which the newest row (greatest in the ``newest`` columns) counts
+    from 0: all ``recent`` rows, then every few of the next ``middle``, then fewer; the
+    first and the last row and those for which ``always`` holds (or is null) stay. A key is
+    ranked over many tasks."""
+    rows = ranked(df, keys, newest, descending=True, rank="age", total="_n")
     age = F.col("age")
-    keep = (age <= recent) | ((age <= middle) & (F.pmod(age, F.lit(every_middle)) == 0)) | (F.pmod(age, F.lit(every_old)) == 0)
-    anchor = (age == 1) | (age == F.col("_n"))
-    return ranked.filter(keep | anchor | F.coalesce(always, F.lit(True))).drop("_n")
+    every = F.when(age < recent, 1).when(age < recent + middle, every_middle).otherwise(every_old)
+    anchor = (age == 0) | (age == F.col("_n") - 1)
+    return rows.filter((F.pmod(age, every) == 0) | anchor | F.coalesce(always, F.lit(True))).drop("_n")
 
 
 def sessions(df: DataFrame, keys: list[str], at: str, gap_seconds: int) -> DataFrame:

@@ -90,13 +90,23 @@ def html_strip(t: Tables) -> DataFrame:
     return text.select("page_id", F.md5(F.col("h").cast("binary")).alias("text_md5"), F.length("h").cast("long").alias("n_chars"))
 
 
-@plan("""
-SELECT page_id, 'https://' || lower(regexp_extract(url, '^[a-zA-Z]+://([^/?#]+)', 1)) || regexp_replace(regexp_extract(url, '^[a-zA-Z]+://[^/?#]+([^?#]*)', 1), '/+$', '') AS url
-FROM pages WHERE regexp_matches(url, '^[a-zA-Z]+://[^/?#]+')
+_ADDRESS = """
+raw AS (SELECT page_id, CASE page_id % 6 WHEN 0 THEN replace(url, 'https:', 'ftp:') WHEN 1 THEN upper(split_part(url, '//', 1)) || '//' || split_part(url, '//', 2) || '/' WHEN 2 THEN url || '#top' WHEN 3 THEN regexp_replace(url, '^[a-z]+://[^/]+', '') WHEN 4 THEN '  ' || url ELSE url END AS raw FROM pages)
+"""
+
+
+@plan(f"""
+WITH {_ADDRESS},
+x AS (SELECT page_id, CASE WHEN raw[1] = '/' THEN 'https://www.Base.example.org' || raw ELSE trim(raw) END AS a FROM raw),
+y AS (SELECT page_id, split_part(a, '#', 1) AS a FROM x)
+SELECT page_id, CASE WHEN lower(split_part(a, '://', 1)) = 'http' THEN 'https' ELSE lower(split_part(a, '://', 1)) END || '://' || lower(split_part(split_part(split_part(a, '://', 2), '/', 1), '?', 1)) || substr(a, length(split_part(a, '://', 1)) + 4 + length(split_part(split_part(split_part(a, '://', 2), '/', 1), '?', 1))) AS url FROM y
 """)
 def url_canonical(t: Tables) -> DataFrame:
-    """Canonical form of addresses."""
-    return t.pages.select("page_id", S.canonical_url("url").alias("url")).filter("url is not null")
+    """Canonical form of addresses: other schemes, upper case, fragments, paths alone."""
+    url, kind = F.col("url"), F.col("page_id") % 6
+    upper = F.concat(F.upper(F.substring_index(url, "//", 1)), F.lit("//"), F.split_part(url, F.lit("//"), F.lit(2)), F.lit("/"))
+    raw = F.when(kind == 0, F.replace(url, F.lit("https:"), F.lit("ftp:"))).when(kind == 1, upper).when(kind == 2, F.concat(url, F.lit("#top"))).when(kind == 3, F.regexp_replace(url, "^[a-z]+://[^/]+", "")).when(kind == 4, F.concat(F.lit("  "), url)).otherwise(url)
+    return t.pages.select("page_id", S.canonical_url(raw, "https://www.Base.example.org").alias("url"))
 
 
 @plan("""
@@ -201,7 +211,7 @@ def derived_labels(t: Tables) -> DataFrame:
 
 @plan("""
 SELECT s_suppkey, CAST(coalesce(try_cast(regexp_extract(x, '^\\s*([+-]?\\d+)', 1) AS BIGINT), 0) AS BIGINT) AS n,
-  CASE WHEN regexp_matches(upper(left(trim(s_name), 1)), '^[A-Z]$') THEN upper(left(trim(s_name), 1)) ELSE 'OTHER' END AS bucket,
+  CASE WHEN regexp_matches(upper(left(trim(s_name), 1)), '^[A-Z]$') THEN upper(left(trim(s_name), 1)) ELSE 'OTROS' END AS bucket,
   sha256(x) AS id
 FROM (SELECT *, CAST(CAST(s_acctbal AS BIGINT) AS VARCHAR) || ' of ' || s_name AS x FROM supplier)
 """)
@@ -212,14 +222,30 @@ def scalar_casts(t: Tables) -> DataFrame:
 
 
 @plan("""
-WITH x AS (SELECT page_id, 'seen ' || strftime(DATE '2020-01-01' + CAST(page_id AS INTEGER), '%d-%m-%Y') || ' and ' || strftime(DATE '2021-03-01' + CAST(page_id AS INTEGER), '%d/%m/%Y') AS note, DATE '2021-03-01' + CAST(page_id AS INTEGER) AS d, strftime(DATE '2020-01-01' + CAST(page_id AS INTEGER), '%d/%m/%Y') AS one, DATE '2020-01-01' + CAST(page_id AS INTEGER) AS e FROM pages)
-SELECT page_id, CAST(d AS VARCHAR) AS last_date, CAST(e AS VARCHAR) AS parsed FROM x
+WITH x AS (SELECT page_id, DATE '2020-01-01' + CAST(page_id AS INTEGER) AS e, DATE '2021-03-01' + CAST(page_id AS INTEGER) AS d FROM pages),
+y AS (SELECT *, CAST(day(e) AS VARCHAR) || '/' || CAST(month(e) AS VARCHAR) || '/' || CAST(year(e) AS VARCHAR) AS short, strftime(e, '%Y-%m-%d') AS iso FROM x)
+SELECT page_id,
+  CAST(CASE page_id % 6 WHEN 3 THEN NULL ELSE d END AS VARCHAR) AS last_date,
+  CAST(CASE page_id % 7 WHEN 6 THEN NULL ELSE e END AS VARCHAR) AS parsed,
+  CAST(CASE WHEN page_id % 5 = 4 THEN NULL ELSE e END AS VARCHAR) AS lifecycle FROM y
 """)
 def date_parsers(t: Tables) -> DataFrame:
-    """The last date in a note, and dates in one of several forms."""
+    """The last date in a note, a date in one of several forms, a date of a lifecycle."""
     first, last = F.date_add(F.lit("2020-01-01").cast("date"), F.col("page_id").cast("int")), F.date_add(F.lit("2021-03-01").cast("date"), F.col("page_id").cast("int"))
-    note = F.concat(F.lit("seen "), F.date_format(first, "dd-MM-yyyy"), F.lit(" and "), F.date_format(last, "dd/MM/yyyy"))
-    return t.pages.select("page_id", S.last_date_in(note).cast("string").alias("last_date"), S.flexible_date(F.date_format(first, "dd/MM/yyyy")).cast("string").alias("parsed"))
+    form = lambda d, f: F.date_format(d, f)
+    pick = lambda n, *forms: F.get(F.array(*forms), (F.col("page_id") % n).cast("int"))
+    note = pick(
+        6,
+        F.concat(F.lit("seen "), form(first, "dd-MM-yyyy"), F.lit(" and "), form(last, "dd/MM/yyyy")),
+        F.concat(F.lit("Aprobado "), form(last, "yyyy-MM-dd")),
+        F.concat(F.lit("de "), form(first, "yyyy/MM/dd"), F.lit(" a "), form(last, "yyyy/MM/dd"), F.lit(" (31/12/1999)")),
+        F.lit("el 45-13-2020, sin fecha 1234567"),
+        F.concat(F.lit("2020-13-45, luego "), form(last, "d.M.yyyy")),
+        F.concat(form(first, "d-M-yyyy"), F.lit("; "), form(last, "d-M-yy")),
+    )
+    text = pick(7, form(first, "dd/MM/yyyy"), form(first, "d/M/yyyy"), F.concat(form(first, "dd/MM/yyyy"), F.lit(" 10:30")), form(first, "d-M-yyyy"), form(first, "yyyy/M/d"), F.concat(form(first, "yyyy-MM-dd"), F.lit("T09:00")), F.lit("31/02/2020"))
+    life = pick(5, form(first, "yyyyMMdd"), F.concat(form(first, "yyyy-MM-dd"), F.lit(" 08:00")), form(first, "d-M-yy"), form(first, "dd-MM-yyyy"), F.lit("31-12-1600"))
+    return t.pages.select("page_id", S.last_date_in(note).cast("string").alias("last_date"), S.flexible_date(text).cast("string").alias("parsed"), S.lifecycle_date(life).cast("string").alias("lifecycle"))
 
 
 @plan("""

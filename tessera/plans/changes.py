@@ -14,13 +14,13 @@ from .registry import Tables, plan
 
 _PAIR = """
 tgt AS (SELECT o_orderkey AS k, o_orderstatus AS status, o_totalprice AS price FROM orders WHERE o_orderkey % 3 <> 0),
-src AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE 'N' END AS status, o_totalprice + 1 AS price FROM orders WHERE o_orderkey % 2 = 0)
+src AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE 'N' END AS status, o_totalprice + 1 AS price FROM orders WHERE o_orderkey % 2 = 0 OR o_orderkey % 3 = 0)
 """
 
 
 def _pair(t: Tables) -> tuple[DataFrame, DataFrame]:
     o = t.orders.select(F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("status"), F.col("o_totalprice").alias("price"))
-    src = o.filter("k % 2 = 0").select("k", F.when(F.col("k") % 4 != 0, "N").alias("status"), (F.col("price") + 1).alias("price"))
+    src = o.filter("k % 2 = 0 OR k % 3 = 0").select("k", F.when(F.col("k") % 4 != 0, "N").alias("status"), (F.col("price") + 1).alias("price"))
     return o.filter("k % 3 != 0"), src
 
 
@@ -42,6 +42,48 @@ def insert_new(t: Tables) -> DataFrame:
     return M.insert_new(*_pair(t), ["k"])
 
 
+#: Keys that repeat and null keys, in order of seq and price; the target has a null key, too.
+_REPEATED = """
+tgt AS (SELECT CASE WHEN o_orderkey <> (SELECT min(o_orderkey) FROM orders) THEN o_orderkey END AS k, o_orderstatus AS status, o_totalprice AS price FROM orders WHERE o_orderkey % 3 <> 0),
+src AS (SELECT CASE WHEN l_suppkey > 1 THEN l_orderkey END AS k, l_partkey * 100000000000 + l_orderkey * 10 + l_linenumber AS seq, CASE WHEN l_linenumber % 2 = 0 THEN l_linestatus END AS status, l_extendedprice AS price FROM lineitem)
+"""
+
+
+def _repeated(t: Tables) -> tuple[DataFrame, DataFrame]:
+    first = t.orders.agg(F.min("o_orderkey").alias("least"))
+    o = t.orders.join(F.broadcast(first), F.lit(True)).filter("o_orderkey % 3 != 0").select(F.when(F.col("o_orderkey") != F.col("least"), F.col("o_orderkey")).alias("k"), F.col("o_orderstatus").alias("status"), F.col("o_totalprice").alias("price"))
+    seq = F.col("l_partkey") * 100000000000 + F.col("l_orderkey") * 10 + F.col("l_linenumber")
+    src = t.lineitem.select(F.when(F.col("l_suppkey") > 1, F.col("l_orderkey")).alias("k"), seq.alias("seq"), F.when(F.col("l_linenumber") % 2 == 0, F.col("l_linestatus")).alias("status"), F.col("l_extendedprice").alias("price"))
+    return o, src
+
+
+@plan(f"""
+WITH {_REPEATED}, one AS (SELECT k, last(status ORDER BY seq, price) AS status, last(price ORDER BY seq, price) AS price FROM src GROUP BY k)
+SELECT CASE WHEN one.price IS NULL THEN tgt.k ELSE one.k END AS k, CASE WHEN one.price IS NULL THEN tgt.status ELSE one.status END AS status, coalesce(one.price, tgt.price) AS price FROM tgt FULL JOIN one ON one.k IS NOT DISTINCT FROM tgt.k
+""")
+def upsert_repeated(t: Tables) -> DataFrame:
+    """Rows that share a key, or have none, leave one row: the last one."""
+    return M.upsert(*_repeated(t), ["k"], order=["seq", "price"])
+
+
+@plan(f"""
+WITH {_REPEATED}, one AS (SELECT k, last(status ORDER BY seq, price) FILTER (WHERE status IS NOT NULL) AS status, first(price ORDER BY seq, price) AS price FROM src GROUP BY k)
+SELECT CASE WHEN tgt.price IS NULL THEN one.k ELSE tgt.k END AS k, coalesce(one.status, tgt.status) AS status, coalesce(tgt.price, one.price) AS price FROM tgt FULL JOIN one ON one.k IS NOT DISTINCT FROM tgt.k
+""")
+def upsert_repeated_keep_known(t: Tables) -> DataFrame:
+    """The same with one updated column that nulls leave alone; the first row inserts."""
+    return M.upsert(*_repeated(t), ["k"], ["status"], keep_known=True, order=["seq", "price"])
+
+
+@plan(f"""
+WITH {_REPEATED}, one AS (SELECT k, first(status ORDER BY seq, price) AS status, first(price ORDER BY seq, price) AS price FROM src GROUP BY k)
+SELECT * FROM tgt UNION ALL SELECT * FROM one WHERE NOT EXISTS (SELECT 1 FROM tgt WHERE tgt.k IS NOT DISTINCT FROM one.k)
+""")
+def insert_repeated(t: Tables) -> DataFrame:
+    """Of rows with a new repeated key the first comes in."""
+    return M.insert_new(*_repeated(t), ["k"], order=["seq", "price"])
+
+
 _QUEUE = """
 q AS (SELECT o_orderkey AS k, CASE o_orderstatus WHEN 'F' THEN 'resolved' WHEN 'P' THEN 'ignored' ELSE 'pending' END AS status FROM orders WHERE o_orderkey % 3 <> 0),
 det AS (SELECT DISTINCT l_orderkey AS k FROM lineitem WHERE l_quantity > 40)
@@ -75,13 +117,14 @@ def upsert_state(t: Tables) -> DataFrame:
 
 
 @plan("""
-WITH tgt AS (SELECT o_orderkey AS k, o_orderstatus <> 'F' AS is_active, CASE WHEN o_orderkey % 5 = 0 THEN CAST(o_orderdate AS DATE) END AS end_date FROM orders)
+WITH tgt AS (SELECT CASE WHEN o_orderkey % 64 <> 1 THEN o_orderkey END AS k, o_orderstatus <> 'F' AS is_active, CASE WHEN o_orderkey % 5 = 0 THEN CAST(o_orderdate AS DATE) END AS end_date FROM orders)
 SELECT k, CASE WHEN k % 2 = 1 AND is_active THEN false ELSE is_active END AS is_active, CAST(CASE WHEN k % 2 = 1 AND is_active AND end_date IS NULL THEN DATE '1999-01-01' ELSE end_date END AS VARCHAR) AS end_date FROM tgt
 """)
 def close_missing(t: Tables) -> DataFrame:
-    """Rows that a full snapshot lacks are closed at its date."""
-    o = t.orders.select(F.col("o_orderkey").alias("k"), (F.col("o_orderstatus") != "F").alias("is_active"), F.when(F.col("o_orderkey") % 5 == 0, F.to_date("o_orderdate")).alias("end_date"))
-    out = M.close_missing(o, t.orders.filter("o_orderkey % 2 = 0").select(F.col("o_orderkey").alias("k")), ["k"], F.lit("1999-01-01").cast("date"))
+    """Rows that a full snapshot lacks are closed at its date; it has the null key."""
+    key = F.when(F.col("o_orderkey") % 64 != 1, F.col("o_orderkey"))
+    o = t.orders.select(key.alias("k"), (F.col("o_orderstatus") != "F").alias("is_active"), F.when(F.col("o_orderkey") % 5 == 0, F.to_date("o_orderdate")).alias("end_date"))
+    out = M.close_missing(o, t.orders.filter("o_orderkey % 2 = 0 OR o_orderkey % 64 = 1").select(key.alias("k")), ["k"], F.lit("1999-01-01").cast("date"))
     return out.withColumn("end_date", F.col("end_date").cast("string"))
 
 

@@ -99,12 +99,9 @@ def grid_contract(t: Tables) -> DataFrame:
 
 
 @plan("""
-SELECT o_orderstatus AS state, CASE WHEN n = 0 THEN 'done_zero' WHEN exp IS NULL THEN 'untracked' WHEN n >= exp THEN 'match' WHEN n * 1.5 >= exp THEN 'partial' ELSE 'mismatch' END AS tracked
-FROM (SELECT o_orderstatus, count(*) AS n, CASE o_orderstatus WHEN 'F' THEN 5000 WHEN 'O' THEN 7000 END AS exp FROM orders GROUP BY 1)
+SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN 'UNTRACKED' WHEN o_totalprice < 2000 THEN 'DONE_ZERO_REAL' WHEN o_orderstatus = CASE WHEN o_custkey % 2 = 0 THEN 'O' ELSE 'F' END THEN 'MATCH' WHEN o_orderdate >= TIMESTAMP '1997-01-01' THEN 'WAIVED_MISMATCH' ELSE 'MISMATCH' END AS tracked FROM orders
 """)
 def tracker_state(t: Tables) -> DataFrame:
-    """Counts against what a tracker expects, with a partial band."""
-    g = t.orders.groupBy(F.col("o_orderstatus").alias("state")).agg(F.count(F.lit(1)).alias("n"))
-    expected = F.when(F.col("state") == "F", 5000).when(F.col("state") == "O", 7000)
-    tracked = F.when(F.col("n") == 0, "done_zero").when(expected.isNull(), "untracked").when(F.col("n") >= expected, "match").when(F.col("n") * 1.5 >= expected, "partial").otherwise("mismatch")
-    return g.select("state", tracked.alias("tracked"))
+    """What a tracker says against the status of the data, with waivers."""
+    tracker = F.when(F.col("o_orderkey") % 5 == 0, " ").otherwise(F.when(F.col("o_custkey") % 2 == 0, "o").otherwise("f"))
+    return t.orders.select("o_orderkey", S.mismatch_state(tracker, "o_orderstatus", F.col("o_totalprice") < 2000, F.col("o_orderdate") >= "1997-01-01").alias("tracked"))

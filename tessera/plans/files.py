@@ -133,16 +133,18 @@ def run_ledger(t: Tables) -> DataFrame:
 
 
 @plan("""
-SELECT c_custkey, CASE WHEN upper(left(trim(c_mktsegment), 1)) BETWEEN 'A' AND 'Z' THEN upper(left(trim(c_mktsegment), 1)) ELSE 'OTHER' END AS initial,
-  CASE WHEN c_custkey % 2 = 0 THEN '0-9' ELSE 'OTHER' END AS code_initial,
-  CASE WHEN c_acctbal / 10000 >= 0.8 THEN 'high' WHEN c_acctbal / 10000 >= 0.5 THEN 'medium' ELSE 'low' END AS band,
+SELECT c_custkey, CASE WHEN upper(left(trim(c_mktsegment), 1)) BETWEEN 'A' AND 'Z' THEN upper(left(trim(c_mktsegment), 1)) ELSE 'OTROS' END AS initial,
+  CASE c_custkey % 3 WHEN 0 THEN '0-9' WHEN 1 THEN 'E' ELSE 'OTROS' END AS code_initial,
+  CASE WHEN c_custkey % 7 = 0 OR c_acctbal <= 0 THEN 'none' WHEN c_acctbal / 10000 >= 0.8 THEN 'high' WHEN c_acctbal / 10000 >= 0.5 THEN 'medium' ELSE 'low' END AS band,
   CASE WHEN c_acctbal < 0 THEN 0.0 WHEN c_acctbal > 10000 THEN 1.0 ELSE c_acctbal / 10000 END AS share FROM customer
 """)
 def initials_and_bands(t: Tables) -> DataFrame:
     """Index letters of names, bands of confidence, and shares kept between 0 and 1."""
     share = F.col("c_acctbal") / 10000
-    code = F.concat(F.when(F.col("c_custkey") % 2 == 0, " ").otherwise("#"), F.col("c_custkey").cast("string"))
-    return t.customer.select("c_custkey", S.initial_bucket("c_mktsegment").alias("initial"), S.initial_bucket(code).alias("code_initial"), S.confidence_band(share).alias("band"), S.clamp01(share).alias("share"))
+    key = F.col("c_custkey") % 3
+    code = F.when(key == 0, F.concat(F.lit("#"), F.col("c_custkey").cast("string"))).when(key == 1, "¿É1").otherwise("- ?")
+    stance = F.when(F.col("c_custkey") % 7 == 0, "no_signal").otherwise("support")
+    return t.customer.select("c_custkey", S.initial_bucket("c_mktsegment").alias("initial"), S.initial_bucket(code).alias("code_initial"), S.confidence_band(share, stance=stance).alias("band"), S.clamp01(share).alias("share"))
 
 
 @plan("SELECT n_nationkey, n_name FROM nation")

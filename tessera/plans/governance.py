@@ -39,20 +39,33 @@ def name_and_codes(t: Tables) -> DataFrame:
 
 
 @plan("""
-SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 'none' WHEN o_totalprice <= 50000 THEN 'collect_evidence' WHEN o_custkey % 5 = 0 THEN 'complete_dates' WHEN o_orderstatus = 'O' THEN 'review' ELSE 'verify' END AS action FROM orders
+WITH m AS (SELECT o_orderkey, o_custkey % 11 <> 0 AS seeded, count(l_orderkey) AS metrics, count(*) FILTER (WHERE l_quantity > 3) AS records, count(*) FILTER (WHERE l_quantity > 3 AND l_discount > 0.0) AS evidence, count(DISTINCT l_returnflag) AS covered
+  FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey AND l_tax > 0.02 GROUP BY o_orderkey, o_custkey),
+s AS (SELECT *, CASE WHEN NOT seeded THEN 'missing_source' WHEN metrics <= 0 THEN 'no_metrics' WHEN records < metrics THEN 'no_source_record_chain' WHEN evidence < metrics THEN 'no_evidence_chain' WHEN covered < 2 AND o_orderkey % 4 > 0 THEN 'partial_kpi_coverage' ELSE 'ready' END AS status FROM m)
+SELECT o_orderkey, status, CASE status WHEN 'missing_source' THEN 'add_source_to_sanction_data_catalog_seed' WHEN 'no_metrics' THEN 'ingest_official_review_procedural_metrics' WHEN 'no_source_record_chain' THEN 'backfill_source_record_pk_for_official_review_metrics'
+  WHEN 'no_evidence_chain' THEN 'backfill_evidence_date_quote_for_official_review_metrics' WHEN 'partial_kpi_coverage' THEN 'ingest_missing_kpis_for_source_scope' ELSE 'monitor_refresh' END AS action FROM s
 """)
 def queue_next_action(t: Tables) -> DataFrame:
-    """The next action of each queue entry."""
-    status = F.when(F.col("o_orderstatus") == "F", "resolved").when(F.col("o_orderstatus") == "O", "pending").otherwise("partial")
-    return t.orders.select("o_orderkey", S.next_action(status, F.col("o_totalprice") > 50000, F.col("o_custkey") % 5 != 0).alias("action"))
+    """State and next action of queue entries; a fourth of them expects no KPIs."""
+    known = F.col("l_quantity") > 3
+    m = t.lineitem.filter("l_tax > 0.02").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count(F.lit(1)).alias("metrics"), F.count_if(known).alias("records"), F.count_if(known & (F.col("l_discount") > 0)).alias("evidence"), F.countDistinct("l_returnflag").alias("covered"))
+    rows = t.orders.select("o_orderkey", "o_custkey").join(m, "o_orderkey", "left").fillna(0, ["metrics", "records", "evidence", "covered"])
+    expected = F.when(F.col("o_orderkey") % 4 > 0, 2).otherwise(0)
+    status = S.queue_status(F.col("o_custkey") % 11 != 0, F.col("metrics"), F.col("records"), F.col("evidence"), F.col("covered"), expected)
+    return rows.select("o_orderkey", status.alias("status"), S.next_action(status).alias("action"))
 
 
 @plan("""
-SELECT c_custkey, CASE WHEN c_acctbal > 0 THEN 'passed' ELSE 'failed' END AS has_balance, CASE WHEN c_acctbal >= 5000 THEN 'passed' ELSE 'failed' END AS is_rich, CASE WHEN c_acctbal <= 4000 THEN 'passed' WHEN c_acctbal <= 6000 THEN 'partial' ELSE 'failed' END AS is_small FROM customer
+WITH x AS (SELECT c_custkey, CASE WHEN c_custkey % 9 <> 0 THEN c_acctbal END AS v FROM customer)
+SELECT c_custkey, CASE WHEN v IS NULL THEN 'UNTRACKED' WHEN v > 5000 THEN 'DONE' ELSE 'TODO' END AS is_true, CASE WHEN v IS NULL THEN 'UNTRACKED' WHEN v > 0 THEN 'DONE' ELSE 'TODO' END AS has_balance,
+  CASE WHEN v IS NULL THEN 'UNTRACKED' WHEN v >= 5000 THEN 'DONE' WHEN v > 0 THEN 'PARTIAL' ELSE 'TODO' END AS is_rich, CASE WHEN v IS NULL THEN 'UNTRACKED' WHEN v <= 4000 THEN 'DONE' WHEN v <= 6000 THEN 'PARTIAL' ELSE 'TODO' END AS is_small,
+  CASE WHEN v IS NULL THEN 'UNTRACKED' WHEN v <= 0 THEN 'DONE' ELSE 'TODO' END AS is_none FROM x
 """)
 def metric_checks(t: Tables) -> DataFrame:
-    """Presence, least and greatest values, the last with a partial band."""
-    return t.customer.select("c_custkey", S.metric_check(F.when(F.col("c_acctbal") > 0, F.col("c_acctbal")), "presence").alias("has_balance"), S.metric_check("c_acctbal", "gte", 5000.0).alias("is_rich"), S.metric_check("c_acctbal", "max", 4000.0).alias("is_small"))
+    """Truth, presence, least and greatest values; a ninth of the values is missing."""
+    v = F.when(F.col("c_custkey") % 9 != 0, F.col("c_acctbal"))
+    checks = {"is_true": S.metric_check(v > 5000, "bool_true"), "has_balance": S.metric_check(v, "presence"), "is_rich": S.metric_check(v, "gte", 5000.0), "is_small": S.metric_check(v, "max", 4000.0), "is_none": S.metric_check(v, "max", 0.0)}
+    return t.customer.select("c_custkey", *[c.alias(n) for n, c in checks.items()])
 
 
 @plan("""

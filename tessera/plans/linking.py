@@ -265,19 +265,21 @@ def nearest_event_delta(t: Tables) -> DataFrame:
 
 
 @plan("""
-WITH e AS (SELECT event_id, user_id FROM events WHERE event_type = 'error'),
-p AS (SELECT event_id AS policy_id, CASE WHEN user_id % 50 <> 0 THEN user_id END AS domain, value FROM events WHERE event_type = 'purchase')
-SELECT e.event_id, count(policy_id) AS n_policies, min(policy_id) AS first_policy FROM e LEFT JOIN p ON user_id = domain OR domain IS NULL GROUP BY 1
+WITH e AS (SELECT event_id, CASE WHEN user_id % 70 <> 0 THEN user_id END AS domain FROM events WHERE event_type = 'error'),
+p AS (SELECT event_id AS policy_id, CASE WHEN user_id % 50 <> 0 THEN user_id END AS domain FROM events WHERE event_type = 'purchase')
+SELECT e.event_id, count(policy_id) AS n_policies, min(policy_id) AS first_policy FROM e LEFT JOIN p ON e.domain = p.domain OR p.domain IS NULL OR e.domain IS NULL GROUP BY 1
 """)
 def theta_pairs(t: Tables) -> DataFrame:
-    """What pairs with each fact where domains are equal or one is unknown: summed up by
-    domain first, so that the unknown one is a single row and no pairs are made."""
-    e = t.events.filter("event_type = 'error'").select("event_id", "user_id")
-    domain = F.when(F.col("user_id") % 50 != 0, F.col("user_id"))
-    p = t.events.filter("event_type = 'purchase'").groupBy(domain.alias("domain")).agg(F.count(F.lit(1)).alias("n"), F.min("event_id").alias("least"))
-    wild = p.filter("domain IS NULL").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("wild"), F.min("least").alias("wild_least"))
-    both = e.join(p, F.col("user_id") == F.col("domain"), "left").join(F.broadcast(wild), F.lit(True))
-    return both.select("event_id", (F.coalesce("n", F.lit(0)) + F.col("wild")).alias("n_policies"), F.least("least", "wild_least").alias("first_policy"))
+    """What pairs with each fact where domains are equal or either is unknown: summed up by
+    domain first, so that the unknown ones are single rows and no pairs are made."""
+    known = lambda n: F.when(F.col("user_id") % n != 0, F.col("user_id"))
+    e = t.events.filter("event_type = 'error'").select("event_id", known(70).alias("own"))
+    p = t.events.filter("event_type = 'purchase'").groupBy(known(50).alias("domain")).agg(F.count(F.lit(1)).alias("n"), F.min("event_id").alias("least"))
+    n, least, wild = F.col("n"), F.col("least"), F.col("domain").isNull()
+    sums = p.agg(F.coalesce(F.sum(n), F.lit(0)).alias("every"), F.min(least).alias("every_least"), F.coalesce(F.sum(F.when(wild, n)), F.lit(0)).alias("wild"), F.min(F.when(wild, least)).alias("wild_least"))
+    both = e.join(p, F.col("own") == F.col("domain"), "left").join(F.broadcast(sums), F.lit(True))
+    free = F.col("own").isNull()
+    return both.select("event_id", F.when(free, F.col("every")).otherwise(F.coalesce(n, F.lit(0)) + F.col("wild")).alias("n_policies"), F.when(free, F.col("every_least")).otherwise(F.least(least, "wild_least")).alias("first_policy"))
 
 
 @plan("""

@@ -46,20 +46,23 @@ def accountability_snapshot(t: Tables) -> DataFrame:
 
 
 @plan("""
-WITH m AS (SELECT o_orderpriority AS p, strftime(o_orderdate, '%Y-%m') AS month, count(*) AS v FROM orders GROUP BY ALL),
-e AS (SELECT o_orderpriority AS p, strftime(o_orderdate, '%Y-%m') AS w, o_orderkey FROM orders WHERE o_totalprice > 480000),
-j AS (SELECT e.o_orderkey, e.p, e.w, max_by(a.v, a.month) AS before FROM e LEFT JOIN m a ON a.p = e.p AND a.month < e.w GROUP BY ALL),
-k AS (SELECT e.o_orderkey, min_by(b.v, b.month) AS after FROM e LEFT JOIN m b ON b.p = e.p AND b.month >= e.w GROUP BY ALL)
-SELECT j.o_orderkey, p, w, before, after, after - before AS shift FROM j JOIN k ON k.o_orderkey = j.o_orderkey
+WITH m AS (SELECT o_orderpriority AS p, CAST(date_trunc('month', o_orderdate) AS DATE) AS at, count(*) AS v FROM orders WHERE (year(o_orderdate) * 12 + month(o_orderdate)) % 5 <> 0 GROUP BY ALL),
+e AS (SELECT o_orderpriority AS p, CAST(o_orderdate AS DATE) AS d, o_orderkey FROM orders WHERE o_totalprice > 300000),
+j AS (SELECT e.o_orderkey, max(a.at) AS pre, max_by(a.v, a.at) AS before FROM e JOIN m a ON a.p = e.p AND a.at < e.d GROUP BY ALL),
+k AS (SELECT e.o_orderkey, min(b.at) AS post, min_by(b.v, b.at) AS after FROM e JOIN m b ON b.p = e.p AND b.at >= e.d GROUP BY ALL)
+SELECT e.o_orderkey, e.p, before, after, CAST(e.d - pre AS INTEGER) AS pre_gap, CAST(post - e.d AS INTEGER) AS post_gap, after - before AS shift FROM e JOIN j USING (o_orderkey) JOIN k USING (o_orderkey) WHERE e.d - pre <= 45 AND post - e.d <= 25
 """)
 def policy_outcomes(t: Tables) -> DataFrame:
-    """Events with the nearest points of their series before and after, and the shift."""
-    month = F.date_format("o_orderdate", "yyyy-MM")
-    m = t.orders.groupBy(F.col("o_orderpriority").alias("p"), month.alias("month")).agg(F.count(F.lit(1)).alias("v"))
-    e = t.orders.filter("o_totalprice > 480000").select("o_orderkey", F.col("o_orderpriority").alias("p"), month.alias("w"))
-    before = J.nearest_before(e, m, ["p"], "w", "month", ["v"]).select("o_orderkey", "p", "w", F.col("v").alias("before"))
-    after = J.nearest_after(before, m, ["p"], "w", "month", ["v"])
-    return after.select("o_orderkey", "p", "w", "before", F.col("v").alias("after"), (F.col("v") - F.col("before")).alias("shift"))
+    """Events with the nearest points of their series at most so many days before and after
+    them, and the shift; a fifth of the months have no point."""
+    d = F.to_date("o_orderdate")
+    points = t.orders.filter((F.year(d) * 12 + F.month(d)) % 5 != 0)
+    m = points.groupBy(F.col("o_orderpriority").alias("p"), F.trunc(d, "month").alias("at")).agg(F.count(F.lit(1)).alias("v"))
+    e = t.orders.filter("o_totalprice > 300000").select("o_orderkey", F.col("o_orderpriority").alias("p"), d.alias("d"))
+    gap = lambda days: lambda fact, event: F.abs(F.datediff(event, fact)) <= days
+    before = J.nearest_before(e, m, ["p"], "d", "at", ["v"], within=gap(45)).select("o_orderkey", "p", "d", F.col("v").alias("before"), F.col("at").alias("pre"))
+    after = J.nearest_after(before, m, ["p"], "d", "at", ["v"], within=gap(25)).filter("pre IS NOT NULL AND at IS NOT NULL")
+    return after.select("o_orderkey", "p", "before", F.col("v").alias("after"), F.datediff("d", "pre").alias("pre_gap"), F.datediff("at", "d").alias("post_gap"), (F.col("v") - F.col("before")).alias("shift"))
 
 
 @plan("""

@@ -17,15 +17,27 @@ from .registry import Tables, plan
 
 _EVIDENCE = """
 evidence AS (SELECT l_suppkey AS person, l_partkey % 50 AS topic, CASE l_returnflag WHEN 'A' THEN 1 WHEN 'R' THEN -1 ELSE 0 END AS polarity,
-  CAST(l_quantity AS DECIMAL(12,2)) AS w, CAST(1 - l_discount AS DECIMAL(12,2)) AS c FROM lineitem)
+  CAST(l_quantity AS DECIMAL(12,2)) AS w, CAST(1 - l_discount AS DECIMAL(12,2)) AS c,
+  CASE l_returnflag WHEN 'A' THEN 'support' WHEN 'R' THEN 'oppose' ELSE CASE WHEN l_linenumber % 2 = 1 THEN 'mixed' END END AS stance FROM lineitem)
 """
 
 _POSITIONS = """
-sums AS (SELECT person, topic, count(*) FILTER (WHERE polarity <> 0) AS n_evidence, count(*) FILTER (WHERE polarity > 0) AS n_for, count(*) FILTER (WHERE polarity < 0) AS n_against,
+sums AS (SELECT person, topic, count(*) AS n_evidence, count(*) FILTER (WHERE polarity > 0) AS n_for, count(*) FILTER (WHERE polarity < 0) AS n_against,
   CAST(sum(CASE WHEN polarity <> 0 THEN polarity * w * c END) AS DOUBLE) AS numer, CAST(sum(CASE WHEN polarity <> 0 THEN w * c END) AS DOUBLE) AS denom FROM evidence GROUP BY person, topic),
 scored AS (SELECT *, CASE WHEN denom > 0 THEN coalesce(numer / denom, 0.0) ELSE 0.0 END AS score FROM sums)
 """
 
+#: Positions of declared evidence: rows with a signal count; the first rule that holds decides.
+_DECLARED = """
+dsums AS (SELECT person, topic, count(*) AS signal_count, count(*) FILTER (WHERE stance = 'mixed') AS mixed_count, count(*) FILTER (WHERE polarity = 1) AS support_count, count(*) FILTER (WHERE polarity = -1) AS oppose_count,
+  CAST(sum(polarity * w * c) AS DOUBLE) AS numer, CAST(sum(CASE WHEN polarity = 0 THEN 0 ELSE w * c END) AS DOUBLE) AS denom
+  FROM evidence WHERE stance IN ('support', 'oppose', 'mixed') GROUP BY person, topic),
+declared AS (SELECT person, topic, signal_count AS n_evidence, support_count AS n_for, oppose_count AS n_against,
+  CASE WHEN denom <= 0 AND mixed_count > 0 THEN 'mixed' WHEN denom <= 0 THEN 'unclear' WHEN numer / denom > 0.2 THEN 'support' WHEN numer / denom < -0.2 THEN 'oppose' WHEN support_count > 0 AND oppose_count > 0 THEN 'mixed' ELSE 'unclear' END AS stance,
+  CASE WHEN denom <= 0 THEN 0.0 ELSE numer / denom END AS score,
+  CASE WHEN signal_count >= 3 THEN 1.0 ELSE signal_count / 3.0 END AS confidence FROM dsums)
+"""
+
 
 def evidence(t: Tables, topics: int = 50) -> DataFrame:
     flag = F.col("l_returnflag")
@@ -35,6 +47,7 @@ def evidence(t: Tables, topics: int = 50) -> DataFrame:
         F.when(flag == "A", 1).when(flag == "R", -1).otherwise(0).alias("polarity"),
         F.col("l_quantity").cast("decimal(12,2)").alias("w"),
         (1 - F.col("l_discount")).cast("decimal(12,2)").alias("c"),
+        F.when(flag == "A", "support").when(flag == "R", "oppose").when(F.col("l_linenumber") % 2 == 1, "mixed").alias("stance"),
     )
 
 
@@ -48,35 +61,65 @@ def weighted_stance(t: Tables) -> DataFrame:
 
 
 @plan(f"""
-WITH {_EVIDENCE.replace("% 50", "% 400")}, {_POSITIONS}
-SELECT person, topic, n_evidence, n_for, n_against, score,
-  CASE WHEN n_evidence = 0 THEN 'no_signal' WHEN n_for > 0 AND n_against > 0 AND score BETWEEN -0.2 AND 0.2 THEN 'mixed' WHEN score > 0.2 THEN 'support' WHEN score < -0.2 THEN 'oppose' ELSE 'unclear' END AS stance,
-  CAST(least(1.0, n_evidence / 3.0) AS DOUBLE) AS confidence FROM scored
+WITH {_EVIDENCE.replace("% 50", "% 400")}, {_DECLARED}
+SELECT person, topic, n_evidence, n_for, n_against, score, stance, CAST(confidence AS DOUBLE) AS confidence FROM declared
 """)
 def weighted_stance_declared(t: Tables) -> DataFrame:
-    """The variant for declared evidence, with no_signal and mixed."""
+    """The variant for declared evidence, where mixed evidence is a signal."""
     e = evidence(t, topics=400)
     return A.weighted_stance(e, ["person", "topic"], "polarity", "w", "c", "declared")
 
 
+def _with_members(t: Tables, positions: DataFrame) -> DataFrame:
+    size = t.supplier.groupBy(F.col("s_nationkey").alias("party")).agg(F.count(F.lit(1)).alias("n"))
+    members = t.supplier.select(F.col("s_suppkey").alias("person"), F.col("s_nationkey").alias("party")).join(size, "party")
+    return positions.join(members, "person")
+
+
+_SIZE = "size AS (SELECT s_nationkey AS party, count(*) AS n_members FROM supplier GROUP BY 1)"
+
+
 @plan(f"""
 WITH {_EVIDENCE}, {_POSITIONS},
 pos AS (SELECT *, CASE WHEN score > 0.2 THEN 'support' WHEN score < -0.2 THEN 'oppose' ELSE 'unclear' END AS stance FROM scored),
-size AS (SELECT s_nationkey AS party, count(*) AS n_members FROM supplier GROUP BY 1),
-roll AS (SELECT s_nationkey AS party, topic, CAST(sum(n_evidence) AS BIGINT) AS n_evidence, count(*) FILTER (WHERE stance = 'support') AS s, count(*) FILTER (WHERE stance = 'oppose') AS o, count(*) FILTER (WHERE stance = 'unclear') AS u FROM pos JOIN supplier ON person = s_suppkey GROUP BY ALL)
+{_SIZE},
+roll AS (SELECT s_nationkey AS party, topic, CAST(sum(n_evidence) AS BIGINT) AS n_evidence, count(*) AS n_signal, count(*) FILTER (WHERE stance = 'support') AS s, count(*) FILTER (WHERE stance = 'oppose') AS o, count(*) FILTER (WHERE stance = 'unclear') AS u FROM pos JOIN supplier ON person = s_suppkey GROUP BY ALL)
 SELECT roll.party, topic, n_evidence, s AS n_support, o AS n_oppose, u AS n_unclear, n_members,
-  CASE WHEN s + o + u < greatest(1, least(3, n_members), ceil(0.2 * n_members)) THEN 'unknown' WHEN s + o = 0 THEN 'unclear' WHEN s > 0 AND o > 0 AND greatest(s, o) / (s + o) < 0.75 THEN 'mixed' WHEN s >= o THEN 'support' ELSE 'oppose' END AS stance
+  CASE WHEN n_signal < greatest(1, least(3, n_members), ceil(0.2 * n_members)) THEN 'unclear' WHEN s + o = 0 THEN 'unclear' WHEN s > 0 AND o > 0 AND greatest(s, o) / (s + o) < 0.75 THEN 'mixed' WHEN s >= o THEN 'support' ELSE 'oppose' END AS stance
 FROM roll JOIN size ON size.party = roll.party
 """)
 def party_rollup_stance(t: Tables) -> DataFrame:
     """Positions of members as the position of their group."""
-    size = t.supplier.groupBy(F.col("s_nationkey").alias("party")).agg(F.count(F.lit(1)).alias("n"))
-    members = t.supplier.select(F.col("s_suppkey").alias("person"), F.col("s_nationkey").alias("party")).join(size, "party")
-    pos = A.weighted_stance(evidence(t), ["person", "topic"], "polarity", "w", "c").join(members, "person")
+    pos = _with_members(t, A.weighted_stance(evidence(t), ["person", "topic"], "polarity", "w", "c"))
     out = A.rollup_stance(pos, ["party", "topic"], F.col("n"))
     return out.select("party", "topic", "n_evidence", "n_support", "n_oppose", "n_unclear", "n_members", "stance")
 
 
+@plan(f"""
+WITH {_EVIDENCE.replace("% 50", "% 400")}, {_DECLARED}, {_SIZE},
+roll AS (SELECT s_nationkey AS party, topic, CAST(sum(n_evidence) AS BIGINT) AS n_evidence, count(*) FILTER (WHERE stance <> 'no_signal') AS n_signal,
+  count(*) FILTER (WHERE stance = 'support') AS n_support, count(*) FILTER (WHERE stance = 'oppose') AS n_oppose, count(*) FILTER (WHERE stance = 'mixed') AS n_mixed, count(*) FILTER (WHERE stance = 'unclear') AS n_unclear,
+  sum(score * n_evidence) / sum(n_evidence) AS score_weighted, sum(confidence * n_evidence) / sum(n_evidence) AS confidence_weighted
+  FROM declared JOIN supplier ON person = s_suppkey GROUP BY ALL),
+met AS (SELECT roll.*, n_members, greatest(1, least(3, n_members), CAST(ceil(n_members * 0.20) AS BIGINT)) AS min_needed FROM roll JOIN size ON size.party = roll.party),
+decided AS (SELECT *,
+  CASE WHEN n_signal < min_needed THEN 'unclear' WHEN n_support + n_oppose = 0 AND n_mixed > 0 THEN 'mixed' WHEN n_support + n_oppose = 0 THEN 'unclear'
+    WHEN n_support > 0 AND n_oppose > 0 AND greatest(n_support, n_oppose) / (n_support + n_oppose) < 0.75 THEN 'mixed' WHEN n_support >= n_oppose THEN 'support' ELSE 'oppose' END AS stance,
+  CASE WHEN n_signal < min_needed THEN 'unclear' WHEN n_support + n_oppose + n_mixed = 0 THEN 'unclear'
+    WHEN n_support > 0 AND n_oppose > 0 AND greatest(n_support, n_oppose) / (n_support + n_oppose + n_mixed) < 0.75 THEN 'mixed' WHEN n_support >= n_oppose THEN 'support' ELSE 'oppose' END AS series_stance
+  FROM met)
+SELECT party, topic, n_evidence, n_signal, n_support, n_oppose, n_mixed, n_unclear, n_members, stance, series_stance,
+  round(CASE WHEN stance = 'unclear' THEN 0.0 ELSE score_weighted END, 6) AS score, round(least(1.0, confidence_weighted * n_signal / n_members), 6) AS confidence FROM decided
+""")
+def party_rollup_declared(t: Tables) -> DataFrame:
+    """Declared positions of members as the position of their group, in both forms."""
+    pos = _with_members(t, A.weighted_stance(evidence(t, topics=400), ["person", "topic"], "polarity", "w", "c", "declared"))
+    out = A.rollup_stance(pos, ["party", "topic"], F.col("n"))
+    series = A.rollup_stance(pos, ["party", "topic"], F.col("n"), series=True).select("party", "topic", F.col("stance").alias("series_stance"))
+    out = out.join(series, ["party", "topic"]).withColumns({"score": F.round("score", 6), "confidence": F.round("confidence", 6)})
+    return out.select("party", "topic", "n_evidence", "n_signal", "n_support", "n_oppose", "n_mixed", "n_unclear", "n_members", "stance", "series_stance", "score", "confidence")
+
+
 _VOTES = """
 votes AS (SELECT l_orderkey AS event, l_suppkey AS person, s_nationkey AS party, n_regionkey AS scope, l_partkey % 10 AS topic,
   CASE l_returnflag WHEN 'A' THEN 'yes' WHEN 'R' THEN 'no' ELSE CASE WHEN l_linestatus = 'O' THEN 'abstain' ELSE 'absent' END END AS choice
@@ -194,21 +237,21 @@ def pair_similarity(t: Tables) -> DataFrame:
 
 
 @plan(f"""
-WITH {_VOTES}, v AS (SELECT topic AS scope, party, event % 500 AS event, choice FROM votes), {_SIGNS},
-v2 AS (SELECT party, topic * 1000000 + event % 500 AS event, choice FROM votes),
-c2 AS (SELECT party, event, count(*) FILTER (WHERE choice = 'yes') AS yes, count(*) FILTER (WHERE choice = 'no') AS no FROM v2 GROUP BY ALL),
-s2 AS (SELECT party, event, CASE WHEN yes > no THEN 1 ELSE -1 END AS sign FROM c2 WHERE yes <> no),
-al AS (SELECT x.party AS a, y.party AS b, CAST(sum(x.sign * y.sign) AS BIGINT) / count(*) AS overall FROM s2 x JOIN s2 y ON x.event = y.event AND x.party < y.party GROUP BY ALL HAVING count(*) >= 1)
-SELECT sim.scope AS topic, sim.a, sim.b, shared, cosine, coalesce(overall, 0.0) AS overall FROM sim LEFT JOIN al ON al.a = sim.a AND al.b = sim.b WHERE cosine >= 0.2 AND coalesce(overall, 0.0) <= 0.05
+WITH {_VOTES}, v AS (SELECT scope * 100 + topic AS scope, party, event % 500 AS event, choice FROM votes), {_SIGNS},
+v2 AS (SELECT scope, party, topic * 1000000 + event % 500 AS event, choice FROM votes),
+c2 AS (SELECT scope, party, event, count(*) FILTER (WHERE choice = 'yes') AS yes, count(*) FILTER (WHERE choice = 'no') AS no FROM v2 GROUP BY ALL),
+s2 AS (SELECT scope, party, event, CASE WHEN yes > no THEN 1 ELSE -1 END AS sign FROM c2 WHERE yes <> no),
+al AS (SELECT x.scope, x.party AS a, y.party AS b, CAST(sum(x.sign * y.sign) AS BIGINT) / count(*) AS overall FROM s2 x JOIN s2 y ON x.scope = y.scope AND x.event = y.event AND x.party < y.party GROUP BY ALL HAVING count(*) >= 1)
+SELECT sim.scope // 100 AS scope, sim.scope % 100 AS topic, sim.a, sim.b, shared, cosine, coalesce(overall, 0.0) AS overall FROM sim LEFT JOIN al ON al.scope = sim.scope // 100 AND al.a = sim.a AND al.b = sim.b WHERE cosine >= 0.2 AND coalesce(overall, 0.0) <= 0.05
 """)
 def issue_coalitions(t: Tables) -> DataFrame:
-    """Groups that agree on a topic but not overall."""
-    v = votes(t)
-    by_topic = A.vote_counts(v.withColumn("event", F.col("event") % 500), ["topic", "party", "event"], "choice")
-    topic = M.pair_similarity(M.sign_vectors(by_topic, ["topic"], "party", "event", 5), ["topic"], "party", "event", 3)
-    v = v.withColumn("event", F.col("topic") * 1000000 + F.col("event") % 500).withColumn("all", F.lit(0))
-    overall = M.pair_similarity(M.sign_vectors(A.vote_counts(v, ["all", "party", "event"], "choice"), ["all"], "party", "event", 1), ["all"], "party", "event")
-    return M.issue_coalitions(topic, overall, 0.2, 0.05).select("topic", "a", "b", "shared", "cosine", "overall")
+    """Groups that agree on a topic but not overall in their scope."""
+    v = votes(t).withColumn("event", F.col("event") % 500)
+    by_topic = A.vote_counts(v, ["scope", "topic", "party", "event"], "choice")
+    topic = M.pair_similarity(M.sign_vectors(by_topic, ["scope", "topic"], "party", "event", 5), ["scope", "topic"], "party", "event", 3)
+    v = v.withColumn("event", F.col("topic") * 1000000 + F.col("event"))
+    overall = M.pair_similarity(M.sign_vectors(A.vote_counts(v, ["scope", "party", "event"], "choice"), ["scope"], "party", "event", 1), ["scope"], "party", "event")
+    return M.issue_coalitions(topic, overall, 0.2, 0.05, scope=["scope"]).select("scope", "topic", "a", "b", "shared", "cosine", "overall")
 
 
 _METHODS = f"""

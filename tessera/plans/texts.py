@@ -54,33 +54,52 @@ def stance_classifier(t: Tables) -> DataFrame:
     return c.select("conv_id", "turn", "d.stance", "d.reason", "d.confidence")
 
 
-@plan("""
-WITH d AS (SELECT doc_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS x, source FROM documents)
-SELECT doc_id, CASE WHEN regexp_extract(x, '([^.;]{20,80})[.;]', 1) <> '' THEN trim(regexp_extract(x, '([^.;]{20,80})[.;]', 1)) ELSE source END AS subject,
-  CASE WHEN regexp_extract(x, '([^.;]{20,80})[.;]', 1) <> '' THEN 0.5::DOUBLE ELSE 0.3::DOUBLE END AS confidence FROM d
-""")
+#: What is put before documents, and their titles.
+_LEADS = ("", "El proyecto de ley sobre ", "Moción: ", "Visto. La pregunta, que el grupo formuló ayer, ", "Enmienda. Dictamen; ")
+_TITLES = ("", "Proyecto de Ley de presupuestos generales del Estado", "Convenio breve", "Informe anual sobre la actividad de las oficinas")
+
+
+def _sql_subject() -> str:
+    pick = lambda values, n: "[" + ", ".join(f"'{v}'" for v in values) + f"][({n}) % {len(values)} + 1]"
+    strong = "|".join(f"\\b{p}\\b" for p in X.STRONG_TITLES)
+    clip = lambda c, n: f"CASE WHEN length({c}) <= {n} THEN {c} ELSE rtrim(left({c}, {n - 1})) || '…' END"
+    return f"""
+WITH d AS (SELECT doc_id, CASE WHEN doc_id % 13 = 0 THEN '' ELSE trim(regexp_replace({pick(_LEADS, 'doc_id')} || coalesce(text, ''), '\\s+', ' ', 'g')) END AS t, {pick(_TITLES, 'doc_id // 5')} AS title FROM documents),
+w AS (SELECT *, length(title) >= 35 AND regexp_matches(title, '(?i){strong}') AS strong, trim(regexp_extract(t, '(?i)((?:{"|".join(X.SUBJECT_STARTS)})[^.;:]{{20,320}})', 1)) AS k,
+  list_filter(list_transform(regexp_split_to_array(t, '[.;:!?]+'), lambda x: trim(x)), lambda x: length(x) >= 40 AND regexp_matches(lower({clip("x", 320)}), '{"|".join(X.SUBJECT_WORDS)}'))[1] AS s FROM d),
+c AS (SELECT doc_id, CASE WHEN t = '' AND title = '' THEN 'empty' WHEN t = '' AND strong THEN 'title_fallback_strong' WHEN t = '' THEN 'title_fallback' WHEN k <> '' AND length(k) < 40 AND strong THEN 'title_hint_strong_from_short_window'
+  WHEN k <> '' THEN 'keyword_window' WHEN s IS NOT NULL THEN 'keyword_sentence' WHEN title <> '' AND strong THEN 'title_hint_strong' WHEN title <> '' THEN 'title_hint' ELSE 'excerpt_fallback' END AS method, t, title, {clip("k", 320)} AS k, {clip("s", 320)} AS s FROM w)
+SELECT doc_id, method, CASE method WHEN 'empty' THEN '' WHEN 'keyword_window' THEN k WHEN 'keyword_sentence' THEN s WHEN 'excerpt_fallback' THEN {clip("t", 220)} ELSE title END AS subject,
+  CASE method WHEN 'empty' THEN 0.0 WHEN 'keyword_window' THEN 0.82 WHEN 'keyword_sentence' THEN 0.76 WHEN 'title_fallback' THEN 0.72 WHEN 'title_hint' THEN 0.68 WHEN 'excerpt_fallback' THEN 0.56 ELSE 0.74 END::DOUBLE AS confidence FROM c
+"""
+
+
+@plan(_sql_subject())
 def subject_extraction(t: Tables) -> DataFrame:
-    """Subjects by keyword, sentence or title, with a confidence."""
-    s = t.documents.select("doc_id", X.subject("text", "source", ("asunto", "objeto", "subject")).alias("s"))
-    return s.select("doc_id", "s.subject", "s.confidence")
+    """Subjects by keyword window, sentence, title or beginning, with a confidence."""
+    pick = lambda values, n: F.get(F.array(*[F.lit(v) for v in values]), F.pmod(n, F.lit(len(values))).cast("int"))
+    text = F.when(F.col("doc_id") % 13 == 0, "").otherwise(F.concat(pick(_LEADS, F.col("doc_id")), F.coalesce("text", F.lit(""))))
+    s = t.documents.select("doc_id", X.subject(text, pick(_TITLES, F.floor(F.col("doc_id") / 5))).alias("s"))
+    return s.select("doc_id", "s.method", "s.subject", "s.confidence")
 
 
 @plan("""
-SELECT doc_id, strip_accents(lower(regexp_extract(text, '^\\S+', 0))) AS folded FROM documents
+SELECT doc_id, md5(strip_accents(lower(text))) AS folded, length(strip_accents(lower(text))) AS n_chars FROM documents
 """)
 def unicode_fold(t: Tables) -> DataFrame:
-    """First words without marks, by full Unicode decomposition."""
-    first = F.regexp_extract("text", r"^\S+", 0)
-    return t.documents.select("doc_id", X.fold_unicode(first).alias("folded"))
+    """Whole texts without marks, by full Unicode decomposition."""
+    folded = t.documents.select("doc_id", X.fold_unicode("text").alias("f"))
+    return folded.select("doc_id", F.md5(F.col("f").cast("binary")).alias("folded"), F.length("f").cast("long").alias("n_chars"))
 
 
 @plan("""
-WITH d AS (SELECT doc_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS x FROM documents)
-SELECT doc_id, CASE WHEN length(x) <= 40 THEN x ELSE regexp_replace(left(x, 39), '\\s+\\S*$', '') || '…' END AS short FROM d
+WITH d AS (SELECT doc_id, trim(regexp_replace(coalesce(text, ''), '\\s+', ' ', 'g')) AS x FROM documents),
+h AS (SELECT doc_id, x, rtrim(left(x, 60)) AS h FROM d)
+SELECT doc_id, CASE WHEN length(x) <= 60 THEN x WHEN regexp_matches(h, '^.{25,} [^ ]*$') THEN regexp_replace(h, ' [^ ]*$', '') || '...' ELSE h || '...' END AS short FROM h
 """)
 def shorten(t: Tables) -> DataFrame:
     """Texts cut at a word's end."""
-    return t.documents.select("doc_id", S.shorten("text", 40).alias("short"))
+    return t.documents.select("doc_id", S.shorten("text", 60).alias("short"))
 
 
 @plan("""

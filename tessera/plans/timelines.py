@@ -82,28 +82,30 @@ SELECT user_id, count(*) FILTER (WHERE broken = 0) AS streak FROM b GROUP BY use
 """)
 def trailing_streak(t: Tables) -> DataFrame:
     """How many of the newest rows are good."""
-    return W.trailing_streak(t.events, ["user_id"], [F.desc("ts"), F.desc("event_id")], F.col("event_type") != "error")
+    return W.trailing_streak(t.events, ["user_id"], ["ts", "event_id"], F.col("event_type") != "error")
 
 
 @plan("""
-WITH r AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) AS age, count(*) OVER (PARTITION BY event_type) AS n FROM events)
-SELECT event_type, event_id, age FROM r WHERE age <= 20 OR (age <= 100 AND age % 5 = 0) OR age % 20 = 0 OR age = 1 OR age = n OR value > 60
+WITH r AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) - 1 AS age, count(*) OVER (PARTITION BY event_type) AS n FROM events)
+SELECT event_type, event_id, age FROM r WHERE age < 20 OR (age < 120 AND age % 5 = 0) OR (age >= 120 AND age % 20 = 0) OR age = n - 1 OR value > 60
 """)
 def cadence_compact(t: Tables) -> DataFrame:
     """A log thinned by age, incidents and both ends kept."""
-    out = W.cadence(t.events, ["event_type"], [F.desc("ts"), F.desc("event_id")], F.col("value") > 60)
-    return out.select("event_type", "event_id", F.col("age").cast("long").alias("age"))
+    out = W.cadence(t.events, ["event_type"], ["ts", "event_id"], F.col("value") > 60)
+    return out.select("event_type", "event_id", "age")
 
 
 @plan("""
-WITH k AS (SELECT user_id, event_id, value > 60 AS bad FROM events), c AS (SELECT event_id FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) AS age FROM events) WHERE age % 20 = 0 OR value > 60)
-SELECT count(*) FILTER (WHERE bad) AS n_incidents, count(*) FILTER (WHERE bad AND c.event_id IS NULL) AS n_lost FROM k LEFT JOIN c USING (event_id)
+WITH k AS (SELECT event_id, value > 60 AS bad FROM events),
+c AS (SELECT event_id FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) - 1 AS age, count(*) OVER (PARTITION BY event_type) AS n FROM events) WHERE age % 20 = 0 OR age = n - 1 OR value > 60)
+SELECT count(*) FILTER (WHERE bad) AS n_incidents, count(*) FILTER (WHERE bad AND c.event_id IS NULL) AS n_lost, count(c.event_id) AS n_kept FROM k LEFT JOIN c USING (event_id)
 """)
 def compaction_parity(t: Tables) -> DataFrame:
-    """Incidents of the whole log that the thinned log lacks."""
-    thin = W.cadence(t.events, ["event_type"], [F.desc("ts"), F.desc("event_id")], F.col("value") > 60, 0, 0).select(F.col("event_id").alias("_e"))
-    bad = t.events.filter("value > 60").join(thin, F.col("event_id") == F.col("_e"), "left")
-    return bad.agg(F.count(F.lit(1)).alias("n_incidents"), F.count_if(F.col("_e").isNull()).alias("n_lost"))
+    """Incidents of the whole log that the thinned log lacks, and the rows it has."""
+    thin = W.cadence(t.events, ["event_type"], ["ts", "event_id"], F.col("value") > 60, 0, 0).select(F.col("event_id").alias("_e"))
+    both = t.events.join(thin, F.col("event_id") == F.col("_e"), "left")
+    bad = F.col("value") > 60
+    return both.agg(F.count_if(bad).alias("n_incidents"), F.count_if(bad & F.col("_e").isNull()).alias("n_lost"), F.count("_e").alias("n_kept"))
 
 
 @plan("""
