@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import clamp01, ratio
+from .ranges import bucket_of, cut_points, null_safe
 
 STANCE_EDGE = 0.2
 
@@ -146,14 +147,41 @@ def stakes(events: DataFrame, keys: list[str], present: str, yes: str, no: str)
 
 
 def quantiles(df: DataFrame, keys: list[str], value: str, at: tuple[float, ...] = (0.5, 0.75, 0.9)) -> DataFrame:
-    """Exact percentiles with linear interpolation, and the usual moments; nulls drop out."""
-    return df.groupBy(*keys).agg(
-        F.count(value).alias("n"),
-        F.min(value).alias("least"),
-        F.max(value).alias("most"),
-        F.avg(value).alias("mean"),
-        *[F.percentile(value, F.lit(p)).alias(f"p{int(p * 100)}") for p in at],
-    )
+    """keys, n, least, most, mean and exact percentiles with linear interpolation; null
+    values drop out.
+
+    For a few keys of many rows: values are counted, cut into buckets of values and the
+    buckets counted; only the buckets that hold a wanted place are ordered. No task holds
+    the values of a key.
+    """
+    names = [f"_k{i}" for i in range(len(keys))]
+    rows = df.select(*[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)], F.col(value).alias("_v"))
+    known = rows.filter(F.col("_v").isNotNull())
+    counts = known.groupBy(*names, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    counts = counts.withColumn("_b", bucket_of(counts, ["_v"], cut_points(known.select("_v"))))
+
+    # the buckets of the places that are wanted, and those places
+    whole = Window.partitionBy(*names)
+    sizes = counts.groupBy(*names, "_b").agg(F.sum("_c").alias("_n")).withColumns({"_stop": F.sum("_n").over(whole.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)), "_all": F.sum("_n").over(whole)})
+    place = lambda p: (F.col("_all") - 1) * F.lit(float(p))
+    wanted = F.array_distinct(F.array(*[end(place(p)) for p in at for end in (F.floor, F.ceil)]))
+    sizes = sizes.withColumn("_want", F.filter(wanted, lambda r: (r < F.col("_stop")) & (r >= F.col("_stop") - F.col("_n")))).filter(F.size("_want") > 0)
+    sizes = sizes.select(*[F.col(n).alias(f"{n}_x") for n in names], F.col("_b").alias("_bx"), (F.col("_stop") - F.col("_n")).alias("_before"), "_want")
+    there = counts.join(sizes, null_safe([*names, "_b"], [*(f"{n}_x" for n in names), "_bx"]))
+    upto = F.col("_before") + F.sum("_c").over(Window.partitionBy(*names, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    found = there.withColumn("_upto", upto).select(*names, F.col("_v").cast("double").alias("_v"), F.explode(F.filter("_want", lambda r: (r < F.col("_upto")) & (r >= F.col("_upto") - F.col("_c")))).alias("_r"))
+    found = found.groupBy(*[F.col(n).alias(f"{n}_x") for n in names]).agg(F.map_from_entries(F.collect_list(F.struct("_r", "_v"))).alias("_at"))  # two places each
+
+    plain = rows.groupBy(*names).agg(F.count("_v").alias("n"), F.min("_v").alias("least"), F.max("_v").alias("most"), F.avg("_v").alias("mean"))
+    out = plain.join(found, null_safe(names, [f"{n}_x" for n in names]), "left") if names else plain.join(found, F.lit(True), "left")
+
+    def percentile(p: float) -> Column:
+        at = (F.col("n") - 1) * F.lit(float(p))
+        lo, hi = F.floor(at), F.ceil(at)
+        low, high = F.try_element_at("_at", lo), F.try_element_at("_at", hi)
+        return F.when(low == high, low).otherwise((hi - at) * low + (at - lo) * high)
+
+    return out.select(*[F.col(n).alias(k) for n, k in zip(names, keys, strict=True)], "n", "least", "most", "mean", *[percentile(p).alias(f"p{int(p * 100)}") for p in at])
 
 
 def mode_label(df: DataFrame, keys: list[str], label: str) -> DataFrame:

@@ -94,7 +94,7 @@ def stage_bottleneck(t: Tables) -> DataFrame:
     """The slowest owners by median duration, with a least sample."""
     days = F.datediff("l_shipdate", "o_orderdate").cast("long")
     x = t.lineitem.join(t.orders, F.col("o_orderkey") == F.col("l_orderkey")).join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey"))
-    q = x.groupBy(F.col("s_nationkey").alias("k")).agg(F.count(F.when(days >= 0, days)).alias("n"), F.percentile(F.when(days >= 0, days), F.lit(0.5)).alias("p50")).filter("n >= 500")
+    q = A.quantiles(x.select(F.col("s_nationkey").alias("k"), F.when(days >= 0, days).alias("d")), ["k"], "d", (0.5,)).filter("n >= 500")
     out = q.join(t.nation, F.col("k") == F.col("n_nationkey"))
     return out.select("n_name", "n", "p50", F.row_number().over(Window.orderBy(F.desc("p50"), "n_name")).cast("long").alias("place"))
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import joins as J
+from ..operators import terms as K
 from .registry import Tables, plan
 
 
@@ -382,3 +383,40 @@ def graph_bridge(t: Tables) -> DataFrame:
     rel = F.when(F.col("p_size") % 3 == 0, "develops").when(F.col("p_size") % 3 == 1, "repeals").otherwise("amends")
     e = t.part.select(F.col("p_partkey").alias("src"), (F.floor(F.col("p_partkey") / 3) * 2).alias("dst"), rel.alias("relation"))
     return J.bridge(m, e, "fact", {"develops": 0.15, "amends": 0.15}, "repeals", 0.2, 0.25).select("fact", "node", "confidence", "method")
+
+
+_TERMS = """
+words AS (SELECT item_id, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS term FROM benchmark),
+terms AS (SELECT DISTINCT term FROM words WHERE length(term) >= 7 UNION SELECT lower(p_name) FROM part)
+"""
+
+
+def _words(t: Tables) -> DataFrame:
+    return t.benchmark.select("item_id", F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0))).alias("term"))
+
+
+def _term_table(t: Tables) -> DataFrame:
+    return _words(t).filter(F.length("term") >= 7).select("term").union(t.part.select("p_name"))
+
+
+@plan(f"WITH {_TERMS} SELECT term, count(*) AS n_docs, min(doc_id) AS first_doc FROM documents, terms WHERE contains(lower(text), term) GROUP BY term")
+def term_table(t: Tables) -> DataFrame:
+    """Which texts contain which terms of a table of thousands, in one scan."""
+    found = K.found_terms(t.documents, _term_table(t), "doc_id", "text", "term")
+    return found.groupBy("term").agg(F.count(F.lit(1)).alias("n_docs"), F.min("doc_id").alias("first_doc"))
+
+
+@plan("""
+WITH words AS (SELECT item_id, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS term FROM benchmark),
+asked AS (SELECT DISTINCT item_id, term FROM words WHERE length(term) >= 9),
+met AS (SELECT doc_id, item_id, count(*) AS n FROM documents, asked WHERE contains(lower(text), term) GROUP BY ALL),
+whole AS (SELECT doc_id, met.item_id FROM met JOIN (SELECT item_id, count(*) AS n FROM asked GROUP BY 1) s ON s.item_id = met.item_id AND s.n = met.n)
+SELECT doc_id, count(*) AS n_rules, min(item_id) AS first_rule FROM whole GROUP BY doc_id
+""")
+def rule_table(t: Tables) -> DataFrame:
+    """Rules of a table, each a set of terms that a text must contain all of; the first one
+    of each text and how many there are."""
+    rules = _words(t).filter(F.length("term") >= 9)
+    found = K.found_terms(t.documents, rules, "doc_id", "text", "term")
+    matched = K.matched_rules(found, rules, "doc_id", "item_id", "term")
+    return matched.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_rules")).join(K.first_rule(matched, "doc_id", "item_id").withColumnRenamed("item_id", "first_rule"), "doc_id")

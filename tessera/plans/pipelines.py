@@ -76,7 +76,9 @@ def initiative_lifecycle(t: Tables) -> DataFrame:
     line = t.lineitem.groupBy("l_orderkey").agg(F.min(F.to_date("l_shipdate")).alias("a"), F.max(F.to_date("l_shipdate")).alias("b"))
     s = t.orders.join(line, F.col("o_orderkey") == F.col("l_orderkey"), "left").select(F.col("o_orderpriority").alias("p"), F.datediff("a", F.to_date("o_orderdate")).alias("d"), F.datediff("b", "a").alias("open"))
     first = F.when(F.col("d") >= 0, F.col("d"))
-    g = s.groupBy("p").agg(F.count(F.lit(1)).alias("n"), F.count(first).alias("n_known"), F.percentile(first, F.lit(0.5)).alias("first_p50"), F.percentile("open", F.lit(0.9)).alias("open_p90"))
+    s = s.select("p", first.alias("first"), "open")
+    known = A.quantiles(s, ["p"], "first", (0.5,)).select("p", F.col("n").alias("n_known"), F.col("p50").alias("first_p50"))
+    g = s.groupBy("p").agg(F.count(F.lit(1)).alias("n")).join(known, "p").join(A.quantiles(s, ["p"], "open", (0.9,)).select("p", F.col("p90").alias("open_p90")), "p")
     return g.withColumn("verdict", F.when(F.col("open_p90") > 600, "slow").otherwise("normal"))
 
 

@@ -8,10 +8,12 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tessera.operators import aggregates as A
 from tessera.operators import joins as J
 from tessera.operators import ranges as R
 from tessera.operators import similarity as Y
 from tessera.operators import sweep
+from tessera.operators import terms as K
 from tessera.operators import windows as W
 
 
@@ -185,3 +187,42 @@ def test_coalitions_by_scope(spark):
     overall = spark.createDataFrame([(1, "a", "b", 0.1), (2, "a", "b", 0.8)], "scope int, a string, b string, cosine double")
     got = Y.issue_coalitions(topic, overall, scope=["scope"]).collect()
     assert sorted((r.scope, r.overall) for r in got) == [(1, 0.1), (3, 0.0)]
+
+
+def test_quantiles_equal_percentile(spark):
+    r = random.Random(9)
+    rows = [(r.choice(["a", "b", "c", None]), None if r.random() < 0.1 else r.choice([r.randint(-5, 40), 7])) for _ in range(4000)] + [("one", 3), ("two", 3), ("two", 10), ("none", None)]
+    df = spark.createDataFrame(rows, "k string, v int")
+    at = (0.0, 0.1, 0.5, 0.75, 0.9, 1.0)
+    want = df.groupBy("k").agg(F.count("v").alias("n"), F.min("v").alias("least"), F.max("v").alias("most"), F.avg("v").alias("mean"), *[F.percentile("v", F.lit(p)).alias(f"p{int(p * 100)}") for p in at])
+    got = A.quantiles(df, ["k"], "v", at)
+    assert got.columns == want.columns and sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+    real = spark.range(50_000).select(F.lit(1).alias("k"), (F.rand(3) ** 9).alias("v"))
+    one = A.quantiles(real, ["k"], "v", at).first()
+    same = real.agg(*[F.percentile("v", F.lit(p)).alias(f"p{int(p * 100)}") for p in at]).first()
+    assert [one[c] for c in same.asDict()] == list(same)
+    assert A.quantiles(df.filter("false"), ["k"], "v").count() == 0
+    assert A.quantiles(real, [], "v", (0.5,)).first().p50 == same.p50
+
+
+TEXTS = [(1, "The cat sat on the mat"), (2, "CATALOGUE"), (3, None), (4, ""), (5, "ma t"), (6, "straße"), (7, "x" * 50), (8, "the cat"), (8, "the cat")]
+WORDS = ["cat", "Cat", "the", "catalogue", "at", "mat", "STRASSE", "straße", "xxxxxxx", "", None, "t", "the mattress"]
+
+
+@pytest.mark.parametrize("most_bytes", [K.MOST_BYTES, 1])
+def test_found_terms(spark, most_bytes):
+    docs = spark.createDataFrame(TEXTS, "d int, t string").repartition(3)
+    terms = spark.createDataFrame([(w,) for w in WORDS], "w string")
+    got = sorted((r.d, r.term) for r in K.found_terms(docs, terms, "d", "t", "w", most_bytes=most_bytes).collect())
+    assert got == sorted((d, w) for d, t in TEXTS if t is not None for w in {x.lower() for x in WORDS if x} if w in t.lower())
+    assert K.found_terms(docs, terms.limit(0), "d", "t", "w", most_bytes=most_bytes).count() == 0
+    assert K.found_terms(docs.limit(0), terms, "d", "t", "w", most_bytes=most_bytes).count() == 0
+
+
+def test_rules_of_several_terms(spark):
+    docs = spark.createDataFrame(TEXTS, "d int, t string")
+    rules = spark.createDataFrame([(2, "cat"), (2, "the"), (1, "CAT"), (1, "mat"), (3, "cat"), (3, None), (4, "log"), (4, "log")], "r int, w string")
+    found = K.found_terms(docs, rules, "d", "t", "w")
+    matched = K.matched_rules(found, rules, "d", "r", "w")
+    assert sorted(map(tuple, matched.collect())) == [(1, 1), (1, 2), (2, 4), (8, 2)]
+    assert sorted(map(tuple, K.first_rule(matched, "d", "r").collect())) == [(1, 1), (2, 4), (8, 2)]
