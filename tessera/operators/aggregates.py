@@ -33,26 +33,39 @@ def weighted_stance(evidence: DataFrame, keys: list[str], polarity: str, weight:
     polarity a mixed row makes the stance mixed, as do both signs without a clear mean.
     A key without evidence has no row.
     """
+    return stances(stance_sums(evidence, keys, polarity, weight, confidence, variant, stance_col), variant)
+
+
+def stance_sums(evidence: DataFrame, keys: list[str], polarity: str, weight: str, confidence: str, variant: str = "votes", stance_col: str = "stance", sign: Column | None = None) -> DataFrame:
+    """keys and what weighted_stance needs of their evidence: counts, and sums of decimals
+    where weights are. Sums of two sets of evidence add up to those of both; with a ``sign``
+    of 1 or -1 rows are added or taken back."""
+    one = F.lit(1) if sign is None else sign
     w = F.coalesce(F.col(weight), F.lit(1)) * F.coalesce(F.col(confidence), F.lit(1))
     declared = variant == "declared"
     rows = evidence.filter(F.col(stance_col).isin(*SIGNALS)) if declared else evidence
-    signed = F.col(polarity) != 0
-    sums = rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n_evidence"),
-        F.count_if(F.col(polarity) > 0).alias("n_for"),
-        F.count_if(F.col(polarity) < 0).alias("n_against"),
-        (F.count_if(F.col(stance_col) == "mixed") if declared else F.lit(0)).alias("_mixed"),
-        F.sum(F.when(signed, F.col(polarity) * w)).cast("double").alias("_numer"),
-        F.sum(F.when(signed, w)).cast("double").alias("_denom"),
+    p = F.col(polarity)
+    counted = lambda test: F.sum(F.when(test, one).otherwise(0)).cast("long")
+    return rows.groupBy(*keys).agg(
+        F.sum(one).cast("long").alias("n_evidence"),
+        counted(p > 0).alias("n_for"),
+        counted(p < 0).alias("n_against"),
+        (counted(F.col(stance_col) == "mixed") if declared else F.lit(0).cast("long")).alias("n_mixed"),
+        F.coalesce(F.sum(F.when(p != 0, p * w * one)), F.lit(0)).alias("numer"),
+        F.coalesce(F.sum(F.when(p != 0, w * one)), F.lit(0)).alias("denom"),
     )
-    out = sums.withColumn("score", ratio("_numer", "_denom"))
+
+
+def stances(sums: DataFrame, variant: str = "votes") -> DataFrame:
+    """The positions of stance_sums."""
+    numer, denom = F.col("numer").cast("double"), F.col("denom").cast("double")
+    out = sums.withColumn("score", ratio(numer, denom))
     plain = stance(F.col("score"))
-    if declared:
-        unsigned = F.coalesce(F.col("_denom"), F.lit(0.0)) <= 0
+    if variant == "declared":
         both = (F.col("n_for") > 0) & (F.col("n_against") > 0)
-        plain = F.when(unsigned, F.when(F.col("_mixed") > 0, "mixed").otherwise("unclear")).when(both & (plain == "unclear"), "mixed").otherwise(plain)
-    full = 3.0 if declared else 5.0
-    return out.withColumns({"stance": plain, "confidence": F.least(F.lit(1.0), F.col("n_evidence") / full)}).drop("_numer", "_denom", "_mixed")
+        plain = F.when(denom <= 0, F.when(F.col("n_mixed") > 0, "mixed").otherwise("unclear")).when(both & (plain == "unclear"), "mixed").otherwise(plain)
+    full = 3.0 if variant == "declared" else 5.0
+    return out.withColumns({"stance": plain, "confidence": F.least(F.lit(1.0), F.col("n_evidence") / full)}).drop("numer", "denom", "n_mixed")
 
 
 def rollup_stance(positions: DataFrame, keys: list[str], members: Column, majority: float = 0.75, series: bool = False) -> DataFrame:

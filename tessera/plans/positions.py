@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..operators import aggregates as A
+from ..operators import incremental as I
 from ..operators import joins as J
 from ..operators import similarity as M
+from ..streaming.streams import folder
 from .registry import Tables, plan
 
 _EVIDENCE = """
@@ -40,8 +42,12 @@ declared AS (SELECT person, topic, signal_count AS n_evidence, support_count AS
 
 
 def evidence(t: Tables, topics: int = 50) -> DataFrame:
+    return _evidence(t.lineitem, topics)
+
+
+def _evidence(lines: DataFrame, topics: int = 50) -> DataFrame:
     flag = F.col("l_returnflag")
-    return t.lineitem.select(
+    return lines.select(
         F.col("l_suppkey").alias("person"),
         (F.col("l_partkey") % topics).alias("topic"),
         F.when(flag == "A", 1).when(flag == "R", -1).otherwise(0).alias("polarity"),
@@ -76,6 +82,25 @@ def _with_members(t: Tables, positions: DataFrame) -> DataFrame:
     return positions.join(members, "person")
 
 
+@plan(f"""
+WITH {_EVIDENCE.replace("FROM lineitem)", "FROM lineitem WHERE l_orderkey % 100 <> 1)")}, {_POSITIONS}
+SELECT person, topic, n_evidence, n_for, n_against, score, CASE WHEN score > 0.2 THEN 'support' WHEN score < -0.2 THEN 'oppose' ELSE 'unclear' END AS stance, CAST(CASE WHEN n_evidence >= 5 THEN 1.0 ELSE n_evidence / 5.0 END AS DOUBLE) AS confidence FROM scored
+""")
+def incremental_stance(t: Tables) -> DataFrame:
+    """Positions kept up to date: one hundredth of the evidence comes later, another is
+    taken back, and only the slices that these touch are summed and evaluated again."""
+    base, keys, slices = folder(t.spark), ["person", "topic"], ["slice"]
+    every = t.lineitem.select("*", (F.col("l_orderkey") % 100).alias("part"))
+    sums = lambda rows, sign=None: A.stance_sums(_evidence(rows).withColumn("slice", F.col("topic") % 10), [*slices, *keys], "polarity", "w", "c", sign=sign)
+    first = sums(every.filter("part <> 2"))
+    I.build(first, f"{base}/sums", slices)
+    I.build(A.stances(t.spark.read.schema(first.schema).parquet(f"{base}/sums")), f"{base}/positions", slices)
+    changes = sums(every.filter("part = 2")).unionByName(sums(every.filter("part = 1"), F.lit(-1)))
+    changes = changes.groupBy(*slices, *keys).agg(*[F.sum(c).cast(first.schema[c].dataType).alias(c) for c in first.columns if c not in (*slices, *keys)]).select(*first.columns)
+    touched = I.apply_changes(f"{base}/sums", changes, slices, keys, "n_evidence", f"{base}/staging")
+    return I.reevaluate(f"{base}/sums", first.schema, slices, touched, f"{base}/positions", A.stances).drop("slice")
+
+
 _SIZE = "size AS (SELECT s_nationkey AS party, count(*) AS n_members FROM supplier GROUP BY 1)"
 
 
