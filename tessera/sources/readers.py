@@ -9,63 +9,135 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import unescape
 
-#: Fields under which a JSON document may hold its records, in order.
-RECORD_FIELDS = ("results", "items", "data", "dataset", "rows")
+#: Fields under which a JSON document may hold its records, in order.
+RECORD_FIELDS = ("results", "items", "data", "diputados", "dataset", "rows")
 
 
 def json_records(spark: SparkSession, path: str, schema: T.StructType | str, fields: tuple[str, ...] = RECORD_FIELDS) -> DataFrame:
-    """Records of whole JSON documents: the array under the first field that has one, or
-    the document itself if it is an array, or else the document as a single record."""
+    """Records of whole JSON documents of any form: the objects of an array; of the list
+    under the first of ``fields`` that is one; else of the first list with an object in it,
+    in the order of the document; else the document itself. A document that is no JSON
+    fails the job; other values have no records."""
     kind = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    text = spark.read.text(path, wholetext=True).select(F.col("value").alias("doc"))
-    many = T.ArrayType(kind)
-    found = [F.from_json(F.get_json_object("doc", f"$.{f}"), many) for f in fields]
-    bare = F.when(F.ltrim("doc").startswith("["), F.from_json("doc", many))
-    one = F.array(F.from_json("doc", kind))
-    return text.select(F.explode(F.coalesce(*found, bare, one)).alias("r")).select("r.*")
-
-
-def json_lines(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    text = spark.read.text(path, wholetext=True).select(F.col("value").alias("doc")).withColumn("v", F.parse_json("doc"))
+    is_list, is_object = (lambda v, n=n: F.coalesce(F.schema_of_variant(v).startswith(n), F.lit(False)) for n in ("ARRAY", "OBJECT"))
+    objects = lambda v: F.filter(F.try_variant_get(v, "$", "array<variant>"), lambda x: is_object(x))
+    under = F.try_variant_get("v", "$", "map<string,variant>")
+    entry = lambda k: F.try_element_at(under, k)
+    lists = F.filter(F.json_object_keys("doc"), lambda k: is_list(entry(k)))
+    named = F.filter(F.array(*[F.lit(f) for f in fields]), lambda k: F.array_contains(lists, k))
+    filled = F.filter(lists, lambda k: F.size(objects(entry(k))) > 0)
+    key = F.coalesce(F.get(named, F.lit(0)), F.get(filled, F.lit(0)))
+    found = F.when(is_list(F.col("v")), objects(F.col("v"))).when(is_object(F.col("v")), F.when(key.isNull(), F.array("v")).otherwise(objects(entry(key))))
+    return text.select(F.explode(found).alias("r")).select(F.from_json(F.to_json("r"), kind).alias("r")).select("r.*")
+
+
+def numbered_lines(spark: SparkSession, path: str, number: str = "line_no") -> DataFrame:
+    """file, block, value and the number of each line of text files, from 1. A file may be
+    read in many tasks: a line's number is its place in its block and the lines of the
+    blocks before, which are counted first. Values are the bytes of the file."""
+    meta = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("_at")]
+    rows = spark.read.text(path).select("value", *meta)
+    sizes = rows.groupBy("file", "block").agg(F.count(F.lit(1)).alias("_size"))
+    before = F.coalesce(F.sum("_size").over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sizes = sizes.select("file", "block", before.alias("_before"))
+    inside = F.row_number().over(Window.partitionBy("file", "block").orderBy("_at"))
+    return rows.withColumn("_in", inside).join(sizes, ["file", "block"]).select("file", "block", (F.col("_before") + F.col("_in")).alias(number), "value")
+
+
+def json_lines(spark: SparkSession, path: str, schema: T.StructType | str, line_no: str | None = None) -> DataFrame:
     """One record a line; malformed lines stay as rows with ``malformed`` set and the text
-    in ``raw``."""
+    in ``raw``; with ``line_no``, also the number of the line in its file."""
     kind = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     wide = T.StructType([*kind.fields, T.StructField("_bad", T.StringType())])
     parsed = F.from_json("value", wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
-    lines = spark.read.text(path).filter(F.trim("value") != "")
-    return lines.select(F.col("value").alias("raw"), parsed.alias("r")).select("raw", (F.col("r").isNull() | F.col("r._bad").isNotNull()).alias("malformed"), *[F.col(f"r.{f}") for f in kind.fieldNames()])
-
-
-def sniff_separator(spark: SparkSession, path: str, choices: str = ";,\t|") -> tuple[str, bool]:
-    """The separator of a CSV file and whether a ``sep=`` line names it, from its first lines."""
-    head = [r.value.lstrip("﻿") for r in spark.read.text(path).limit(20).collect() if r.value.strip()]
-    if head and head[0].lower().startswith("sep="):
-        return head[0][4:5], True
+    lines = (numbered_lines(spark, path, line_no) if line_no else spark.read.text(path)).filter(F.trim("value") != "")
+    more = [line_no] if line_no else []
+    return lines.select(F.col("value").alias("raw"), parsed.alias("r"), *more).select(*more, "raw", (F.col("r").isNull() | F.col("r._bad").isNotNull()).alias("malformed"), *[F.col(f"r.{f}") for f in kind.fieldNames()])
+
+
+def _western(c: Column) -> Column:
+    """Bytes in the Windows code page as text; the five bytes that it lacks are read as
+    Latin-1."""
+    pairs = [(chr(b), bytes([b]).decode("cp1252")) for b in range(0x80, 0xA0) if b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)]
+    return F.translate(F.decode(c.cast("binary"), "ISO-8859-1"), "".join(a for a, _ in pairs), "".join(b for _, b in pairs))
+
+
+def csv_lines(spark: SparkSession, path: str) -> DataFrame:
+    """file, line_no and value of the lines of CSV files: a file that is no UTF-8 anywhere is
+    read in the Windows code page; a byte order mark is left out."""
+    lines = numbered_lines(spark, path)
+    kinds = lines.groupBy("file").agg(F.bool_and(F.is_valid_utf8("value")).alias("_utf8"))
+    text = F.when(F.col("_utf8"), F.col("value")).otherwise(_western(F.col("value")))
+    marked = F.when(F.col("line_no") == 1, F.regexp_replace("value", "^\ufeff", "")).otherwise(F.col("value"))
+    return lines.join(kinds, "file").select("file", "block", "line_no", text.alias("value")).withColumn("value", marked)
+
+
+def csv_texts(lines: DataFrame, quote: str = '"') -> DataFrame:
+    """file, line_no and value of the records of csv_lines. A line whose file has an odd
+    number of quotes before it goes on with the record before: quotes are counted by blocks,
+    summed up along the file, and only records of several lines are put together."""
+    own = F.length("value") - F.length(F.replace("value", F.lit(quote), F.lit("")))
+    rows = lines.withColumn("_q", own)
+    blocks = rows.groupBy("file", "block").agg(F.sum("_q").alias("_all"))
+    ahead = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select("file", "block", F.coalesce(F.sum("_all").over(ahead), F.lit(0)).alias("_quotes"))
+    inside = Window.partitionBy("file", "block").orderBy("line_no").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.join(blocks, ["file", "block"]).withColumn("_open", (F.col("_quotes") + F.coalesce(F.sum("_q").over(inside), F.lit(0))) % 2 == 1)
+    plain = rows.filter(~F.col("_open") & (F.col("_q") % 2 == 0)).select("file", "line_no", "value")
+    # of the others, each first line begins a record that ends before the next one
+    broken = rows.filter(F.col("_open") | (F.col("_q") % 2 == 1))
+    first = F.max(F.when(~F.col("_open"), F.col("line_no"))).over(Window.partitionBy("file").orderBy("line_no"))
+    parts = broken.withColumn("_first", first).groupBy("file", F.col("_first").alias("line_no")).agg(F.array_sort(F.collect_list(F.struct("line_no", "value"))).alias("p"))
+    return plain.unionByName(parts.select("file", "line_no", F.array_join("p.value", "\n").alias("value")))
+
+
+def _separator(head: list[str], choices: str = ";,\t|") -> tuple[str, bool]:
+    """The separator of some first lines and whether a ``sep=`` line names it."""
+    if head and head[0].strip().lower().startswith("sep=") and len(head[0].strip()) >= 5:
+        return head[0].strip()[4], True
     score = lambda s: (min((line.count(s) for line in head), default=0), sum(line.count(s) for line in head))
     return max(choices, key=score), False
 
 
-def csv_records(spark: SparkSession, path: str, schema: T.StructType | str | None = None, sep: str | None = None, encoding: str = "UTF-8") -> DataFrame:
-    """A CSV file with a header; blank rows are dropped. The separator is sniffed if not given."""
-    named = False
-    if sep is None:
-        sep, named = sniff_separator(spark, path)
-    reader = spark.read.option("header", not named).option("sep", sep).option("encoding", encoding).option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True)
-    if named:  # the first line says sep=, the second is the header
-        rows = reader.csv(path)
-        header = spark.read.text(path).limit(2).collect()[1].value.split(sep)
-        rows = rows.toDF(*[h.strip() for h in header]) if len(header) == len(rows.columns) else rows
-        rows = rows.filter(~F.lower(F.col(rows.columns[0])).startswith("sep=") & (F.col(rows.columns[0]) != header[0].strip()))
-    else:
-        rows = (reader.schema(schema) if schema else reader).csv(path)
-        rows = rows.withColumnsRenamed({c: c.lstrip("﻿") for c in rows.columns if c.startswith("﻿")})
-    blank = reduce(lambda a, b: a & b, [F.col(f"`{c}`").isNull() | (F.trim(F.col(f"`{c}`").cast("string")) == "") for c in rows.columns])
-    return rows.filter(~blank)
+def sniff_separator(spark: SparkSession, path: str, choices: str = ";,\t|") -> tuple[str, bool]:
+    """The separator of a CSV file and whether a ``sep=`` line names it, from its first lines."""
+    return _separator([r.value.lstrip("\ufeff") for r in spark.read.text(path).limit(20).collect() if r.value.strip()], choices)
+
+
+def csv_records(spark: SparkSession, path: str, schema: T.StructType | str | None = None, sep: str | None = None) -> DataFrame:
+    """CSV files as agencies publish them: UTF-8 with or without a byte order mark or the
+    Windows code page, a separator that a first line names or that is sniffed, line breaks
+    inside quotes, blank rows dropped. All files have the header of the first one, whose first
+    lines alone reach the driver; columns are texts unless a schema is given. A missing
+    field is null. Files are read in as many tasks as they have blocks. Quotes are those
+    around fields; a lone one inside an unquoted field would join lines."""
+    import csv
+
+    lines = csv_lines(spark, path)
+    head = [r.value for r in lines.orderBy("file", "line_no").filter(F.trim("value") != "").limit(20).collect()]
+    sniffed, named = _separator(head)
+    sep = sep or sniffed
+    if not head[int(named) :]:
+        return spark.createDataFrame([], schema or "value string")
+    names = [n.strip() for n in next(csv.reader(head[int(named) :], delimiter=sep))]
+    kind = (T.StructType.fromDDL(schema) if isinstance(schema, str) else schema) if schema else T.StructType([T.StructField(n, T.StringType()) for n in names])
+    # the header is the first line that is not blank, or the one after it
+    filled = lines.filter(F.trim("value") != "")
+    header = filled.groupBy("file").agg(F.min("line_no").alias("_header"))
+    if named:
+        header = filled.join(header, "file").filter(F.col("line_no") > F.col("_header")).groupBy("file").agg(F.min("line_no").alias("_header"))
+    rows = csv_texts(lines).filter(F.trim("value") != "").join(header, "file").filter(F.col("line_no") > F.col("_header"))
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kind.fields)
+    parsed = rows.select(F.from_csv("value", ddl, {"sep": sep, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true"}).alias("r")).select("r.*")
+    blank = reduce(lambda a, b: a & b, [F.col(f"`{c}`").isNull() | (F.trim(F.col(f"`{c}`").cast("string")) == "") for c in parsed.columns])
+    return parsed.filter(~blank)
 
 
 def xml_records(spark: SparkSession, path: str, row_tag: str, schema: T.StructType | str | None = None) -> DataFrame:
@@ -135,13 +207,18 @@ def landed(df: DataFrame, payload: str, source: str) -> DataFrame:
 
 
 def drop_private(df: DataFrame) -> DataFrame:
-    """df without columns and nested fields whose names begin with an underscore."""
+    """df without columns, nested fields and map keys whose names begin with an underscore,
+    at any depth of structs, arrays and maps."""
 
     def clean(c: Column, kind: T.DataType) -> Column:
         if isinstance(kind, T.StructType):
-            return F.struct(*[clean(c[f.name], f.dataType).alias(f.name) for f in kind.fields if not f.name.startswith("_")])
-        if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StructType):
+            kept = F.struct(*[clean(c[f.name], f.dataType).alias(f.name) for f in kind.fields if not f.name.startswith("_")])
+            return F.when(c.isNotNull(), kept)
+        if isinstance(kind, T.ArrayType):
             return F.transform(c, lambda x: clean(x, kind.elementType))
+        if isinstance(kind, T.MapType):
+            own = F.map_filter(c, lambda k, _: ~k.startswith("_")) if isinstance(kind.keyType, T.StringType) else c
+            return F.transform_values(own, lambda _, x: clean(x, kind.valueType))
         return c
 
     return df.select(*[clean(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in df.schema.fields if not f.name.startswith("_")])
