@@ -160,6 +160,24 @@ def full_grid(rows: DataFrame, columns: DataFrame, stats: DataFrame, on: list[st
     return rows.join(columns, F.lit(True)).join(stats, on, "left").fillna(defaults)
 
 
+def longest_prefix(df: DataFrame, code: str, table: DataFrame, prefix: str, value: str, out: str | None = None) -> DataFrame:
+    """df with the value of the longest prefix in a table that its code begins with; null if
+    there is none. Of a prefix with several values the least counts.
+
+    Different codes alone are looked up, once for each length that prefixes have, by equality;
+    the empty prefix is one row for all and joined as such.
+    """
+    known = table.filter(F.col(prefix).isNotNull()).groupBy(F.col(prefix).alias("_p")).agg(F.min(value).alias("_v"))
+    rest = known.agg(F.min(F.when(F.col("_p") == "", F.col("_v"))).alias("_rest"))  # one row
+    known = known.filter("_p <> ''")
+    lengths = [r[0] for r in known.select(F.length("_p")).distinct().collect()]  # as many as the longest prefix has characters
+    codes = df.select(F.col(code).alias("_code")).filter(F.col("_code").isNotNull()).distinct()
+    heads = F.filter(F.array(*[F.when(F.length("_code") >= n, F.left("_code", F.lit(n))) for n in sorted(lengths)]).cast("array<string>"), lambda h: h.isNotNull())
+    found = codes.withColumn("_p", F.explode(heads)).join(known, "_p").groupBy("_code").agg(F.max_by("_v", F.length("_p")).alias("_found"))
+    both = df.join(found, F.col(code) == F.col("_code"), "left").join(F.broadcast(rest), F.lit(True))
+    return both.select(*[F.col(f"`{c}`") for c in df.columns], F.coalesce("_found", F.when(F.col(code).isNotNull(), F.col("_rest"))).alias(out or value))
+
+
 def self_pairs(df: DataFrame, on: list[str], member: str) -> DataFrame:
     """member_a < member_b for the members that share a key; for few members a key."""
     a = df.select(*on, F.col(member).alias(f"{member}_a")).distinct()

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..operators import quality as Q
+from ..sources import connectors as C
 from ..sources import readers as R
 from ..sources import sinks as K
 from ..streaming.streams import folder
@@ -151,3 +152,40 @@ def initials_and_bands(t: Tables) -> DataFrame:
 def required_rows(t: Tables) -> DataFrame:
     """A table that has the rows it must have and no web pages among its payloads."""
     return Q.require_rows(R.refuse_html(t.nation.select("n_nationkey", "n_name"), "n_name"), 25)
+
+
+@plan("""
+SELECT 'regions' AS source_id, CAST(n_regionkey AS VARCHAR) AS part, count(*) AS n, CAST(sum(n_nationkey) AS DOUBLE) AS total FROM nation GROUP BY n_regionkey
+UNION ALL SELECT 'events', event_type, count(*), CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) FROM events WHERE event_id % 100 <> 7 GROUP BY event_type
+UNION ALL SELECT 'events', 'malformed', count(*), NULL FROM events WHERE event_id % 100 = 7
+UNION ALL SELECT 'cube', o_orderstatus || o_orderpriority, 1, count(*) FROM orders GROUP BY o_orderstatus, o_orderpriority
+""")
+def connector_scan(t: Tables) -> DataFrame:
+    """Paged documents, lines and cubes made from the tables, read by their connectors."""
+    base = folder(t.spark)
+    C.register(t.spark)
+
+    def pages(df: DataFrame, name: str, ending: str) -> DataFrame:
+        """One file for each row of page and doc, read back by a connector."""
+        df.coalesce(1).foreachPartition(lambda rows, path=f"{base}/{name}": C.land(path, ((f"{r.page}{ending}", r.doc) for r in rows)))
+        kind = {"regions": "paged_json", "events": "json_lines", "cube": "stat_cube"}[name]
+        return t.spark.read.format(kind).option("source_id", name).load(f"{base}/{name}")
+
+    nations = F.to_json(F.struct(F.lit(0).alias("count"), F.collect_list(F.struct("n_nationkey", "n_regionkey")).alias("nations")))
+    regions = pages(t.nation.groupBy(F.col("n_regionkey").cast("string").alias("page")).agg(nations.alias("doc")), "regions", ".json")
+    r = regions.select("source_id", F.from_json("record", "n_nationkey long, n_regionkey string").alias("r")).groupBy("source_id", F.col("r.n_regionkey").alias("part")).agg(F.count(F.lit(1)).alias("n"), F.sum("r.n_nationkey").cast("double").alias("total"))
+
+    line = F.when(F.col("event_id") % 100 == 7, F.lit("{cut off")).otherwise(F.to_json(F.struct("event_type", "value")))
+    lines = t.events.groupBy((F.col("event_id") % 50).cast("string").alias("page")).agg(F.array_join(F.collect_list(line), "\n").alias("doc"))
+    e = pages(lines, "events", ".jsonl").select("source_id", F.from_json("record", "event_type string, value double, _malformed string").alias("r"))
+    e = e.groupBy("source_id", F.coalesce("r.event_type", F.lit("malformed")).alias("part")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("r.value").cast("decimal(18,2)")).cast("double").alias("total"))
+
+    counts = t.orders.groupBy("o_orderstatus", "o_orderpriority").agg(F.count(F.lit(1)).alias("v"))
+    axis = lambda c: counts.agg(F.array_sort(F.collect_set(c)).alias(c))
+    cells = counts.join(axis("o_orderstatus").withColumnRenamed("o_orderstatus", "a"), F.lit(True)).join(axis("o_orderpriority").withColumnRenamed("o_orderpriority", "b"), F.lit(True))
+    flat = ((F.array_position("a", F.col("o_orderstatus")) - 1) * F.size("b") + F.array_position("b", F.col("o_orderpriority")) - 1).cast("string")
+    index = lambda c: F.struct(F.struct(F.col(c).alias("index")).alias("category"))
+    doc = F.to_json(F.struct(F.array(F.lit("a"), F.lit("b")).alias("id"), F.array(F.size("a"), F.size("b")).alias("size"), F.struct(index("a").alias("a"), index("b").alias("b")).alias("dimension"), F.col("value")))
+    cube = cells.groupBy("a", "b").agg(F.map_from_entries(F.collect_list(F.struct(flat, "v"))).alias("value")).select(F.lit("cube").alias("page"), doc.alias("doc"))
+    c = pages(cube, "cube", ".json").select("source_id", F.from_json("record", "a string, b string, value double").alias("r")).select("source_id", F.concat("r.a", "r.b").alias("part"), F.lit(1).cast("long").alias("n"), F.col("r.value").alias("total"))
+    return r.unionByName(e).unionByName(c)

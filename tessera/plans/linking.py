@@ -320,13 +320,19 @@ def nested_children(t: Tables) -> DataFrame:
 
 
 @plan("""
-WITH r AS (SELECT DISTINCT left(c_name, 15) AS prefix, min(c_custkey) OVER (PARTITION BY left(c_name, 15)) AS head FROM customer)
-SELECT c_custkey, head FROM customer JOIN r ON left(c_name, 15) = prefix
+WITH codes AS (SELECT c_custkey, CASE WHEN c_custkey % 17 <> 0 THEN reverse(lpad(CAST(c_custkey * 37 % 100003 AS VARCHAR), 6, '0')) END AS code FROM customer),
+heads AS (SELECT left(code, 1 + c_custkey // 7 % 5) AS prefix, min(c_custkey) AS head FROM codes WHERE c_custkey % 7 = 0 AND code IS NOT NULL GROUP BY 1),
+r AS (SELECT c_custkey, prefix, head, row_number() OVER (PARTITION BY c_custkey ORDER BY length(prefix) DESC) AS n FROM codes LEFT JOIN heads ON starts_with(code, prefix))
+SELECT c_custkey, length(prefix) AS length, head FROM r WHERE n = 1
 """)
 def prefix_lookup(t: Tables) -> DataFrame:
-    """A code looked up by the leading part that its hierarchy shares."""
-    heads = t.customer.groupBy(F.left("c_name", F.lit(15)).alias("prefix")).agg(F.min("c_custkey").alias("head"))
-    return t.customer.select("c_custkey", F.left("c_name", F.lit(15)).alias("prefix")).join(heads, "prefix").select("c_custkey", "head")
+    """Codes looked up in a table of prefixes of several lengths: the longest one counts."""
+    number = F.lpad((F.col("c_custkey") * 37 % 100003).cast("string"), 6, "0")
+    codes = t.customer.select("c_custkey", F.when(F.col("c_custkey") % 17 != 0, F.reverse(number)).alias("code"))
+    length = (1 + F.floor(F.col("c_custkey") / 7) % 5).cast("int")
+    heads = codes.filter("c_custkey % 7 = 0").withColumn("prefix", F.left("code", length))
+    found = J.longest_prefix(codes, "code", heads.select("prefix", F.struct(F.col("c_custkey").alias("head"), F.length("prefix").cast("long").alias("length")).alias("v")), "prefix", "v")
+    return found.select("c_custkey", "v.length", "v.head")
 
 
 @plan("""
