@@ -2,8 +2,8 @@
 
 Documents are aggregated by membership pattern: the set of sources that they count
 for. Tokens flow from patterns to the quotas of their sources; a pattern's first pass
-is free, further passes cost more and more, so repetition is spread where it is
-cheapest. The network has one node for each pattern and source, whatever the number
+is free, every further pass costs more than the one before, so repetition is spread where
+it is cheapest; the flow is the same for all costs that grow. The network has one node for each pattern and source, whatever the number
 of documents. A path of least cost never comes back to the start, so its cost is that
 of the pass it opens: passes are opened one after the other, and all paths of a cost
 are filled at once by blocking flows.
@@ -17,8 +17,8 @@ flow even where they have few documents. Places on the line are prefix sums: ove
 pattern of a third of all rows is not ordered in one task.
 
 Defined cases: a null source is one of its own, last; null and empty texts have size
-0 and are taken 0 words; equal ids are told apart by size; rows equal in all of these
-are interchangeable; an empty table gives an empty result; other columns pass through,
+0 and are taken 0 words; rows of one id (or of none) are told apart by size, then by a hash
+of their columns, and where all are equal each has its own place on the line; an empty table gives an empty result; other columns pass through,
 and where one has the name of an added column, that one gets an underscore more.
 """
 
@@ -34,9 +34,6 @@ from .lineage import cut
 
 BINS = 4096
 PASSES = 3
-#: Cost of a token in a document's first, second, third ... pass: convex. The flow is the
-#: same for all costs that grow.
-PASS_COST = tuple(n * (n + 1) // 2 for n in range(5))
 WORDS = r"[^\x20\x09-\x0D]+"
 
 
@@ -155,13 +152,14 @@ def mix(docs: DataFrame, members: Column, size: Column, weight_of, id_col: str =
     sources in code point order, null last, to their weights.
     """
     spark = docs.sparkSession
+    hashed = [F.col(f"`{f.name}`") for f in docs.schema.fields if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
         size.alias("_size"),
         F.to_json(F.struct(F.array_distinct(members).alias("s")), {"ignoreNullFields": "false"}).alias("_pattern"),
         F.xxhash64(F.col(id_col), F.lit(seed)).alias("_h"),
-        F.col(id_col).alias("_i"),
-    ).withColumn("_bin", F.pmod("_h", F.lit(BINS)))
+        F.xxhash64(*hashed).alias("_t"),
+    ).withColumn("_bin", F.pmod(F.xxhash64("_h", "_t"), F.lit(BINS)))
     # sizes are counted once for all that is decided, and once more as the rows go by
     light = cut(rows.drop("_row"))
     sizes = light.groupBy("_pattern", "_bin").agg(F.sum("_size").alias("_n"))
@@ -185,26 +183,30 @@ def mix(docs: DataFrame, members: Column, size: Column, weight_of, id_col: str =
     schema = "_p string, _cap long, _flow double, _stretches array<struct<source: string, lo: double, hi: double>>, _sizes array<long>, _targets array<double>"
     planned = spark.createDataFrame(plan, schema)
 
+    # one row a pattern and bin: all that rows are joined with is joined here first, so that
+    # a pattern of most rows meets it bin by bin
     before = Window.partitionBy("_pattern").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
-    bins = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).join(F.broadcast(planned), F.col("_pattern") == F.col("_p"))
-    bins = bins.select(F.col("_pattern").alias("_bp"), F.col("_bin").alias("_bb"), "_before", "_cap", "_flow", "_stretches", "_sizes", "_targets")
-    inside = Window.partitionBy("_pattern", "_bin").orderBy("_h", "_i", "_size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-
-    def place(df: DataFrame) -> DataFrame:
-        out = df.join(bins, (F.col("_pattern") == F.col("_bp")) & (F.col("_bin") == F.col("_bb")))
-        out = out.withColumn("_stop", F.col("_before") + F.sum("_size").over(inside)).withColumn("_middle", F.col("_stop") - F.col("_size") / 2)
-        last = F.floor(F.try_divide("_flow", "_cap"))
-        return out.withColumns({"_last": last, "_rest": F.col("_flow") - last * F.col("_cap")})
-
-    # what the last pass leaves open, and the document that fits it best
+    bins = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).join(planned, F.col("_pattern") == F.col("_p"))
+    last = F.floor(F.try_divide("_flow", "_cap"))
+    bins = bins.select(F.col("_pattern").alias("_bp"), F.col("_bin").alias("_bb"), "_before", "_cap", "_flow", "_stretches", "_sizes", "_targets", last.alias("_last"), (F.col("_flow") - last * F.col("_cap")).alias("_rest"))
+    inside = Window.partitionBy("_pattern", "_bin").orderBy("_h", "_size", "_t").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    here = (F.col("_pattern") == F.col("_bp")) & (F.col("_bin") == F.col("_bb"))
+
+    def place(df: DataFrame, known: DataFrame) -> DataFrame:
+        out = df.join(known, here)
+        return out.withColumn("_stop", F.col("_before") + F.sum("_size").over(inside)).withColumn("_middle", F.col("_stop") - F.col("_size") / 2)
+
+    # what the last pass leaves open, and the one row that fits it best: rows of some size
+    # end at places of their own
     whole = F.col("_stop") <= F.col("_rest")
-    thin = place(light)
+    thin = place(light, bins.select("_bp", "_bb", "_before", "_rest"))
     left = thin.groupBy("_pattern").agg((F.max("_rest") - F.coalesce(F.max(F.when(whole, F.col("_stop"))), F.lit(0))).alias("_open")).withColumnRenamed("_pattern", "_lp")
+    opened = bins.join(left, F.col("_bp") == F.col("_lp")).select("_bp", "_bb", "_before", "_rest", "_open")
     miss = F.abs(F.col("_open") - F.col("_size"))
-    fits = thin.filter(~whole).join(F.broadcast(left), F.col("_pattern") == F.col("_lp")).filter(miss < F.col("_open"))
-    best = fits.groupBy("_pattern").agg(F.min(F.struct(miss.alias("m"), F.col("_h").alias("h"), F.col("_i").alias("i"), F.col("_size").alias("s"))).alias("_best")).withColumnRenamed("_pattern", "_xp")
-    placed = place(rows).join(F.broadcast(best), F.col("_pattern") == F.col("_xp"), "left")
-    extra = F.col("_best").isNotNull() & (F.col("_h") == F.col("_best.h")) & F.col("_i").eqNullSafe(F.col("_best.i")) & (F.col("_size") == F.col("_best.s"))
+    fits = place(light, opened).filter(~whole & (F.col("_size") > 0)).filter(miss < F.col("_open"))
+    best = fits.groupBy("_pattern").agg(F.min(F.struct(miss.alias("m"), F.col("_h").alias("h"), F.col("_bin").alias("b"), F.col("_stop").alias("s"))).alias("_best")).withColumnRenamed("_pattern", "_xp")
+    placed = place(rows, bins.join(best, F.col("_bp") == F.col("_xp"), "left"))
+    extra = F.col("_best").isNotNull() & (F.col("_bin") == F.col("_best.b")) & (F.col("_stop") == F.col("_best.s")) & (F.col("_size") > 0)
 
     def taker(k: int) -> Column:
         at = F.when(F.col("_last") == k, F.least(F.col("_middle") + k * F.col("_cap"), F.col("_flow") - 1e-6)).otherwise(F.col("_middle") + k * F.col("_cap"))
