@@ -29,6 +29,7 @@ import struct
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +41,7 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSource
 
 from . import eliasfano
 from .ids import require_integers
-from .units import Units, load_library, words
+from .units import Units, load_library, lowered, words
 
 SHARD_IDS = 1 << 25
 SHARD_DOCS = 1 << 22
@@ -122,13 +123,48 @@ class TokenFile:
         return [None] * (hi - lo - len(known)) + (known ^ _SIGN).view(np.int64).tolist()
 
 
+def _normalizers(spec: dict | None) -> list[dict]:
+    return [] if spec is None else spec.get("normalizers", [spec])
+
+
 class _Encoder:
     """Ids of texts, from a tokenizer file of the tokenizers library."""
 
+    JOINED = 256
+
     def __init__(self, path: str):
-        library = load_library(path)
-        self.width = 2 if library.get_vocab_size() <= 1 << 16 else 4
-        self.units = Units(lambda new: [np.array(e.ids, f"<u{self.width}").tobytes() for e in library.encode_batch_fast(new, add_special_tokens=False)], words)
+        self.library = load_library(path)
+        spec = json.loads(self.library.to_str())
+        self.width = 2 if self.library.get_vocab_size() <= 1 << 16 else 4
+        lower = any(n["type"] == "Lowercase" for n in _normalizers(spec["normalizer"]))
+        self.units = Units(self._encoded, (lambda text: words(lowered(text))) if lower else words)
+        suffix, self.ends = spec["model"].get("end_of_word_suffix"), np.zeros(self.library.get_vocab_size(), bool)
+        for token, i in self.library.get_vocab(with_added_tokens=False).items():
+            self.ends[i] = bool(suffix) and token.endswith(suffix)
+
+    def _encoded(self, new: list[str]) -> list[bytes]:
+        """Words of letters alone, which end with one token that ends a word, are given to
+        the library some hundred at a time."""
+        letters = [u for u in new if u.isalpha()] if self.ends.any() else []
+        rest = list(set(new) - set(letters))
+        known = dict(zip(letters, self._together(letters), strict=True)) | dict(zip(rest, self._single(rest), strict=True))
+        return [known[u] for u in new]
+
+    def _single(self, units: list[str]) -> list[bytes]:
+        return [np.array(e.ids, f"<u{self.width}").tobytes() for e in self.library.encode_batch_fast(units, add_special_tokens=False)]
+
+    def _together(self, units: list[str]) -> list[bytes]:
+        if len(units) < 2:
+            return self._single(units)
+        strings = [" ".join(units[k : k + self.JOINED]) for k in range(0, len(units), self.JOINED)]
+        found = [e.ids for e in self.library.encode_batch_fast(strings, add_special_tokens=False)]
+        ids = np.fromiter(chain.from_iterable(found), f"<u{self.width}", sum(map(len, found)))
+        ends = np.flatnonzero(self.ends[ids]) + 1
+        if len(ends) != len(units):  # some letter is several characters in lower case
+            half = len(units) // 2
+            return self._together(units[:half]) + self._together(units[half:])
+        data = ids.tobytes()
+        return [data[lo:hi] for lo, hi in pairwise([0, *(self.width * ends).tolist()])]
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.frombuffer(b"".join(parts), f"<u{self.width}") for parts in self.units.of(texts)]

@@ -4,8 +4,9 @@ Words repeat, tokens do not cross certain blanks, so a text is cut there and eve
 different stretch goes to the library once a Python worker; a bounded memory holds its
 ids. The cuts are exact for the tokenizers they are named after:
 
-* ``words``: for vocabularies that drop white space before they look for words. Blanks,
-  tabs and line ends belong to no token, and nothing composes across them.
+* ``words``: for vocabularies that drop white space and tell letters from signs before they
+  look for words. Blanks, tabs and line ends belong to no token, and nothing composes
+  across them; nor does a run of ASCII letters with an ASCII sign or digit after it.
 * ``spaced``: for vocabularies whose words start with their blank. A single blank between
   two characters that are no white space starts a token in any case.
 
@@ -17,41 +18,50 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
-#: Different stretches that a worker remembers, and the longest that it does.
-MOST_UNITS = 150_000
+#: Different stretches of a generation of a worker's memory, and the longest one in it.
+MOST_UNITS = 400_000
 LONGEST_UNIT = 64
 
-_WORDS = re.compile(r"[^ \t\n\r]+")
+_WORDS = re.compile(r"[A-Za-z]++(?![^\x00-\x7f])|[^ \t\n\r]+")
 _SPACED = re.compile(r"(?<=\S) (?=\S)")
+_LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
 words = _WORDS.findall
 spaced = _SPACED.split
 
 
+def lowered(text: str) -> str:
+    """A-Z in lower case, for vocabularies that do so anyway; texts that may spell out a
+    special token stay as they are."""
+    return text if "<|" in text else text.encode().translate(_LOWER).decode()
+
+
 class Units:
     """What ``encode`` gives for each stretch of some texts, in order.
 
-    encode: from a list of different stretches to one value each. cut: from a text to
-    its stretches.
+    encode: from a list of different stretches to one value each. cut: from a text to its
+    stretches. Memory has two generations: when the younger one is full it becomes the
+    older one, and what is used again moves on, so frequent stretches stay.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list], cut: Callable[[str], list[str]]):
-        self.encode, self.cut, self.known = encode, cut, {}
+    def __init__(self, encode: Callable[[list[str]], list], cut: Callable[[str], list[str]], most: int | None = None):
+        self.encode, self.cut, self.young, self.old, self.most = encode, cut, {}, {}, most or MOST_UNITS
 
     def of(self, texts: list[str]) -> list[list]:
+        if len(self.young) >= self.most:
+            self.young, self.old = {}, self.young
         cuts = [self.cut(t) for t in texts]
-        known = self.known
-        new = list({u for units in cuts for u in units if u not in known})
-        if len(known) + len(new) > MOST_UNITS:
-            known.clear()
-            new = list({u for units in cuts for u in units})
+        missing = set().union(*cuts) - self.young.keys()
+        again = missing & self.old.keys()
+        self.young.update((u, self.old[u]) for u in again)
+        new = list(missing - again)
         for at in range(0, len(new), 10_000):  # the library's results are large
             part = new[at : at + 10_000]
-            known.update(zip(part, self.encode(part), strict=True))
-        out = [list(map(known.__getitem__, units)) for units in cuts]
+            self.young.update(zip(part, self.encode(part), strict=True))
+        out = [list(map(self.young.__getitem__, units)) for units in cuts]
         for u in new:
             if len(u) > LONGEST_UNIT:
-                del known[u]
+                del self.young[u]
         return out
 
 
