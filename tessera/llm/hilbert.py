@@ -114,14 +114,19 @@ def shard(docs: DataFrame, dimensions: dict[str, Column], shards: int = 16, bits
     for i, d in enumerate(dims):
         on &= F.col(d).eqNullSafe(F.col(f"_p{i}"))
     rows = rows.join(points.drop("_n"), on).join(F.broadcast(cells), F.col("hilbert") == F.col("_cell"))
-    rows = rows.withColumn("_bin", F.pmod(F.xxhash64("_id", "size", "text_crc32", *dims), F.col("_bins")))
+    # rows that are equal in all of this are one so far: cut in two steps into pieces of
+    # PER_BIN, so that no array or task has more than that of them at a time
+    for name, most in (("_far", PER_BIN * PER_BIN), ("_near", PER_BIN)):
+        rows = rows.withColumn(name, F.explode(F.sequence(F.lit(0), F.floor((F.col("_n") - 1) / most))))
+        rows = rows.withColumn("_n", F.least(F.lit(most), F.col("_n") - F.col(name) * most))
+    rows = rows.withColumn("_bin", F.pmod(F.xxhash64("_id", "size", "text_crc32", *dims, "_far", "_near"), F.col("_bins")))
 
     # rows before each bin of a cell
     bins = rows.groupBy("hilbert", "_bin").agg(F.sum("_n").alias("_m"))
     order = Window.partitionBy("hilbert").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
     bins = bins.select(F.col("hilbert").alias("_h"), F.col("_bin").alias("_b"), F.coalesce(F.sum("_m").over(order), F.lit(0)).alias("_early"))
     placed = rows.join(bins, (F.col("hilbert") == F.col("_h")) & (F.col("_bin") == F.col("_b")))
-    inside = Window.partitionBy("hilbert", "_bin").orderBy("_id", "text_crc32", "size", *dims).rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("hilbert", "_bin").orderBy("_id", "text_crc32", "size", *dims, "_far", "_near").rowsBetween(Window.unboundedPreceding, -1)
     placed = placed.withColumn("_first", F.col("_base") + F.col("_early") + F.coalesce(F.sum("_n").over(inside), F.lit(0)))
     placed = placed.withColumn("_rank", F.explode(F.sequence("_first", F.col("_first") + F.col("_n") - 1)))
 
