@@ -69,7 +69,6 @@ def odd_texts():
 @pytest.mark.parametrize("size", [alignment.BLOCK_UNITS, 40])
 def test_equals_plain_python(spark, monkeypatch, size):
     monkeypatch.setattr(alignment, "BLOCK_UNITS", size)
-    monkeypatch.setattr(units, "MOST_UNITS", 100 if size == 40 else units.MOST_UNITS)
     docs = documents(spark).filter("doc_id IS NULL OR doc_id <> 13").unionByName(documents(spark, odd_texts()))
     rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
     got = alignment.align(docs, tokenizer_path(A), tokenizer_path(B))
@@ -92,6 +91,16 @@ def test_query(spark):
         assert n_links <= r.count_sum and 0 <= r.n_best <= n_links
 
 
+def test_memory_of_any_size_gives_the_same():
+    texts = [t for _, t in odd_texts()] + ["one two", "two one two. one, (one) One"]
+    for cut, encode in ((units.spaced, lambda new: [u + "|" for u in new]), (units.words, lambda new: [u.upper() for u in new])):
+        small, large = units.Units(encode, cut, 2), units.Units(encode, cut)
+        for _ in range(3):
+            for t in texts:
+                assert small.of([t, t]) == large.of([t, t]) == [encode(cut(t))] * 2
+        assert not [u for u in large.young if len(u) > units.LONGEST_UNIT]
+
+
 def test_labels():
     assert alignment.byte_table()["Ġ"] == 32 and len(alignment.byte_table()) == 256
     a, b = alignment.cut(b"0130230033")
