@@ -46,6 +46,7 @@ SCALE = 1_000_000_000
 MIN_DOCS, TOP = 10, 10
 #: Terms of a chunk (about; terms are dealt by hash), groups of a block.
 CHUNK, BLOCK = 32_768, 4
+SALTS = 64
 #: Entries of a task's dictionaries.
 MOST_COUNTS = 300_000
 
@@ -183,7 +184,9 @@ def vectors(counts: DataFrame, min_docs: int = MIN_DOCS, chunk: int = CHUNK, blo
     kept = counts.filter("term IS NOT NULL").groupBy("lang", "term").agg(F.sum("n").alias("lang_n"), F.sum("df").alias("df")).filter(F.col("df") >= min_docs)
     kept = stored(kept)
     sizes = kept.groupBy("lang").agg(F.count("*").alias("terms"), F.sum("lang_n").alias("lang_total"))
-    dealt = kept.join(sizes, "lang").withColumn("chunk", F.pmod(F.xxhash64("term"), F.ceil(F.col("terms") / chunk)).cast("long"))
+    # a language of most terms meets its size in many tasks
+    salted = kept.withColumn("_salt", F.pmod(F.xxhash64("term", F.lit(1)), F.lit(SALTS)))
+    dealt = salted.join(sizes.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), ["lang", "_salt"]).drop("_salt").withColumn("chunk", F.pmod(F.xxhash64("term"), F.ceil(F.col("terms") / chunk)).cast("long"))
     in_chunk = Window.partitionBy("lang", "chunk")
     placed = dealt.withColumn("place", F.row_number().over(in_chunk.orderBy("term")) - 1).select("lang", "term", "chunk", "place", "lang_n", "terms", "lang_total")
     placed = stored(placed)
