@@ -154,14 +154,21 @@ def cube_series(cube: DataFrame, dims: list[str], sizes: list[int], values: str
     return rows.select(*keep, *[F.pmod(F.floor(F.col("flat") / n), F.lit(size)).alias(d) for d, size, n in zip(dims, sizes, below, strict=True)], "value")
 
 
-def strip_html(c: str) -> Column:
+def strip_html(c: str, entities: dict[str, str] | None = None, space: str = r"(?U)\s+") -> Column:
     """Text of a page: entities resolved first, so that escaped tags go too, then no
-    scripts, styles, comments and tags, white space of any kind collapsed."""
-    coded = F.contains(c, F.lit("&"))
-    text = F.when(coded, unescape(F.when(coded, F.col(c)))).otherwise(F.col(c))
-    text = F.regexp_replace(text, r"(?is)<(script|style)[^>]*>.*?</\1>|<!--.*?-->", " ")
+    scripts, styles, comments and tags, white space of any kind collapsed.
+
+    All entities count, also without their semicolons as in HTML, or exactly those given,
+    in that order; ``space`` is the pattern of what becomes one blank.
+    """
+    if entities is None:
+        coded = F.contains(c, F.lit("&"))
+        text = F.when(coded, unescape(F.when(coded, F.col(c)))).otherwise(F.col(c))
+    else:
+        text = reduce(lambda t, e: F.replace(t, F.lit(e[0]), F.lit(e[1])), entities.items(), F.col(c))
+    text = F.regexp_replace(text, r"(?isu)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<!--.*?-->", " ")
     text = F.regexp_replace(text, r"<[^>]+>", " ")
-    return F.trim(F.regexp_replace(text, r"(?U)\s+", " "))
+    return F.trim(F.regexp_replace(text, space, " "))
 
 
 def labelled_values(df: DataFrame, c: str) -> DataFrame:

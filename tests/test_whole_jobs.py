@@ -6,6 +6,7 @@ import duckdb
 from conftest import rows_of
 
 from tessera.plans import registry
+from tessera.sources.readers import strip_html
 
 
 def same_as_sql(spark, folder, name, **tables):
@@ -31,3 +32,10 @@ def test_dates_after_this_century(spark, tmp_path):
     ids = [0, 27_999, 28_000, 29_300, *range(30_000, 30_210), *range(180_000, 180_210), *range(3_000_000, 3_000_210)]
     got = same_as_sql(spark, tmp_path, "date_parsers", pages=pages([(i, "") for i in ids]))
     assert len(got) == len(ids) and got.lifecycle.notna().sum() > len(ids) / 2
+
+
+def test_pages_with_cut_entities_and_other_blanks(spark, tmp_path):
+    html = ["a &amp", "<p>R&ampD &quot &copy 2020 &nbsp;&#65;&lt;b&gt;</p>", "&amp;quot; &amp;amp;copy; &quot;x&quot;", "a  b\x0bc \t\n d\u0085e", "<SCRIPT a='b'>x</Script>y<style>z</style\n>w<!-- > -->v", "<script>1</style>2</script>3", ""]
+    got = same_as_sql(spark, tmp_path, "html_strip", pages=pages([*enumerate(html), (99, None)]))
+    assert len(got) == len(html) + 1
+    assert spark.createDataFrame([("R&ampD&nbsp;&lt;b&gt;x",)], "h string").select(strip_html("h")).head()[0] == "R&D x"
