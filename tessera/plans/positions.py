@@ -262,16 +262,17 @@ def pair_similarity(t: Tables) -> DataFrame:
 
 
 @plan(f"""
-WITH {_VOTES}, v AS (SELECT scope * 100 + topic AS scope, party, event % 500 AS event, choice FROM votes), {_SIGNS},
-v2 AS (SELECT scope, party, topic * 1000000 + event % 500 AS event, choice FROM votes),
+WITH {_VOTES}, every AS (SELECT unnest([scope, -1]) AS scope, party, topic, event % 500 AS event, choice FROM votes), v AS (SELECT (scope + 1) * 100 + topic AS scope, party, event, choice FROM every), {_SIGNS},
+v2 AS (SELECT scope, party, topic * 1000000 + event AS event, choice FROM every),
 c2 AS (SELECT scope, party, event, count(*) FILTER (WHERE choice = 'yes') AS yes, count(*) FILTER (WHERE choice = 'no') AS no FROM v2 GROUP BY ALL),
 s2 AS (SELECT scope, party, event, CASE WHEN yes > no THEN 1 ELSE -1 END AS sign FROM c2 WHERE yes <> no),
 al AS (SELECT x.scope, x.party AS a, y.party AS b, CAST(sum(x.sign * y.sign) AS BIGINT) / count(*) AS overall FROM s2 x JOIN s2 y ON x.scope = y.scope AND x.event = y.event AND x.party < y.party GROUP BY ALL HAVING count(*) >= 1)
-SELECT sim.scope // 100 AS scope, sim.scope % 100 AS topic, sim.a, sim.b, shared, cosine, coalesce(overall, 0.0) AS overall FROM sim LEFT JOIN al ON al.scope = sim.scope // 100 AND al.a = sim.a AND al.b = sim.b WHERE cosine >= 0.2 AND coalesce(overall, 0.0) <= 0.05
+SELECT sim.scope // 100 - 1 AS scope, sim.scope % 100 AS topic, sim.a, sim.b, shared, cosine, coalesce(overall, 0.0) AS overall FROM sim LEFT JOIN al ON al.scope = sim.scope // 100 - 1 AND al.a = sim.a AND al.b = sim.b WHERE cosine >= 0.2 AND coalesce(overall, 0.0) <= 0.05
 """)
 def issue_coalitions(t: Tables) -> DataFrame:
-    """Groups that agree on a topic but not overall in their scope."""
-    v = votes(t).withColumn("event", F.col("event") % 500)
+    """Groups that agree on a topic but not overall in their scope: each scope by itself and,
+    as -1, all of them together, where groups of different scopes meet."""
+    v = votes(t).withColumn("event", F.col("event") % 500).withColumn("scope", F.explode(F.array("scope", F.lit(-1))))
     by_topic = A.vote_counts(v, ["scope", "topic", "party", "event"], "choice")
     topic = M.pair_similarity(M.sign_vectors(by_topic, ["scope", "topic"], "party", "event", 5), ["scope", "topic"], "party", "event", 3)
     v = v.withColumn("event", F.col("topic") * 1000000 + F.col("event"))

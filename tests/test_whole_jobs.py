@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import duckdb
-from conftest import rows_of
+from conftest import DATA, rows_of
 
 from tessera.plans import registry
 from tessera.sources.readers import strip_html
@@ -39,3 +39,10 @@ def test_pages_with_cut_entities_and_other_blanks(spark, tmp_path):
     got = same_as_sql(spark, tmp_path, "html_strip", pages=pages([*enumerate(html), (99, None)]))
     assert len(got) == len(html) + 1
     assert spark.createDataFrame([("R&ampD&nbsp;&lt;b&gt;x",)], "h string").select(strip_html("h")).head()[0] == "R&D x"
+
+
+def test_coalitions_of_groups_of_different_scopes(spark, duck):
+    got = registry.queries()["issue_coalitions"](spark, DATA).toPandas()
+    nation = duck.sql("SELECT n_nationkey, n_regionkey FROM nation").df().set_index("n_nationkey").n_regionkey
+    apart = nation[got.a].to_numpy() != nation[got.b].to_numpy()
+    assert apart.any() and (got.scope[apart] == -1).all()
