@@ -192,7 +192,7 @@ def bridge(matches: DataFrame, edges: DataFrame, fact: str, direct: dict[str, fl
     src of a ``direct`` relation, at that cost; where both nodes have an ``ends`` edge to a
     third one, at the cost ``shared``; where one has an ``ends`` and the other a direct
     edge to it, at the cost ``mixed``. Confidence is never below 0; of several ways to a
-    node the best counts, then the first rule. Before nodes meet at a third one, matches
+    node the best counts, then the first rule, so a match may come several times. Before nodes meet at a third one, matches
     are summed up by it; a node left and entered again can't beat its own match.
     """
     e = edges.distinct()
@@ -205,9 +205,10 @@ def bridge(matches: DataFrame, edges: DataFrame, fact: str, direct: dict[str, fl
         return step(at.withColumnRenamed("_third", "dst").join(rest, "dst"), penalty, rule, method)
 
     def step(found: DataFrame, penalty: Column | float, rule: int, method: Column) -> DataFrame:
-        return found.select(fact, F.col("src").alias("node"), F.greatest(F.col("confidence") - penalty, F.lit(0.0)).alias("confidence"), F.lit(rule).alias("_rule"), method.alias("method"))
+        return found.select(fact, F.col("src").alias("node"), F.greatest(F.col("confidence") - penalty, F.lit(0.0)).alias("confidence"), F.lit(rule).alias("_rule"), method.alias("method")).repartition(fact, "node")
 
-    ways = matches.select(fact, "node", "confidence", F.lit(0).alias("_rule"), F.lit("direct").alias("method"))
+    # each way is dealt by itself, so that no task holds the joins of several
+    ways = matches.select(fact, "node", "confidence", F.lit(0).alias("_rule"), F.lit("direct").alias("method")).repartition(fact, "node")
     ways = ways.unionByName(step(matches.withColumnRenamed("node", "dst").join(going, "dst").filter("src <> dst"), cost[F.col("relation")], 1, F.concat(F.lit("via_"), F.col("relation"))))
     ways = ways.unionByName(hop(ended, ended, shared, 2, F.lit("via_shared")))
     ways = ways.unionByName(hop(ended, going, mixed, 3, F.lit("via_mixed"))).unionByName(hop(going, ended, mixed, 3, F.lit("via_mixed")))

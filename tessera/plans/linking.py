@@ -384,7 +384,7 @@ SELECT fact, node, confidence, method FROM r WHERE rn = 1
 def graph_bridge(t: Tables) -> DataFrame:
     """Matches carried one hop along typed edges or over a shared node, at a penalty; the
     best way counts."""
-    lines = t.lineitem.groupBy(F.col("l_orderkey").alias("fact"), F.col("l_partkey").alias("node")).agg(F.max(1 - F.col("l_discount").cast("decimal(12,2)")).cast("double").alias("confidence"))
+    lines = t.lineitem.select(F.col("l_orderkey").alias("fact"), F.col("l_partkey").alias("node"), (1 - F.col("l_discount").cast("decimal(12,2)")).cast("double").alias("confidence"))
     m = lines.join(t.orders, F.col("fact") == F.col("o_orderkey"), "left_semi")
     rel = F.when(F.col("p_size") % 3 == 0, "develops").when(F.col("p_size") % 3 == 1, "repeals").otherwise("amends")
     e = t.part.select(F.col("p_partkey").alias("src"), (F.floor(F.col("p_partkey") / 3) * 2).alias("dst"), rel.alias("relation"))

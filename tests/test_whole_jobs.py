@@ -5,6 +5,7 @@ from __future__ import annotations
 import duckdb
 from conftest import DATA, rows_of
 
+from tessera.operators import joins as J
 from tessera.plans import registry
 from tessera.sources.readers import strip_html
 
@@ -46,3 +47,12 @@ def test_coalitions_of_groups_of_different_scopes(spark, duck):
     nation = duck.sql("SELECT n_nationkey, n_regionkey FROM nation").df().set_index("n_nationkey").n_regionkey
     apart = nation[got.a].to_numpy() != nation[got.b].to_numpy()
     assert apart.any() and (got.scope[apart] == -1).all()
+
+
+def test_every_way_of_a_bridge_is_dealt_by_itself(spark):
+    m = spark.createDataFrame([(1, 4, 0.9), (1, 4, 0.5), (2, 7, 0.1)], "fact long, node long, confidence double")
+    e = spark.createDataFrame([(7, 4, "develops"), (4, 3, "repeals"), (8, 3, "repeals"), (9, 3, "develops")], "src long, dst long, relation string")
+    out = J.bridge(m, e, "fact", {"develops": 0.15}, "repeals", 0.2, 0.25)
+    assert {(r.fact, r.node, round(r.confidence, 6), r.method) for r in out.collect()} == {(1, 4, 0.9, "direct"), (1, 7, 0.75, "via_develops"), (1, 8, 0.7, "via_shared"), (1, 9, 0.65, "via_mixed"), (2, 7, 0.1, "direct")}
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("RepartitionBy") + plan.count("REPARTITION_BY_COL") >= 5
