@@ -46,17 +46,40 @@ def asof_tiered(facts: DataFrame, spans: DataFrame, keys: list[str], fact_id: st
     return sweep.asof(facts, spans, keys, at, start, end, span_id, tiers)
 
 
+def _classes(df: DataFrame, row_id: str, name: str) -> tuple[DataFrame, DataFrame]:
+    """The different rows of df without their ids, each with its class ``name`` and with _n
+    and _id, the number and one of the ids that have it; and the class of each id. Ids of one
+    row each share the class of that row, an id of several rows has its own."""
+    values = [c for c in df.columns if c != row_id]
+    different = df.distinct()
+    several = different.groupBy(F.col(row_id).alias("_several")).agg(F.count(F.lit(1)).alias("_rows")).filter("_rows > 1")
+    own = F.col("_rows").isNotNull()
+    key = F.struct(own.alias("own"), F.when(own, F.col(row_id)).alias("id"), *[F.when(~own, F.col(f"`{c}`")).alias(f"v{i}") for i, c in enumerate(values)])
+    marked = different.join(several, F.col(row_id).eqNullSafe(F.col("_several")), "left").withColumn(name, key)
+    kind = marked.groupBy(name, *[F.col(f"`{c}`") for c in values]).agg(F.count(row_id).alias("_n"), F.max(row_id).alias("_id"))
+    return kind, marked.select(row_id, name).distinct()
+
+
 def best_candidate(facts: DataFrame, candidates: DataFrame, on: str, fact_id: str, candidate_id: str, score: list[Column]) -> DataFrame:
     """fact_id, status (matched, ambiguous, no_candidates), candidate_id, n_best.
 
     Candidates share the key ``on``. The greatest score of each candidate counts; equal
-    best scores of different candidates are ambiguous.
+    best scores of different candidates are ambiguous. ``score`` may use all columns but
+    the ids.
+
+    Facts that are equal but for their ids meet candidates that are equal but for theirs
+    once, so pairs grow with the different ones, not with the rows of a key. An id with
+    several different rows is a class by itself, as the best of its rows counts.
     """
-    pairs = facts.join(candidates, on, "left").withColumn("_score", F.struct(*[s.alias(f"s{i}") for i, s in enumerate(score)]))
-    each = pairs.groupBy(fact_id, candidate_id).agg(F.max("_score").alias("_score"))
-    best = each.withColumn("_place", F.rank().over(Window.partitionBy(fact_id).orderBy(F.col("_score").desc_nulls_last()))).filter("_place = 1")
-    out = best.groupBy(fact_id).agg(F.count(candidate_id).alias("n_best"), F.max(candidate_id).alias("_one"))
+    (kind, members), (other, _) = _classes(facts, fact_id, "_fact"), _classes(candidates, candidate_id, "_candidate")
+    scored = F.struct(*[s.alias(f"s{i}") for i, s in enumerate(score)])
+    # _fact: the group of facts that the pair is for; _candidate: that of candidates
+    pairs = kind.drop("_n", "_id").join(other, on, "left").select("_fact", "_candidate", "_n", "_id", scored.alias("_score"))
+    each = pairs.groupBy("_fact", "_candidate").agg(F.max("_n").alias("_n"), F.max("_id").alias("_id"), F.max("_score").alias("_score"))
+    by_score = each.groupBy("_fact", "_score").agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n_best"), F.max("_id").alias("_one"))
+    best = by_score.groupBy("_fact").agg(F.max(F.struct("_score", "n_best", "_one")).alias("_best")).select(F.col("_fact").alias("_of"), "_best.n_best", "_best._one")
     status = F.when(F.col("n_best") == 0, "no_candidates").when(F.col("n_best") == 1, "matched").otherwise("ambiguous")
+    out = members.join(best, F.col("_fact") == F.col("_of"))
     return out.select(fact_id, status.alias("status"), F.when(F.col("n_best") == 1, F.col("_one")).alias(candidate_id), "n_best")
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import duckdb
 from conftest import DATA, rows_of
+from pyspark.sql import functions as F
 
 from tessera.operators import joins as J
 from tessera.plans import registry
@@ -56,3 +57,29 @@ def test_every_way_of_a_bridge_is_dealt_by_itself(spark):
     assert {(r.fact, r.node, round(r.confidence, 6), r.method) for r in out.collect()} == {(1, 4, 0.9, "direct"), (1, 7, 0.75, "via_develops"), (1, 8, 0.7, "via_shared"), (1, 9, 0.65, "via_mixed"), (2, 7, 0.1, "direct")}
     plan = out._jdf.queryExecution().sparkPlan().toString()
     assert plan.count("RepartitionBy") + plan.count("REPARTITION_BY_COL") >= 5
+
+
+def test_best_candidates_of_a_heavy_key_are_met_by_kind(spark):
+    """Repeated ids and null scores too; equal rows are scored once, not pair by pair."""
+    scored = spark.sparkContext.accumulator(0)
+
+    @F.udf("int")
+    def counted(a, b):
+        scored.add(1)
+        return None if b is None else -abs(a - b)
+
+    facts = [(i, "k", i % 7) for i in range(600)] + [(5, "k", 6), (900, "none", 1), (901, None, 1)]
+    cands = [(i, "k", i % 11) for i in range(20, 600)] + [(20, "k", 3), (20, "other", 3), (700, "k", 100), (None, "k", 4), (701, "k", None)]
+    a, b = spark.createDataFrame(facts, "f int, n string, x int"), spark.createDataFrame(cands, "c int, n string, y int")
+    got = {r.f: (r.status, r.c, r.n_best) for r in J.best_candidate(a, b, "n", "f", "c", [counted("x", "y")]).collect()}
+    assert 0 < scored.value < 1000
+    want = {}
+    for f in {f for f, _, _ in facts}:
+        best = {}
+        for _, n, x in (row for row in facts if row[0] == f):
+            for c, m, y in cands:
+                if n is not None and n == m:
+                    best[c] = max(best.get(c, -1000), -1000 if y is None else -abs(x - y))
+        top = [c for c, s in best.items() if s == max(best.values()) and c is not None]
+        want[f] = ("no_candidates", None, 0) if not top else ("matched", top[0], 1) if len(top) == 1 else ("ambiguous", None, len(top))
+    assert got == want
