@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import html
+import re
 import unicodedata
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column
@@ -205,27 +208,53 @@ def _clipped(c: Column, width: int) -> Column:
     return F.when(F.length(c) <= width, c).otherwise(F.concat(F.rtrim(F.substring(c, 1, width - 1)), F.lit("…")))
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), where the value is worked out once however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _holds_any(folded: Column, words: tuple[str, ...]) -> Column:
+    """Whether a text holds the longest fixed piece of one of the patterns: where it does
+    not, none of them can match."""
+    pieces = sorted({max(re.split(r"\[[^]]*\]|\\s\+", w), key=len) for w in words})
+    return reduce(lambda a, b: a | b, [F.contains(folded, F.lit(x)) for x in pieces])
+
+
 def subject(text: Column | str, title: Column | str) -> Column:
     """struct(subject, confidence, method) of a document, by the first of: a window of 20 to
     320 characters from a keyword on (a strong title instead of one shorter than 40), the
     first sentence of 40 or more with a keyword, the title, the text's beginning. Without a
     text the title; without either an empty subject."""
-    t, name = (F.coalesce(collapse_space(c), F.lit("")) for c in (text, title))
-    strong = (F.length(name) >= 35) & name.rlike(rf"(?iU)\b(?:{'|'.join(STRONG_TITLES)})\b")
-    window = _clipped(collapse_space(F.regexp_extract(t, rf"(?iU)((?:{'|'.join(SUBJECT_STARTS)})[^.;:]{{20,320}})", 1)), 320)
+    width = 320
+    start = rf"(?iU)((?:{'|'.join(SUBJECT_STARTS)})[^.;:]{{20,{width}}})"
     has_word = lambda s: F.lower(s).rlike("|".join(SUBJECT_WORDS))
-    sentences = F.filter(F.transform(F.split(t, "[.;:!?]+"), lambda s: _clipped(F.trim(s), 320)), lambda s: (F.length(s) >= 40) & has_word(s))
-    sentence = F.get(sentences, F.lit(0))
     out = lambda c, p, how: F.struct(c.alias("subject"), F.lit(p).alias("confidence"), F.lit(how).alias("method"))
-    head = _clipped(name, 320)
-    return (
-        F.when((t == "") & (name == ""), out(F.lit(""), 0.0, "empty"))
-        .when((t == "") & strong, out(head, 0.74, "title_fallback_strong"))
-        .when(t == "", out(head, 0.72, "title_fallback"))
-        .when((window != "") & (F.length(window) < 40) & strong, out(head, 0.74, "title_hint_strong_from_short_window"))
-        .when(window != "", out(window, 0.82, "keyword_window"))
-        .when(sentence.isNotNull(), out(sentence, 0.76, "keyword_sentence"))
-        .when((name != "") & strong, out(head, 0.74, "title_hint_strong"))
-        .when(name != "", out(head, 0.68, "title_hint"))
-        .otherwise(out(_clipped(t, 220), 0.56, "excerpt_fallback"))
-    )
+
+    def first_window(t: Column) -> Column:
+        # the pattern ignores case, so it takes these for i and s, which lower() does not
+        folded = F.lower(reduce(lambda c, x: F.replace(c, F.lit(x[0]), F.lit(x[1])), ("İi", "ıi", "ſs"), t))
+        return F.when(_holds_any(folded, SUBJECT_STARTS), _once(collapse_space(F.regexp_extract(t, start, 1)), lambda w: _clipped(w, width))).otherwise("")
+
+    def first_sentence(t: Column) -> Column:
+        parts = F.transform(F.split(t, "[.;:!?]+"), lambda s: _clipped(F.trim(s), width))
+        found = F.get(F.filter(parts, lambda s: (F.length(s) >= 40) & has_word(s)), F.lit(0))
+        return F.when(_holds_any(F.lower(t), SUBJECT_WORDS), found)
+
+    def chosen(t: Column, name: Column, window: Column, sentence: Column) -> Column:
+        strong = (F.length(name) >= 35) & name.rlike(rf"(?iU)\b(?:{'|'.join(STRONG_TITLES)})\b")
+        head = _clipped(name, width)
+        return (
+            F.when((t == "") & (name == ""), out(F.lit(""), 0.0, "empty"))
+            .when((t == "") & strong, out(head, 0.74, "title_fallback_strong"))
+            .when(t == "", out(head, 0.72, "title_fallback"))
+            .when((window != "") & (F.length(window) < 40) & strong, out(head, 0.74, "title_hint_strong_from_short_window"))
+            .when(window != "", out(window, 0.82, "keyword_window"))
+            .when(sentence.isNotNull(), out(sentence, 0.76, "keyword_sentence"))
+            .when((name != "") & strong, out(head, 0.74, "title_hint_strong"))
+            .when(name != "", out(head, 0.68, "title_hint"))
+            .otherwise(out(_clipped(t, 220), 0.56, "excerpt_fallback"))
+        )
+
+    name = F.coalesce(collapse_space(title), F.lit(""))
+    whole = F.coalesce(collapse_space(text), F.lit(""))
+    return _once(whole, lambda t: _once(first_window(t), lambda window: _once(F.when(window == "", first_sentence(t)), lambda sentence: chosen(t, name, window, sentence))))

@@ -6,6 +6,7 @@ import duckdb
 from conftest import DATA, rows_of
 from pyspark.sql import functions as F
 
+from tessera.functions import text as X
 from tessera.operators import joins as J
 from tessera.plans import registry
 from tessera.sources.readers import strip_html
@@ -83,3 +84,13 @@ def test_best_candidates_of_a_heavy_key_are_met_by_kind(spark):
         top = [c for c, s in best.items() if s == max(best.values()) and c is not None]
         want[f] = ("no_candidates", None, 0) if not top else ("matched", top[0], 1) if len(top) == 1 else ("ambiguous", None, len(top))
     assert got == want
+
+
+def test_subjects_work_out_each_step_once(spark):
+    rest = " sobre la regulación de los mercados y otras cosas."
+    texts = ["PROPOSİCİÓN" + rest, "Real \n decreto-ley" + rest, "Propueſta" + rest, "uno. dos Interpelacıón" + rest, "ENMIENDA corta. La nueva MOCIÓN de todos los grupos es larga y firme", "nada" + rest]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", X.subject("t", F.lit("")).alias("s"))
+    got = {r.i: (r.s.method, r.s.subject[:14]) for r in df.collect()}
+    assert [got[i][0] for i in range(6)] == ["keyword_window", "keyword_window", "keyword_window", "keyword_window", "keyword_window", "excerpt_fallback"]
+    assert got[1][1] == "Real decreto-l" and got[4][1] == "MOCIÓN de todo"
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract(") == 1
