@@ -426,15 +426,16 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
         return nodes.join(roots, F.col(at) == F.col("_n"), "left").withColumn("label", F.coalesce("root", at)).drop("_n", "root")
 
     labels = cut(name(nodes, similar(proposed), "node"))
-    sketches, spanning = None, True
+    sketches, spanning, apart = None, True, proposed
     while True:
-        apart = labelled(proposed, labels)
-        apart = cut(apart.select(F.col("_la").alias("_l")).union(apart.select("_lb")).distinct())
+        # a label is a node of that label, so pairs of labels are labelled like pairs of nodes
+        apart = cut(labelled(apart, labels).select(F.least("_la", "_lb").alias("a"), F.greatest("_la", "_lb").alias("b")).distinct())
         if apart.isEmpty():
             break
         if sketches is None:
             sketches = cut(parities(sets)).withColumnRenamed("_id", "_n")
-        open_ = labels.join(apart, F.col("label") == F.col("_l"), "left_semi").join(sketches, F.col("node") == F.col("_n"))
+        ends = apart.select(F.col("a").alias("_l")).union(apart.select("b"))
+        open_ = labels.join(ends, F.col("label") == F.col("_l"), "left_semi").join(sketches, F.col("node") == F.col("_n"))
         more = cut(labelled(similar(cross_pairs(open_, distance, pieces, similarity, spanning)), labels).toDF("a", "b"))
         merged = not more.isEmpty()
         if merged:

@@ -237,3 +237,38 @@ def test_a_family_around_the_threshold(spark):
             words[at] = f"e{r.randrange(10**6)}"
         rows.append((i, " ".join(words)))
     assert sorted(x.doc_id for x in simhash.keep_one(documents(spark, rows)).collect()) == survivors(rows)
+
+
+def rows_joined(spark, after: int, column: str) -> int:
+    """Rows made by the joins on a column in the executions that came after one."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    out, runs = 0, store.executionsList()
+    for k in [runs.apply(i).executionId() for i in range(runs.size())]:
+        if k <= after:
+            continue
+        values, nodes = store.executionMetrics(k), store.planGraph(k).allNodes()
+        for node in (nodes.apply(i) for i in range(nodes.size())):
+            metrics = node.metrics() if "Join" in node.name() and f"[{column}#" in node.desc() else None
+            for x in (metrics.apply(i) for i in range(metrics.size() if metrics else 0)):
+                if x.name() == "number of output rows" and values.get(x.accumulatorId()).isDefined():
+                    out += int(values.get(x.accumulatorId()).get().replace(",", ""))
+    return out
+
+
+def test_proposed_pairs_are_joined_only_while_they_are_apart(spark):
+    """Twice, to verify and to label them; from then on the labels that are apart are joined."""
+    r = random.Random(25)
+    first = [f"w{r.randrange(5000)}" for _ in range(500)]
+    rows = []
+    for i in range(120):
+        words = list(first)
+        for at in r.sample(range(500), r.choice([2, 4, 6, 7]) if i % 30 else 10):
+            words[at] = f"e{r.randrange(10**6)}"
+        rows.append((i, " ".join(words)))
+    docs = documents(spark, rows).cache()
+    prints = simhash.fingerprints(docs, shingle=2).select("fp").distinct()
+    proposed = simhash.links(prints, 7).distinct().count()
+    runs = spark._jsparkSession.sharedState().statusStore().executionsList()
+    before = max(runs.apply(i).executionId() for i in range(runs.size()))
+    assert sorted(x.doc_id for x in simhash.keep_one(docs).collect()) == survivors(rows)
+    assert proposed > 200 and 2 * proposed < rows_joined(spark, before, "_na") < 3.5 * proposed
