@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from . import sweep
 
+_TASK_ROWS = 500_000
+
 
 def best_row(df: DataFrame, keys: list[str], order: list[Column], k: int = 1, rank: str | None = None) -> DataFrame:
     """The first k rows of each key; ``order`` should be total."""
@@ -202,9 +204,14 @@ def longest_prefix(df: DataFrame, code: str, table: DataFrame, prefix: str, valu
 
 
 def self_pairs(df: DataFrame, on: list[str], member: str) -> DataFrame:
-    """member_a < member_b for the members that share a key; for few members a key."""
-    a = df.select(*on, F.col(member).alias(f"{member}_a")).distinct()
-    b = df.select(*on, F.col(member).alias(f"{member}_b")).distinct()
+    """member_a < member_b for the members that share a key; for few members a key. Keys are
+    dealt to as many tasks as hold _TASK_ROWS rows each, so a task's memory does not grow
+    with the table; df is read twice."""
+    rows = df.select(*on, member)
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, -(-rows.count() // _TASK_ROWS))
+    rows = rows.repartition(tasks, *on)
+    a = rows.withColumnRenamed(member, f"{member}_a").distinct()
+    b = rows.withColumnRenamed(member, f"{member}_b").distinct()
     return a.join(b, on).filter(F.col(f"{member}_a") < F.col(f"{member}_b"))
 
 

@@ -274,3 +274,13 @@ def test_composite_keys(spark):
     guess = lambda n: F.regexp_extract("said", r"(\d+)/(\d+)", n).try_cast("int")
     got = {(r.f, r.t, r.method, r.confidence) for r in J.composite_link(facts, targets, "f", "t", [F.col("a"), F.col("b")], [guess(1), guess(2)], ["a", "b"]).collect()}
     assert got == {(1, "p", "payload_key", 1.0), (2, "q", "text_key", 0.9)}
+
+
+def test_self_pairs_deals_keys_to_tasks_of_bounded_size(spark, monkeypatch):
+    """400 rows at 10 a task are 40 tasks, whatever adaptive execution would merge."""
+    monkeypatch.setattr(J, "_TASK_ROWS", 10, raising=False)
+    rows = [(k % 97, k * k % 13) for k in range(300)] + [(k % 97, k * k % 13) for k in range(97)] + [(None, 1), (None, 2), (5, None)]
+    got = J.self_pairs(spark.createDataFrame(rows, "k int, m int"), ["k"], "m")
+    members = {(k, m) for k, m in rows if k is not None and m is not None}
+    assert sorted(map(tuple, got.collect())) == sorted((k, a, b) for k, a in members for j, b in members if j == k and a < b)
+    assert got.rdd.getNumPartitions() == 40
